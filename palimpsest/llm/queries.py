@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality, simhash
+from . import bpe, mixing, quality, simhash, toxicity
+
+#: The folder of public tokenizers is a package; its files are read where they lie.
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +35,21 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, and its text decoded from them, as digests."""
+    coded = bpe.encode_decode(_table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
+    return coded.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity probabilities and verdict of every document."""
+    scored = toxicity.classify(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), _table(spark, sf_dir, "labels"))
+    return scored.drop("text", "lang")
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate class of every document."""
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
@@ -40,7 +59,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_mixing": op2_mixing, "op5_quality": op5_quality, "op10_simhash": op10_simhash}
+    return {"op2_mixing": op2_mixing, "op5_quality": op5_quality, "op6_bpe": op6_bpe, "op9_toxicity": op9_toxicity, "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
