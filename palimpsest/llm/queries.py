@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, quality, simhash, toxicity
+from . import bpe, embeddings, mixing, quality, simhash, toxicity
 
 #: The folder of public tokenizers is a package; its files are read where they lie.
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -27,6 +27,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and class of every vector."""
+    return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality measures and verdict of every document."""
     judged = quality.assess(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -59,7 +64,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_mixing": op2_mixing, "op5_quality": op5_quality, "op6_bpe": op6_bpe, "op9_toxicity": op9_toxicity, "op10_simhash": op10_simhash}
+    return {"op2_mixing": op2_mixing, "op4_embeddings": op4_embeddings, "op5_quality": op5_quality, "op6_bpe": op6_bpe, "op9_toxicity": op9_toxicity, "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
