@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embeddings, mixing, pii, quality, simhash, toxicity
+from . import bpe, embeddings, html_text, mixing, pii, quality, simhash, tokens, toxicity
 
 #: The folder of public tokenizers is a package; its files are read where they lie.
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -27,6 +27,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of every document, encoded whole."""
+    return tokens.count_sections(_table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN).withColumnRenamed("id", "doc_id")
+
+
 def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and class of every vector."""
     return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
@@ -49,6 +54,11 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visible text of every page."""
+    return html_text.extract_pages(_table(spark, sf_dir, "pages")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -75,7 +85,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_mixing": op2_mixing, "op4_embeddings": op4_embeddings, "op5_quality": op5_quality, "op6_bpe": op6_bpe, "op8_pii": op8_pii, "op9_toxicity": op9_toxicity, "op10_simhash": op10_simhash}
+    return {"op2_mixing": op2_mixing, "op3_token_counts": op3_token_counts, "op4_embeddings": op4_embeddings, "op5_quality": op5_quality, "op6_bpe": op6_bpe, "op7_html": op7_html, "op8_pii": op8_pii, "op9_toxicity": op9_toxicity, "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
