@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embeddings, html_text, mixing, pii, quality, simhash, tokens, toxicity
+from . import bpe, embeddings, html_text, mixing, pii, quality, simhash, substring, tokens, toxicity
 
 #: The folder of public tokenizers is a package; its files are read where they lie.
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -18,6 +18,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that repeat fifty-word windows of earlier ones."""
+    found = substring.deduplicate(_table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Size, target and words taken of every document in the mix."""
     mixed = mixing.mix(_table(spark, sf_dir, "documents"))
@@ -85,7 +91,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_mixing": op2_mixing, "op3_token_counts": op3_token_counts, "op4_embeddings": op4_embeddings, "op5_quality": op5_quality, "op6_bpe": op6_bpe, "op7_html": op7_html, "op8_pii": op8_pii, "op9_toxicity": op9_toxicity, "op10_simhash": op10_simhash}
+    return {"op1_substring": op1_substring, "op2_mixing": op2_mixing, "op3_token_counts": op3_token_counts, "op4_embeddings": op4_embeddings, "op5_quality": op5_quality, "op6_bpe": op6_bpe, "op7_html": op7_html, "op8_pii": op8_pii, "op9_toxicity": op9_toxicity, "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
