@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,6 +25,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-"))
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder beside the checkpoints, where every executor can read what others wrote."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4()}"
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder and cut its lineage there."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .common import text_slices
 
 #: Labelled rows that a fit uses at most, taken by the hash of their id.
-MAX_LABELLED = 12_000
+MAX_LABELLED = 8_000
 #: Features per category, by the size of their association with it.
 MAX_FEATURES = 400
 FOLDS = 3
@@ -32,8 +32,8 @@ _CACHED = 400_000
 
 def features_of(word: str) -> list[int]:
     """Hashes of a lower-case word, or run of marks, and of its beginnings."""
-    found = [crc32(word.encode("utf-8", "replace"))]
-    return found + [crc32(f"{word[:k]}~".encode("utf-8", "replace")) for k in _PREFIXES if len(word) >= k]
+    forms = [word, *(f"{word[:k]}~" for k in _PREFIXES if len(word) >= k)]
+    return [crc32(f.encode("utf-8", "replace")) - (1 << 31) for f in forms]
 
 
 def document_features(text: str | None) -> set[int]:
@@ -89,7 +89,7 @@ def _associated(rows: list[np.ndarray], y: np.ndarray, most: int = MAX_FEATURES,
     same few least features (copies) count once."""
     kept = np.unique([hash(r[:6].tobytes()) ^ int(v) for r, v in zip(rows, y)], return_index=True)[1]
     rows, y = [rows[i] for i in kept], y[kept]
-    ids, where = np.unique(np.concatenate(rows) if rows else np.zeros(0, np.int64), return_inverse=True)
+    ids, where = np.unique(np.concatenate(rows) if rows else np.zeros(0, np.int32), return_inverse=True)
     total = np.bincount(where, minlength=len(ids)).astype(float)
     hits = np.bincount(where, weights=np.repeat(y, [len(r) for r in rows]), minlength=len(ids))
     p = y.mean()
@@ -110,7 +110,7 @@ def fit_chain(rows: list[np.ndarray], labels: dict[str, np.ndarray], fold: np.nd
     for name, y in labels.items():
         y = y.astype(np.float32)
         if not 0 < y.sum() < len(y):
-            chain.append(Link(name, np.zeros(0, np.int64), np.zeros(0, np.float32), np.zeros(before.shape[1], np.float32), -30.0))
+            chain.append(Link(name, np.zeros(0, np.int32), np.zeros(0, np.float32), np.zeros(before.shape[1], np.float32), -30.0))
             before = np.hstack([before, np.zeros((len(rows), 1), np.float32)])
             continue
         features = _associated(rows, y)
@@ -153,11 +153,11 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], id_
         for batch in batches:
             for part in text_slices(batch, "text"):
                 found = [sorted(document_features(t)) for t in part.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("y"), pa.array(found, pa.list_(pa.int64()))], ["id", "y", "x"])
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("y"), pa.array(found, pa.list_(pa.int32()))], ["id", "y", "x"])
 
     marks = F.array(*[F.coalesce(c.cast("int"), F.lit(0)) for c in categories.values()])
     table = joined.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), marks.alias("y")).mapInArrow(
-        run, "id long, y array<int>, x array<long>"
+        run, "id long, y array<int>, x array<int>"
     ).toArrow()
     order = pa.compute.sort_indices(table, [("id", "ascending")])
     table = table.take(order)
@@ -177,7 +177,7 @@ def score(docs: DataFrame, chain: list[Link], text_col: str = "text", prefix: st
     rest = docs.drop(*added)
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema.fields]
                        + [f"`{a}` double" for a in added[: len(chain)]] + [f"`{a}` boolean" for a in added[len(chain) :]])
-    union = np.unique(np.concatenate([c.features for c in chain])) if chain else np.zeros(0, np.int64)
+    union = np.unique(np.concatenate([c.features for c in chain])) if chain else np.zeros(0, np.int32)
     weights = np.zeros((len(union), len(chain)))
     for k, c in enumerate(chain):
         weights[np.searchsorted(union, c.features), k] = c.weights
