@@ -60,11 +60,10 @@ def present_at(presence: DataFrame, stop: int, keys: Sequence[str] = ("entry_key
 
 def changed_required(cells: DataFrame, start: int | None, stop: int, required: Sequence[str], keys: Sequence[str] = ("entry_key",)) -> DataFrame:
     """(entry_key, level) of entries with cells in the window: 1 if all required fields changed, 0 if
-    none, -1 if some. An entry with any required change is due for output."""
+    none, -1 if some; a field that vanished changed. An entry with any required change is due for output."""
     hit = F.count_distinct(F.when(F.col("field").isin(*required), F.col("field")))
     level = F.when(hit == 0, 0).when(hit == len(required), 1).otherwise(-1)
-    live = newest_cells(cells, start, stop, keys).where(~F.col("is_tombstone"))
-    return live.groupBy(*keys).agg(level.cast("int").alias("level"))
+    return in_window(cells, start, stop).groupBy(*keys).agg(level.cast("int").alias("level"))
 
 
 def incremental(cells: DataFrame, presence: DataFrame, start: int | None, stop: int, required: Sequence[str], complete: bool = False,

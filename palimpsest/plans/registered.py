@@ -133,7 +133,7 @@ def run_task_scope(spark, sf_dir):
     return filters.in_scope(rows, 1, 1)
 
 
-@query(f"""WITH {fx.VERSIONS_SQL}, asked AS (SELECT DISTINCT o_orderpriority AS collection, CAST(o_custkey % 5 AS VARCHAR) AS run_id, lpad(CAST(o_custkey % 3 AS VARCHAR), 4, '0') AS task_id FROM orders)
+@query(f"""WITH {fx.VERSIONS_SQL}, asked AS (SELECT DISTINCT o_orderpriority AS collection, CAST(o_custkey % 5 AS VARCHAR) AS run_id, lpad(CAST(o_custkey % 3 AS VARCHAR), 4, '0') AS task_id FROM orders),
 own AS (SELECT collection, run_id, task_id, max(version) AS v FROM versions GROUP BY ALL), shared AS (SELECT collection, max(version) AS s FROM versions GROUP BY ALL)
 SELECT q.collection, q.run_id, q.task_id, coalesce(v, s) AS version FROM asked q LEFT JOIN own USING (collection, run_id, task_id) LEFT JOIN shared USING (collection)""")
 def latest_version_fallback(spark, sf_dir):

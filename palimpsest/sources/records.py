@@ -22,7 +22,7 @@ def read_records_by_pattern(spark: SparkSession, path: str, start: str, stop: st
     part of it; a last record without an end is kept. A file is one row until it is cut, so this is
     for files that fit in a task; use :func:`read_records` for separators that are plain text.
     """
-    whole = spark.read.option("wholetext", True).text(path)
+    whole = spark.read.text(path, wholetext=True)
     return cut_by_pattern(whole.select(F.col("_metadata.file_path").alias("file"), "value"), start, stop)
 
 

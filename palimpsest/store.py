@@ -109,8 +109,7 @@ class Store:
         relative to what this put replaces. ``mode="union"`` keeps entries that only an earlier
         put of this version had.
         """
-        kind, run, task = FORMATS[format], run_id, None if task_id is None else f"{task_id:04d}"
-        scope = "_" if run is None else f"{run}_{task or ''}"
+        kind, (run, task, scope) = FORMATS[format], self._scope(run_id, task_id)
         if isinstance(release, str):
             release = kind.read(self.spark, release)
         own = self._slice(self.table("cells"), collection, scope)
@@ -121,7 +120,7 @@ class Store:
             release = release.unionByName(asof.state(own.join(earlier, "entry_key", "left_semi"), version).select("entry_key", "fields"))
         before = asof.state(own, version - 1).select("entry_key", "fields")
         slices = [self._cells(diff.changed_fields(before, release), collection, scope, run, task, version)]
-        following = [v for v in self.versions(collection, run or "", task or "") if v > version]
+        following = [v for v in self.versions(collection, run, task) if v > version]
         if following:
             after = following[0]
             touched = release.select("entry_key").union(own.where((F.col("version") == version) & F.col("entry_key").isNotNull()).select("entry_key")).distinct()
@@ -130,7 +129,7 @@ class Store:
             again = diff.changed_fields(base, then).select("entry_key", "field", "value", "is_tombstone").unionByName(self._only_tombstones(base, then))
             rest = own.where((F.col("version") == after) & F.col("entry_key").isNotNull()).join(touched, "entry_key", "left_anti")
             slices.append(self._cells(again.unionByName(rest.select("entry_key", "field", "value", "is_tombstone")), collection, scope, run, task, after))
-        present = release.select(F.lit(run).cast("string").alias("run_id"), F.lit(task).cast("string").alias("task_id"), "entry_key", *self._place(collection, scope, version))
+        present = release.select(F.lit(run).alias("run_id"), F.lit(task).alias("task_id"), "entry_key", *self._place(collection, scope, version))
         marker = self.spark.createDataFrame([(run, task, None, collection, scope, version)], SCHEMAS["presence"])
         changes = diff.entry_changes(asof.state(own.join(asof.present_at(seen, self._previous(collection, run, task, version)), "entry_key", "left_semi"), version - 1).select("entry_key", "fields"), release)
         found = counts.ingest_counters(changes).first().asDict()
@@ -139,8 +138,14 @@ class Store:
         self._register(collection, format, run, task, version, found["n_entries"])
         return found
 
-    def _previous(self, collection: str, run: str | None, task: str | None, version: int) -> int:
-        return max((v for v in self.versions(collection, run or "", task or "") if v < version), default=-1)
+    def _previous(self, collection: str, run: str, task: str, version: int) -> int:
+        return max((v for v in self.versions(collection, run, task) if v < version), default=-1)
+
+    @staticmethod
+    def _scope(run_id: str | None, task_id: int | None) -> tuple[str, str, str]:
+        """Run, four-digit task, and scope; empty and ``_`` for a shared collection."""
+        run, task = run_id or "", "" if task_id is None else f"{task_id:04d}"
+        return run, task, f"{run}_{task}" if run else "_"
 
     @staticmethod
     def _only_tombstones(base: DataFrame, then: DataFrame) -> DataFrame:
@@ -156,17 +161,17 @@ class Store:
     def _place(collection: str, scope: str, version: int) -> list:
         return [F.lit(collection).alias("collection"), F.lit(scope).alias("scope"), F.lit(version).cast("long").alias("version")]
 
-    def _cells(self, rows: DataFrame, collection: str, scope: str, run: str | None, task: str | None, version: int) -> DataFrame:
+    def _cells(self, rows: DataFrame, collection: str, scope: str, run: str, task: str, version: int) -> DataFrame:
         """A slice with its marker row, without which an empty slice would not replace an old one."""
-        cells = rows.select(F.lit(run).cast("string").alias("run_id"), F.lit(task).cast("string").alias("task_id"), "entry_key", "field", "value", "is_tombstone", *self._place(collection, scope, version))
+        cells = rows.select(F.lit(run).alias("run_id"), F.lit(task).alias("task_id"), "entry_key", "field", "value", "is_tombstone", *self._place(collection, scope, version))
         return cells.unionByName(self.spark.createDataFrame([(run, task, None, None, None, True, collection, scope, version)], SCHEMAS["cells"]))
 
-    def _register(self, collection: str, format: str, run: str | None, task: str | None, version: int, entries: int) -> None:
+    def _register(self, collection: str, format: str, run: str, task: str, version: int, entries: int) -> None:
         now = datetime.now(timezone.utc).replace(tzinfo=None)
         if self.table("collections").where(F.col("collection") == collection).isEmpty():
-            self._append("collections", (collection, format, run is None))
+            self._append("collections", (collection, format, run == ""))
         self._append("runs", (run, collection, "put", version, None, None, now))
-        self._append("versions", (collection, run or "", task or "", version, now, entries))
+        self._append("versions", (collection, run, task, version, now, entries))
 
     # get
 
@@ -244,13 +249,12 @@ class Store:
     def compact(self, collection: str, version: int, run_id: str | None = None, task_id: int | None = None) -> None:
         """Turn the slices up to ``version`` into one snapshot at it: later reads scan less history,
         earlier versions can no longer be told apart."""
-        task = None if task_id is None else f"{task_id:04d}"
-        scope = "_" if run_id is None else f"{run_id}_{task or ''}"
+        run, task, scope = self._scope(run_id, task_id)
         own = self._slice(self.table("cells"), collection, scope)
         newest = asof.newest_cells(own, None, version).where(~F.col("is_tombstone")).select("entry_key", "field", "value", "is_tombstone")
-        older = [v for v in self.versions(collection, run_id or "", task or "") if v < version]
+        older = [v for v in self.versions(collection, run, task) if v < version]
         empty = newest.limit(0)
-        self._swap("cells", [self._cells(newest, collection, scope, run_id, task, version), *[self._cells(empty, collection, scope, run_id, task, v) for v in older]])
+        self._swap("cells", [self._cells(newest, collection, scope, run, task, version), *[self._cells(empty, collection, scope, run, task, v) for v in older]])
 
     def drop(self, confirm: bool = False) -> None:
         """Delete all tables of the store; refuses without ``confirm``."""
