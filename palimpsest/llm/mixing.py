@@ -77,10 +77,11 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.
 
     mix_copies is floor(rate) plus a coin of the fraction's probability, seeded by the row's id and
     text, so that reruns agree and equal rows fall alike. Null texts have size 0, a null source is
-    a source. A source column of the same name elsewhere in the table is untouched. The source
-    table is broadcast only up to ``BROADCAST_SOURCES`` rows; beyond it the join is by shuffle,
+    a source; an empty table gives an empty table. Input columns of the added names are replaced.
+    The source table is broadcast only up to ``BROADCAST_SOURCES`` rows; beyond it the join is by shuffle,
     where adaptive execution splits a hot source.
     """
+    docs = docs.drop("mix_size", "mix_source_size", "mix_target", "mix_copies", "_mix_key")
     size = word_count(F.col(text_col))
     targets = cut(source_targets(docs.select(F.col(source_col).alias("source"), size.alias("size")), weights, share, most))
     targets = targets.select(
@@ -100,7 +101,8 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: each row of ``docs`` as many times as it is taken, with its own columns."""
-    taken = mix(docs, **options).where(F.col("mix_copies") > 0)
-    copies = F.explode(F.array_repeat(F.lit(0), F.col("mix_copies").cast("int")))
-    return taken.withColumn("_copy", copies).select(*docs.columns)
+    """The mix itself: each row of ``docs`` as many times as it is taken, with its own columns, whatever their names."""
+    names = {k: options.pop(f"{k}_col", default) for k, default in (("id", "doc_id"), ("text", "text"), ("source", "source"))}
+    packed = docs.select(F.struct("*").alias("row"), *[F.col(c).alias(k) for k, c in names.items()])
+    taken = mix(packed, id_col="id", text_col="text", source_col="source", **options).where(F.col("mix_copies") > 0)
+    return taken.withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("mix_copies").cast("int")))).select("row.*")

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .common import text_slices
 
 KINDS = ("email", "ip", "card", "phone")
-#: Documents that potentials are estimated from at most, taken by the hash of their id.
+#: Documents that potentials are estimated from, about, taken by the hash of their id.
 MAX_TRAINING = 5_000
 #: Log-odds against a token that every rule rejects; only evidence from other tokens outweighs it.
 REJECTED = 4.0
@@ -240,10 +240,11 @@ def added_spans(texts: list[str | None], spans: list[list[tuple[int, int, int]]]
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_docs: int = MAX_TRAINING) -> Field:
-    """Estimate potentials from the rules' labels in at most ``max_docs`` documents with a candidate.
+    """Estimate potentials from the rules' labels in a sample of about ``max_docs`` documents.
 
-    Tasks add up counts; a fixed number of sums per task reaches the driver. The sample is the
-    documents whose hashed id is below a bound set from the number of documents.
+    The sample is the documents whose hashed id is below a bound set from the number of documents.
+    Tasks add up counts; a fixed number of sums reaches the driver. Null ids and texts are allowed,
+    and an empty table gives the potentials of smoothing alone.
     """
     total = docs.count()
     share = min(1.0, max_docs / max(total, 1))

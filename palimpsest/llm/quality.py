@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .common import SPACE_CLASS, trimmed_words, word_count
 
+ADDED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "clean_text", "lost_share", "kept", "_words", "_lines", "_clean")
 SYMBOLS = "#*$%&|<>"
 ACCEPTED_END = r"[\p{L}\p{N}.!?:;,\"'’”)\]…]|^$"
 #: Phrases that mark a line as boilerplate, lower case.
@@ -101,8 +102,9 @@ def assess(docs: DataFrame, text_col: str = "text", max_lost: float = 0.3, min_w
     when it passes the base rules (``min_words``; at most ``max_repeat`` of the words in repeated
     windows of three), its lines that fail a rule hold at most ``max_lost`` of its word characters,
     and at most ``max_dup_lines`` of its lines with words repeat an earlier one (two always may).
-    Repeated rows are judged alike; input columns keep their names unless they clash with the added.
+    Repeated rows are judged alike. Input columns of the added names are replaced.
     """
+    docs = docs.drop(*ADDED)
     text = F.coalesce(F.col(text_col), F.lit(""))
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     words = lambda joined: F.when(joined == "", F.array().cast("array<string>")).otherwise(F.split(joined, " ", -1))

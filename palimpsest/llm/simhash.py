@@ -58,7 +58,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     A-Z is lower-cased; words are runs of non-space; shingles of ``shingle`` words, repeats
     included, are joined by a space and hashed by XXH64; a bit is set where over half the hashes
     have it. Fewer words than a shingle: the whole sequence is the only shingle. A null, empty or
-    blank text has fingerprint zero. Repeated rows and ids each give a row. Null ids are kept.
+    blank text has fingerprint zero. Repeated rows and ids each give a row. Ids are of any type that
+    can be ordered; null ids are kept.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -68,8 +69,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 found = np.fromiter((fingerprint(t or b"", shingle, seed) for t in texts), np.uint64, len(texts))
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(found.view(np.int64))], ["id", "fingerprint"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "id long, fingerprint long")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, fingerprint long")
 
 
 def variants(fp: Column, radius: int, n_bits: int = 64) -> Column:
