@@ -26,9 +26,17 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash class, that of least doc_id; of rows that share it, one."""
-    classes = simhash.near_duplicates(docs).where("kept").select(F.col("id").alias("doc_id")).distinct()
-    return docs.select(*COLUMNS).join(classes, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """One document of each SimHash class, that of least doc_id.
+
+    Rows are told apart by doc_id and text, so rows that share an id by mistake are separate
+    documents; a null doc_id counts as larger than any.
+    """
+    key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.xxhash64("text").alias("h"))
+    rows = docs.select(*COLUMNS, key.alias("key"))
+    classes = simhash.near_duplicates(rows, "key").where("kept").select(F.col("id").alias("key")).distinct()
+    return rows.withColumn("d", F.coalesce("doc_id", F.lit(-1))).withColumn("h", F.xxhash64("text")).join(
+        classes.select(F.coalesce("key.doc_id", F.lit(-1)).alias("d"), "key.h"), ["d", "h"], "left_semi"
+    ).dropDuplicates(["doc_id", "h"]).select(*COLUMNS)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
