@@ -217,7 +217,7 @@ def _write(node: Element, out: Layout, indent: str, pre: bool = False) -> None:
         elif tag in BLOCK:
             out.space() if tag in SPACED else out.end_line()
             _write(c, out, indent + "  " if tag in ("blockquote", "dd") else indent, pre)
-            if pre and out.run:
+            if (pre or tag == "pre") and out.run:
                 out.end_line(indent + "".join(out.run))
             out.space() if tag in SPACED else out.end_line()
         else:
