@@ -19,8 +19,9 @@ BROADCAST_SOURCES = 2000
 
 
 def coin(*cols: Column, seed: int) -> Column:
-    """A uniform number in [0, 1) that depends on the values and the seed alone."""
-    return F.shiftrightunsigned(F.xxhash64(*cols, F.lit(seed)), 11).cast("double") / F.lit(float(1 << 53))
+    """A uniform number in [0, 1) that depends on the values and the seed alone: 52 bits of an MD5."""
+    text = F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("")) for c in cols], F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
 def _ranked(sources: DataFrame) -> DataFrame:

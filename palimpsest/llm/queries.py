@@ -94,5 +94,64 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op1_substring": op1_substring, "op2_mixing": op2_mixing, "op3_token_counts": op3_token_counts, "op4_embeddings": op4_embeddings, "op5_quality": op5_quality, "op6_bpe": op6_bpe, "op7_html": op7_html, "op8_pii": op8_pii, "op9_toxicity": op9_toxicity, "op10_simhash": op10_simhash}
 
 
+_WORDS = r"regexp_extract_all(coalesce({}, ''), '[^\x20\x09-\x0D]+')"
+
+_OP1 = rf"""
+WITH w AS (SELECT doc_id, {_WORDS.format("text")} AS words FROM documents),
+p AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM w),
+g AS (SELECT doc_id, i, word, string_agg(word, ' ') OVER f AS gram, count(*) OVER f AS n FROM p WINDOW f AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING)),
+f AS (SELECT gram, min(doc_id) AS least FROM g WHERE n = 50 GROUP BY gram),
+h AS (SELECT g.doc_id, g.i, g.word, CASE WHEN g.n = 50 AND g.doc_id > f.least THEN 1 ELSE 0 END AS hit FROM g LEFT JOIN f ON f.gram = g.gram),
+c AS (SELECT doc_id, i, word, max(hit) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone FROM h),
+d AS (SELECT doc_id, sum(gone) AS gone, string_agg(word, ' ' ORDER BY i) FILTER (WHERE gone = 0) AS kept FROM c GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM w LEFT JOIN d ON d.doc_id = w.doc_id"""
+
+_OP2 = rf"""
+WITH RECURSIVE sized AS (SELECT doc_id, text, source, CAST(len({_WORDS.format("text")}) AS BIGINT) AS size FROM documents),
+sources AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
+ranked AS (SELECT *, CAST([5, 2, 1][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INT)] AS DOUBLE) AS weight, CAST(source_size * 2 AS DOUBLE) AS most FROM sources),
+rounds(k, level) AS (
+  SELECT 0, CAST(1.5 AS DOUBLE) * sum(source_size) / sum(weight) FROM ranked
+  UNION ALL
+  SELECT k + 1, greatest(0, CAST(1.5 AS DOUBLE) * sum(source_size) - sum(CASE WHEN weight * level < most THEN 0 ELSE most END)) / sum(CASE WHEN weight * level < most THEN weight END)
+  FROM rounds, ranked WHERE k < 40 GROUP BY k, level),
+last AS (SELECT arg_max(level, k) AS level FROM rounds WHERE level IS NOT NULL),
+targets AS (SELECT source, source_size, CASE WHEN weight * level < most THEN weight * level ELSE most END AS target FROM ranked, last),
+rated AS (SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
+  CAST(CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || '|' || coalesce(text, '') || '|17'), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496 AS coin
+  FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source)
+SELECT doc_id, size, source_size, target, CAST(size * (floor(rate) + CASE WHEN coin < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM rated"""
+
+_OP4 = """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings WHERE label IS NOT NULL AND len(embedding) > 0
+  AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0 AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x) WHERE list_cosine_similarity(a.x, b.x) >= 0.98),
+reach(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+n AS (SELECT a, count(*) AS n_links FROM links GROUP BY a), c AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept FROM embeddings JOIN c ON c.a = vec_id LEFT JOIN n ON n.a = vec_id"""
+
+_PHRASES = " OR ".join(f"contains(lower(line), '{p}')" for p in quality.BOILERPLATE)
+_OP5 = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {_WORDS.format("text")} AS words FROM documents),
+p AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM d),
+g AS (SELECT doc_id, i, word || ' ' || lead(word, 1) OVER o || ' ' || lead(word, 2) OVER o AS gram FROM p WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+t AS (SELECT doc_id, i, gram IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, gram) > 1 AS twice FROM g),
+c AS (SELECT doc_id, max(twice) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS covered FROM t),
+r AS (SELECT doc_id, count_if(covered) AS n_repeat_words FROM c GROUP BY doc_id),
+l AS (SELECT doc_id, line, {_WORDS.format("line")} AS ws, line AS whole FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)),
+j AS (SELECT doc_id, line, list_sum(list_transform(ws, lambda x: length(x))) AS chars, len(ws) AS n,
+  len(ws) > 0 AND ({_PHRASES} OR 3 * len(list_filter(ws, lambda x: regexp_full_match(x, '[|>/»•]+'))) > len(ws) OR 4 * len(list_filter(ws, lambda x: regexp_matches(x, '[#*$%&<>|]$'))) > len(ws)
+    OR 2 * len(list_filter(ws, lambda x: regexp_matches(x, '!!$'))) > len(ws)
+    OR len(ws) >= 3 AND NOT regexp_matches(right(rtrim(line, ' '), 1), '[\p{{L}}\p{{N}}.!?:;,"''’”)\]…]|^$')) AS bad FROM l),
+s AS (SELECT doc_id, count_if(n > 0) AS n_lines, count(DISTINCT CASE WHEN n > 0 THEN line END) AS n_distinct, coalesce(sum(CASE WHEN NOT bad THEN chars END), 0) AS clean FROM j GROUP BY doc_id),
+m AS (SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+  CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, n_lines, n_lines - n_distinct AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, clean
+  FROM d JOIN s ON s.doc_id = d.doc_id LEFT JOIN r ON r.doc_id = d.doc_id),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, CASE WHEN word_chars > 0 THEN 1 - CAST(clean AS DOUBLE) / word_chars ELSE 1 END AS lost FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND lost <= CAST(0.3 AS DOUBLE) AND (n_dup_lines <= 2 OR n_dup_lines <= CAST(0.3 AS DOUBLE) * n_lines) AS kept FROM b"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL for the operators that it can express; tests hold the others against brute force."""
+    return {"op1_substring": _OP1, "op2_mixing": _OP2, "op4_embeddings": _OP4, "op5_quality": _OP5}
