@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from .functions.text import cache_key
-from .operators import asof, counts, diff, filters, lineage
+from .functions.text import cache_key, path_suffix
+from .operators import asof, counts, diff, filters, lineage, manifest
 from .sources import sinks
 from .sources.formats import FORMATS, Format
 
@@ -173,6 +173,26 @@ class Store:
         self._append("runs", (run, collection, "put", version, None, None, now))
         self._append("versions", (collection, run, task, version, now, entries))
 
+    def put_raw(self, path: str, collection: str, version: int) -> int:
+        """Keep the files below ``path`` unparsed under a version, and return how many there are.
+
+        They are entries of a file collection: path, size and hash are its fields, so later versions
+        store only what changed.
+        """
+        files = manifest.from_folder(self.spark, path, version)
+        fields = F.create_map(F.lit("ID"), F.col("path"), F.lit("PATH"), F.col("path"), F.lit("HASH"), F.col("hash"), F.lit("SIZE"), F.col("size").cast("string"), F.lit("SUFFIX"), path_suffix(F.col("path")))
+        return self.put(files.select(F.col("path").alias("entry_key"), fields.alias("fields")), collection, version, "fullfile")["n_entries"]
+
+    def files(self, collection: str, stop: int | None = None) -> DataFrame:
+        """Manifest of a file collection as of a version: (path, size, hash, version, is_deleted)."""
+        cells, seen = (self.table(t).where((F.col("collection") == collection) & F.col("entry_key").isNotNull()) for t in ("cells", "presence"))
+        known = [v for v in self.versions(collection) if stop is None or v <= stop]
+        at = known[-1] if known else -1
+        of = lambda name: F.element_at("fields", F.lit(name))
+        here = asof.present_at(seen, at).withColumn("here", F.lit(True))
+        rows = asof.state(cells, at).join(here, "entry_key", "left")
+        return rows.select(of("PATH").alias("path"), of("SIZE").cast("long").alias("size"), of("HASH").alias("hash"), F.element_at("versions", F.lit("HASH")).alias("version"), F.col("here").isNull().alias("is_deleted"))
+
     # get
 
     def get(self, collection: str, start: int | None = None, stop: int | None = None, run_id: str | None = None, task_id: int | None = None,

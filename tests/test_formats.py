@@ -5,7 +5,8 @@ import gzip
 from pyspark.sql import functions as F
 
 from palimpsest.operators import filters, hits, lineage, manifest
-from palimpsest.sources import records, sinks
+from palimpsest.operators.counts import base_pairs
+from palimpsest.sources import files, records, sinks
 from palimpsest.sources.formats import FORMATS
 
 
@@ -112,3 +113,27 @@ def test_manifest(spark, tmp_path):
     known = spark.createDataFrame([("p", 1)], "path string, n int")
     new = spark.createDataFrame([("p", 2), ("q", 3)], "path string, n int")
     assert sorted(map(tuple, lineage.append_paths(known, new).collect())) == [("p", 1), ("q", 3)]
+
+
+def test_plain_files(spark, tmp_path):
+    (tmp_path / "seq/sub").mkdir(parents=True)
+    (tmp_path / "seq/a.fna").write_text(">x\nACG\nT\n>y\nGG\n")
+    (tmp_path / "seq/sub/b.fna").write_text(">z\nA\n")
+    (tmp_path / "seq/c.txt").write_text(">no\nA\n")
+    lines = files.read_sequence_lines(spark, str(tmp_path / "seq"))
+    got = {r.file and r.file.rsplit("/", 1)[1]: (r.base_pairs, r.contigs, r.files, r.mean_length) for r in base_pairs(lines).collect()}
+    assert got == {"a.fna": (6, 2, 1, 3), "b.fna": (1, 1, 1, 1), None: (7, 3, 2, 2)}
+    files.concatenate_sequences(spark, str(tmp_path / "seq"), str(tmp_path / "all"), single=True)
+    assert sum(p.read_text().count(">") for p in (tmp_path / "all").glob("part-*")) == 3
+    row = "q\ts\t90\t10\t1\t0\t1\t11\t1\t11\t0.1\t5"
+    (tmp_path / "hits.tsv").write_text(f"{row}\nbad\trow\n{row}\n")
+    hit_rows = files.read_hits(spark, str(tmp_path / "hits.tsv"))
+    assert [r.hsp_no for r in hits.islands(hit_rows, part=("file",)).orderBy("line_no").collect()] == [0, 1]
+    (tmp_path / "gone.txt").write_text("s\n\ns\n")
+    assert hits.correct(hit_rows, files.read_deleted(spark, str(tmp_path / "gone.txt")), F.lit(4), F.lit(2)).count() == 0
+    meta = spark.createDataFrame([("t", 2, 4, "FASTA", "x")], "table_name string, inc_entries long, full_entries long, type string, taxon string")
+    files.write_metadata(meta, str(tmp_path / "meta"))
+    back = {r.key: r.value for r in files.read_metadata(spark, str(tmp_path / "meta")).collect()}
+    assert back["FULL_ENTRIES"] == "4" and back["TABLE_NAME"] == "t"
+    chosen = spark.createDataFrame([("sub/b.fna",)], "path string")
+    assert [(r.path, r.size) for r in files.copy_files(chosen, str(tmp_path / "seq"), str(tmp_path / "copy")).collect()] == [("sub/b.fna", 5)]

@@ -91,3 +91,18 @@ def test_dropped_releases_are_put_once(spark, tmp_path):
     assert store.versions("drop") == [1, 2]
     assert state(store, "drop", 2) == {">a one": {"ID": ">a one", "SEQ": "ACGT"}, ">c": {"ID": ">c", "SEQ": "G"}}
     assert {r.entry_key for r in store.get("drop", start=1, stop=2).deleted.collect()} == {">b"}
+
+
+def test_raw_files(spark, tmp_path):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    (folder / "a.txt").write_text("one")
+    (folder / "b.txt").write_text("two")
+    store = Store(spark, str(tmp_path / "store"))
+    assert store.put_raw(str(folder), "raw", 1) == 2
+    (folder / "a.txt").write_text("changed")
+    (folder / "b.txt").unlink()
+    assert store.put_raw(str(folder), "raw", 2) == 1
+    now = {r.path.rsplit("/", 1)[1]: (r.size, r.version, r.is_deleted) for r in store.files("raw").collect()}
+    assert now == {"a.txt": (7, 2, False), "b.txt": (3, 1, True)}
+    assert store.files("raw", 1).where("is_deleted").count() == 0
