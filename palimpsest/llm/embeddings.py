@@ -72,7 +72,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
 
     Rows of equal, non-null label link at cosine >= ``threshold`` in double precision. Vectors that
     are null, empty, zero, or hold a null or non-finite component link with nothing, nor do vectors
-    of different length. Repeated rows link like other equal vectors. An empty table gives an empty
+    of different length, nor rows without an id. Repeated rows link like other equal vectors. An empty table gives an empty
     table; other columns are ignored.
 
     The least projection on a fixed direction orders a label's vectors; unit vectors within the
@@ -82,7 +82,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     rows = cut(
         vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).alias("label"), F.col(vector_col).cast("array<double>").alias("v"))
         .withColumn("usable", F.coalesce(
-            F.col("label").isNotNull() & (F.size(x) > 0) & F.exists(x, lambda c: c != 0)
+            F.col("id").isNotNull() & F.col("label").isNotNull() & (F.size(x) > 0) & F.exists(x, lambda c: c != 0)
             & F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf")))), F.lit(False)))
         .withColumn("key", F.when(F.col("usable"), F.sha2(F.concat_ws(",", F.col("label").cast("string"), F.transform(x, lambda c: c.cast("string"))), 256)))
     )
@@ -90,17 +90,16 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         F.min("id").alias("node"), F.count("*").alias("copies"), F.first("label").alias("label"), F.first("v").alias("v")
     )
     nodes = cut(_tiled(nodes, tile))
-    pairs = cut(_tile_pairs(nodes, threshold).transform(lambda p: _linked(nodes, p, threshold)))
-    both = pairs.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(pairs.select(F.col("b").alias("node"), F.col("a").alias("other")))
-    near = both.join(nodes.select(F.col("node").alias("other"), "copies"), "other").groupBy("node").agg(F.sum("copies").alias("near"))
-    classes = connected_components(pairs)
+    found = cut(_linked(nodes, _tile_pairs(nodes, threshold), threshold))
+    near = found.groupBy("node").agg(F.sum("near").alias("near"))
+    classes = connected_components(found.select("node", "root"))
     named = nodes.select("key", "node", "copies").join(near, "node", "left").join(classes, "node", "left").select(
         "key", (F.coalesce("near", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "node").alias("component_id")
     )
-    found = rows.select("id", "key").join(cut(named), "key", "left").select(
+    out = rows.select("id", "key").join(cut(named), "key", "left").select(
         "id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "id").alias("component_id")
     )
-    return found.withColumn("kept", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)))
+    return out.withColumn("kept", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)))
 
 
 def _tiled(nodes: DataFrame, tile: int) -> DataFrame:
@@ -126,18 +125,37 @@ def _tile_pairs(nodes: DataFrame, threshold: float) -> DataFrame:
     ).select("label", "length", F.col("part").alias("part_a"), "part_b")
 
 
+def local_roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The least reachable index of each of n nodes over the pairs (i, j)."""
+    root = np.arange(n)
+    while True:
+        least = np.minimum(root[i], root[j])
+        new = root.copy()
+        np.minimum.at(new, i, least)
+        np.minimum.at(new, j, least)
+        new = new[new]
+        if (new == root).all():
+            return root
+        root = new
+
+
 def _linked(nodes: DataFrame, tile_pairs: DataFrame, threshold: float) -> DataFrame:
-    """Links of each pair of tiles; a group is the rows of two tiles."""
+    """(node, near, root) of each pair of tiles: for a node with links there, how many vectors it
+    links with, copies counted, and the least node it reaches there. A group is the rows of two
+    tiles; it gives a row per node, not per link, so a dense group of near copies stays small."""
     sides = tile_pairs.select("label", "length", "part_a", "part_b", F.explode(F.when(
         F.col("part_a") == F.col("part_b"), F.array("part_a")).otherwise(F.array("part_a", "part_b"))).alias("part"))
-    work = nodes.select("label", "length", "part", "node", "v").join(sides, ["label", "length", "part"])
+    work = nodes.select("label", "length", "part", "node", "copies", "v").join(sides, ["label", "length", "part"])
 
     def run(table: pa.Table) -> pa.Table:
-        ids = table.column("node").to_numpy()
+        table = table.take(pa.compute.sort_indices(table, [("node", "ascending")]))
+        ids, copies, part = (table.column(c).to_numpy() for c in ("node", "copies", "part"))
         flat = table.column("v").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
-        part = table.column("part").to_numpy()
         a, b = table.column("part_a")[0].as_py(), table.column("part_b")[0].as_py()
-        x, y = tile_links(ids[part == a], flat[part == a], ids[part == b], flat[part == b], threshold, a == b)
-        return pa.table({"a": x, "b": y})
+        at = np.arange(len(ids))
+        i, j = tile_links(at[part == a], flat[part == a], at[part == b], flat[part == b], threshold, a == b)
+        near = np.bincount(i, copies[j], len(ids)) + np.bincount(j, copies[i], len(ids))
+        some = np.flatnonzero(near)
+        return pa.table({"node": ids[some], "near": near[some].astype(np.int64), "root": ids[local_roots(len(ids), i, j)[some]]})
 
-    return work.groupBy("label", "length", "part_a", "part_b").applyInArrow(run, "a long, b long")
+    return work.groupBy("label", "length", "part_a", "part_b").applyInArrow(run, "node long, near long, root long")
