@@ -20,14 +20,16 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import text_slices
+from .common import text_slices, tidy
 
 #: Words up to this many bytes contract one pair a round; longer ones all safe occurrences of it.
 SHORT = 32
 #: Distinct pieces remembered in a task; beyond it the memory is emptied and refilled.
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 #: Bytes of text encoded at once.
-ENCODE_BYTES = 4 << 20
+ENCODE_BYTES = 2 << 20
+#: Words that one recursive query contracts, which bounds its rows.
+QUERY_WORDS = 16_000
 
 _ONE_PAIR = """
 WITH RECURSIVE s(w, step, pos, tok) AS (
@@ -37,7 +39,7 @@ WITH RECURSIVE s(w, step, pos, tok) AS (
     least AS (
         SELECT w, min((m.rank::BIGINT << 20) | (pos << 10) | after_pos) AS hit
         FROM p JOIN merges m ON m.a = p.tok AND m.b = p.after GROUP BY w)
-    SELECT p.w, step + 1, pos, CASE WHEN pos = (hit >> 10) & 1023 THEN hit >> 20 ELSE tok END
+    SELECT p.w, step + 1, pos, CASE WHEN pos = (hit >> 10) & 1023 THEN (hit >> 20)::INT ELSE tok END
     FROM p JOIN least USING (w) WHERE pos <> (hit & 1023))
 )
 SELECT w, tok FROM s WHERE (w, step) IN (SELECT (w, max(step)) FROM s GROUP BY w) ORDER BY w, pos
@@ -53,7 +55,7 @@ WITH RECURSIVE s(w, step, pos, tok) AS (
     taken AS (
         SELECT w, i FROM (SELECT *, row_number() OVER (PARTITION BY w, i - k ORDER BY i) AS nth FROM hits)
         WHERE CASE WHEN safe THEN nth % 2 = 1 ELSE k = 1 END)
-    SELECT r.w, step + 1, pos, CASE WHEN t.i IS NULL THEN tok ELSE least END
+    SELECT r.w, step + 1, pos, CASE WHEN t.i IS NULL THEN tok ELSE least::INT END
     FROM ranked r LEFT JOIN taken t ON t.w = r.w AND t.i = r.i LEFT JOIN taken b ON b.w = r.w AND b.i = r.i - 1
     WHERE least IS NOT NULL AND b.i IS NULL)
 )
@@ -99,10 +101,10 @@ class Codec:
         self.first: dict[str, bytes] = {}
         self.spaced: dict[str, bytes] = {}
         self.folder = tempfile.mkdtemp(prefix="bpe-")
-        self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "400MB", "temp_directory": self.folder, "preserve_insertion_order": False})
+        self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "200MB", "temp_directory": self.folder, "preserve_insertion_order": False})
         self._table("merges", **merges)
         self._table("vocabulary", id=np.array([*ranks.values()], np.int64), hex=[t.hex() for t in ranks])
-        self.byte_ids = np.array([ranks.get(bytes([i]), -1) for i in range(256)], np.int64)
+        self.byte_ids = np.array([ranks.get(bytes([i]), -1) for i in range(256)], np.int32)
 
     def _table(self, name: str, **columns) -> None:
         rows = pa.table({k: pa.array(v) for k, v in columns.items()})
@@ -118,7 +120,8 @@ class Codec:
         lengths = np.array([len(w) for w in words], np.int64)
         starts = np.cumsum(lengths) - lengths
         raw = np.frombuffer(b"".join(words), np.uint8)
-        self._table("start", w=np.repeat(np.arange(len(words)), lengths), pos=np.arange(len(raw)) - np.repeat(starts, lengths), tok=self.byte_ids[raw])
+        place = np.arange(len(raw)) - np.repeat(starts, lengths)
+        self._table("start", w=np.repeat(np.arange(len(words), dtype=np.int32), lengths), pos=place.astype(np.int32), tok=self.byte_ids[raw])
         found = self.con.execute(query).fetchnumpy()
         ids = found["tok"].astype("<u4").tobytes()
         ends = np.searchsorted(found["w"], np.arange(len(words)), "right") * 4
@@ -134,8 +137,8 @@ class Codec:
             else:
                 rest[len(raw) <= SHORT].append((piece, raw))
         for short, query in ((True, _ONE_PAIR), (False, _ALL_PAIRS)):
-            if rest[short]:
-                keys, words = zip(*rest[short])
+            for a in range(0, len(rest[short]), QUERY_WORDS):
+                keys, words = zip(*rest[short][a : a + QUERY_WORDS])
                 self.pieces.update(zip(keys, self._contract(words, query)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -157,7 +160,7 @@ class Codec:
         counts = np.array([len(i) // 4 for i in ids], np.int64)
         starts = np.cumsum(counts) - counts
         flat = np.frombuffer(b"".join(ids), "<u4").astype(np.int64)
-        self.con.register("tokens", pa.table({"doc": np.repeat(np.arange(len(ids)), counts), "pos": np.arange(len(flat)) - np.repeat(starts, counts), "id": flat}))
+        self.con.register("tokens", pa.table({"doc": np.repeat(np.arange(len(ids)), counts), "pos": np.arange(len(flat)) - np.repeat(starts, counts), "id": flat.astype(np.int32)}))
         out = [b""] * len(ids)
         for doc, text in zip(*self.con.execute(_DECODE).fetchnumpy().values()):
             out[doc] = bytes(text)
@@ -196,7 +199,7 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str
         finally:
             codec.close()
 
-    return docs.select(*[f.name for f in schema], docs[text_col].alias("_text")).mapInArrow(run, kinds)
+    return docs.select(*[f.name for f in schema], docs[text_col].alias("_text")).mapInArrow(tidy(run), kinds)
 
 
 def decode(rows: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFrame:
@@ -214,4 +217,4 @@ def decode(rows: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFrame:
         finally:
             codec.close()
 
-    return rows.drop("decoded").mapInArrow(run, kinds)
+    return rows.drop("decoded").mapInArrow(tidy(run), kinds)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +39,30 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def dealt_anew(rows: DataFrame, key: str) -> DataFrame:
+    """``rows`` with the column ``dealt``, the key wrapped, to join an aggregation by its own key.
+
+    A join straight on the aggregation's key takes over its partitions, and then adaptive execution
+    cannot split a hot key of the other side; a join on the wrapped key deals both sides again.
+    """
+    return rows.withColumn("dealt", F.struct(key))
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for mapInArrow; afterwards what its task freed goes back to the system, as Spark keeps
+    the Python process for later stages."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+            if trim is not None:
+                trim(0)
+
+    return tidied
 
 
 def trimmed_words(text: Column) -> Column:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_slices
+from .common import text_slices, tidy
 
 #: Elements nest this deep; deeper ones become children of the last, and lose no text.
 DEPTH = 200
@@ -252,4 +252,4 @@ def extract_pages(pages: DataFrame, html_col: str = "html", text_col: str = "tex
                 found = [extract(h) for h in part.column(html_col).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.string())], [*part.schema.names, text_col])
 
-    return rest.mapInArrow(run, schema)
+    return rest.mapInArrow(tidy(run), schema)

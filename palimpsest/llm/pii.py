@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_slices
+from .common import text_slices, tidy
 
 KINDS = ("email", "ip", "card", "phone")
 #: Documents that potentials are estimated from, about, taken by the hash of their id.
@@ -261,7 +261,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_d
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(size, dtype=np.int32)), pa.array(counts)], ["at", "n"])
 
     counts = np.zeros(size)
-    for row in sample.mapInArrow(run, "at int, n double").groupBy("at").agg(F.sum("n").alias("n")).collect():
+    for row in sample.mapInArrow(tidy(run), "at int, n double").groupBy("at").agg(F.sum("n").alias("n")).collect():
         counts[row.at] = row.n
     return estimate(counts)
 
@@ -294,7 +294,7 @@ def find(docs: DataFrame, field: Field, text_col: str = "text", redacted: bool =
                 cells = [[{"kind": KINDS[k], "start": a, "end": b, "base": own} for a, b, k, own in s] for s in every]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(cells, _SPANS_ARROW)], [*part.schema.names, "pii"])
 
-    return rest.mapInArrow(run, schema)
+    return rest.mapInArrow(tidy(run), schema)
 
 
 def redact(text: str, spans: list[tuple]) -> str:

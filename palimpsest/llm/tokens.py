@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import read_ranks
-from .common import text_bytes, text_slices
+from .common import text_bytes, text_slices, tidy
 
 RULES = ("first", "last", "most")
 
@@ -104,4 +104,4 @@ def count_sections(docs: DataFrame, ranks_path: str, pattern: str, id_col: str =
     wanted = [F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")]
     if bounds_col:
         wanted.append(F.col(bounds_col).cast("array<long>").alias("bounds"))
-    return docs.select(*wanted).mapInArrow(run, "id long, section long, start long, end long, n_tokens long, n_crossing long")
+    return docs.select(*wanted).mapInArrow(tidy(run), "id long, section long, start long, end long, n_tokens long, n_crossing long")

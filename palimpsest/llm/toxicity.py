@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_slices
+from .common import text_slices, tidy
 
 #: Labelled rows that a fit uses at most, taken by the hash of their id.
 MAX_LABELLED = 8_000
@@ -27,7 +27,7 @@ FOLDS = 3
 
 _WORD = re.compile(r"[^\W\d_]+|[^\w\s]+")
 _PREFIXES = (4, 5)
-_CACHED = 400_000
+_CACHED = 150_000
 
 
 def features_of(word: str) -> list[int]:
@@ -157,7 +157,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], id_
 
     marks = F.array(*[F.coalesce(c.cast("int"), F.lit(0)) for c in categories.values()])
     table = joined.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), marks.alias("y")).mapInArrow(
-        run, "id long, y array<int>, x array<int>"
+        tidy(run), "id long, y array<int>, x array<int>"
     ).toArrow()
     order = pa.compute.sort_indices(table, [("id", "ascending")])
     table = table.take(order)
@@ -203,7 +203,7 @@ def score(docs: DataFrame, chain: list[Link], text_col: str = "text", prefix: st
                 out = [pa.array(p[:, k]) for k in range(len(chain))] + [pa.array(p[:, k] >= c.threshold) for k, c in enumerate(chain)]
                 yield pa.RecordBatch.from_arrays([*part.columns, *out], [*part.schema.names, *added])
 
-    return rest.mapInArrow(run, schema)
+    return rest.mapInArrow(tidy(run), schema)
 
 
 def label_categories() -> dict[str, Column]:
