@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, dealt_anew
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -14,7 +14,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     ``edges`` has two columns of one orderable type, null nowhere; repeated edges and loops are
     harmless. Returns (node, component) for nodes with an edge to another node; an empty table
     gives an empty table. Each step is two aggregations and two joins over at most as many rows as
-    there are edges, so no neighbourhood is ever gathered; a hub is a skewed join key, which
+    there are edges, so no neighbourhood is ever gathered. A hub is a skewed join key, which
     adaptive execution splits. The table is cut after each round, and a round's count and checksum
     say when nothing changes any more.
     """
@@ -38,9 +38,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    least = dealt_anew(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "u").drop("u")
     return (
-        both.where(F.col("v") > F.col("u")).join(least, "u")
+        dealt_anew(both.where(F.col("v") > F.col("u")), "u").join(least, "dealt")
         .select(F.col("v").alias("u"), F.col("m").alias("v"))
         .distinct()
     )
@@ -48,5 +48,5 @@ def _large_star(edges: DataFrame) -> DataFrame:
 
 def _small_star(edges: DataFrame) -> DataFrame:
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = edges.join(least, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+    moved = dealt_anew(edges, "u").join(dealt_anew(least, "u").drop("u"), "dealt").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()

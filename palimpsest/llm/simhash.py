@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, text_slices
+from .common import cut, dealt_anew, text_slices, tidy
 from .components import connected_components
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -70,7 +70,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(found.view(np.int64))], ["id", "fingerprint"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, fingerprint long")
+    return rows.mapInArrow(tidy(run), f"id {rows.schema['id'].dataType.simpleString()}, fingerprint long")
 
 
 def variants(fp: Column, radius: int, n_bits: int = 64) -> Column:
@@ -111,7 +111,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = connected_components(links(nodes.select("fingerprint"), radius)).withColumnRenamed("node", "fingerprint")
     grouped = cut(nodes.join(classes, "fingerprint", "left").withColumn("component", F.coalesce("component", "fingerprint")))
     least = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = cut(grouped.join(least, "component").select("fingerprint", "component_id"))
+    named = cut(dealt_anew(grouped, "component").join(dealt_anew(least, "component").drop("component"), "dealt").select("fingerprint", "component_id"))
     return marked.join(named, "fingerprint").select(
         "id", "fingerprint", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept")
     )
