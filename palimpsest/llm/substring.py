@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, span_hashes, text_bytes, text_slices, word_hashes, word_spans
+from .common import cut, dealt_anew, span_hashes, text_bytes, text_slices, tidy, word_hashes, word_spans
 
 WINDOW = 50
 PREFIX = 10
@@ -70,7 +70,7 @@ def _anchors(docs: DataFrame, window: int, prefix: int) -> DataFrame:
                 to = pa.array(found.row)
                 yield pa.RecordBatch.from_arrays([pa.array(found.prefix), part.column("id").take(to), part.column("h").take(to)], ["prefix", "id", "h"])
 
-    return docs.mapInArrow(run, "prefix long, id long, h long")
+    return docs.mapInArrow(tidy(run), "prefix long, id long, h long")
 
 
 def _suffixes(marked: DataFrame, window: int, prefix: int, column: str, whole: bool) -> DataFrame:
@@ -102,7 +102,7 @@ def _suffixes(marked: DataFrame, window: int, prefix: int, column: str, whole: b
                     yield pa.RecordBatch.from_arrays(
                         [*ids, pa.array(key), pa.array(anchor - low), pa.array(text, pa.binary())], ["id", "h", "start", "prefix", "before", "words"])
 
-    return marked.mapInArrow(run, "id long, h long, start long, " + ("digest binary" if whole else "prefix long, before long, words binary"))
+    return marked.mapInArrow(tidy(run), "id long, h long, start long, " + ("digest binary" if whole else "prefix long, before long, words binary"))
 
 
 def _nodes(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -195,8 +195,8 @@ def repeats(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX, most: i
     )
     if sums.long:
         windows = _suffixes(marked.select("id", "h", "text", "long"), window, prefix, "long", True)
-        least = windows.groupBy("digest").agg(F.min("id").alias("low"))
-        hits = windows.join(least, "digest").where(F.col("id") > F.col("low"))
+        least = dealt_anew(windows.groupBy("digest").agg(F.min("id").alias("low")), "digest").drop("digest")
+        hits = dealt_anew(windows, "digest").join(least, "dealt").where(F.col("id") > F.col("low"))
         found = found.unionByName(hits.select("id", "h", "start", (F.col("start") + window).alias("end")))
     return found
 
@@ -236,4 +236,4 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     [part.column("own"), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
                     ["id", "n_words", "n_removed", "kept_text"])
 
-    return joined.mapInArrow(run, "id long, n_words long, n_removed long, kept_text string")
+    return joined.mapInArrow(tidy(run), "id long, n_words long, n_removed long, kept_text string")
