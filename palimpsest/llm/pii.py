@@ -3,7 +3,8 @@
 Rules find e-mail addresses, IP addresses, card and phone numbers. Tokens that hold a digit or an
 at-sign are the nodes of a random field per document: neighbouring nodes share chain potentials,
 and distant nodes with the same digits or mailbox share skip potentials. Loopy message passing
-carries what the rules are sure of to repeated and similar tokens that no rule matches.
+carries what the rules are sure of to repeated and similar tokens that no rule matches. All nodes
+of a key are linked to one that a rule labels, so distance and number of repeats do not matter.
 """
 
 from __future__ import annotations
@@ -24,7 +25,11 @@ KINDS = ("email", "ip", "card", "phone")
 MAX_TRAINING = 5_000
 #: Log-odds against a token that every rule rejects; only evidence from other tokens outweighs it.
 REJECTED = 4.0
-ROUNDS = 8
+#: Message passing ends, per document, when no message moves by more than SETTLED, or after ROUNDS.
+ROUNDS = 200
+SETTLED = 1e-7
+#: Log-odds against other labels than the rule's; more than any number of repeats can send.
+FIXED = -1e9
 
 _LOCAL, _DOMAIN = re.compile(r"[A-Za-z0-9._%+-]+\Z"), re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -34,6 +39,8 @@ _CARD = re.compile(r"[0-9]([ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _ANY, _DIGIT = re.compile(r"[0-9@+]"), re.compile(r"[0-9]")
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
+#: A group of digits, without closing marks, as part of a number written in several tokens.
+_GROUP = re.compile(r"[(\[<\"']*(\+?)[(]?[0-9][0-9().-]*\Z")
 
 
 def luhn(digits: str) -> bool:
@@ -104,16 +111,88 @@ class Graph:
     features: np.ndarray
     chain: np.ndarray
     skip: np.ndarray
+    #: Pairs of nodes of one key in successive occurrences, whatever their labels; for statistics.
+    repeats: np.ndarray | None = None
+
+
+def _occurrences(tokens: list[tuple[int, int, str]]) -> Iterator[tuple[str, list[int], list[str]]]:
+    """(key, nodes, their digits) of each occurrence of a number or mailbox, the last node at its end.
+
+    ``tokens`` are (node, place, token). A token of five digits or a mailbox is an occurrence by
+    itself; a number in groups is one under its joined digits. Groups before belong to either.
+    """
+    run: list[tuple[int, str]] = []
+    last, open_ = -2, False
+    for at, (node, place, token) in enumerate(tokens):
+        core = token.rstrip(".,;:!?]>\"'")
+        group = _GROUP.match(core)
+        if not (group and open_ and place == last + 1) or group[1]:
+            run = []
+        digits = "".join(c for c in token if c in "0123456789")
+        if group:
+            run.append((node, digits))
+            del run[:-20]
+        last, open_ = place, bool(group) and core == token
+        follows = open_ and at + 1 < len(tokens) and tokens[at + 1][1] == place + 1 and (m := _GROUP.match(tokens[at + 1][2])) and not m[1]
+        own = skip_key(token)
+        members = run if group else [(node, digits)]
+        if own is not None:
+            yield own, [n for n, _ in members], [d for _, d in members]
+        if len(members) > 1 and len(digits) < 7 and not follows:
+            joined = "".join(d for _, d in members)[-7:]
+            if len(joined) >= 5 and joined != own:
+                yield joined, [n for n, _ in members], [d for _, d in members]
+
+
+def _alike(nodes: list[int], digits: list[str], other: list[str]) -> list[int]:
+    """The last node, and those before it whose digits both occurrences end with."""
+    own, whole = "".join(digits), "".join(other)
+    shared = 0
+    while shared < min(len(own), len(whole)) and own[-1 - shared] == whole[-1 - shared]:
+        shared += 1
+    out, left = nodes[-1:], shared - len(digits[-1])
+    for n, d in zip(nodes[-2::-1], digits[-2::-1]):
+        left -= len(d)
+        if left < 0:
+            break
+        out.append(n)
+    return out
+
+
+def _key_edges(tokens: list[tuple[int, int, str]], label: list[int]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+    """Skip edges and pairs for statistics within a document.
+
+    The nodes of a key that no rule labels are linked to one node of each label that the key has
+    (its longest number), so that what a rule found reaches every repeat in one step and is not
+    outvoted by the repeats; without any label, to the key's first. Edges are linear in the tokens.
+    """
+    keys: dict[str, list[tuple[list[int], list[str]]]] = {}
+    for key, nodes, digits in _occurrences(tokens):
+        keys.setdefault(key, []).append((nodes, digits))
+    skip: set[tuple[int, int]] = set()
+    repeats = []
+    for found in keys.values():
+        for (before, digits), (nodes, own) in zip(found, found[1:]):
+            repeats += [(before[-1], n) for n in _alike(nodes, own, digits)]
+        hubs: dict[int, tuple[list[int], list[str]]] = {}
+        for nodes, digits in found:
+            kind = label[nodes[-1]]
+            if kind and (kind not in hubs or sum(map(len, digits)) > sum(map(len, hubs[kind][1]))):
+                hubs[kind] = (nodes, digits)
+        for hub, whole in hubs.values() or found[:1]:
+            for nodes, digits in found:
+                skip.update((hub[-1], n) for n in _alike(nodes, digits, whole) if not label[n] and n not in hub)
+    return sorted(skip), repeats
 
 
 def build_graph(texts: list[str | None], spans: list[list[tuple[int, int, int]]]) -> Graph:
-    """Edges join a node to the next token's node, and to the next node of the same key: their
-    number is at most twice that of the nodes, however often a token repeats."""
-    doc, start, end, label, features, chain, skip = [], [], [], [], [], [], []
+    """Edges join a node to the next token's node, and to a node of the same key (see _key_edges):
+    their number is linear in that of the nodes, however often a token repeats."""
+    doc, start, end, label, features, chain, skip, repeats = [], [], [], [], [], [], [], []
     for d, (text, known) in enumerate(zip(texts, spans)):
         if not text or not _ANY.search(text):
             continue
-        last: dict[str, int] = {}
+        tokens: list[tuple[int, int, str]] = []
         k, before = 0, -2
         for i, m in enumerate(_TOKEN.finditer(text)):
             token = m[0]
@@ -128,14 +207,13 @@ def build_graph(texts: list[str | None], spans: list[list[tuple[int, int, int]]]
             if before == i - 1:
                 chain.append((node - 1, node))
             before = i
-            key = skip_key(token)
-            if key is not None:
-                if key in last:
-                    skip.append((last[key], node))
-                last[key] = node
+            tokens.append((node, i, token))
+        edges, pairs_of_keys = _key_edges(tokens, label)
+        skip += edges
+        repeats += pairs_of_keys
     pairs = lambda e: np.array(e, np.int64).reshape(-1, 2)
     return Graph(np.array(doc, np.int64), np.array(start, np.int64), np.array(end, np.int64), np.array(label, np.int64),
-                 np.array(features, np.float64).reshape(len(doc), N_FEATURES), pairs(chain), pairs(skip))
+                 np.array(features, np.float64).reshape(len(doc), N_FEATURES), pairs(chain), pairs(skip), pairs(repeats))
 
 
 @dataclass
@@ -152,10 +230,10 @@ N_FEATURES = len(node_features(""))
 
 
 def statistics(graph: Graph) -> np.ndarray:
-    """Counts that potentials are estimated from: labels by feature, by chain edge, by skip edge."""
+    """Counts that potentials are estimated from: labels by feature, by chain edge, by pair of repeats."""
     hot = np.eye(N_LABELS)[graph.label]
     unary = graph.features.T @ hot
-    edges = [np.bincount(graph.label[e[:, 0]] * N_LABELS + graph.label[e[:, 1]], minlength=N_LABELS**2) for e in (graph.chain, graph.skip)]
+    edges = [np.bincount(graph.label[e[:, 0]] * N_LABELS + graph.label[e[:, 1]], minlength=N_LABELS**2) for e in (graph.chain, graph.repeats)]
     return np.concatenate([unary.ravel(), *edges]).astype(float)
 
 
@@ -186,7 +264,7 @@ def marginals(graph: Graph, field: Field, rounds: int = ROUNDS) -> np.ndarray:
     unary = graph.features @ field.unary
     unary[:, 1:] -= REJECTED
     fixed = graph.label > 0
-    unary[fixed] = np.where(np.eye(N_LABELS, dtype=bool)[graph.label[fixed]], 0, -50)
+    unary[fixed] = np.where(np.eye(N_LABELS, dtype=bool)[graph.label[fixed]], 0, FIXED)
     edges = np.concatenate([graph.chain, graph.skip])
     tables = np.concatenate([np.repeat(field.chain[None], len(graph.chain), 0), np.repeat(field.skip[None], len(graph.skip), 0)])
     src = np.concatenate([edges[:, 0], edges[:, 1]])
@@ -194,6 +272,7 @@ def marginals(graph: Graph, field: Field, rounds: int = ROUNDS) -> np.ndarray:
     tables = np.concatenate([tables, tables.transpose(0, 2, 1)])
     back = np.concatenate([np.arange(len(edges)) + len(edges), np.arange(len(edges))])
     messages = np.zeros((len(src), N_LABELS))
+    live, owner = np.arange(len(src)), graph.doc[src]
 
     def beliefs() -> np.ndarray:
         total = unary.copy()
@@ -201,11 +280,17 @@ def marginals(graph: Graph, field: Field, rounds: int = ROUNDS) -> np.ndarray:
             total[:, k] += np.bincount(dst, weights=messages[:, k], minlength=n)
         return total
 
-    for _ in range(rounds if len(src) else 0):
-        out = (beliefs()[src] - messages[back])[:, :, None] + tables
+    for _ in range(rounds):
+        if not len(live):
+            break
+        out = (beliefs()[src[live]] - messages[back[live]])[:, :, None] + tables[live]
         top = out.max(1, keepdims=True)
         new = np.log(np.exp(out - top).sum(1)) + top[:, 0]
-        messages = 0.5 * messages + 0.5 * (new - new.max(1, keepdims=True))
+        new = 0.5 * messages[live] + 0.5 * (new - new.max(1, keepdims=True))
+        busy = np.zeros(owner.max() + 1, bool)
+        busy[owner[live[np.abs(new - messages[live]).max(1) > SETTLED]]] = True
+        messages[live] = new
+        live = live[busy[owner[live]]]
     b = beliefs()
     p = np.exp(b - b.max(1, keepdims=True))
     return p / p.sum(1, keepdims=True)

@@ -209,6 +209,24 @@ def test_pii(spark, docs):
     assert out.text == "mail <EMAIL>, <EMAIL>" and [(s.kind, s.start, s.end) for s in out.pii] == [("email", 5, 14), ("email", 16, 23)]
 
 
+def test_pii_repeats_at_any_distance(docs):
+    field = pii.train(docs)
+    for first, again, extra in (
+        ("+1 (755) 555-9729", "555-9729", ""), ("+1 (755) 555-9729", "755 555 9729", ""), ("+1 755 555 9729", "755 555-9729", ""),
+        ("4242424242424242", "4242 4242 4242 4242", "7 "), ("4242-4242-4242-4242", "4242424242424242", "7 "), ("jo.doe@mail.org", "jo.doe@mail", ""),
+    ):
+        for lead in (True, False):
+            rest = [f"note w{i} says {extra}{again} x" for i in range(50)]
+            text = " ".join([f"Reach {first} now", *rest] if lead else [*rest, f"Reach {first} now"])
+            base = pii.base_spans(text)
+            more = [text[a:b] for a, b, _ in pii.added_spans([text], [base], field)[0]]
+            assert len(base) == 1 and len(more) == 50 and {m.replace(" ", "")[-7:] for m in more} == {again.replace(" ", "")[-7:]}, (first, again, more)
+    graph = pii.build_graph(["5559729 " + "w 5559729 " * 5000], [[(0, 7, 3)]])
+    assert len(graph.skip) == 5000 and len(graph.repeats) == 5000
+    plain = "Rows 12 of 1999 and 3 500 100 or 3 500 100, then 3 500 100."
+    assert pii.added_spans([plain], [pii.base_spans(plain)], field) == [[]]
+
+
 def test_message_passing_is_exact_on_chains():
     rng = np.random.default_rng(8)
     n, k = 4, pii.N_LABELS
