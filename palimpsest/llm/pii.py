@@ -21,8 +21,6 @@ from pyspark.sql import functions as F
 from .common import text_slices, tidy
 
 KINDS = ("email", "ip", "card", "phone")
-#: Documents that potentials are estimated from, about, taken by the hash of their id.
-MAX_TRAINING = 5_000
 #: Log-odds against a token that every rule rejects; only evidence from other tokens outweighs it.
 REJECTED = 4.0
 #: Message passing ends, per document, when no message moves by more than SETTLED, or after ROUNDS.
@@ -325,16 +323,12 @@ def added_spans(texts: list[str | None], spans: list[list[tuple[int, int, int]]]
     return out
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_docs: int = MAX_TRAINING) -> Field:
-    """Estimate potentials from the rules' labels in a sample of about ``max_docs`` documents.
+def train(docs: DataFrame, text_col: str = "text") -> Field:
+    """Estimate potentials from the rules' labels in all documents.
 
-    The sample is the documents whose hashed id is below a bound set from the number of documents.
-    Tasks add up counts; a fixed number of sums reaches the driver. Null ids and texts are allowed,
-    and an empty table gives the potentials of smoothing alone.
+    Tasks add up counts; a fixed number of sums reaches the driver. Null texts are allowed, and an
+    empty table gives the potentials of smoothing alone.
     """
-    total = docs.count()
-    share = min(1.0, max_docs / max(total, 1))
-    sample = docs.where(F.pmod(F.xxhash64(id_col), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).select(F.col(text_col).alias("text"))
     size = len(statistics(build_graph([], [])))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -346,7 +340,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_d
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(size, dtype=np.int32)), pa.array(counts)], ["at", "n"])
 
     counts = np.zeros(size)
-    for row in sample.mapInArrow(tidy(run), "at int, n double").groupBy("at").agg(F.sum("n").alias("n")).collect():
+    for row in docs.select(F.col(text_col).alias("text")).mapInArrow(tidy(run), "at int, n double").groupBy("at").agg(F.sum("n").alias("n")).collect():
         counts[row.at] = row.n
     return estimate(counts)
 

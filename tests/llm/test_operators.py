@@ -227,6 +227,13 @@ def test_pii_repeats_at_any_distance(docs):
     assert pii.added_spans([plain], [pii.base_spans(plain)], field) == [[]]
 
 
+def test_pii_counts_all_documents(spark):
+    texts = [f"call +1 (755) 555-{i:04d} or 555-{i:04d}" if i % 3 else f"card 4242424242424242 row {i}" for i in range(12_000)]
+    field = pii.train(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string"))
+    whole = pii.estimate(pii.statistics(pii.build_graph(texts, [pii.base_spans(t) for t in texts])))
+    assert np.allclose(field.unary, whole.unary) and np.allclose(field.chain, whole.chain) and np.allclose(field.skip, whole.skip)
+
+
 def test_message_passing_is_exact_on_chains():
     rng = np.random.default_rng(8)
     n, k = 4, pii.N_LABELS
