@@ -8,7 +8,7 @@ and table cells aligned in columns.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Generator, Iterable, Iterator
 from html import unescape
 
 import pyarrow as pa
@@ -17,8 +17,6 @@ from pyspark.sql import functions as F
 
 from .common import text_slices, tidy
 
-#: Elements nest this deep; deeper ones become children of the last, and lose no text.
-DEPTH = 200
 # Fixed values of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp noembed noframes iframe".split())
@@ -69,15 +67,18 @@ def parse(html: str) -> Element:
     """The tree of a page. Unclosed elements end with their parents; a stray end tag is ignored."""
     root = Element("html")
     stack, at = [root], 0
+    where: dict[str, list[int]] = {}  # places of the open elements by tag, so that no search walks a deep stack
+
+    def nearest(tags: Iterable[str]) -> int:
+        return max((where[t][-1] for t in tags if where.get(t)), default=0)
+
+    def cut(place: int) -> None:
+        while len(stack) > place:
+            where[stack.pop().tag].pop()
 
     def close(names: set[str], stop: set[str]) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k].tag in stop:
-                return
-            if stack[k].tag in names:
-                del stack[k:]
-                close(names, stop)
-                return
+        while (place := nearest(names)) > nearest(stop):
+            cut(place)
 
     while at < len(html):
         m = _TOKEN.search(html, at)
@@ -93,12 +94,9 @@ def parse(html: str) -> Element:
                 continue
             if tag == "br":
                 stack[-1].children.append(Element("br"))
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
-                if stack[k].tag in ("td", "th", "table") and tag not in ("table", "tr", "tbody", "thead", "tfoot"):
-                    break
+            place = nearest((tag,))
+            if place and (tag in ("table", "tr", "tbody", "thead", "tfoot") or place >= nearest(("td", "th", "table"))):
+                cut(place)
         elif m[2]:
             tag, attributes = m[2].lower(), _attributes(m[3])
             if tag in CLOSES:
@@ -116,18 +114,25 @@ def parse(html: str) -> Element:
                 end = re.compile(rf"</{tag}\s*/?>|\Z", re.I).search(html, at)
                 node.children.append(unescape(html[at : end.start()]) if tag in ("textarea", "title") else html[at : end.start()])
                 at = end.end()
-            elif tag not in VOID and len(stack) < DEPTH:
+            elif tag not in VOID:
+                where.setdefault(tag, []).append(len(stack))
                 stack.append(node)
     return root
 
 
 class Layout:
-    """Lines under way: text runs join with single blanks, blocks begin lines, spaced blocks leave a blank line."""
+    """Lines under way: text runs join with single blanks, blocks begin lines, spaced blocks leave a blank line.
+
+    Open list items each put their mark before their first line and blanks before the others; there
+    are no blank lines in them.
+    """
 
     def __init__(self):
         self.lines: list[str] = []
         self.run: list[str] = []
         self.gap = False
+        self.marks: list[str] = []
+        self.begun, self.blanks = 0, 0  # items that have a line, and the width of their marks
 
     def text(self, text: str) -> None:
         self.run.append(text)
@@ -135,43 +140,103 @@ class Layout:
     def end_line(self, given: str | None = None) -> None:
         line = _BLANKS.sub(" ", "".join(self.run)).strip(" ") if given is None else given.rstrip()
         self.run = []
-        if line or given is not None and self.lines and not self.gap:
+        if line or given is not None and not self.marks and self.lines and not self.gap:
             self.add(line)
 
     def add(self, line: str) -> None:
-        if self.gap and self.lines:
+        if self.gap and self.lines and not self.marks:
+            self.lines.append("")
+        self.gap = False
+        new = self.marks[self.begun :]
+        self.lines.append("".join([" " * self.blanks, *new, line]))
+        self.blanks += sum(map(len, new))
+        self.begun = len(self.marks)
+
+    def begin_item(self, mark: str) -> None:
+        """An item after the line under way; a gap before it is kept for the outermost's first line."""
+        if self.gap and self.lines and not self.marks:
             self.lines.append("")
         self.gap = False
-        self.lines.append(line)
+        self.marks.append(mark)
+
+    def end_item(self) -> None:
+        self.end_line()
+        if self.begun < len(self.marks):
+            self.add("")
+        self.begun -= 1
+        self.blanks -= len(self.marks.pop())
+        self.gap = False
 
     def space(self) -> None:
         self.end_line()
         self.gap = True
 
 
-def _rows(table: Element) -> list[list[str]]:
+#: A step of the renderer: it yields further steps instead of calling them, and gets their results.
+Step = Generator["Step", "str | None", "str | None"]
+
+
+def _run(step: Step) -> str | None:
+    """Run a step and those it yields on a stack of its own, so that trees of any depth are rendered."""
+    stack, result = [step], None
+    while stack:
+        try:
+            stack.append(stack[-1].send(result))
+            result = None
+        except StopIteration as done:
+            stack.pop()
+            result = done.value
+    return result
+
+
+def _rows(table: Element) -> list[list[Element]]:
+    rows: list[list[Element]] = []
+    todo = [iter(table.children)]
+    while todo:
+        c = next(todo[-1], None)
+        if c is None:
+            todo.pop()
+        elif isinstance(c, Element) and not c.hidden:
+            if c.tag == "tr":
+                rows.append([x for x in c.children if isinstance(x, Element) and not x.hidden and x.tag in ("td", "th")])
+            elif c.tag in ("thead", "tbody", "tfoot"):
+                todo.append(iter(c.children))
+    return rows
+
+
+def _table(table: Element, out: Layout, indent: int) -> Step:
+    out.space()
     rows: list[list[str]] = []
-
-    def walk(node: Element) -> None:
-        for c in node.children:
-            if isinstance(c, Element) and not c.hidden:
-                if c.tag == "tr":
-                    rows.append([" ".join(render(x).split()) for x in c.children if isinstance(x, Element) and not x.hidden and x.tag in ("td", "th")])
-                elif c.tag in ("thead", "tbody", "tfoot"):
-                    walk(c)
-
-    walk(table)
-    return [r for r in rows if any(r)]
+    for cells in _rows(table):
+        rows.append([])
+        for x in cells:
+            rows[-1].append(" ".join((yield _render(x)).split()))
+    rows = [r for r in rows if any(r)]
+    for x in table.children:  # captions and anything outside the rows
+        if isinstance(x, Element) and not x.hidden and x.tag == "caption":
+            yield _write(x, out, indent)
+            out.end_line()
+        elif isinstance(x, str) and x.strip():
+            out.text(x)
+        elif isinstance(x, Element) and not x.hidden and x.tag not in ("thead", "tbody", "tfoot", "tr", "caption", "colgroup", "col"):
+            holder = Element("div")
+            holder.children.append(x)
+            yield _write(holder, out, indent)
+    out.end_line()
+    widths = [max((len(r[k]) for r in rows if len(r) > k), default=0) for k in range(max(map(len, rows), default=0))]
+    for r in rows:
+        out.add(" " * indent + "  ".join(cell.ljust(w) for cell, w in zip(r, widths)).rstrip())
+    out.space()
 
 
-def _write(node: Element, out: Layout, indent: str, pre: bool = False) -> None:
+def _write(node: Element, out: Layout, indent: int, pre: bool = False) -> Step:
     number, pre = node.start, pre or node.tag == "pre"
     for c in node.children:
         if isinstance(c, str):
             if pre:
                 *whole, rest = c.split("\n")
                 for line in whole:
-                    out.end_line(indent + "".join(out.run) + line)
+                    out.end_line(" " * indent + "".join(out.run) + line)
                 out.text(rest)
             else:
                 out.text(c)
@@ -182,56 +247,40 @@ def _write(node: Element, out: Layout, indent: str, pre: bool = False) -> None:
         if tag == "br":
             out.end_line()
         elif tag == "table":
-            out.space()
-            rows = _rows(c)
-            for x in c.children:  # captions and anything outside the rows
-                if isinstance(x, Element) and not x.hidden and x.tag == "caption":
-                    _write(x, out, indent)
-                    out.end_line()
-                elif isinstance(x, str) and x.strip():
-                    out.text(x)
-                elif isinstance(x, Element) and not x.hidden and x.tag not in ("thead", "tbody", "tfoot", "tr", "caption", "colgroup", "col"):
-                    holder = Element("div")
-                    holder.children.append(x)
-                    _write(holder, out, indent)
-            out.end_line()
-            widths = [max((len(r[k]) for r in rows if len(r) > k), default=0) for k in range(max(map(len, rows), default=0))]
-            for r in rows:
-                out.add(indent + "  ".join(cell.ljust(w) for cell, w in zip(r, widths)).rstrip())
-            out.space()
+            yield _table(c, out, indent)
         elif tag == "li":
             out.end_line()
-            mark = f"{number}. " if node.tag == "ol" else "- "
+            out.begin_item(" " * indent + (f"{number}. " if node.tag == "ol" else "- "))
             number += 1
-            inner = render(c)
-            lines = inner.split("\n") if inner else [""]
-            out.add(indent + mark + lines[0])
-            for line in lines[1:]:
-                if line:
-                    out.add(indent + " " * len(mark) + line)
+            yield _write(c, out, 0)
+            out.end_item()
         elif tag in ("ul", "ol", "menu", "dir"):
             nested = node.tag in ("li", "ul", "ol", "menu", "dir")
             out.end_line() if nested else out.space()
-            _write(c, out, indent)
+            yield _write(c, out, indent)
             out.end_line() if nested else out.space()
         elif tag in BLOCK:
             out.space() if tag in SPACED else out.end_line()
-            _write(c, out, indent + "  " if tag in ("blockquote", "dd") else indent, pre)
+            yield _write(c, out, indent + 2 if tag in ("blockquote", "dd") else indent, pre)
             if (pre or tag == "pre") and out.run:
-                out.end_line(indent + "".join(out.run))
+                out.end_line(" " * indent + "".join(out.run))
             out.space() if tag in SPACED else out.end_line()
-        else:
-            _write(c, out, indent, pre)
+        elif c.children:
+            yield _write(c, out, indent, pre)
 
 
-def render(node: Element) -> str:
-    """Visible text of a tree."""
+def _render(node: Element) -> Step:
     out = Layout()
-    _write(node, out, "")
+    yield _write(node, out, 0)
     out.end_line()
     return "\n".join(out.lines)
 
 
+def render(node: Element) -> str:
+    """Visible text of a tree."""
+    return _run(_render(node))
+
+
 def extract(html: str | None) -> str | None:
     """Visible text of a page; null for null, empty for a page without any."""
     return None if html is None else render(parse(html))

@@ -184,6 +184,18 @@ def test_html():
     assert html_text.extract("<div>" * 3000 + "deep").strip() == "deep"
 
 
+def test_html_at_any_depth():
+    page = "<div hidden>no</div><p style='display:none'>no</p>yes<ul><li>a<li>b</ul><table><tr><td>c<td>d</table><pre>x  y\n z</pre>"
+    seen = "yes\n\n- a\n- b\n\nc  d\n\nx  y\n z"
+    for tag, n in (("div", 250), ("b", 250), ("font", 50_000), ("div", 50_000), ("blockquote", 250)):
+        pad = " " * (2 * n if tag == "blockquote" else 0)
+        want = seen.replace("- ", pad + "- ").replace("c  d", pad + "c  d").replace("x  y", pad + "x  y").replace("\n z", f"\n{pad} z")
+        assert html_text.extract(f"<{tag}>" * n + page) == want, (tag, n)
+    assert html_text.extract("<b>" * 50_000 + "<p>t</i>" * 50_000).count("t") == 50_000
+    assert html_text.extract("<ul><li>x" * 300).split("\n")[-1] == "  " * 299 + "- x"
+    assert html_text.extract("<table><tr><td>" * 300 + "in") == "in"
+
+
 def brute_spans(t):
     found = [(*m.span(), 0) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
     found += [(*m.span(), 1) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(x) <= 255 for x in m[0].split("."))]
