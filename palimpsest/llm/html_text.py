@@ -20,12 +20,15 @@ from .common import text_slices, tidy
 # Fixed values of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp noembed noframes iframe".split())
-HIDDEN = frozenset("script style head title template noscript datalist iframe object svg math audio video canvas noembed noframes meta link".split())
+HIDDEN = frozenset("script style head title template noscript datalist iframe object svg audio video canvas noembed noframes meta link annotation annotation-xml".split())
 BLOCK = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer
 form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td
 tfoot th thead tr ul""".split())
 #: Blocks that a blank line sets apart.
 SPACED = frozenset("blockquote dl figure h1 h2 h3 h4 h5 h6 ol p pre table ul".split())
+#: Parts of a table that hold others, and all that make the elements around them part of its frame.
+SECTIONS = frozenset("thead tbody tfoot tr".split())
+PARTS = SECTIONS | {"td", "th", "caption"}
 #: An opening tag ends these open elements, up to the nearest element of the second set.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -114,7 +117,9 @@ def parse(html: str) -> Element:
                 end = re.compile(rf"</{tag}\s*/?>|\Z", re.I).search(html, at)
                 node.children.append(unescape(html[at : end.start()]) if tag in ("textarea", "title") else html[at : end.start()])
                 at = end.end()
-            elif tag not in VOID:
+            elif tag == "form" and stack[-1].tag in ("table", *SECTIONS):
+                continue  # by the HTML standard such a form holds nothing, so it hides nothing either
+            elif tag not in VOID and not (m[3].endswith("/") and nearest(("math",))):
                 where.setdefault(tag, []).append(len(stack))
                 stack.append(node)
     return root
@@ -189,40 +194,75 @@ def _run(step: Step) -> str | None:
     return result
 
 
-def _rows(table: Element) -> list[list[Element]]:
-    rows: list[list[Element]] = []
-    todo = [iter(table.children)]
+def _holders(table: Element) -> set[int]:
+    """Ids of the elements of a table that have rows, cells or captions of it inside."""
+    found: set[int] = set()
+    above: dict[int, Element] = {}
+    todo = [table]
     while todo:
-        c = next(todo[-1], None)
-        if c is None:
-            todo.pop()
-        elif isinstance(c, Element) and not c.hidden:
-            if c.tag == "tr":
-                rows.append([x for x in c.children if isinstance(x, Element) and not x.hidden and x.tag in ("td", "th")])
-            elif c.tag in ("thead", "tbody", "tfoot"):
-                todo.append(iter(c.children))
-    return rows
+        node = todo.pop()
+        for c in node.children:
+            if not isinstance(c, Element) or c.hidden or c.tag == "table":
+                continue
+            if c.tag in PARTS:
+                at: Element | None = node
+                while at is not None and id(at) not in found:
+                    found.add(id(at))
+                    at = above.get(id(at))
+            if c.tag not in ("td", "th", "caption"):
+                above[id(c)] = node
+                todo.append(c)
+    return found
 
 
 def _table(table: Element, out: Layout, indent: int) -> Step:
+    """Captions and all text outside cells as lines, then the rows, aligned.
+
+    A row or section that is left out is implied, and cells and rows are found through other
+    elements around them.
+    """
     out.space()
+    holders = _holders(table)
     rows: list[list[str]] = []
-    for cells in _rows(table):
-        rows.append([])
-        for x in cells:
-            rows[-1].append(" ".join((yield _render(x)).split()))
-    rows = [r for r in rows if any(r)]
-    for x in table.children:  # captions and anything outside the rows
-        if isinstance(x, Element) and not x.hidden and x.tag == "caption":
-            yield _write(x, out, indent)
+    row: list[str] | None = None
+    todo = [iter(table.children)]
+    ends = [False]
+    while todo:
+        c = next(todo[-1], None)
+        if c is None:
+            todo.pop()
+            if ends.pop():
+                out.end_line()
+                row = None
+        elif isinstance(c, str):
+            out.text(c)
+        elif c.hidden:
+            continue
+        elif c.tag in ("td", "th"):
+            out.end_line()
+            if row is None:
+                rows.append(row := [])
+            row.append(" ".join((yield _render(c)).split()))
+        elif c.tag == "caption":
             out.end_line()
-        elif isinstance(x, str) and x.strip():
-            out.text(x)
-        elif isinstance(x, Element) and not x.hidden and x.tag not in ("thead", "tbody", "tfoot", "tr", "caption", "colgroup", "col"):
+            yield _write(c, out, indent)
+            out.end_line()
+        elif c.tag in SECTIONS:
+            out.end_line()
+            row = None
+            if c.tag == "tr":
+                rows.append(row := [])
+            todo.append(iter(c.children))
+            ends.append(True)
+        elif id(c) in holders or c.tag == "colgroup":
+            todo.append(iter(c.children))
+            ends.append(False)
+        else:
             holder = Element("div")
-            holder.children.append(x)
+            holder.children.append(c)
             yield _write(holder, out, indent)
     out.end_line()
+    rows = [r for r in rows if any(r)]
     widths = [max((len(r[k]) for r in rows if len(r) > k), default=0) for k in range(max(map(len, rows), default=0))]
     for r in rows:
         out.add(" " * indent + "  ".join(cell.ljust(w) for cell, w in zip(r, widths)).rstrip())

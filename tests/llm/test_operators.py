@@ -184,6 +184,26 @@ def test_html():
     assert html_text.extract("<div>" * 3000 + "deep").strip() == "deep"
 
 
+def test_html_text_anywhere_in_tables():
+    cases = {
+        "<table><tr><form><td>x</td></form></tr></table>": "x",
+        "<table><tr>text</tr><tr><td>c</td></tr></table>": "text\nc",
+        "<table><tbody><td>x</td><td>y</td></tbody></table>": "x  y",
+        "<table><tbody><form><tr><td>a<td>b<tr><td>c</form></tbody></table>": "a  b\nc",
+        "<table><tr><td>a</td> mid <td>b</td></tr></table>": "mid\na  b",
+        "<table><td>a<td>b<tr><td>c</table>": "a  b\nc",
+        "<table><colgroup><col><tr><td>a<tr><td>b</table>": "a\nb",
+        "<table><tbody>one<p>two</p><tr><td>a</table>": "one\n\ntwo\n\na",
+        "<table><tbody><center><tr><td>a<td>b<tr><td>c</center></tbody></table>": "a  b\nc",
+        "<table><tr><font><b><td>a</b></font></td><td>b</table>": "a  b",
+        "<table><tr><table><tr><td>in</table><td>out</table>": "in\n\nout",
+        "<table><tr hidden>no<td>no</td></tr><form hidden><tr><td>yes</form><tr><td>so</table>": "yes\nso",
+        "a <math><mi>x</mi><mo>=</mo><mspace/><mn>2</mn><annotation encoding=t/><annotation>tex</annotation></math> b": "a x=2 b",
+    }
+    for html, text in cases.items():
+        assert html_text.extract(html) == text, html
+
+
 def test_html_at_any_depth():
     page = "<div hidden>no</div><p style='display:none'>no</p>yes<ul><li>a<li>b</ul><table><tr><td>c<td>d</table><pre>x  y\n z</pre>"
     seen = "yes\n\n- a\n- b\n\nc  d\n\nx  y\n z"
