@@ -67,11 +67,15 @@ class Store:
     def _append(self, name: str, *rows: tuple) -> None:
         self.spark.createDataFrame([*rows], SCHEMAS[name]).coalesce(1).write.mode("append").parquet(self._path(name))
 
-    def _swap(self, name: str, staged: list[DataFrame]) -> None:
-        """Write slices aside, then overwrite just their partitions."""
+    def _stage(self, name: str, slices: list[DataFrame]) -> str:
+        """Write slices aside."""
         folder = f"{self.root}/_staged/{uuid.uuid4()}"
-        for rows in staged:
+        for rows in slices:
             rows.select(*[f.split()[0] for f in SCHEMAS[name].split(", ")]).write.mode("append").parquet(folder)
+        return folder
+
+    def _swap(self, name: str, folder: str) -> None:
+        """Overwrite just the partitions of staged slices."""
         self.spark.read.schema(SCHEMAS[name]).parquet(folder).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
             "collection", "scope", "version"
         ).parquet(self._path(name))
@@ -133,8 +137,9 @@ class Store:
         marker = self.spark.createDataFrame([(run, task, None, collection, scope, version)], SCHEMAS["presence"])
         changes = diff.entry_changes(asof.state(own.join(asof.present_at(seen, self._previous(collection, run, task, version)), "entry_key", "left_semi"), version - 1).select("entry_key", "fields"), release)
         found = counts.ingest_counters(changes).first().asDict()
-        self._swap("cells", slices)
-        self._swap("presence", [present, marker])
+        staged = {"cells": self._stage("cells", slices), "presence": self._stage("presence", [present, marker])}  # a union reads what the swaps replace
+        for name, folder in staged.items():
+            self._swap(name, folder)
         self._register(collection, format, run, task, version, found["n_entries"])
         return found
 
@@ -235,32 +240,51 @@ class Store:
     def export(self, collection: str, path: str | None = None, split: int = 1, copy: bool = True, **options) -> tuple[GetResult, str]:
         """Get, keep the rendered result for reuse, record the run, and write it to ``path``.
 
-        An equal request is answered from the kept files; a copy whose digest is recorded for the
-        path already is not written again. ``copy=False`` writes nothing outside the store.
+        An equal request is answered from the kept files, unless a version up to ``stop`` was put
+        since or files are gone; a copy is not written again where the last one recorded for the
+        path has its digest and is there. ``copy=False`` writes nothing outside the store.
         """
         result = self.get(collection, **options)
         run = options.get("run_id")
         _, shared = self.collection(collection)
+        addendum = "_".join([f"{options.get('kind') or ''}{options.get('addendum') or ''}", options.get("predicate_scope") or "state", self._stamp(collection, result.stop)])
         asked = self.spark.range(1).select(cache_key(
-            *[F.lit(x) for x in (collection, result.start, result.stop, str(options.get("regex") or ""), f"{options.get('kind') or ''}{options.get('addendum') or ''}", split, run or "", str(options.get("task_id") or ""), shared)]).alias("k")).first().k
+            *[F.lit(x) for x in (collection, result.start, result.stop, str(options.get("regex") or ""), addendum, split, run or "", str(options.get("task_id") or ""), shared)]).alias("k")).first().k
         kept = self.table("materializations").where(F.col("cache_key") == asked).orderBy(F.desc("created_at")).first()
-        if kept is None:
+        if kept is None or not self._whole(kept.path, kept.digest):
             folder = f"{self.root}/results/{uuid.uuid4()}"
             sinks.split_sorted(result.existing.select("entry_key", "text"), split).write.parquet(folder)
             rows = self.spark.read.parquet(folder)
             now = datetime.now(timezone.utc).replace(tzinfo=None)
             self._append("materializations", (collection, asked, folder, sinks.result_digest(rows), now))
-            kept = self.table("materializations").where(F.col("cache_key") == asked).first()
+            kept = self.table("materializations").where((F.col("cache_key") == asked) & (F.col("path") == folder)).first()
         rows = self.spark.read.parquet(kept.path)
         now = datetime.now(timezone.utc).replace(tzinfo=None)
         if copy and path is not None:
-            done = self.table("materializations").where((F.col("path") == path) & (F.col("digest") == kept.digest))
-            if done.isEmpty():
+            done = self.table("materializations").where(F.col("path") == path).orderBy(F.desc("created_at")).first()
+            if done is None or done.digest != kept.digest or not self._exists(path):
                 sinks.write_text(rows, path)
                 self._append("materializations", (collection, f"{asked}:{path}", path, kept.digest, now))
         self._append("runs", (run, collection, "get", result.stop, path or kept.path, str(options.get("regex") or ""), now))
         return result, kept.path
 
+    def _stamp(self, collection: str, stop: int | None) -> str:
+        """What registrations the state as of ``stop`` rests on: their number and the newest one's time.
+
+        A put of any version up to ``stop``, again or as a back-fill, changes it.
+        """
+        known = self.table("versions").where((F.col("collection") == collection) & (F.col("version") <= F.lit(stop)))
+        row = known.agg(F.count("*").alias("n"), F.max(F.unix_micros("ingested_at")).alias("newest")).first()
+        return f"{row.n}_{row.newest or 0}"
+
+    def _exists(self, path: str) -> bool:
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return at.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(at)
+
+    def _whole(self, folder: str, digest: str) -> bool:
+        """Whether a kept result still has all its rows."""
+        return self._exists(folder) and sinks.result_digest(self.spark.read.schema("entry_key string, text string").parquet(folder)) == digest
+
     # upkeep
 
     def lineage(self, run_id: str) -> DataFrame:
@@ -274,7 +298,7 @@ class Store:
         newest = asof.newest_cells(own, None, version).where(~F.col("is_tombstone")).select("entry_key", "field", "value", "is_tombstone")
         older = [v for v in self.versions(collection, run, task) if v < version]
         empty = newest.limit(0)
-        self._swap("cells", [self._cells(newest, collection, scope, run, task, version), *[self._cells(empty, collection, scope, run, task, v) for v in older]])
+        self._swap("cells", self._stage("cells", [self._cells(newest, collection, scope, run, task, version), *[self._cells(empty, collection, scope, run, task, v) for v in older]]))
 
     def drop(self, confirm: bool = False) -> None:
         """Delete all tables of the store; refuses without ``confirm``."""

@@ -1,6 +1,8 @@
 """Puts and gets: property tests over release sequences, and the tutorial's scenario."""
 
 import random
+import shutil
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -72,6 +74,39 @@ def test_runs_windows_and_reuse(spark, tmp_path):
     assert store.table("cells").count() == 0
 
 
+def test_export_follows_what_was_put(spark, tmp_path):
+    store, out = Store(spark, str(tmp_path / "store")), f"{tmp_path}/out"
+    entry = lambda k, seq: {k: {"ID": f">{k}", "SEQ": seq}}
+
+    def exported(**options):
+        folder = store.export("c", start=1, stop=3, path=out, **options)[1]
+        kept = sorted(r.text for r in spark.read.parquet(folder).collect())
+        lines = sorted("\n".join(r.value for r in spark.read.text(out).collect()).split("\n"))
+        assert lines == sorted("\n".join(kept).split("\n"))
+        return kept, folder
+
+    store.put(release(spark, entry("a", "A")), "c", 3)
+    first, folder = exported()
+    assert first == [">a\nA"] and exported()[1] == folder
+    store.put(release(spark, entry("b", "C")), "c", 3, mode="union")  # a further part of the release
+    assert exported()[0] == [">a\nA", ">b\nC"]
+    store.put(release(spark, entry("a", "A")), "c", 3)  # put again
+    again, folder = exported()
+    assert again == first
+    store.put(release(spark, entry("a", "A")), "c", 2)  # back-fill
+    assert exported()[1] != folder
+    pair = [store.export("c", start=3, stop=3, regex={"ID": ".*"}, predicate_scope=scope)[1] for scope in ("state", "window")]
+    assert pair[0] != pair[1]
+    for gone in ("whole", "part"):
+        folder = exported()[1]
+        if gone == "whole":
+            shutil.rmtree(folder)
+        else:
+            [f.unlink() for f in Path(folder).glob("*part-*")]
+        redone, other = exported()
+        assert redone == first and other != folder
+
+
 def test_scopes_are_apart(spark, tmp_path):
     store = Store(spark, str(tmp_path))
     for run, seq in (("1", "A"), ("10", "C")):
