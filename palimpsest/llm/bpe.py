@@ -4,14 +4,16 @@ A task splits its texts into pieces, and encodes the distinct pieces it has not
 rows join the merge table, each word's leftmost pair of least rank is contracted, and the query
 recurs until no pair is left. Decoding joins token ids to their bytes and aggregates them in order.
 Texts never meet across rows, so there is no shuffle.
+
+Two exact properties keep this fast for words of any length. No merge crosses two neighbouring bytes
+that stand together in no token, so a word falls apart there into units. And where no pair with the
+made token ranks lower than it, leftmost contraction goes on with the other occurrences of the pair;
+words not done after some single contractions go on by rounds that take them all.
 """
 
 from __future__ import annotations
 
 import base64
-import re
-import shutil
-import tempfile
 from collections.abc import Iterator
 
 import duckdb
@@ -22,48 +24,56 @@ from pyspark.sql import DataFrame
 
 from .common import text_slices, tidy
 
-#: Words up to this many bytes contract one pair a round; longer ones all safe occurrences of it.
-SHORT = 32
-#: Distinct pieces remembered in a task; beyond it the memory is emptied and refilled.
-REMEMBERED = 300_000
 #: Bytes of text encoded at once.
-ENCODE_BYTES = 2 << 20
-#: Words that one recursive query contracts, which bounds its rows.
-QUERY_WORDS = 16_000
-
-_ONE_PAIR = """
-WITH RECURSIVE s(w, step, pos, tok) AS (
-    SELECT w, 0, pos, tok FROM start
+ENCODE_BYTES = 4 << 20
+#: Bytes of remembered pieces and ids, in each of two generations; the older one is dropped when the newer is full.
+REMEMBERED_BYTES = 24 << 20
+#: Rows that one recursive query starts from (a longer unit is taken alone), and all rows of its rounds.
+QUERY_ROWS, ROUND_ROWS = 300_000, 4_800_000
+#: DuckDB's memory in a task, in MB; a single very long unit or text gets more, by its length. Nothing is spilled.
+MEMORY_MB = 160
+
+#: The leftmost least pair of each word a round; rows know their neighbours, so that no round sorts.
+_CONTRACT_ONE = """
+WITH RECURSIVE s(w, step, pos, tok, before, after, after_tok, rank) AS (
+    SELECT w, 0, pos, tok, before, after, after_tok, rank FROM (
+        SELECT *, lag(pos) OVER word AS before, lead(pos) OVER word AS after, lead(tok) OVER word AS after_tok FROM start WINDOW word AS (PARTITION BY w ORDER BY pos)
+    ) LEFT JOIN merges m ON m.a = tok AND m.b = after_tok
   UNION ALL (
-    WITH p AS (SELECT *, lead(tok) OVER word AS after, lead(pos) OVER word AS after_pos FROM s WINDOW word AS (PARTITION BY w ORDER BY pos)),
-    least AS (
-        SELECT w, min((m.rank::BIGINT << 20) | (pos << 10) | after_pos) AS hit
-        FROM p JOIN merges m ON m.a = p.tok AND m.b = p.after GROUP BY w)
-    SELECT p.w, step + 1, pos, CASE WHEN pos = (hit >> 10) & 1023 THEN (hit >> 20)::INT ELSE tok END
-    FROM p JOIN least USING (w) WHERE pos <> (hit & 1023))
+    WITH least AS (SELECT w, min((rank::BIGINT << 42) | pos) AS hit FROM s WHERE rank IS NOT NULL AND step < {rounds} GROUP BY w),
+    pair AS (
+        SELECT s.w, (hit >> 42)::INT AS made, s.before AS head, s.pos AS gone, s.after, s.after_tok
+        FROM least l JOIN s ON s.w = l.w AND s.before = hit & ((1::BIGINT << 42) - 1)),
+    n AS (
+        SELECT s.w, step, s.pos, s.pos = head AS is_head, s.pos = head OR s.after = head AS changed, rank,
+            CASE WHEN is_head THEN made ELSE tok END AS tok, CASE WHEN s.before = gone THEN head ELSE s.before END AS before,
+            CASE WHEN is_head THEN p.after ELSE s.after END AS after, CASE WHEN is_head THEN p.after_tok WHEN s.after = head THEN made ELSE s.after_tok END AS after_tok
+        FROM s JOIN pair p ON p.w = s.w WHERE s.pos <> gone)
+    SELECT n.w, step + 1, pos, tok, before, after, after_tok, CASE WHEN changed THEN m.rank ELSE n.rank END
+    FROM n LEFT JOIN merges m ON m.a = CASE WHEN changed THEN n.tok END AND m.b = n.after_tok)
 )
-SELECT w, tok FROM s WHERE (w, step) IN (SELECT (w, max(step)) FROM s GROUP BY w) ORDER BY w, pos
+SELECT pos, tok, w, step = {rounds} AS more FROM s JOIN (SELECT w, max(step) AS step FROM s GROUP BY w) USING (w, step)
 """
-
-_ALL_PAIRS = """
+#: The same for all occurrences of the pair, by each token's number in its word.
+_CONTRACT_ALL = """
 WITH RECURSIVE s(w, step, pos, tok) AS (
     SELECT w, 0, pos, tok FROM start
   UNION ALL (
-    WITH p AS (SELECT *, row_number() OVER word AS i, lead(tok) OVER word AS after FROM s WINDOW word AS (PARTITION BY w ORDER BY pos)),
-    ranked AS (SELECT p.*, m.rank, m.safe, min(m.rank) OVER (PARTITION BY w) AS least FROM p LEFT JOIN merges m ON m.a = p.tok AND m.b = p.after),
-    hits AS (SELECT w, i, safe, row_number() OVER word AS k FROM ranked WHERE rank = least WINDOW word AS (PARTITION BY w ORDER BY i)),
-    taken AS (
-        SELECT w, i FROM (SELECT *, row_number() OVER (PARTITION BY w, i - k ORDER BY i) AS nth FROM hits)
-        WHERE CASE WHEN safe THEN nth % 2 = 1 ELSE k = 1 END)
-    SELECT r.w, step + 1, pos, CASE WHEN t.i IS NULL THEN tok ELSE least::INT END
-    FROM ranked r LEFT JOIN taken t ON t.w = r.w AND t.i = r.i LEFT JOIN taken b ON b.w = r.w AND b.i = r.i - 1
-    WHERE least IS NOT NULL AND b.i IS NULL)
+    WITH p AS (SELECT *, lead(tok) OVER word AS after, row_number() OVER word AS i FROM s WHERE step < {rounds} WINDOW word AS (PARTITION BY w ORDER BY pos)),
+    ranked AS (SELECT p.*, m.rank, m.safe FROM p LEFT JOIN merges m ON m.a = p.tok AND m.b = p.after),
+    least AS (SELECT w, min(rank) AS made FROM ranked WHERE rank IS NOT NULL GROUP BY w),
+    live AS (SELECT r.*, made FROM ranked r JOIN least USING (w)),
+    hits AS (SELECT w, i, made, safe, row_number() OVER (PARTITION BY w ORDER BY i) AS k FROM live WHERE rank = made),
+    runs AS (SELECT w, i - k AS run, min(i) AS low FROM hits GROUP BY w, run),
+    taken AS (SELECT h.w, i, made FROM hits h JOIN runs r ON r.w = h.w AND r.run = i - k WHERE (i - low) % 2 = 0 AND (safe OR k = 1)),
+    ends AS (SELECT w, i, made FROM taken UNION ALL SELECT w, i + 1, NULL FROM taken)
+    SELECT l.w, step + 1, pos, coalesce(e.made, tok) FROM live l LEFT JOIN ends e ON e.w = l.w AND e.i = l.i WHERE e.w IS NULL OR e.made IS NOT NULL)
 )
-SELECT w, tok FROM s WHERE (w, step) IN (SELECT (w, max(step)) FROM s GROUP BY w) ORDER BY w, pos
+SELECT pos, tok, w, step = {rounds} AS more FROM s JOIN (SELECT w, max(step) AS step FROM s GROUP BY w) USING (w, step)
 """
 
 _DECODE = """
-SELECT doc, unhex(string_agg(v.hex, '' ORDER BY pos)) AS bytes FROM tokens JOIN vocabulary v USING (id) GROUP BY doc
+SELECT doc, string_agg(v.latin, '' ORDER BY pos) AS bytes FROM tokens JOIN vocabulary v USING (id) GROUP BY doc
 """
 
 
@@ -74,36 +84,37 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 def merge_table(ranks: dict[bytes, int]) -> dict[str, np.ndarray]:
-    """Every pair of tokens that makes a token: a, b, rank, and whether all its occurrences may
-    contract at once, as no pair with the made token has a lower rank."""
+    """Every pair of tokens that makes a token: a, b, rank, and whether a round may take all its
+    occurrences (safe), as no pair with the made token has a lower rank."""
     pairs = [(ranks[t[:i]], ranks[t[i:]], r) for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
-    a, b, rank = np.array(pairs, np.int64).reshape(-1, 3).T.copy()
-    least = np.full(max(ranks.values(), default=0) + 1, np.iinfo(np.int64).max)
+    a, b, rank = np.array(pairs, np.int32).reshape(-1, 3).T.copy()
+    least = np.full(max(ranks.values(), default=0) + 1, np.iinfo(np.int32).max)
     np.minimum.at(least, a, rank)
     np.minimum.at(least, b, rank)
     return {"a": a, "b": b, "rank": rank, "safe": least[rank] > rank}
 
 
-#: A space between two characters that are no space always begins a piece of the patterns used here.
-_SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
-_ODD_SPACE = re.compile(r"\s\s|\A\s|\s\Z")
+def neighbours(ranks: dict[bytes, int]) -> np.ndarray:
+    """Which two bytes stand together in some token."""
+    beside = np.zeros((256, 256), bool)
+    for token in ranks:
+        raw = np.frombuffer(token, np.uint8)
+        beside[raw[:-1], raw[1:]] = True
+    return beside
 
 
 class Codec:
-    """The DuckDB tables of one vocabulary, and what a task has encoded.
-
-    Texts are cut at single spaces into chunks; a chunk met before costs a look-up.
-    """
+    """The DuckDB tables of one vocabulary, and what a task has encoded."""
 
     def __init__(self, ranks: dict[bytes, int], merges: dict[str, np.ndarray], pattern: str):
-        self.ranks, self.find = ranks, regex.compile(pattern).findall
-        self.pieces: dict[str, bytes] = {}
-        self.first: dict[str, bytes] = {}
-        self.spaced: dict[str, bytes] = {}
-        self.folder = tempfile.mkdtemp(prefix="bpe-")
-        self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "200MB", "temp_directory": self.folder, "preserve_insertion_order": False})
+        self.ranks, self.pattern = ranks, regex.compile(pattern)
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.held = 0
+        self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": f"{MEMORY_MB}MB", "temp_directory": "", "preserve_insertion_order": False})
         self._table("merges", **merges)
-        self._table("vocabulary", id=np.array([*ranks.values()], np.int64), hex=[t.hex() for t in ranks])
+        self._table("vocabulary", id=np.array([*ranks.values()], np.int32), latin=[t.decode("latin-1") for t in ranks])
+        self.beside = neighbours(ranks)
         self.byte_ids = np.array([ranks.get(bytes([i]), -1) for i in range(256)], np.int32)
 
     def _table(self, name: str, **columns) -> None:
@@ -114,57 +125,111 @@ class Codec:
 
     def close(self) -> None:
         self.con.close()
-        shutil.rmtree(self.folder, ignore_errors=True)
 
-    def _contract(self, words: list[bytes], query: str) -> list[bytes]:
+    def _ask(self, query: str, size: int) -> dict[str, np.ndarray]:
+        """The query's columns; DuckDB may use more memory for it where ``size`` rows of one unit or text need it."""
+        needed = size * 1000 >> 20
+        if needed > MEMORY_MB:
+            self.con.execute(f"SET memory_limit = '{needed}MB'")
+        try:
+            return self.con.execute(query).fetchnumpy()
+        finally:
+            if needed > MEMORY_MB:
+                self.con.execute(f"SET memory_limit = '{MEMORY_MB}MB'")
+
+    def contract(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word as little-endian unsigned 32-bit integers."""
         lengths = np.array([len(w) for w in words], np.int64)
         starts = np.cumsum(lengths) - lengths
         raw = np.frombuffer(b"".join(words), np.uint8)
-        place = np.arange(len(raw)) - np.repeat(starts, lengths)
-        self._table("start", w=np.repeat(np.arange(len(words), dtype=np.int32), lengths), pos=place.astype(np.int32), tok=self.byte_ids[raw])
-        found = self.con.execute(query).fetchnumpy()
-        ids = found["tok"].astype("<u4").tobytes()
-        ends = np.searchsorted(found["w"], np.arange(len(words)), "right") * 4
-        return [ids[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
-
-    def _learn(self, pieces: set[str]) -> None:
-        """Encode the pieces not known yet; a piece that is a token is that token."""
-        rest: dict[bool, list[tuple[str, bytes]]] = {True: [], False: []}
-        for piece in [p for p in pieces if p not in self.pieces]:
-            raw = piece.encode()
-            if raw in self.ranks:
-                self.pieces[piece] = self.ranks[raw].to_bytes(4, "little")
-            else:
-                rest[len(raw) <= SHORT].append((piece, raw))
-        for short, query in ((True, _ONE_PAIR), (False, _ALL_PAIRS)):
-            for a in range(0, len(rest[short]), QUERY_WORDS):
-                keys, words = zip(*rest[short][a : a + QUERY_WORDS])
-                self.pieces.update(zip(keys, self._contract(words, query)))
+        new = np.ones(len(raw), bool)
+        new[1:] = ~self.beside[raw[:-1], raw[1:]]
+        new[starts[lengths > 0]] = True
+        unit = (np.cumsum(new) - 1).astype(np.int32)
+        size = np.bincount(unit)[unit]
+        token = self.byte_ids[raw]
+        place = np.flatnonzero(size > 1)
+        token[place] = -1
+        state = [unit[place], place.astype(np.int32), self.byte_ids[raw[place]]]
+        query = _CONTRACT_ONE
+        while len(state[0]):
+            first = np.flatnonzero(np.diff(state[0], prepend=-1))  # of each unit
+            batch = first // QUERY_ROWS
+            cuts = [*first[np.flatnonzero(np.diff(batch, prepend=-1))].tolist(), len(state[0])]
+            left = []
+            for a, b in zip(cuts, cuts[1:]):
+                self._table("start", w=state[0][a:b], pos=state[1][a:b], tok=state[2][a:b])
+                rounds = max(1, min(16, ROUND_ROWS // (b - a)))
+                found = self._ask(query.format(rounds=rounds), b - a)
+                more = np.asarray(found["more"], bool)
+                token[found["pos"][~more]] = found["tok"][~more]
+                order = np.argsort(found["pos"][more])
+                left.append([found[c][more][order] for c in ("w", "pos", "tok")])
+            state = [np.concatenate(c) for c in zip(*left)]
+            query = _CONTRACT_ALL
+        alive = token >= 0
+        ids = token[alive].astype("<u4").tobytes()
+        ends = np.append(0, np.cumsum(alive))[np.append(starts, len(raw))] * 4
+        return [ids[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+
+    def _ids(self, pieces: list[str]) -> list[bytes]:
+        """Ids of distinct pieces; a piece that is a token is that token, others are remembered."""
+        if self.held > REMEMBERED_BYTES:
+            self.known, self.older, self.held = {}, self.known, 0
+        out, unmet = [], []
+        for k, piece in enumerate(pieces):
+            found = self.known.get(piece)
+            if found is None:
+                rank = self.ranks.get(piece.encode())
+                if rank is not None:
+                    found = rank.to_bytes(4, "little")
+                elif (found := self.older.get(piece)) is not None:
+                    self._keep(piece, found)
+                else:
+                    unmet.append(k)
+            out.append(found)
+        if unmet:
+            for k, ids in zip(unmet, self.contract([pieces[k].encode() for k in unmet])):
+                out[k] = ids
+                self._keep(pieces[k], ids)
+        return out
+
+    def _keep(self, piece: str, ids: bytes) -> None:
+        self.known[piece] = ids
+        self.held += 2 * len(piece) + len(ids) + 180  # two objects and a slot
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        for known in (self.pieces, self.first, self.spaced):
-            if len(known) > REMEMBERED:
-                known.clear()
-        chunks = [_SAFE_SPACE.split(t) if _ODD_SPACE.search(t) else t.split(" ") for t in texts]
-        begin = {c[0] for c in chunks if c[0] not in self.first}
-        later = {p for p in set().union(*(c[1:] for c in chunks)) if p not in self.spaced}
-        found = {(part, space): self.find(space + part) for space, parts in (("", begin), (" ", later)) for part in parts}
-        self._learn({p for pieces in found.values() for p in pieces})
-        for (part, space), pieces in found.items():
-            (self.spaced if space else self.first)[part] = b"".join([self.pieces[p] for p in pieces])
-        return [b"".join([self.first[c[0]], *map(self.spaced.__getitem__, c[1:])]) for c in chunks]
+        find = self.pattern.findall if not self.pattern.groups else lambda t: [m[0] for m in self.pattern.finditer(t)]
+        pieces, counts = [], []
+        for text in texts:
+            found = find(text)
+            pieces += found
+            counts.append(len(found))
+        coded = pa.array(pieces, pa.large_string()).dictionary_encode()
+        del pieces
+        ids = self._ids(coded.dictionary.to_pylist())
+        size = np.array([len(i) // 4 for i in ids], np.int64)
+        flat, start = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(size) - size
+        codes = coded.indices.to_numpy()
+        times = size[codes]
+        ends = np.append(0, np.cumsum(times))
+        tokens = flat[np.repeat(start[codes] - ends[:-1], times) + np.arange(ends[-1])].tobytes()
+        cuts = (ends[np.append(0, np.cumsum(counts, dtype=np.int64))] * 4).tolist()
+        return [tokens[a:b] for a, b in zip(cuts, cuts[1:])]
 
     def decode(self, ids: list[bytes]) -> list[bytes]:
         """The bytes of each row of ids."""
         counts = np.array([len(i) // 4 for i in ids], np.int64)
         starts = np.cumsum(counts) - counts
-        flat = np.frombuffer(b"".join(ids), "<u4").astype(np.int64)
-        self.con.register("tokens", pa.table({"doc": np.repeat(np.arange(len(ids)), counts), "pos": np.arange(len(flat)) - np.repeat(starts, counts), "id": flat.astype(np.int32)}))
+        flat = np.frombuffer(b"".join(ids), "<u4").astype(np.int32)
+        rows = {"doc": np.repeat(np.arange(len(ids)), counts), "pos": np.arange(len(flat)) - np.repeat(starts, counts), "id": flat}
+        self.con.register("tokens", pa.table(rows))
         out = [b""] * len(ids)
-        for doc, text in zip(*self.con.execute(_DECODE).fetchnumpy().values()):
-            out[doc] = bytes(text)
+        found = self._ask(_DECODE, len(flat) // 8)
         self.con.unregister("tokens")
+        for doc, text in zip(found["doc"].tolist(), found["bytes"]):
+            out[doc] = text.encode("latin-1")
         return out
 
 

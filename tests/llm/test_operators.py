@@ -165,7 +165,36 @@ def test_bpe(spark, docs, texts):
     ids = codec.encode(odd)
     assert [np.frombuffer(i, "<u4").tolist() for i in ids] == [coder.encode_ordinary(t) for t in odd]
     assert codec.decode(ids) == [t.encode() for t in odd]
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    words = ["".join(rng.choice(letters) for _ in range(200_000)), "x" * 200_001, "".join(re.findall("[a-z]+", " ".join(texts.values())))[:8_000], "ÿ" * 50_000]
+    ids = codec.encode(words)
+    assert [np.frombuffer(i, "<u4").tolist() for i in ids] == [coder.encode_ordinary(t) for t in words]
+    assert codec.decode(ids) == [t.encode() for t in words]
     codec.close()
+    other = bpe.Codec(ranks, bpe.merge_table(ranks), r"\S+ \S+|\S+|(\s)")
+    coder = tiktoken.Encoding("own", pat_str=r"\S+ \S+|\S+|\s", mergeable_ranks=ranks, special_tokens={})
+    assert [np.frombuffer(i, "<u4").tolist() for i in other.encode(odd[:100])] == [coder.encode_ordinary(t) for t in odd[:100]]
+    other.close()
+
+
+def plain_bpe(word, ranks):
+    tokens = [bytes([b]) for b in word]
+    while pairs := [(ranks[x + y], i) for i, (x, y) in enumerate(zip(tokens, tokens[1:])) if x + y in ranks]:
+        i = min(pairs)[1]
+        tokens[i : i + 2] = [tokens[i] + tokens[i + 1]]
+    return [ranks[t] for t in tokens]
+
+
+def test_bpe_untrained_vocabularies():
+    rng = random.Random(9)
+    for _ in range(12):
+        tokens = [b"a", b"b", b"c"] + list({bytes(rng.choice(b"abc") for _ in range(rng.randrange(2, 5))) for _ in range(rng.randrange(2, 25))})
+        rng.shuffle(tokens)
+        ranks = {t: i for i, t in enumerate(tokens)}
+        words = [bytes(rng.choice(b"abc"[: rng.randrange(1, 4)]) for _ in range(rng.randrange(1, 60))) for _ in range(150)]
+        codec = bpe.Codec(ranks, bpe.merge_table(ranks), r"\S+")
+        assert [np.frombuffer(i, "<u4").tolist() for i in codec.contract(words)] == [plain_bpe(w, ranks) for w in words]
+        codec.close()
 
 
 def test_html():
