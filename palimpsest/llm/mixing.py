@@ -1,7 +1,9 @@
 """Mixing sources to target weights by repetition rates.
 
 Words are summed per source, a target per source gives its rate (target / size), and each document
-is emitted floor(rate) times plus once more when its hash-seeded coin falls under the fraction.
+is emitted floor(rate) times plus once more when its hash-seeded coin falls under the fraction. Each
+source tries a fixed number of seeds, and its coins are those of the seed whose taken words come
+nearest to its target.
 """
 
 from __future__ import annotations
@@ -18,10 +20,20 @@ from .common import cut, word_count
 BROADCAST_SOURCES = 2000
 
 
-def coin(*cols: Column, seed: int) -> Column:
-    """A uniform number in [0, 1) that depends on the values and the seed alone: 52 bits of an MD5."""
-    text = F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("")) for c in cols], F.lit(str(seed)))
-    return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
+#: Seeds that each source tries.
+SEEDS = 32
+
+
+def coins(*cols: Column, seed: int) -> tuple[Column, Column]:
+    """Two independent 48-bit numbers that depend on the values and the seed alone, from an MD5."""
+    digest = F.md5(F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("")) for c in cols], F.lit(str(seed))))
+    number = lambda at: F.conv(F.substring(digest, at, 12), 16, 10).cast("long")
+    return number(1), number(13)
+
+
+def toss(first: Column, second: Column, k: Column | int) -> Column:
+    """The coin of seed ``k``: a uniform number in [0, 1), by double hashing."""
+    return F.pmod(first + (k if isinstance(k, Column) else F.lit(k)) * second, F.lit(1 << 48)).cast("double") / F.lit(float(1 << 48))
 
 
 def _ranked(sources: DataFrame) -> DataFrame:
@@ -72,32 +84,52 @@ def source_targets(sized: DataFrame, weights: Sequence[float] = (5, 2, 1), share
     return ranked.select("source", "source_size", target.alias("target"))
 
 
+def _small(table: DataFrame) -> DataFrame:
+    """``table``, marked for a broadcast where it has at most ``BROADCAST_SOURCES`` rows."""
+    return F.broadcast(table) if table.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES else table
+
+
+def _rate() -> Column:
+    return F.when(F.col("mix_source_size") > 0, F.col("mix_target") / F.col("mix_source_size")).otherwise(F.lit(0.0))
+
+
+def _with_seeds(targets: DataFrame, sized: DataFrame) -> DataFrame:
+    """``targets`` with mix_seed: of ``SEEDS`` seeds, the one whose extra copies of the rows ``sized``
+    (source, size, first, second) hold the words nearest to the fraction of all; the least on a tie.
+
+    One pass of sums per source, added up before the shuffle.
+    """
+    joined = sized.join(targets, F.col("source").eqNullSafe(F.col("_mix_key"))).withColumn("part", _rate() - F.floor(_rate()))
+    sums = [F.sum(F.when(toss(F.col("first"), F.col("second"), k) < F.col("part"), F.col("size")).otherwise(F.lit(0))).alias(f"s{k}") for k in range(SEEDS)]
+    won = joined.groupBy("_mix_key", "mix_source_size", "mix_target").agg(F.first("part").alias("part"), *sums)
+    off = F.array(*[F.abs(F.col(f"s{k}") - F.col("part") * F.col("mix_source_size")) for k in range(SEEDS)])
+    return won.select("_mix_key", "mix_source_size", "mix_target", (F.array_position(off, F.array_min(off)) - 1).alias("mix_seed"))
+
+
 def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 17,
         id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """All rows of ``docs`` with mix_size, mix_source_size, mix_target, mix_copies added.
 
     mix_copies is floor(rate) plus a coin of the fraction's probability, seeded by the row's id and
-    text, so that reruns agree and equal rows fall alike. Null texts have size 0, a null source is
-    a source; an empty table gives an empty table. Input columns of the added names are replaced.
-    The source table is broadcast only up to ``BROADCAST_SOURCES`` rows; beyond it the join is by shuffle,
-    where adaptive execution splits a hot source.
+    text and by the seed that its source took, so that reruns agree and equal rows fall alike. Null
+    texts have size 0, a null source is a source; an empty table gives an empty table. Input columns
+    of the added names are replaced. The source table is broadcast only up to ``BROADCAST_SOURCES``
+    rows; beyond it the join is by shuffle, where adaptive execution splits a hot source.
     """
-    docs = docs.drop("mix_size", "mix_source_size", "mix_target", "mix_copies", "_mix_key")
+    docs = docs.drop("mix_size", "mix_source_size", "mix_target", "mix_copies", "mix_seed", "_mix_key")
     size = word_count(F.col(text_col))
-    targets = cut(source_targets(docs.select(F.col(source_col).alias("source"), size.alias("size")), weights, share, most))
-    targets = targets.select(
+    first, second = coins(F.col(id_col), F.col(text_col), seed=seed)
+    sized = docs.select(F.col(source_col).alias("source"), size.alias("size"), first.alias("first"), second.alias("second"))
+    targets = cut(source_targets(sized.select("source", "size"), weights, share, most)).select(
         F.col("source").alias("_mix_key"), F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target")
     )
-    if targets.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
-        targets = F.broadcast(targets)
-    rate = F.when(F.col("mix_source_size") > 0, F.col("mix_target") / F.col("mix_source_size")).otherwise(F.lit(0.0))
-    whole = F.floor(rate)
-    extra = (coin(F.col(id_col), F.col(text_col), seed=seed) < rate - whole).cast("long")
+    targets = _small(cut(_with_seeds(_small(targets), sized)))
+    extra = (toss(first, second, F.col("mix_seed")) < _rate() - F.floor(_rate())).cast("long")
     return (
         docs.withColumn("mix_size", size)
         .join(targets, F.col(source_col).eqNullSafe(F.col("_mix_key")))
-        .withColumn("mix_copies", (whole + extra).cast("long"))
-        .drop("_mix_key")
+        .withColumn("mix_copies", (F.floor(_rate()) + extra).cast("long"))
+        .drop("_mix_key", "mix_seed")
     )
 
 

@@ -117,10 +117,15 @@ rounds(k, level) AS (
   FROM rounds, ranked WHERE k < 40 GROUP BY k, level),
 last AS (SELECT arg_max(level, k) AS level FROM rounds WHERE level IS NOT NULL),
 targets AS (SELECT source, source_size, CASE WHEN weight * level < most THEN weight * level ELSE most END AS target FROM ranked, last),
-rated AS (SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
-  CAST(CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || '|' || coalesce(text, '') || '|17'), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496 AS coin
-  FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source)
-SELECT doc_id, size, source_size, target, CAST(size * (floor(rate) + CASE WHEN coin < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM rated"""
+rated AS (SELECT sized.source, doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate, rate - floor(rate) AS part,
+  md5(coalesce(CAST(doc_id AS VARCHAR), '') || '|' || coalesce(text, '') || '|17') AS digest,
+  CAST('0x' || substr(digest, 1, 12) AS BIGINT) AS first, CAST('0x' || substr(digest, 13, 12) AS BIGINT) AS second
+  FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source),
+tried AS (SELECT source, k, abs(sum(CASE WHEN CAST((first + k * second) % 281474976710656 AS DOUBLE) / 281474976710656 < part THEN size ELSE 0 END) - any_value(part) * any_value(source_size)) AS off
+  FROM rated, range(32) AS seeds(k) GROUP BY source, k),
+chosen AS (SELECT source, min(k) AS k FROM tried t WHERE off = (SELECT min(off) FROM tried u WHERE u.source IS NOT DISTINCT FROM t.source) GROUP BY source)
+SELECT doc_id, size, source_size, target, CAST(size * (floor(rate) + CASE WHEN CAST((first + k * second) % 281474976710656 AS DOUBLE) / 281474976710656 < part THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM rated JOIN chosen ON rated.source IS NOT DISTINCT FROM chosen.source"""
 
 _OP4 = """
 WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings WHERE label IS NOT NULL AND len(embedding) > 0
