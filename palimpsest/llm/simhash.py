@@ -20,6 +20,9 @@ from pyspark.sql import functions as F
 from .common import cut, dealt_anew, text_slices, tidy
 from .components import connected_components
 
+#: Fingerprints whose balls one task emits: they are dealt anew before, as aggregation leaves them in few partitions.
+BALLS = 16_384
+
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -88,7 +91,8 @@ def links(distinct: DataFrame, radius: int = 2) -> DataFrame:
     ``distinct`` has each fingerprint once. An odd radius uses the larger half.
     """
     half = (radius + 1) // 2
-    balls = distinct.select(F.explode(variants(F.col("fingerprint"), half)).alias("variant"), "fingerprint")
+    parts = -(-distinct.count() // BALLS) or 1
+    balls = distinct.repartition(parts, "fingerprint").select(F.explode(variants(F.col("fingerprint"), half)).alias("variant"), "fingerprint")
     buckets = balls.groupBy("variant").agg(F.array_sort(F.collect_set("fingerprint")).alias("f")).where(F.size("f") > 1)
     pairs = (
         buckets.select("f", F.posexplode("f").alias("i", "a"))
