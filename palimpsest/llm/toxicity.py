@@ -21,8 +21,6 @@ from .common import text_slices, tidy
 
 #: Labelled rows that a fit uses at most, taken by the hash of their id.
 MAX_LABELLED = 8_000
-#: Features per category, by the size of their association with it.
-MAX_FEATURES = 400
 FOLDS = 3
 
 _WORD = re.compile(r"[^\W\d_]+|[^\w\s]+")
@@ -83,22 +81,23 @@ def _dense(rows: list[np.ndarray], features: np.ndarray) -> np.ndarray:
     return x
 
 
-def _associated(rows: list[np.ndarray], y: np.ndarray, most: int = MAX_FEATURES, chance: float = 0.05, purity: float = 0.6) -> np.ndarray:
+def _associated(rows: list[np.ndarray], y: np.ndarray, chance: float = 0.05, purity: float = 0.6) -> np.ndarray:
     """Features that speak for the category: of the rows with one, a share of ``purity`` at least is
     positive, and more than chance would give any of the features with as many rows. Rows with the
-    same few least features (copies) count once."""
-    kept = np.unique([hash(r[:6].tobytes()) ^ int(v) for r, v in zip(rows, y)], return_index=True)[1]
+    same features and label (copies) count once."""
+    kept = [*{(r.tobytes(), int(v)): i for i, (r, v) in enumerate(zip(rows, y))}.values()]
     rows, y = [rows[i] for i in kept], y[kept]
     ids, where = np.unique(np.concatenate(rows) if rows else np.zeros(0, np.int32), return_inverse=True)
     total = np.bincount(where, minlength=len(ids)).astype(float)
     hits = np.bincount(where, weights=np.repeat(y, [len(r) for r in rows]), minlength=len(ids))
-    p = y.mean()
+    p = y.mean() if len(y) else 0.0
+    if not 0 < p < 1:
+        return ids[:0]
     rate = np.clip(hits / np.maximum(total, 1), 1e-9, 1 - 1e-9)
     excess = total * (rate * np.log(rate / p) + (1 - rate) * np.log((1 - rate) / (1 - p)))  # minus the log of a bound on the tail
     alike = np.bincount(total.astype(np.int64))[total.astype(np.int64)]
     best = np.flatnonzero((rate > p) & ((hits + 0.5) / (total + 1) >= purity) & (excess > np.log(alike / chance)))
-    best = best[np.lexsort((ids[best], -excess[best]))][:most]
-    return np.sort(ids[best])
+    return ids[best]
 
 
 def fit_chain(rows: list[np.ndarray], labels: dict[str, np.ndarray], fold: np.ndarray, folds: int = FOLDS) -> list[Link]:
@@ -113,14 +112,17 @@ def fit_chain(rows: list[np.ndarray], labels: dict[str, np.ndarray], fold: np.nd
             chain.append(Link(name, np.zeros(0, np.int32), np.zeros(0, np.float32), np.zeros(before.shape[1], np.float32), -30.0))
             before = np.hstack([before, np.zeros((len(rows), 1), np.float32)])
             continue
-        features = _associated(rows, y)
-        x = np.hstack([_dense(rows, features), before])
         out = np.zeros(len(rows), np.float32)
-        for k in range(folds):
+        for k in range(folds):  # features are chosen, as weights are fitted, without the fold
             test = fold % folds == k
+            if not test.any():
+                continue
+            own = _associated([r for r, t in zip(rows, test) if not t], y[~test])
+            x = np.hstack([_dense(rows, own), before])
             w = _fit_linear(x[~test], y[~test])
             out[test] = _sigmoid(x[test] @ w[:-1] + w[-1])
-        w = _fit_linear(x, y)
+        features = _associated(rows, y)
+        w = _fit_linear(np.hstack([_dense(rows, features), before]), y)
         n = len(features)
         chain.append(Link(name, features, w[:n], w[n:-1], float(w[-1]), _threshold(out, y)))
         before = np.hstack([before, out[:, None]])
@@ -143,8 +145,8 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], id_
 
     ``categories`` maps names, in chain order, to 0/1 columns over ``labels`` joined with ``docs``;
     null counts as 0. The sample is the labels of least hashed id, so it is the same in every run;
-    only it is broadcast, and only its features reach the driver. Labels without a document, and
-    null ids, are ignored; of documents that share an id each counts.
+    only it is broadcast, and only features of ``max_labelled`` rows reach the driver. Labels without
+    a document, and null ids, are ignored; of documents that share an id each counts, up to the bound.
     """
     sample = labels.where(F.col(id_col).isNotNull()).orderBy(F.xxhash64(id_col), id_col).limit(max_labelled)
     joined = docs.join(F.broadcast(sample.dropDuplicates([id_col])), id_col)
@@ -158,7 +160,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], id_
     marks = F.array(*[F.coalesce(c.cast("int"), F.lit(0)) for c in categories.values()])
     table = joined.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), marks.alias("y")).mapInArrow(
         tidy(run), "id long, y array<int>, x array<int>"
-    ).toArrow()
+    ).orderBy(F.xxhash64("id"), "id", F.xxhash64("x")).limit(max_labelled).toArrow()
     order = pa.compute.sort_indices(table, [("id", "ascending")])
     table = table.take(order)
     rows = [np.asarray(r.values) for r in table.column("x")]
