@@ -21,10 +21,14 @@ SLICE_BYTES = 2 << 20
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's spark.checkpoint.dir; only where it is unset (tests) make a folder."""
+    """Use the cluster's spark.checkpoint.dir. Only a local session, whose one process sees one disk,
+    gets a folder of its own where that is unset; on a cluster it must be set."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-"))
+        folder = context.getConf().get("spark.checkpoint.dir")
+        if not folder and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-"))
 
 
 def shared_folder(spark: SparkSession) -> str:
