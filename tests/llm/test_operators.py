@@ -91,6 +91,14 @@ def test_mixing(spark):
     assert mixing.mixed(df).count() == sum(r.mix_copies for r in got)
 
 
+def test_mixing_is_near_its_targets(spark):
+    for sf in ("sf0.001", "sf0.01"):
+        taken = mixing.mix(spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")).groupBy("source").agg(
+            F.count("*").alias("n"), F.max("mix_size").alias("longest"), F.first("mix_target").alias("target"), F.sum(F.col("mix_size") * F.col("mix_copies")).alias("taken"))
+        for r in taken.collect():
+            assert abs(r.taken - r.target) <= (r.longest if r.n >= 10 else r.target), r
+
+
 def test_token_counts(spark, docs, texts):
     coder = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(queries.RANKS), special_tokens={})
     got = tokens.count_sections(docs, queries.RANKS, public_tokenizers.PATTERN).collect()
@@ -323,6 +331,64 @@ def test_toxicity_on_held_out_rows(spark):
     assert sum(r.toxic == 1 for r in flagged) >= 0.95 * len(flagged) and len(flagged) >= 0.6 * sum(r.toxic == 1 for r in got)
 
 
+def brute_chain(chain, text):
+    """Probabilities of a chain for one text, word by word."""
+    found, p = toxicity.document_features(text), []
+    for c in chain:
+        z = c.bias + sum(w for f, w in zip(c.features.tolist(), c.weights) if f in found) + sum(w * q for w, q in zip(c.earlier, p))
+        p.append(1 / (1 + np.exp(-z)))
+    return p
+
+
+def test_toxicity_scores_and_folds(spark, texts):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    chain = toxicity.train(docs, labels, toxicity.label_categories())
+    got = queries.queries()["op9_toxicity"](spark, SF).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        p = brute_chain(chain, texts[r.doc_id])
+        assert np.allclose([r[f"p_{c.name}"] for c in chain], p, atol=1e-5) and all(r[f"is_{c.name}"] == (q >= c.threshold) for c, q in zip(chain, p) if abs(q - c.threshold) > 1e-4)
+    # a word of one positive row each is no feature of a model that is judged on that row: held-out scores do not know it
+    rng = np.random.default_rng(5)
+    rows = [np.unique(rng.integers(0, 1 << 20, 30)).astype(np.int32) for _ in range(300)]
+    y = np.arange(300) % 3 == 0
+    link = toxicity.fit_chain(rows, {"noise": y.astype(int)}, np.arange(300))[0]
+    assert len(link.features) == 0 and link.weights.shape == (0,)
+
+
+def test_toxicity_labelled_rows_are_bounded(spark):
+    docs = spark.createDataFrame([(1, f"text number {i}", "en") for i in range(50)] + [(2, "other", "en")], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(1, 1, 1), (2, 1, 0), (1, 1, 1)], "doc_id long, quality int, toxic int")
+    chain = toxicity.train(docs, labels, toxicity.label_categories(), max_labelled=10)
+    assert [c.name for c in chain] == ["low_quality", "toxic_en", "toxic"]
+
+
+def test_simhash_classes(spark):
+    rng = random.Random(12)
+    base = [" ".join(f"w{rng.randrange(4000)}" for _ in range(400)) for _ in range(12)]
+    rows = [(i, t) for i, t in enumerate(base)] + [(100 + i, t) for i, t in enumerate(base[:6])]
+    for i in range(60):
+        words = rng.choice(base).split()
+        words[rng.randrange(len(words))] = "changed"
+        rows.append((200 + i, " ".join(words)))
+    rows += [(400, None), (401, ""), (399, "  ")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.id: r for r in simhash.near_duplicates(df).collect()}
+    mask = 2**64 - 1
+    prints = {i: simhash.fingerprint((t or "").encode()) for i, t in rows}
+    least = {i: i for i in prints}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in combinations(prints, 2):
+            if (prints[a] ^ prints[b]).bit_count() <= 2 and least[a] != least[b]:
+                least[a] = least[b] = min(least[a], least[b])
+                changed = True
+    assert {i: (r.fingerprint & mask, r.component_id, r.kept) for i, r in got.items()} == {i: (prints[i], least[i], least[i] == i) for i in prints}
+    assert 20 < sum(not r.kept for r in got.values())
+
+
 def test_simhash(spark, texts):
     def brute(t):
         w = WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in t))
