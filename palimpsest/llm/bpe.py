@@ -52,7 +52,7 @@ WITH RECURSIVE s(w, step, pos, tok, before, after, after_tok, rank) AS (
     SELECT n.w, step + 1, pos, tok, before, after, after_tok, CASE WHEN changed THEN m.rank ELSE n.rank END
     FROM n LEFT JOIN merges m ON m.a = CASE WHEN changed THEN n.tok END AND m.b = n.after_tok)
 )
-SELECT pos, tok, w, step = {rounds} AS more FROM s JOIN (SELECT w, max(step) AS step FROM s GROUP BY w) USING (w, step)
+SELECT w, step, pos, tok FROM s
 """
 #: The same for all occurrences of the pair, by each token's number in its word.
 _CONTRACT_ALL = """
@@ -69,7 +69,7 @@ WITH RECURSIVE s(w, step, pos, tok) AS (
     ends AS (SELECT w, i, made FROM taken UNION ALL SELECT w, i + 1, NULL FROM taken)
     SELECT l.w, step + 1, pos, coalesce(e.made, tok) FROM live l LEFT JOIN ends e ON e.w = l.w AND e.i = l.i WHERE e.w IS NULL OR e.made IS NOT NULL)
 )
-SELECT pos, tok, w, step = {rounds} AS more FROM s JOIN (SELECT w, max(step) AS step FROM s GROUP BY w) USING (w, step)
+SELECT w, step, pos, tok FROM s
 """
 
 _DECODE = """
@@ -160,11 +160,15 @@ class Codec:
             for a, b in zip(cuts, cuts[1:]):
                 self._table("start", w=state[0][a:b], pos=state[1][a:b], tok=state[2][a:b])
                 rounds = max(1, min(16, ROUND_ROWS // (b - a)))
-                found = self._ask(query.format(rounds=rounds), b - a)
-                more = np.asarray(found["more"], bool)
-                token[found["pos"][~more]] = found["tok"][~more]
-                order = np.argsort(found["pos"][more])
-                left.append([found[c][more][order] for c in ("w", "pos", "tok")])
+                w, step, pos, tok = self._ask(query.format(rounds=rounds), b - a).values()
+                last = np.zeros(w.max() - w.min() + 1, np.int32)  # the round that left each unit as it is
+                np.maximum.at(last, w - w.min(), step)
+                now = step == last[w - w.min()]
+                done = now & (step < rounds)
+                token[pos[done]] = tok[done]
+                more = np.flatnonzero(now & (step == rounds))
+                more = more[np.argsort(pos[more])]
+                left.append((w[more], pos[more], tok[more]))
             state = [np.concatenate(c) for c in zip(*left)]
             query = _CONTRACT_ALL
         alive = token >= 0
