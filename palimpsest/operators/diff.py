@@ -6,7 +6,7 @@ value in the map counts as a missing field.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -28,20 +28,39 @@ def entry_changes(old: DataFrame, new: DataFrame) -> DataFrame:
     return paired(old, new).select("entry_key", change.alias("change"))
 
 
+def _differing(old: Column, new: Column) -> Column:
+    """(key, value, same) entries of the fields that turn ``old`` into ``new``; a null value for a field that vanished."""
+    pairs = F.map_entries(F.map_zip_with(old, new, lambda _, a, b: F.struct(b.alias("value"), a.eqNullSafe(b).alias("same"))))
+    return F.transform(F.filter(pairs, lambda e: ~e["value"]["same"]), lambda e: F.struct(e["key"].alias("field"), e["value"]["value"].alias("value")))
+
+
+def changes(old: DataFrame, new: DataFrame, here: DataFrame) -> DataFrame:
+    """(entry_key, change, cells) of a release against the state before it, from one pass over both.
+
+    ``old`` holds every entry ever seen, ``here`` the keys of the release before: of it are added,
+    removed, modified and kept told, while ``cells`` (field, value) are relative to ``old``, so an
+    entry that comes back has only what changed since.
+    """
+    empty = F.create_map().cast("map<string,string>")
+    both = paired(old, new).join(here.select("entry_key", F.lit(True).alias("was")), "entry_key", "left")
+    cells = _differing(F.coalesce("old", empty), F.col("new"))
+    change = F.when(F.col("new").isNull(), "removed").when(F.col("was").isNull(), "added").when(F.size("cells") > 0, "modified").otherwise("kept")
+    return both.where(F.col("new").isNotNull() | F.col("was")).withColumn("cells", cells).select("entry_key", change.alias("change"), "cells")
+
+
+def exploded(changes: DataFrame) -> DataFrame:
+    """(entry_key, field, value, is_tombstone) of the cells of :func:`changes`."""
+    rows = changes.select("entry_key", F.explode("cells").alias("c"))
+    return rows.select("entry_key", "c.field", "c.value", F.col("c.value").isNull().alias("is_tombstone"))
+
+
 def changed_fields(old: DataFrame, new: DataFrame) -> DataFrame:
     """Rows (entry_key, field, value, is_tombstone) that turn ``old`` into ``new`` for the entries of ``new``.
 
     New and changed fields carry their value; fields that vanished are tombstones; entries missing
     from ``new`` have none, as their absence shows in the presence table alone.
     """
-    empty = F.create_map().cast("map<string,string>")
-    both = paired(old, new).where(F.col("new").isNotNull()).withColumn("old", F.coalesce("old", empty))
-    cells = F.filter(
-        F.map_entries(F.map_zip_with("old", "new", lambda _, a, b: F.struct(b.alias("value"), a.eqNullSafe(b).alias("same")))), lambda e: ~e["value"]["same"]
-    )
-    return both.select("entry_key", F.explode(cells).alias("c")).select(
-        "entry_key", F.col("c.key").alias("field"), F.col("c.value.value").alias("value"), F.col("c.value.value").isNull().alias("is_tombstone")
-    )
+    return exploded(changes(old, new, old.select("entry_key")).where("change <> 'removed'"))
 
 
 def equal_fields(old: DataFrame, new: DataFrame) -> DataFrame:

@@ -30,9 +30,17 @@ class Format:
     key: Callable[[Column], Column] = lambda fields: trim_control(F.element_at(fields, F.lit("ID")))
     default_type: str = "FULL"
     incremental: bool = True
+    #: What begins each record, where the separator ends with it: lines before a file's first one are skipped.
+    start: str | None = None
+    #: Applied to the rendered entries of every get.
+    post: Callable[[DataFrame], DataFrame] | None = None
+
+    def records(self, spark: SparkSession, path: str) -> DataFrame:
+        """(file, record) of the files at ``path``."""
+        return read_records(spark, path, self.separator, self.start)
 
     def read(self, spark: SparkSession, path: str) -> DataFrame:
-        return self.entries(read_records(spark, path, self.separator))
+        return self.entries(self.records(spark, path))
 
     def entries(self, records: DataFrame) -> DataFrame:
         """(entry_key, fields) of records; of several with one key the first by content is kept."""
@@ -47,7 +55,8 @@ class Format:
 
     def rendered(self, entries: DataFrame, kind: str | None = None, addendum: str = "") -> DataFrame:
         """``entries`` (with fields) with the column text."""
-        return entries.withColumn("text", self.render[kind or self.default_type](F.col("fields"), F.lit(addendum)))
+        text = entries.withColumn("text", self.render[kind or self.default_type](F.col("fields"), F.lit(addendum)))
+        return self.post(text) if self.post else text
 
 
 def _get(fields: Column, name: str) -> Column:
@@ -55,7 +64,8 @@ def _get(fields: Column, name: str) -> Column:
 
 
 def _lines(record: Column) -> Column:
-    return F.split(F.regexp_replace(record, r"\r?\n\z", ""), r"\r?\n")
+    """Lines, of either line end; a last line end, whole or cut by the separator, is none."""
+    return F.split(F.regexp_replace(record, r"(\r?\n|\r)\z", ""), r"\r?\n")
 
 
 def _headed(body: str, join: str, clean: bool) -> Callable[[Column], Column]:
@@ -154,13 +164,13 @@ FORMATS: dict[str, Format] = {
     f.name: f
     for f in (
         Format("fasta", "\n>", _headed("SEQ", "", True), {"FASTA": lambda f, a: F.concat_ws("\n", _get(f, "ID"), squeeze_sequence(_get(f, "SEQ")))},
-               {"FASTA": ("ID", "SEQ")}, default_type="FASTA"),
-        Format("uniprot", "\n//\n", _dat, {"FASTA": _named_sequence, "DAT": _dat_text}, {"FASTA": ("ID", "SE"), "DAT": ("ID", "AC", "DE", "SE")},
+               {"FASTA": ("ID", "SEQ")}, default_type="FASTA", start=">"),
+        Format("uniprot", "\n//", _dat, {"FASTA": _named_sequence, "DAT": _dat_text}, {"FASTA": ("ID", "SE"), "DAT": ("ID", "AC", "DE", "SE")},
                key=lambda f: F.trim(F.substring(_get(f, "ID"), 1, 12)), default_type="FASTA"),
         Format("glimmer", "\n>", _headed("DAT", "\n", False), {"GLIMMER": lambda f, a: F.concat_ws("\n", _get(f, "ID"), F.coalesce(_get(f, "DAT"), F.lit("")))},
-               {"GLIMMER": ("ID", "DAT")}, default_type="GLIMMER"),
-        Format("hmm", "\nHMMER", _profile, {"hmm": lambda f, a: lines_in_order(f)}, default_type="hmm", incremental=False),
-        Format("pfam", "\n//\n", _alignment, {"STOCKHOLM": lambda f, a: F.concat(lines_in_order(f), F.lit("\n//"))}, default_type="STOCKHOLM", incremental=False),
+               {"GLIMMER": ("ID", "DAT")}, default_type="GLIMMER", start=">"),
+        Format("hmm", "\nHMMER", _profile, {"hmm": lambda f, a: lines_in_order(f)}, default_type="hmm", incremental=False, start="HMMER"),
+        Format("pfam", "\n//", _alignment, {"STOCKHOLM": lambda f, a: F.concat(lines_in_order(f), F.lit("\n//"))}, default_type="STOCKHOLM", incremental=False),
         Format("blastoutput", "\n", _columns(HIT_COLUMNS, "\t", 5), {"blastoutput": _tabbed(HIT_COLUMNS)}, {"blastoutput": HIT_COLUMNS}, default_type="blastoutput"),
         Format("hmmeroutput", "\n", lambda r: F.when(~r.startswith("#"), _columns(DOMAIN_COLUMNS, " +", 22, "description")(r)),
                {"hmmeroutput": _tabbed(DOMAIN_COLUMNS)}, {"hmmeroutput": DOMAIN_COLUMNS[:22]}, default_type="hmmeroutput"),

@@ -6,13 +6,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def read_records(spark: SparkSession, path: str, separator: str) -> DataFrame:
+def read_records(spark: SparkSession, path: str, separator: str, start: str | None = None) -> DataFrame:
     """(file, record) of text cut at a literal separator, by Spark's splittable text source.
 
-    Compressed files are read too. Text before the first separator is a record of its own.
+    Compressed files are read too. The separator is a line end and the first characters of a line,
+    so records of files with CRLF line ends are cut alike, and keep what stands on that line after
+    them. With ``start``, which begins every record and of which only a file's first keeps it,
+    lines before the first start of a file are skipped.
     """
     lines = spark.read.option("lineSep", separator).text(path)
-    return lines.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("record"))
+    meta = F.col("_metadata")
+    rows = lines.select(meta["file_path"].alias("file"), F.col("value").alias("record"), meta["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("at"))
+    if start is None:
+        return rows.select("file", "record")
+    # a file's first record is the first that its first split reads; only of such rows, one a file, is kept what they are
+    first = rows.where("block = 0").groupBy("file").agg(F.min("at").alias("at")).withColumn("first", F.lit(True))
+    marked = rows.join(first, ["file", "at"], "left")
+    return marked.where(F.col("first").isNull() | F.ltrim("record").startswith(start)).select("file", "record")
 
 
 def read_records_by_pattern(spark: SparkSession, path: str, start: str, stop: str | None = None) -> DataFrame:

@@ -1,8 +1,10 @@
 """The versioned store: releases are put, changes are kept, versions and increments are got.
 
 Tables are Parquet under one root, partitioned by (collection, scope, version); a scope is ``_`` for
-shared collections and ``run_task`` for run-scoped ones. Slices are staged and then swapped in by
-dynamic partition overwrite, and a version is registered last, so a put that fails is not seen.
+shared collections and ``run_task`` for run-scoped ones. A put works its changes out once, beside the
+tables, and then overwrites its partitions; a version is registered last. So a put of a new version
+that fails is not seen. One that dies while it replaces a version must be put again: its cells may be
+new and its presence old.
 """
 
 from __future__ import annotations
@@ -47,6 +49,7 @@ class Store:
     def __init__(self, spark: SparkSession, root: str, **tables: str):
         """``tables`` renames tables, by keyword."""
         self.spark, self.root = spark, root.rstrip("/")
+        self._staged: list[str] = []
         self.names = {name: tables.get(name, name) for name in SCHEMAS}
 
     # tables
@@ -67,21 +70,27 @@ class Store:
     def _append(self, name: str, *rows: tuple) -> None:
         self.spark.createDataFrame([*rows], SCHEMAS[name]).coalesce(1).write.mode("append").parquet(self._path(name))
 
-    def _stage(self, name: str, slices: list[DataFrame]) -> str:
-        """Write slices aside."""
+    def _aside(self, rows: DataFrame) -> DataFrame:
+        """``rows`` written beside the tables and read again: once worked out, and free of what is overwritten later."""
         folder = f"{self.root}/_staged/{uuid.uuid4()}"
-        for rows in slices:
-            rows.select(*[f.split()[0] for f in SCHEMAS[name].split(", ")]).write.mode("append").parquet(folder)
-        return folder
+        rows.write.parquet(folder)
+        self._staged.append(folder)
+        return self.spark.read.schema(rows.schema).parquet(folder)
 
-    def _swap(self, name: str, folder: str) -> None:
-        """Overwrite just the partitions of staged slices."""
-        self.spark.read.schema(SCHEMAS[name]).parquet(folder).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            "collection", "scope", "version"
-        ).parquet(self._path(name))
+    def _tidy(self) -> None:
+        while self._staged:
+            self._delete(self._staged.pop())
+
+    def _delete(self, folder: str) -> None:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
+    def _overwrite(self, name: str, rows: DataFrame) -> None:
+        """Put ``rows`` in the place of just the partitions they are of. They must not read the table."""
+        rows.select(*[f.split()[0] for f in SCHEMAS[name].split(", ")]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            "collection", "scope", "version"
+        ).parquet(self._path(name))
+
     # registry
 
     def collection(self, name: str) -> tuple[Format, bool]:
@@ -119,33 +128,35 @@ class Store:
         own = self._slice(self.table("cells"), collection, scope)
         seen = self._slice(self.table("presence"), collection, scope)
         release = release.select("entry_key", "fields")
+        known = self.versions(collection, run, task)
+        after = min((v for v in known if v > version), default=None)
+        if mode == "union" or after is not None:  # read more than once
+            release = self._aside(release)
         if mode == "union":
             earlier = seen.where(F.col("version") == version).select("entry_key").join(release, "entry_key", "left_anti")
             release = release.unionByName(asof.state(own.join(earlier, "entry_key", "left_semi"), version).select("entry_key", "fields"))
         before = asof.state(own, version - 1).select("entry_key", "fields")
-        slices = [self._cells(diff.changed_fields(before, release), collection, scope, run, task, version)]
-        following = [v for v in self.versions(collection, run, task) if v > version]
-        if following:
-            after = following[0]
+        here = asof.present_at(seen, max((v for v in known if v < version), default=-1))
+        changes = self._aside(diff.changes(before, release, here))
+        slices = [self._cells(diff.exploded(changes), collection, scope, run, task, version)]
+        if after is not None:
             touched = release.select("entry_key").union(own.where((F.col("version") == version) & F.col("entry_key").isNotNull()).select("entry_key")).distinct()
             then = asof.state(own, after).select("entry_key", "fields").join(touched, "entry_key", "left_semi")
             base = release.unionByName(before.join(touched, "entry_key", "left_semi").join(release, "entry_key", "left_anti"))
             again = diff.changed_fields(base, then).select("entry_key", "field", "value", "is_tombstone").unionByName(self._only_tombstones(base, then))
             rest = own.where((F.col("version") == after) & F.col("entry_key").isNotNull()).join(touched, "entry_key", "left_anti")
-            slices.append(self._cells(again.unionByName(rest.select("entry_key", "field", "value", "is_tombstone")), collection, scope, run, task, after))
-        present = release.select(F.lit(run).alias("run_id"), F.lit(task).alias("task_id"), "entry_key", *self._place(collection, scope, version))
+            again = self._aside(again.unionByName(rest.select("entry_key", "field", "value", "is_tombstone")))
+            slices.append(self._cells(again, collection, scope, run, task, after))
+        present = changes.where("change <> 'removed'").select(F.lit(run).alias("run_id"), F.lit(task).alias("task_id"), "entry_key", *self._place(collection, scope, version))
         marker = self.spark.createDataFrame([(run, task, None, collection, scope, version)], SCHEMAS["presence"])
-        changes = diff.entry_changes(asof.state(own.join(asof.present_at(seen, self._previous(collection, run, task, version)), "entry_key", "left_semi"), version - 1).select("entry_key", "fields"), release)
         found = counts.ingest_counters(changes).first().asDict()
-        staged = {"cells": self._stage("cells", slices), "presence": self._stage("presence", [present, marker])}  # a union reads what the swaps replace
-        for name, folder in staged.items():
-            self._swap(name, folder)
+        for rows in slices:
+            self._overwrite("cells", rows)
+        self._overwrite("presence", present.unionByName(marker))
+        self._tidy()
         self._register(collection, format, run, task, version, found["n_entries"])
         return found
 
-    def _previous(self, collection: str, run: str, task: str, version: int) -> int:
-        return max((v for v in self.versions(collection, run, task) if v < version), default=-1)
-
     @staticmethod
     def _scope(run_id: str | None, task_id: int | None) -> tuple[str, str, str]:
         """Run, four-digit task, and scope; empty and ``_`` for a shared collection."""
@@ -295,15 +306,15 @@ class Store:
         earlier versions can no longer be told apart."""
         run, task, scope = self._scope(run_id, task_id)
         own = self._slice(self.table("cells"), collection, scope)
-        newest = asof.newest_cells(own, None, version).where(~F.col("is_tombstone")).select("entry_key", "field", "value", "is_tombstone")
-        older = [v for v in self.versions(collection, run, task) if v < version]
-        empty = newest.limit(0)
-        self._swap("cells", self._stage("cells", [self._cells(newest, collection, scope, run, task, version), *[self._cells(empty, collection, scope, run, task, v) for v in older]]))
+        newest = self._aside(asof.newest_cells(own, None, version).where(~F.col("is_tombstone")).select("entry_key", "field", "value", "is_tombstone"))
+        self._overwrite("cells", self._cells(newest, collection, scope, run, task, version))
+        for v in [v for v in self.versions(collection, run, task) if v < version]:
+            self._overwrite("cells", self._cells(newest.limit(0), collection, scope, run, task, v))
+        self._tidy()
 
     def drop(self, confirm: bool = False) -> None:
         """Delete all tables of the store; refuses without ``confirm``."""
         if not confirm:
             raise ValueError("drop(confirm=True) deletes the store")
         for name in SCHEMAS:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(self._path(name))
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            self._delete(self._path(name))
