@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.checkpoints import numbered
 from ..functions.text import rescaled
 
 # The column names of the tabular format.
@@ -59,10 +60,11 @@ def islands(hits: DataFrame, part: Sequence[str] = ("query_id",), keep: str = "f
     return rows.withColumn("hit_no", hits_so_far).withColumn("hsp_no", F.row_number().over(inside) - 1).drop("_same")
 
 
-def iterations(rows: DataFrame) -> DataFrame:
-    """``rows`` with iteration_no, the rank of the query; ranked over the distinct queries alone."""
-    ranks = rows.select("query_id").distinct().withColumn("iteration_no", F.row_number().over(Window.orderBy("query_id")))
-    return rows.join(ranks, "query_id")
+def iterations(rows: DataFrame, order: Sequence[str] = ("line_no",)) -> DataFrame:
+    """``rows`` with iteration_no, by the first appearance of the query in ``order``, which tells all
+    rows apart; the queries are numbered by ranges, so no task holds them all."""
+    firsts = rows.groupBy("query_id").agg(F.min(F.struct(*order)).alias("_first"))
+    return rows.join(numbered(firsts, "iteration_no", F.col("_first")).drop("_first"), "query_id")
 
 
 def nested(rows: DataFrame) -> DataFrame:

@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.checkpoints import shared_folder
 from ..functions.text import cache_key, task_key
 from ..operators import asof, counts, diff, filters, hits, lineage, manifest
-from ..sources import formats, records, sinks
+from ..sources import files, formats, records, sinks
+from ..store import Store
 from . import fixtures as fx
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -288,20 +290,30 @@ def blast_correct(spark, sf_dir):
   AND s_stop - s_start = lag(s_stop - s_start) OVER w THEN 0 ELSE 1 END AS new FROM hits WINDOW w AS (PARTITION BY query_id ORDER BY line_no)),
 numbered AS (SELECT *, sum(new) OVER (PARTITION BY query_id ORDER BY line_no) AS island FROM marked),
 firsts AS (SELECT *, first_value((identity, align_length, mismatches, gaps, e_value, hit)) OVER (PARTITION BY query_id, island ORDER BY line_no) AS f FROM numbered),
-kept AS (SELECT * FROM firsts WHERE (identity, align_length, mismatches, gaps, e_value, hit) = f), q AS (SELECT query_id, row_number() OVER (ORDER BY query_id) AS iteration_no FROM (SELECT DISTINCT query_id FROM hits))
+kept AS (SELECT * FROM firsts WHERE (identity, align_length, mismatches, gaps, e_value, hit) = f), q AS (SELECT query_id, row_number() OVER (ORDER BY min(l_orderkey)) AS iteration_no FROM hits GROUP BY query_id)
 SELECT query_id, line_no, subject_id, iteration_no, dense_rank() OVER (PARTITION BY query_id ORDER BY island) AS hit_no, row_number() OVER (PARTITION BY query_id, island ORDER BY line_no) - 1 AS hsp_no
 FROM kept JOIN q USING (query_id)""")
 def blast_islands(spark, sf_dir):
     """Hits in reading order with iteration, hit and HSP numbers."""
-    rows = hits.iterations(hits.islands(fx.line_hits(spark, sf_dir)))
+    rows = hits.iterations(hits.islands(fx.line_hits(spark, sf_dir)), ("l_orderkey", "line_no"))
     as_long = [F.col(c).cast("long").alias(c) for c in ("iteration_no", "hit_no", "hsp_no")]
     return rows.select("query_id", "line_no", "subject_id", *as_long)
 
 
-@query()
+@query(f"""WITH {fx.HITS_SQL}, marked AS (SELECT *, CASE WHEN row_number() OVER w = 1 THEN 1 WHEN q_stop - query_start = lag(q_stop - query_start) OVER w AND subject_id = lag(subject_id) OVER w
+  AND s_stop - s_start = lag(s_stop - s_start) OVER w THEN 0 ELSE 1 END AS new FROM hits WINDOW w AS (PARTITION BY query_id ORDER BY line_no)),
+numbered AS (SELECT *, sum(new) OVER (PARTITION BY query_id ORDER BY line_no) AS island FROM marked), q AS (SELECT query_id, row_number() OVER (ORDER BY min(l_orderkey)) AS iteration_no FROM hits GROUP BY query_id)
+SELECT iteration_no, query_id, island AS hit_no, subject_id, s_stop - s_start AS subject_len, row_number() OVER (PARTITION BY query_id, island ORDER BY line_no) - 1 AS hsp_no,
+  hit AS bit_score, e_value, q_stop - query_start - mismatches AS identical, q_stop - query_start - mismatches - gaps AS positive, align_length FROM numbered JOIN q USING (query_id)""")
 def blast_nested_xml(spark, sf_dir):
-    """The report of the corrected hits, nested as its XML is."""
-    return hits.nested(hits.iterations(hits.islands(fx.line_hits(spark, sf_dir), keep="all_hsps")))
+    """The report of the hits nested as its XML is, one row per innermost element."""
+    nested = hits.nested(hits.iterations(hits.islands(fx.line_hits(spark, sf_dir), keep="all_hsps"), ("l_orderkey", "line_no")))
+    found = nested.select(F.col("`Iteration_iter-num`").alias("iteration_no"), F.col("`Iteration_query-def`").alias("query_id"), F.explode("Iteration_hits.Hit").alias("h"))
+    each = found.select("iteration_no", "query_id", "h", F.explode("h.Hit_hsps.Hsp").alias("p"))
+    return each.select(
+        "iteration_no", "query_id", F.col("h.Hit_num").cast("long").alias("hit_no"), F.col("h.Hit_id").alias("subject_id"), F.col("h.Hit_len").alias("subject_len"),
+        F.col("p.Hsp_num").cast("long").alias("hsp_no"), F.col("p")["Hsp_bit-score"].alias("bit_score"), F.col("p.Hsp_evalue").alias("e_value"),
+        F.col("p.Hsp_identity").alias("identical"), F.col("p.Hsp_positive").alias("positive"), F.col("p")["Hsp_align-len"].alias("align_length"))
 
 
 @query(f"""WITH {fx.FILES_SQL} SELECT path, size, substr(path, length('blog.tionsh.example.net/en/') + 1) AS suffix FROM files WHERE NOT is_deleted AND starts_with(path, 'blog.tionsh.example.net/en/')
@@ -369,6 +381,127 @@ def result_parts(spark, sf_dir):
     return sinks.concatenate(parts).groupBy("kind").agg(F.count("*").alias("n"))
 
 
+def _store(spark: SparkSession, sf_dir: str, *order: int) -> Store:
+    """A store in a new shared folder with the releases of documents put under versions 1 to 3, in any order."""
+    store = Store(spark, shared_folder(spark))
+    for version in order:
+        fields = F.map_concat("fields", F.create_map(F.lit("ID"), F.concat(F.lit(">"), "entry_key")))
+        store.put(fx.release(spark, sf_dir, version).select("entry_key", fields.alias("fields")), "documents", version, "documents")
+    return store
+
+
+#: Documents as a format of the store: text and source make a change count.
+formats.FORMATS["documents"] = formats.Format(
+    "documents", "\n", lambda r: F.create_map(F.lit("ID"), r), {"LINE": lambda f, a: F.concat_ws("|", F.element_at(f, F.lit("ID")), F.element_at(f, F.lit("source")), F.element_at(f, F.lit("lang")))},
+    {"LINE": ("text", "source")}, default_type="LINE")
+
+_LINE = "concat_ws('|', '>' || c.entry_key, c.source, c.lang)"
+
+
+@query(f"""WITH {fx.RELEASES_SQL} SELECT entry_key, {_LINE} AS text, md5(c.text) AS text_md5 FROM r3 c""")
+def store_full_get(spark, sf_dir):
+    """Three releases put in order, and the last read whole."""
+    got = _store(spark, sf_dir, 1, 2, 3).get("documents", start=1, full_run=True)
+    return got.existing.select("entry_key", "text", F.md5(F.element_at("fields", F.lit("text"))).alias("text_md5"))
+
+
+@query(f"""WITH {fx.RELEASES_SQL} SELECT entry_key, {_LINE} AS text, md5(c.text) AS text_md5 FROM r2 c""")
+def store_back_fill(spark, sf_dir):
+    """Releases put out of order, one of them twice, and the middle one read as of its version."""
+    got = _store(spark, sf_dir, 3, 1, 2, 1).get("documents", start=1, stop=2)
+    return got.existing.select("entry_key", "text", F.md5(F.element_at("fields", F.lit("text"))).alias("text_md5"))
+
+
+@query(f"""WITH {fx.RELEASES_SQL}, p AS (SELECT c.*, CASE WHEN b.entry_key IS NOT NULL THEN b.text ELSE a.text END AS old_text,
+  CASE WHEN b.entry_key IS NOT NULL THEN b.source ELSE a.source END AS old_source FROM r3 c LEFT JOIN r2 b ON b.entry_key = c.entry_key LEFT JOIN r1 a ON a.entry_key = c.entry_key)
+SELECT 'existing' AS kind, entry_key, {_LINE} AS text FROM p c WHERE c.text IS DISTINCT FROM old_text OR c.source IS DISTINCT FROM old_source
+UNION ALL SELECT 'full', CAST(count(*) AS VARCHAR), NULL FROM r3""")
+def store_incremental_export(spark, sf_dir):
+    """A run exports release 2 and then what is new; the export is kept and served again."""
+    store = _store(spark, sf_dir, 1, 2)
+    store.export("documents", run_id="7")
+    fields = F.map_concat("fields", F.create_map(F.lit("ID"), F.concat(F.lit(">"), "entry_key")))
+    store.put(fx.release(spark, sf_dir, 3).select("entry_key", fields.alias("fields")), "documents", 3, "documents")
+    result, kept = store.export("documents", run_id="7", split=4)
+    assert store.export("documents", start=3, stop=3, run_id="8", split=4)[1] == kept and store.get("documents", run_id="7").status == "unchanged"
+    rows = spark.read.parquet(kept).select(F.lit("existing").alias("kind"), "entry_key", "text")
+    return rows.unionByName(result.metadata.select(F.lit("full").alias("kind"), F.col("full_entries").cast("string").alias("entry_key"), F.lit(None).cast("string").alias("text")))
+
+
+@query(f"""WITH {fx.RELEASES_SQL} SELECT entry_key, {_LINE} AS text FROM r3 c WHERE lang = 'fr' AND regexp_full_match(source, 'src1.*', 'is')""")
+def store_compacted_filter(spark, sf_dir):
+    """A filtered read after the history was folded into a snapshot."""
+    store = _store(spark, sf_dir, 1, 2, 3)
+    store.compact("documents", 3)
+    return store.get("documents", start=1, regex={"lang": "fr", "source": "SRC1.*"}).existing.select("entry_key", "text")
+
+
+@query("""SELECT 'put' AS direction, v AS version, CAST(NULL AS VARCHAR) AS run_id, n FROM (
+  SELECT 1 AS v, count_if(doc_id % 10 <> 3) AS n FROM documents UNION ALL SELECT 2, count_if(doc_id % 10 <> 7) FROM documents) UNION ALL SELECT 'get', 2, '7', NULL""")
+def store_lineage(spark, sf_dir):
+    """What a store records of its puts and gets, with the entries of each version."""
+    store = _store(spark, sf_dir, 1, 2)
+    store.export("documents", run_id="7")
+    runs = store.table("runs").select("direction", "version", F.nullif("run_id", F.lit("")).alias("run_id"))
+    entries = store.table("versions").select("version", F.lit("put").alias("direction"), F.col("entries").alias("n"))
+    return runs.join(entries, ["version", "direction"], "left").select("direction", "version", "run_id", "n")
+
+
+def _through_files(spark: SparkSession, lines: DataFrame, name: str) -> DataFrame:
+    """Text written as files and read again as entries of a format."""
+    folder = shared_folder(spark)
+    lines.select("value").write.text(folder)
+    return formats.FORMATS[name].read(spark, folder)
+
+
+@query("""SELECT '>' || doc_id AS entry_key, md5(replace(replace(replace(text, '>', ''), chr(13), ''), chr(10), '')) AS seq_md5 FROM (
+  SELECT doc_id, string_agg(regexp_replace(regexp_replace(line, '^[\x00-\x20]+', ''), '[\x00-\x20]+$', ''), '' ORDER BY n) AS text FROM (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS n FROM (SELECT doc_id, replace(text, '>', '') AS text FROM documents)) GROUP BY doc_id)""")
+def fasta_files(spark, sf_dir):
+    """Documents written as FASTA with CRLF line ends after a comment, read through the format."""
+    body = F.replace(F.replace("text", F.lit(">"), F.lit("")), F.lit("\n"), F.lit("\r\n"))
+    docs = fx.table(spark, sf_dir, "documents").select(F.concat(F.lit(">"), "doc_id", F.lit("\r\n"), body, F.lit("\r")).alias("value"), "doc_id")
+    comment = spark.range(1).select(F.lit("; a comment\r").alias("value"))
+    entries = _through_files(spark, docs.select("value"), "fasta").unionByName(_through_files(spark, comment, "fasta"))
+    return entries.select("entry_key", F.md5(F.element_at("fields", F.lit("SEQ"))).alias("seq_md5"))
+
+
+@query("""WITH c AS (SELECT conv_id, turn, CASE role WHEN 'system' THEN 'AC' WHEN 'user' THEN 'DE' ELSE 'SE' END AS code, replace(replace(text, chr(10), ' '), chr(13), ' ') AS text FROM conversations)
+SELECT 'E' || conv_id AS entry_key, code, md5(string_agg(text, chr(10) ORDER BY turn)) AS text_md5 FROM c GROUP BY ALL UNION ALL SELECT DISTINCT 'E' || conv_id, 'ID', md5('E' || conv_id) FROM c""")
+def uniprot_files(spark, sf_dir):
+    """Conversations written as coded flat files with CRLF line ends, read through the format."""
+    code = F.when(F.col("role") == "system", "AC").when(F.col("role") == "user", "DE").otherwise("  ")
+    text = F.translate("text", "\n\r", "  ")
+    turns = fx.table(spark, sf_dir, "conversations").select("conv_id", F.struct("turn", F.concat(code, F.lit("   "), text, F.lit("\r")).alias("line")).alias("x"))
+    lines = turns.groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["line"]).alias("lines"))
+    entry = F.array_join(F.concat(F.array(F.concat(F.lit("ID   E"), "conv_id", F.lit("\r"))), "lines", F.array(F.lit("//\r"))), "\n")
+    entries = _through_files(spark, lines.select(entry.alias("value")), "uniprot")
+    fields = entries.select("entry_key", F.explode(F.map_filter("fields", lambda k, v: k != "#order")).alias("code", "text"))
+    return fields.select("entry_key", "code", F.md5("text").alias("text_md5"))
+
+
+@query(f"""WITH {fx.HITS_SQL} SELECT query_id, subject_id, count(*) AS n, sum(align_length) AS align_length, max(e_value) AS e_value FROM hits GROUP BY ALL""")
+def blast_files(spark, sf_dir):
+    """Search hits written as tab-separated lines, some of them broken, and read again."""
+    rows = fx.line_hits(spark, sf_dir).select("line_no", F.concat_ws("\t", *[F.col(c).cast("string") for c in hits.HIT_COLUMNS]).alias("value"))
+    folder = shared_folder(spark)
+    broken = rows.where("line_no = 1").select(F.substring_index("value", "\t", 4).alias("value"))
+    rows.select("value").unionByName(broken).write.text(folder)
+    found = files.read_hits(spark, folder)
+    return found.groupBy("query_id", "subject_id").agg(F.count("*").alias("n"), F.sum("align_length").alias("align_length"), F.max("e_value").alias("e_value"))
+
+
+@query("""SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS size, sha256(html) AS hash FROM pages""")
+def copied_files(spark, sf_dir):
+    """Pages written as files, copied by manifest, and listed again with their size and hash."""
+    source, target = shared_folder(spark), shared_folder(spark)
+    pages = fx.table(spark, sf_dir, "pages").select(F.concat(F.lit("p/"), F.col("page_id"), F.lit(".html")).alias("path"), F.encode("html", "UTF-8").alias("content"))
+    files.write_files(pages, source).count()
+    files.copy_files(pages.select("path"), source, target).count()
+    back = manifest.from_folder(spark, target, 1)
+    return back.select(F.regexp_extract("path", r"(\d+)\.html$", 1).cast("long").alias("page_id"), "size", "hash")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 

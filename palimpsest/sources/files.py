@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow.fs import FileSystem, LocalFileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,16 +56,37 @@ def write_metadata(metadata: DataFrame, path: str) -> None:
     metadata.select(F.explode(pairs).alias("value")).coalesce(1).write.mode("overwrite").text(path)
 
 
+def write_files(contents: DataFrame, target: str) -> DataFrame:
+    """Write rows (path, content) as files below ``target``, and return (path, size) as written.
+
+    Executors write, a file at a time, through the file system of the target's address. A file
+    appears whole, under its own name at the end, so a task that runs again does no harm. Lazy: the
+    files are there when the result was read.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, base = FileSystem.from_uri(target) if "://" in target or target.startswith("file:") else (LocalFileSystem(), target)
+        for batch in batches:
+            sizes = []
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
+                place = f"{base}/{path}"
+                part = f"{place}.{uuid.uuid4().hex}.part"
+                system.create_dir(place.rsplit("/", 1)[0], recursive=True)
+                with system.open_output_stream(part) as out:
+                    out.write(content.as_buffer())
+                system.move(part, place)
+                sizes.append(len(content.as_buffer()))
+            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(sizes, pa.int64())], ["path", "size"])
+
+    return contents.select("path", F.coalesce("content", F.lit(b"")).alias("content")).mapInArrow(run, "path string, size long")
+
+
 def copy_files(files: DataFrame, source: str, target: str) -> DataFrame:
-    """Copy the files of a manifest (path below ``source``) to ``target``, and return (path, size) as copied.
+    """Copy the files of a manifest (path below ``source``) to ``target``, and return (path, size) as written.
 
-    Executors read and write through the cluster's file systems, a file per row; contents never
-    reach the driver. The source is read as binary files, so each must fit in a task.
+    Contents never reach the driver. The source is read as binary files, so each must fit in a task.
     """
-    spark = files.sparkSession
     base = source.rstrip("/") + "/"
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(source)
+    found = files.sparkSession.read.format("binaryFile").option("recursiveFileLookup", True).load(source)
     below = F.substring_index(F.col("path"), base, -1)
-    chosen = found.select(below.alias("path"), "content").join(files.select("path").distinct(), "path", "left_semi")
-    chosen.write.mode("overwrite").parquet(target)
-    return spark.read.parquet(target).select("path", F.octet_length("content").cast("long").alias("size"))
+    return write_files(found.select(below.alias("path"), "content").join(files.select("path").distinct(), "path", "left_semi"), target)

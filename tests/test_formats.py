@@ -1,9 +1,11 @@
 """Formats, record cutting, sinks and the file table on small literal texts."""
 
+import dataclasses
 import gzip
 
 from pyspark.sql import functions as F
 
+from palimpsest.functions.checkpoints import numbered
 from palimpsest.operators import filters, hits, lineage, manifest
 from palimpsest.operators.counts import base_pairs
 from palimpsest.sources import files, records, sinks
@@ -67,6 +69,31 @@ def test_records(spark, tmp_path):
     assert [r.record for r in got] == ["BEGIN 1\na", "BEGIN 2\nb"]
 
 
+def test_line_ends_and_preambles(spark, tmp_path):
+    (tmp_path / "a.fa").write_bytes(b"; a comment\r\n; more\r\n>x one\r\nAC\r\nGT\r\n>y\r\nT\r\n")
+    (tmp_path / "b.fa").write_bytes(b">z\nA\n")
+    (tmp_path / "c.fa").write_bytes(b"nothing here\n")
+    got = {r.entry_key: r.fields["SEQ"] for r in FORMATS["fasta"].read(spark, str(tmp_path / "*.fa")).collect()}
+    assert got == {">x one": "ACGT", ">y": "T", ">z": "A"}
+    (tmp_path / "u.dat").write_bytes(b"ID   A1\r\nDE   one\r\n     ACGT\r\n//\r\nID   B2\r\nDE   two\r\n//\r\n")
+    got = {r.entry_key: r.fields for r in FORMATS["uniprot"].read(spark, str(tmp_path / "u.dat")).collect()}
+    assert got == {"A1": {"ID": "A1", "DE": "one", "SE": "ACGT", "#order": "ID,DE,SE"}, "B2": {"ID": "B2", "DE": "two", "#order": "ID,DE"}}
+    (tmp_path / "p.sto").write_bytes(b"# STOCKHOLM 1.0\r\n#=GF ID   F1\r\ns/1 AC\r\n//\r\n# STOCKHOLM 1.0\r\n#=GF ID   F2\r\n//\r\n")
+    assert {r.entry_key for r in FORMATS["pfam"].read(spark, str(tmp_path / "p.sto")).collect()} == {"F1", "F2"}
+
+
+def test_post_hook(spark):
+    shout = dataclasses.replace(FORMATS["fasta"], post=lambda df: df.withColumn("text", F.upper("text")))
+    entries = spark.createDataFrame([("a", {"ID": ">a", "SEQ": "ac gt"})], "entry_key string, fields map<string,string>")
+    assert [r.text for r in shout.rendered(entries).collect()] == [">A\nACGT"]
+
+
+def test_numbered(spark):
+    rows = spark.range(0, 1000).select((F.col("id") * 37 % 1000).alias("v"))
+    assert sorted((r.v, r.rank) for r in numbered(rows, "rank", F.col("v")).collect()) == [(i, i + 1) for i in range(1000)]
+    assert numbered(rows.limit(0), "rank", F.col("v")).collect() == []
+
+
 def test_filters():
     assert filters.parse_filter("ID=a=b,c,OS=.*x") == {"ID": "a=b,c", "OS": ".*x"}
     assert filters.parse_filter({"A": "b"}) == {"A": "b"} and filters.parse_filter(None) == {}
@@ -76,10 +103,10 @@ def test_islands(spark):
     base = ("s", 90.0, 10, 1, 0, 1, 11, 1, 11, 0.1, 5.0)
     other = ("s", 80.0, 10, 1, 0, 1, 11, 1, 11, 0.1, 5.0)
     last = ("t", *base[1:])
-    rows = [("q", *r, n) for n, r in enumerate([base, other, base, last, base])] + [("r", *base, 0)]
+    rows = [("q", *r, n) for n, r in enumerate([base, other, base, last, base])] + [("r", *base, 9)]
     df = spark.createDataFrame(rows, hits.HIT_SCHEMA + ", line_no long")
     got = [(r.query_id, r.line_no, r.iteration_no, r.hit_no, r.hsp_no) for r in hits.iterations(hits.islands(df)).orderBy("query_id", "line_no").collect()]
-    assert got == [("q", 0, 1, 1, 0), ("q", 2, 1, 1, 1), ("q", 3, 1, 2, 0), ("q", 4, 1, 3, 0), ("r", 0, 2, 1, 0)]
+    assert got == [("q", 0, 1, 1, 0), ("q", 2, 1, 1, 1), ("q", 3, 1, 2, 0), ("q", 4, 1, 3, 0), ("r", 9, 2, 1, 0)]
     assert hits.islands(df, keep="all_hsps").count() == 6
 
 
@@ -136,4 +163,6 @@ def test_plain_files(spark, tmp_path):
     back = {r.key: r.value for r in files.read_metadata(spark, str(tmp_path / "meta")).collect()}
     assert back["FULL_ENTRIES"] == "4" and back["TABLE_NAME"] == "t"
     chosen = spark.createDataFrame([("sub/b.fna",)], "path string")
-    assert [(r.path, r.size) for r in files.copy_files(chosen, str(tmp_path / "seq"), str(tmp_path / "copy")).collect()] == [("sub/b.fna", 5)]
+    for _ in range(2):
+        assert [(r.path, r.size) for r in files.copy_files(chosen, str(tmp_path / "seq"), str(tmp_path / "copy")).collect()] == [("sub/b.fna", 5)]
+    assert [p.name for p in (tmp_path / "copy").rglob("*") if p.is_file()] == ["b.fna"] and (tmp_path / "copy/sub/b.fna").read_text() == ">z\nA\n"
