@@ -5,6 +5,9 @@ at-sign are the nodes of a random field per document: neighbouring nodes share c
 and distant nodes with the same digits or mailbox share skip potentials. Loopy message passing
 carries what the rules are sure of to repeated and similar tokens that no rule matches. All nodes
 of a key are linked to one that a rule labels, so distance and number of repeats do not matter.
+Secrets (access tokens, keys) have no rule of their own: the field alone labels them. Its potentials
+for them are learned from long mixed strings that the text assigns to a name, and it finds such
+strings, and their repeats, wherever they stand.
 """
 
 from __future__ import annotations
@@ -21,6 +24,8 @@ from pyspark.sql import functions as F
 from .common import text_slices, tidy
 
 KINDS = ("email", "ip", "card", "phone")
+#: What the field labels: the rules' kinds, and secrets.
+LABELS = (*KINDS, "secret")
 #: Log-odds against a token that every rule rejects; only evidence from other tokens outweighs it.
 REJECTED = 4.0
 #: Message passing ends, per document, when no message moves by more than SETTLED, or after ROUNDS.
@@ -37,6 +42,9 @@ _CARD = re.compile(r"[0-9]([ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _ANY, _DIGIT = re.compile(r"[0-9@+]"), re.compile(r"[0-9]")
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
+#: A string that may be a secret: long, of letters and digits.
+_MIXED = re.compile(r"(?=[^0-9]*[0-9])(?=[^A-Za-z]*[A-Za-z])[A-Za-z0-9+/_=-]{20,}")
+_MARKS = ".,;:!?()[]\"'<>`#*"
 #: A group of digits, without closing marks, as part of a number written in several tokens.
 _GROUP = re.compile(r"[(\[<\"']*(\+?)[(]?[0-9][0-9().-]*\Z")
 
@@ -77,20 +85,28 @@ def base_spans(text: str | None) -> list[tuple[int, int, int]]:
     return sorted(found, key=lambda s: (s[0], s[2]))
 
 
-def node_features(token: str) -> list[int]:
-    """Indicators of a token's form."""
+def node_features(token: str, lead: str = "") -> list[int]:
+    """Indicators of a token's form, and of the character before it, blanks left out."""
+    mixed = len(token) >= 20 and _MIXED.fullmatch(token.strip(_MARKS)) is not None
     digits = sum(c.isdigit() for c in token)
     core = token.strip(".,;:!?()[]\"'")
     return [
         1, "@" in core, "." in core.partition("@")[2], core.count(".") == 3 and "@" not in core, core.startswith("+"), "-" in core,
         digits == 0, 1 <= digits <= 2, digits == 3, 4 <= digits <= 6, digits == 7, 8 <= digits <= 13, 14 <= digits <= 19, digits > 19,
         digits > 0 and core.isdigit(), token.startswith("("), 14 <= digits <= 19 and core.isdigit() and core.isascii() and luhn(core),
-        any(c.isalpha() for c in core),
+        any(c.isalpha() for c in core), mixed, mixed and lead in ("=", ":"),
     ]
 
 
+def assigned_secret(token: str, lead: str) -> bool:
+    """Whether a token is taken as a secret when potentials are learned: a mixed string in quotes, assigned to a name."""
+    return lead in ("=", ":") and token[:1] in ("'", '"') and len(token) >= 20 and _MIXED.fullmatch(token.strip(_MARKS)) is not None
+
+
 def skip_key(token: str) -> str | None:
-    """What makes distant tokens alike: the last seven of five digits or more, or the mailbox."""
+    """What makes distant tokens alike: the last seven of five digits or more, the mailbox, or a mixed string."""
+    if len(token) >= 20 and _MIXED.fullmatch(core := token.strip(_MARKS)):
+        return core
     mailbox, at, _ = token.strip(".,;:!?()[]\"'<>").partition("@")
     if at and mailbox:
         return mailbox.lower()
@@ -111,6 +127,8 @@ class Graph:
     skip: np.ndarray
     #: Pairs of nodes of one key in successive occurrences, whatever their labels; for statistics.
     repeats: np.ndarray | None = None
+    #: The labels that potentials are learned from: the rules', and assigned secrets.
+    learned: np.ndarray | None = None
 
 
 def _occurrences(tokens: list[tuple[int, int, str]]) -> Iterator[tuple[str, list[int], list[str]]]:
@@ -186,7 +204,7 @@ def _key_edges(tokens: list[tuple[int, int, str]], label: list[int]) -> tuple[li
 def build_graph(texts: list[str | None], spans: list[list[tuple[int, int, int]]]) -> Graph:
     """Edges join a node to the next token's node, and to a node of the same key (see _key_edges):
     their number is linear in that of the nodes, however often a token repeats."""
-    doc, start, end, label, features, chain, skip, repeats = [], [], [], [], [], [], [], []
+    doc, start, end, label, features, chain, skip, repeats, learned = [], [], [], [], [], [], [], [], []
     for d, (text, known) in enumerate(zip(texts, spans)):
         if not text or not _ANY.search(text):
             continue
@@ -201,7 +219,9 @@ def build_graph(texts: list[str | None], spans: list[list[tuple[int, int, int]]]
                 k += 1
             over = [s[2] + 1 for s in known[k : k + 4] if s[0] < b and s[1] > a]
             node = len(doc)
-            doc.append(d), start.append(a), end.append(b), label.append(over[0] if over else 0), features.append(node_features(token))
+            lead = text[max(a - 2, 0) : a].strip(" \t")[-1:] if len(token) >= 20 else ""
+            doc.append(d), start.append(a), end.append(b), label.append(over[0] if over else 0), features.append(node_features(token, lead))
+            learned.append(label[-1] or (N_LABELS - 1 if assigned_secret(token, lead) else 0))
             if before == i - 1:
                 chain.append((node - 1, node))
             before = i
@@ -211,7 +231,8 @@ def build_graph(texts: list[str | None], spans: list[list[tuple[int, int, int]]]
         repeats += pairs_of_keys
     pairs = lambda e: np.array(e, np.int64).reshape(-1, 2)
     return Graph(np.array(doc, np.int64), np.array(start, np.int64), np.array(end, np.int64), np.array(label, np.int64),
-                 np.array(features, np.float64).reshape(len(doc), N_FEATURES), pairs(chain), pairs(skip), pairs(repeats))
+                 np.array(features, np.float64).reshape(len(doc), N_FEATURES), pairs(chain), pairs(skip), pairs(repeats),
+                 np.array(learned, np.int64))
 
 
 @dataclass
@@ -223,15 +244,17 @@ class Field:
     skip: np.ndarray
 
 
-N_LABELS = len(KINDS) + 1
+N_LABELS = len(LABELS) + 1
+#: The feature of mixed strings.
+MIXED = len(node_features("")) - 2
 N_FEATURES = len(node_features(""))
 
 
 def statistics(graph: Graph) -> np.ndarray:
     """Counts that potentials are estimated from: labels by feature, by chain edge, by pair of repeats."""
-    hot = np.eye(N_LABELS)[graph.label]
+    hot = np.eye(N_LABELS)[graph.learned]
     unary = graph.features.T @ hot
-    edges = [np.bincount(graph.label[e[:, 0]] * N_LABELS + graph.label[e[:, 1]], minlength=N_LABELS**2) for e in (graph.chain, graph.repeats)]
+    edges = [np.bincount(graph.learned[e[:, 0]] * N_LABELS + graph.learned[e[:, 1]], minlength=N_LABELS**2) for e in (graph.chain, graph.repeats)]
     return np.concatenate([unary.ravel(), *edges]).astype(float)
 
 
@@ -253,14 +276,15 @@ def estimate(counts: np.ndarray) -> Field:
         return np.clip(np.log(c) - np.log(c.sum(1))[:, None] - np.log(c.sum(0))[None], -6, 6)
 
     skip = counts[n + N_LABELS**2 :].reshape(N_LABELS, N_LABELS)
-    return Field(weight / 3, edge(counts[n : n + N_LABELS**2]), edge(skip + skip.T + np.diag([1000.0] + [20.0] * len(KINDS))))
+    return Field(weight / 3, edge(counts[n : n + N_LABELS**2]), edge(skip + skip.T + np.diag([1000.0] + [20.0] * len(LABELS))))
 
 
 def marginals(graph: Graph, field: Field, rounds: int = ROUNDS) -> np.ndarray:
     """Label probabilities of each node by damped loopy belief propagation; rule labels are fixed."""
     n = len(graph.doc)
     unary = graph.features @ field.unary
-    unary[:, 1:] -= REJECTED
+    unary[:, 1 : len(KINDS) + 1] -= REJECTED
+    unary[graph.features[:, MIXED] == 0, len(LABELS)] = FIXED  # a secret is a mixed string
     fixed = graph.label > 0
     unary[fixed] = np.where(np.eye(N_LABELS, dtype=bool)[graph.label[fixed]], 0, FIXED)
     edges = np.concatenate([graph.chain, graph.skip])
@@ -308,9 +332,10 @@ def added_spans(texts: list[str | None], spans: list[list[tuple[int, int, int]]]
     for i in np.flatnonzero((graph.label == 0) & (best > 0) & (p.max(1) > 0.5)).tolist():
         text, kind = texts[graph.doc[i]], int(best[i]) - 1
         a, b = int(graph.start[i]), int(graph.end[i])
-        while b > a and text[b - 1] in ".,;:!?)]>\"'":
+        closing, opening = (_MARKS, _MARKS) if kind >= len(KINDS) else (".,;:!?)]>\"'", "[<\"'")
+        while b > a and text[b - 1] in closing:
             b -= 1
-        while a < b and text[a] in "[<\"'":
+        while a < b and text[a] in opening:
             a += 1
         if a == b:
             continue
@@ -370,7 +395,7 @@ def find(docs: DataFrame, field: Field, text_col: str = "text", redacted: bool =
                 columns = list(part.columns)
                 if redacted:
                     columns[at] = pa.array([t and redact(t, s) for t, s in zip(texts, every)], part.schema.field(at).type)
-                cells = [[{"kind": KINDS[k], "start": a, "end": b, "base": own} for a, b, k, own in s] for s in every]
+                cells = [[{"kind": LABELS[k], "start": a, "end": b, "base": own} for a, b, k, own in s] for s in every]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(cells, _SPANS_ARROW)], [*part.schema.names, "pii"])
 
     return rest.mapInArrow(tidy(run), schema)
@@ -384,7 +409,7 @@ def redact(text: str, spans: list[tuple]) -> str:
         while k < len(spans) and spans[k][0] < end:
             end = max(end, spans[k][1])
             k += 1
-        out += [text[done:start], f"<{KINDS[kind].upper()}>"]
+        out += [text[done:start], f"<{LABELS[kind].upper()}>"]
         done = end
     return "".join([*out, text[done:]])
 

@@ -72,7 +72,8 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     count = lambda kind: F.size(F.filter("pii", lambda s: s["base"] & (s["kind"] == kind))).cast("long").alias(f"n_{kind}")
     return found.select(
         "doc_id", *[count(k) for k in pii.KINDS], F.sha2(pii.span_text(F.col("pii"), base_only=True), 256).alias("base_sha256"),
-        pii.span_text(F.col("pii")).alias("spans"),
+        pii.span_text(F.col("pii")).alias("spans"), F.size("pii").cast("long").alias("n_spans"),
+        F.size(F.filter("pii", lambda s: ~s["base"])).cast("long").alias("n_added"),
     )
 
 

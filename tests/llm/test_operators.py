@@ -303,6 +303,31 @@ def test_pii_counts_all_documents(spark):
     assert np.allclose(field.unary, whole.unary) and np.allclose(field.chain, whole.chain) and np.allclose(field.skip, whole.skip)
 
 
+def test_pii_query_and_what_the_field_adds(spark):
+    """op8 on whole tables against the plain rules, and secrets that the field alone finds."""
+    sf = "/root/testdata/sf0.01"
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    added = 0
+    for r in queries.queries()["op8_pii"](spark, sf).collect():
+        base = brute_spans(texts[r.doc_id])
+        named = [f"{pii.KINDS[k]}:{a}:{b}" for a, b, k in base]
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == i for _, _, k in base) for i in range(4)]
+        assert r.base_sha256 == hashlib.sha256(",".join(named).encode()).hexdigest()
+        spans = r.spans.split(",") if r.spans else []
+        assert set(named) <= set(spans) and len(spans) == r.n_spans == len(named) + r.n_added
+        secrets = {(m.start(1), m.end(1)) for m in re.finditer(r"\b([0-9a-f]{40})\b", texts[r.doc_id])}
+        assert {tuple(map(int, s.split(":")[1:])) for s in spans if s.startswith("secret")} == secrets
+        added += len(secrets)
+    assert added >= 10
+
+
+def test_pii_secrets_anywhere(docs, spark):
+    field = pii.train(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text"))
+    key = "9b0b3c6a43eb78aa99cbd7049c572391524f37a8"
+    text = f'one token = "{key}" two. Later {key}, and key: {key[::-1]} or ({key[:30]}) but not Donaudampfschifffahrtsgesellschaft nor 12345678901234567890123.'
+    assert [text[a:b] for a, b, k in pii.added_spans([text], [pii.base_spans(text)], field)[0]] == [key, key, key[::-1], key[:30]]
+
+
 def test_message_passing_is_exact_on_chains():
     rng = np.random.default_rng(8)
     n, k = 4, pii.N_LABELS
@@ -310,7 +335,8 @@ def test_message_passing_is_exact_on_chains():
     chain = np.array([[0, 1], [1, 2]])
     graph = pii.Graph(np.zeros(n, int), np.arange(n), np.arange(n), np.array([0, 0, 2, 0]), rng.normal(size=(n, pii.N_FEATURES)) / 3, chain, np.array([[2, 3]]))
     unary = graph.features @ field.unary
-    unary[:, 1:] -= pii.REJECTED
+    unary[:, 1 : len(pii.KINDS) + 1] -= pii.REJECTED
+    unary[graph.features[:, pii.MIXED] == 0, -1] = pii.FIXED
     total = np.zeros((n, k))
     for labels in np.ndindex(*[k] * n):
         if labels[2] == 2:
