@@ -1,9 +1,10 @@
 """Embedding near-duplicates by int8 tile products with rigorous error bounds.
 
-Vectors of one label are dealt to tiles of bounded size; each pair of tiles that could hold a link
-is one unit of work. In it, the quantised vectors are multiplied as a block; a pair whose product
-plus its error bound stays under the threshold is out for certain; the rest is computed again in
-double precision. Equal vectors are one node, so a group of copies costs one row.
+Vectors of one label are quantised once and dealt to tiles of bounded size; each pair of tiles that
+could hold a link is one unit of work, to which only int8 codes and their error bounds travel. There
+they are multiplied as a block; a pair whose product plus its error bound stays under the threshold
+is out for certain. Vectors with a pair that is not out travel again, in double precision, to be
+computed exactly. Equal vectors are one node, so a group of copies costs one row.
 """
 
 from __future__ import annotations
@@ -50,17 +51,23 @@ def candidates(left: tuple, right: tuple, threshold: float) -> tuple[np.ndarray,
     return np.nonzero(product * s[:, None] * t[None] + bound >= threshold - 1e-9)
 
 
+def tile_candidates(a: tuple, b: tuple, threshold: float, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs between two tiles of quantised vectors, in blocks of 512 rows."""
+    for start in range(0, len(a[0]), 512):
+        i, j = candidates(tuple(x[start : start + 512] for x in a), b, threshold)
+        i += start
+        yield (i[i < j], j[i < j]) if same else (i, j)
+
+
+def norms(x: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.einsum("ij,ij->i", x, x))
+
+
 def tile_links(ids_a: np.ndarray, a: np.ndarray, ids_b: np.ndarray, b: np.ndarray, threshold: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Linked pairs between two tiles of vectors (doubles), in blocks of 512 rows."""
-    norm = lambda x: np.sqrt(np.einsum("ij,ij->i", x, x))
-    na, nb = norm(a), norm(b)
-    qa, qb = quantise(a / na[:, None]), quantise(b / nb[:, None])
+    """Linked pairs between two tiles of vectors (doubles)."""
+    na, nb = norms(a), norms(b)
     out = []
-    for start in range(0, len(a), 512):
-        i, j = candidates(tuple(x[start : start + 512] for x in qa), qb, threshold)
-        i += start
-        if same:
-            i, j = i[i < j], j[i < j]
+    for i, j in tile_candidates(quantise(a / na[:, None]), quantise(b / nb[:, None]), threshold, same):
         cosine = np.einsum("ij,ij->i", a[i], b[j]) / (na[i] * nb[j])
         out.append((ids_a[i[cosine >= threshold]], ids_b[j[cosine >= threshold]]))
     return np.concatenate([x for x, _ in out] or [ids_a[:0]]), np.concatenate([y for _, y in out] or [ids_b[:0]])
@@ -139,18 +146,65 @@ def local_roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         root = new
 
 
+TILES = ("label", "length", "part_a", "part_b")
+
+
+def _matrix(table: pa.Table, column: str) -> np.ndarray:
+    return table.column(column).combine_chunks().flatten().to_numpy().reshape(len(table), -1)
+
+
+def _in_order(table: pa.Table) -> pa.Table:
+    return table.take(pa.compute.sort_indices(table, [("node", "ascending")]))
+
+
+def _quantised(nodes: DataFrame) -> DataFrame:
+    """(label, length, part, node, codes, scale, near, rest) of nodes."""
+    keep = nodes.select("label", "length", "part", "node", "v")
+    kinds = ", ".join(f"{c} {keep.schema[c].dataType.simpleString()}" for c in keep.columns[:-1])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lengths = np.asarray(pa.compute.list_value_length(batch.column("v")))
+            for n in np.unique(lengths):
+                part = batch.filter(pa.array(lengths == n))
+                v = part.column("v").flatten().to_numpy().reshape(part.num_rows, -1)
+                codes, *bounds = quantise(v / norms(v)[:, None])
+                columns = [*part.columns[:-1], pa.array([c.tobytes() for c in codes], pa.binary()), *map(pa.array, bounds)]
+                yield pa.RecordBatch.from_arrays(columns, [*part.schema.names[:-1], "codes", "scale", "near", "rest"])
+
+    return keep.mapInArrow(run, kinds + ", codes binary, scale double, near double, rest double")
+
+
 def _linked(nodes: DataFrame, tile_pairs: DataFrame, threshold: float) -> DataFrame:
     """(node, near, root) of each pair of tiles: for a node with links there, how many vectors it
     links with, copies counted, and the least node it reaches there. A group is the rows of two
-    tiles; it gives a row per node, not per link, so a dense group of near copies stays small."""
-    sides = tile_pairs.select("label", "length", "part_a", "part_b", F.explode(F.when(
+    tiles; it gives a row per node, not per link, so a dense group of near copies stays small.
+
+    First the codes of both tiles meet, and name the nodes with a pair that may link; then the
+    doubles of just these.
+    """
+    sides = tile_pairs.select(*TILES, F.explode(F.when(
         F.col("part_a") == F.col("part_b"), F.array("part_a")).otherwise(F.array("part_a", "part_b"))).alias("part"))
-    work = nodes.select("label", "length", "part", "node", "copies", "v").join(sides, ["label", "length", "part"])
+    place = ", ".join(f"{c} {tile_pairs.schema[c].dataType.simpleString()}" for c in TILES)
+
+    def screen(table: pa.Table) -> pa.Table:
+        table = _in_order(table)
+        ids, part, scale, near, rest = (table.column(c).to_numpy() for c in ("node", "part", "scale", "near", "rest"))
+        codes = np.frombuffer(b"".join(table.column("codes").to_pylist()), np.int8).reshape(len(ids), -1)
+        a, b = table.column("part_a")[0].as_py(), table.column("part_b")[0].as_py()
+        left, right = (tuple(x[part == p] for x in (codes, scale, near, rest)) for p in (a, b))
+        at_a, at_b, maybe = np.flatnonzero(part == a), np.flatnonzero(part == b), np.zeros(len(ids), bool)
+        for i, j in tile_candidates(left, right, threshold, a == b):
+            maybe[at_a[i]] = maybe[at_b[j]] = True
+        return table.filter(pa.array(maybe)).select([*TILES, "part", "node"])
+
+    work = _quantised(nodes).join(sides, ["label", "length", "part"])
+    due = work.groupBy(*TILES).applyInArrow(screen, f"{place}, part int, node long")
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.take(pa.compute.sort_indices(table, [("node", "ascending")]))
+        table = _in_order(table)
         ids, copies, part = (table.column(c).to_numpy() for c in ("node", "copies", "part"))
-        flat = table.column("v").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
+        flat = _matrix(table, "v")
         a, b = table.column("part_a")[0].as_py(), table.column("part_b")[0].as_py()
         at = np.arange(len(ids))
         i, j = tile_links(at[part == a], flat[part == a], at[part == b], flat[part == b], threshold, a == b)
@@ -158,4 +212,5 @@ def _linked(nodes: DataFrame, tile_pairs: DataFrame, threshold: float) -> DataFr
         some = np.flatnonzero(near)
         return pa.table({"node": ids[some], "near": near[some].astype(np.int64), "root": ids[local_roots(len(ids), i, j)[some]]})
 
-    return work.groupBy("label", "length", "part_a", "part_b").applyInArrow(run, "node long, near long, root long")
+    exact = due.join(nodes.select("label", "length", "part", "node", "copies", "v"), ["label", "length", "part", "node"])
+    return exact.groupBy(*TILES).applyInArrow(run, "node long, near long, root long")
