@@ -8,6 +8,7 @@ and table cells aligned in columns.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Generator, Iterable, Iterator
 from html import unescape
 
@@ -29,6 +30,8 @@ SPACED = frozenset("blockquote dl figure h1 h2 h3 h4 h5 h6 ol p pre table ul".sp
 #: Parts of a table that hold others, and all that make the elements around them part of its frame.
 SECTIONS = frozenset("thead tbody tfoot tr".split())
 PARTS = SECTIONS | {"td", "th", "caption"}
+#: Columns that a cell may span.
+MOST_COLUMNS = 1000
 #: An opening tag ends these open elements, up to the nearest element of the second set.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -44,17 +47,27 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|</([A-Za-z][^\s/>]*)[^>]*>?|<([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"?|'[^']*'?)*)>?", re.S
 )
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>]+)))?")
-_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+_GONE = re.compile(r"display\s*:\s*none", re.I)
+_VISIBILITY = re.compile(r"visibility\s*:\s*(visible|hidden|collapse)", re.I)
+_WHOLE = re.compile(r"\s*(-?\d{1,9})")
 _BLANKS = re.compile(r"[ \t\n\r\f]+")
 
 
 class Element:
-    """A tag with its children: text or further elements."""
+    """A tag with its children: text or further elements.
 
-    __slots__ = ("tag", "hidden", "start", "children")
+    ``hidden`` elements are gone with all in them; text of ``unseen`` ones is, but not that of
+    elements inside that are visible again. ``attributes`` are kept where layout needs them.
+    """
+
+    __slots__ = ("tag", "hidden", "unseen", "attributes", "children")
+
+    def __init__(self, tag: str, hidden: bool = False, unseen: bool = False, attributes: dict[str, str] | None = None):
+        self.tag, self.hidden, self.unseen, self.attributes, self.children = tag, hidden, unseen, attributes or {}, []
 
-    def __init__(self, tag: str, hidden: bool = False, start: int = 1):
-        self.tag, self.hidden, self.start, self.children = tag, hidden, start, []
+    def number(self, name: str, default: int) -> int:
+        m = _WHOLE.match(self.attributes.get(name, ""))
+        return int(m[1]) if m else default
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -62,7 +75,7 @@ def _attributes(text: str) -> dict[str, str]:
 
 
 def _unseen(tag: str, attributes: dict[str, str]) -> bool:
-    return (tag in HIDDEN or "hidden" in attributes or bool(_UNSEEN.search(attributes.get("style", "")))
+    return (tag in HIDDEN or "hidden" in attributes or bool(_GONE.search(attributes.get("style", "")))
             or tag == "input" and attributes.get("type", "").lower() == "hidden" or tag == "dialog" and "open" not in attributes)
 
 
@@ -86,7 +99,7 @@ def parse(html: str) -> Element:
     while at < len(html):
         m = _TOKEN.search(html, at)
         text = html[at : m.start() if m else len(html)]
-        if text:
+        if text and not stack[-1].unseen:
             stack[-1].children.append(unescape(text))
         if not m:
             break
@@ -108,14 +121,16 @@ def parse(html: str) -> Element:
                 close({"p"}, {"td", "th", "table", "button", "li", "div"})
             if tag == "html":
                 continue
-            start = int(s) if tag == "ol" and re.fullmatch(r"-?\d{1,9}", s := attributes.get("start", "").strip()) else 1
-            node = Element(tag, _unseen(tag, attributes), start)
-            if tag == "img" and attributes.get("alt"):
+            visibility = _VISIBILITY.findall(attributes.get("style", ""))
+            unseen = visibility[-1].lower() != "visible" if visibility else stack[-1].unseen
+            node = Element(tag, _unseen(tag, attributes), unseen, attributes)
+            if tag == "img" and attributes.get("alt") and not unseen:
                 node.children.append(attributes["alt"])
             stack[-1].children.append(node)
             if tag in RAW:
                 end = re.compile(rf"</{tag}\s*/?>|\Z", re.I).search(html, at)
-                node.children.append(unescape(html[at : end.start()]) if tag in ("textarea", "title") else html[at : end.start()])
+                if not unseen:
+                    node.children.append(unescape(html[at : end.start()]) if tag in ("textarea", "title") else html[at : end.start()])
                 at = end.end()
             elif tag == "form" and stack[-1].tag in ("table", *SECTIONS):
                 continue  # by the HTML standard such a form holds nothing, so it hides nothing either
@@ -223,8 +238,8 @@ def _table(table: Element, out: Layout, indent: int) -> Step:
     """
     out.space()
     holders = _holders(table)
-    rows: list[list[str]] = []
-    row: list[str] | None = None
+    rows: list[list[tuple[str, int, int]]] = []
+    row: list[tuple[str, int, int]] | None = None
     todo = [iter(table.children)]
     ends = [False]
     while todo:
@@ -242,7 +257,7 @@ def _table(table: Element, out: Layout, indent: int) -> Step:
             out.end_line()
             if row is None:
                 rows.append(row := [])
-            row.append(" ".join((yield _render(c)).split()))
+            row.append((" ".join((yield _render(c)).split()), min(max(c.number("colspan", 1), 1), MOST_COLUMNS), c.number("rowspan", 1)))
         elif c.tag == "caption":
             out.end_line()
             yield _write(c, out, indent)
@@ -262,16 +277,60 @@ def _table(table: Element, out: Layout, indent: int) -> Step:
             holder.children.append(c)
             yield _write(holder, out, indent)
     out.end_line()
-    rows = [r for r in rows if any(r)]
-    widths = [max((len(r[k]) for r in rows if len(r) > k), default=0) for k in range(max(map(len, rows), default=0))]
-    for r in rows:
-        out.add(" " * indent + "  ".join(cell.ljust(w) for cell, w in zip(r, widths)).rstrip())
+    for line in _aligned(rows):
+        out.add(" " * indent + line)
     out.space()
 
 
+def _aligned(rows: list[list[tuple[str, int, int]]]) -> list[str]:
+    """Lines of rows of cells (text, columns, rows): each cell begins where its column does, and a
+    column is as wide as its widest cell. Rows without any text are left out."""
+    grid: list[list[tuple[int, int, str]]] = []  # (column, columns, text)
+    taken: dict[int, int] = {}  # rows that cells above still reach into each column
+    for row in rows:
+        placed, column, reach = [], 0, {k: n - 1 for k, n in taken.items() if n > 1}
+        for text, across, down in row:
+            while column in taken:
+                column += 1
+            placed.append((column, across, text))
+            if down > 1 or down == 0:  # zero: to the end of the table
+                reach.update(dict.fromkeys(range(column, column + across), down - 1 if down else len(rows)))
+            column += across
+        grid.append(placed)
+        taken = reach
+    grid = [[c for c in row if c[2]] for row in grid]
+    used = sorted({c[0] for row in grid for c in row})
+    width = dict.fromkeys(used, 0)
+    inside = lambda column, across: [k for k in used[bisect_left(used, column) :] if k < column + across]
+    for row in sorted((c for r in grid for c in r), key=lambda c: c[1]):
+        column, across, text = row
+        columns = inside(column, across) if across > 1 else [column]
+        lack = len(text) - sum(width[k] + 2 for k in columns) + 2
+        if lack > 0:
+            width[columns[-1]] += lack
+    place, at = {}, 0
+    for k in used:
+        place[k] = at
+        at += width[k] + 2
+    lines = []
+    for row in grid:
+        line = ""
+        for column, _, text in row:
+            line = line.ljust(place[column]) + text
+        if line:
+            lines.append(line)
+    return lines
+
+
 def _write(node: Element, out: Layout, indent: int, pre: bool = False) -> Step:
-    number, pre = node.start, pre or node.tag == "pre"
-    for c in node.children:
+    pre = pre or node.tag == "pre"
+    number, step = node.number("start", 1), 1
+    if node.tag == "ol" and "reversed" in node.attributes:
+        step, number = -1, node.number("start", sum(isinstance(c, Element) and c.tag == "li" and not c.hidden for c in node.children))
+    children = node.children
+    if node.tag == "details" and "open" not in node.attributes:
+        children = [c for c in children if isinstance(c, Element) and c.tag == "summary"][:1]
+    for c in children:
         if isinstance(c, str):
             if pre:
                 *whole, rest = c.split("\n")
@@ -288,10 +347,11 @@ def _write(node: Element, out: Layout, indent: int, pre: bool = False) -> Step:
             out.end_line()
         elif tag == "table":
             yield _table(c, out, indent)
-        elif tag == "li":
+        elif tag == "li" and not c.unseen:
             out.end_line()
+            number = c.number("value", number) if node.tag == "ol" else number
             out.begin_item(" " * indent + (f"{number}. " if node.tag == "ol" else "- "))
-            number += 1
+            number += step
             yield _write(c, out, 0)
             out.end_item()
         elif tag in ("ul", "ol", "menu", "dir"):

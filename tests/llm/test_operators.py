@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from html.parser import HTMLParser
 from itertools import combinations
 
 import numpy as np
@@ -241,6 +242,69 @@ def test_html_text_anywhere_in_tables():
         assert html_text.extract(html) == text, html
 
 
+def test_html_layout_attributes():
+    cases = {
+        "<table><tr><th colspan=2>wide head<th>z<tr><td>a<td>b<td>c</table>": "wide head  z\na  b       c",
+        "<table><tr><th>k<th>v<th>w<tr><td rowspan=2>one<td>1<td>x<tr><td>2<td>y</table>": "k    v  w\none  1  x\n     2  y",
+        "<table><tr><td>a<td colspan=2>b<tr><td>c<td>d<td>e</table>": "a  b\nc  d  e",
+        "<div style='visibility:hidden'>no <b style='visibility: visible'>yes</b> no<ul><li>no</ul></div>": "yes",
+        "<p style='display:none'>no <b style='visibility:visible'>no</b></p>so": "so",
+        "<details><summary>more</summary>inner</details><details open><summary>s</summary>shown</details>": "more\ns\nshown",
+        "<ol><li value=4>a<li>b</ol>": "4. a\n5. b", "<ol reversed><li>a<li>b<li>c</ol>": "3. a\n2. b\n1. c", "<ol reversed start=9><li>a<li>b</ol>": "9. a\n8. b",
+        "<table><tr><td colspan=99999999>a<td rowspan=0>b<tr><td>c</table>": "a  b\nc",
+    }
+    for html, text in cases.items():
+        assert html_text.extract(html) == text, (html, html_text.extract(html))
+
+
+class PlainText(HTMLParser):
+    """Words that are not in an element that shows nothing, in order, by a parser that keeps no tree."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.open, self.words = [], []
+
+    def handle_starttag(self, tag, attrs):
+        attrs = dict(attrs)
+        if tag == "img" and attrs.get("alt") and not any(self.open_hidden()):
+            self.words += attrs["alt"].split()
+        if tag not in html_text.VOID:
+            style = (attrs.get("style") or "").replace(" ", "")
+            self.open.append((tag, tag in html_text.HIDDEN or "hidden" in attrs or "display:none" in style or "visibility:hidden" in style))
+
+    def handle_startendtag(self, tag, attrs):
+        self.handle_starttag(tag, attrs)
+
+    def handle_endtag(self, tag):
+        if any(t == tag for t, _ in self.open):
+            while self.open.pop()[0] != tag:
+                pass
+
+    def open_hidden(self):
+        return [h for _, h in self.open]
+
+    def handle_data(self, data):
+        if not any(self.open_hidden()):
+            self.words += data.split()
+
+
+def test_html_query_keeps_all_visible_text(spark):
+    pages = {r.page_id: r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
+    got = queries.queries()["op7_html"](spark, SF).collect()
+    assert len(got) == len(pages)
+    for r in got:
+        if pages[r.page_id] is None:
+            assert r.text is None
+            continue
+        plain = PlainText()
+        plain.feed(pages[r.page_id])
+        plain.close()
+        joined = "".join(plain.words)
+        seen = "".join(re.sub(r"(?m)^ *(?:- |\d+\. )+", "", r.text).split())
+        assert sorted(seen) == sorted(joined), r.page_id
+        assert "<table" in pages[r.page_id] or seen == joined, r.page_id
+
+
 def test_html_at_any_depth():
     page = "<div hidden>no</div><p style='display:none'>no</p>yes<ul><li>a<li>b</ul><table><tr><td>c<td>d</table><pre>x  y\n z</pre>"
     seen = "yes\n\n- a\n- b\n\nc  d\n\nx  y\n z"
