@@ -17,11 +17,17 @@ from .common import SPACE_CLASS, trimmed_words, word_count
 ADDED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "clean_text", "lost_share", "kept", "_words", "_lines", "_clean")
 SYMBOLS = "#*$%&|<>"
 ACCEPTED_END = r"[\p{L}\p{N}.!?:;,\"'’”)\]…]|^$"
-#: Phrases that mark a line as boilerplate, lower case.
+#: Phrases that mark a line as boilerplate in English, German, French and Spanish, lower case.
 BOILERPLATE = (
     "all rights reserved", "terms of use", "terms of service", "privacy policy", "cookie policy", "use of cookies",
     "uses cookies", "enable javascript", "lorem ipsum", "subscribe to our newsletter", "click here to", "sign up for",
     "powered by", "back to top", "skip to content",
+    "alle rechte vorbehalten", "nutzungsbedingungen", "datenschutzerklärung", "verwendet cookies", "cookies akzeptieren",
+    "javascript aktivieren", "newsletter abonnieren", "klicken sie hier", "nach oben", "zum inhalt springen",
+    "tous droits réservés", "conditions d'utilisation", "politique de confidentialité", "utilise des cookies", "accepter les cookies",
+    "activer javascript", "abonnez-vous à notre newsletter", "cliquez ici", "retour en haut", "aller au contenu",
+    "todos los derechos reservados", "términos de uso", "política de privacidad", "utiliza cookies", "aceptar las cookies",
+    "habilitar javascript", "suscríbete a nuestro boletín", "haga clic aquí", "volver arriba", "saltar al contenido",
 )
 
 

@@ -136,7 +136,7 @@ reach(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM
 n AS (SELECT a, count(*) AS n_links FROM links GROUP BY a), c AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
 SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept FROM embeddings JOIN c ON c.a = vec_id LEFT JOIN n ON n.a = vec_id"""
 
-_PHRASES = " OR ".join(f"contains(lower(line), '{p}')" for p in quality.BOILERPLATE)
+_PHRASES = " OR ".join(f"contains(lower(line), '{p}')" for p in (q.replace("'", "''") for q in quality.BOILERPLATE))
 _OP5 = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {_WORDS.format("text")} AS words FROM documents),
 p AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM d),

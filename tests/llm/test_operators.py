@@ -160,6 +160,13 @@ def test_quality(spark, docs, texts):
     assert [r.v for r in rows] == [None, "navigation", "boilerplate", "symbols", "shouting", "punctuation", None]
 
 
+@pytest.mark.parametrize("line", ["© 2020 Acme. Alle Rechte vorbehalten.", "Tous droits réservés.", "Todos los derechos reservados.", "Voir nos conditions d'utilisation.", "Bitte JavaScript aktivieren."])
+def test_boilerplate_in_four_languages(spark, line):
+    good = "Die Rechte der Bürger sind im Gesetz genannt."
+    rows = spark.createDataFrame([(line,), (good,)], "line string").select(quality.line_verdict(F.col("line")).alias("v")).collect()
+    assert [r.v for r in rows] == ["boilerplate", None]
+
+
 def test_bpe(spark, docs, texts):
     ranks = bpe.read_ranks(queries.RANKS)
     coder = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
