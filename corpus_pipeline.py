@@ -1,7 +1,9 @@
 """A corpus pipeline over ``documents``: each stage is one operator of palimpsest.llm.
 
 Every stage takes (spark, docs, sf_dir) and gives a DataFrame that is written as Parquet and read
-again as the next one's docs. All but the last return the columns of documents.
+again as the next one's docs. All but the last return the columns of documents. For every stage: an
+empty table gives an empty one, further columns are left out whatever their names, ids and sources
+may be null, and repeated rows are separate documents unless said otherwise.
 """
 
 from __future__ import annotations
@@ -20,7 +22,11 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity chain does not reject."""
+    """Documents that the toxicity chain does not reject.
+
+    Null and empty texts have no features, so they are judged by the chain's bias alone. Without
+    labels of both classes nothing is rejected. A document whose score is the threshold is.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.classify(docs.select(*COLUMNS), labels).where(~F.col("is_toxic")).select(*COLUMNS)
 
@@ -29,7 +35,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One document of each SimHash class, that of least doc_id.
 
     Rows are told apart by doc_id and text, so rows that share an id by mistake are separate
-    documents; a null doc_id counts as larger than any.
+    documents, and rows that share both are one; a null doc_id counts as larger than any. Null and
+    empty texts have fingerprint zero, so one of them all stays.
     """
     key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.xxhash64("text").alias("h"))
     rows = docs.select(*COLUMNS, key.alias("key"))
@@ -40,19 +47,30 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with each found span replaced by its kind in angle brackets; n_chars follows the text."""
+    """Documents with each found span replaced by its kind in angle brackets; n_chars follows the text.
+
+    No row goes. Null and empty texts stay as they are; the field is estimated from the stage's input.
+    """
     kept = docs.select(*COLUMNS)
     found = pii.find(kept, pii.train(kept), redacted=True)
     return found.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
+    """Documents as often as the mix takes them.
+
+    A null source is a source; null and empty texts have size 0 and are taken at the rate of their
+    source. Rows that share id and text are taken alike. Of sources of equal rank there are none, as
+    ranks follow the name.
+    """
     return mixing.mixed(docs.select(*COLUMNS))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document as digests, and whether they decode to its text."""
+    """Tokens of each document, with digests of their ids and of the bytes they decode to.
+
+    Null and empty texts have no tokens and the digests of nothing.
+    """
     coded = bpe.encode_decode(docs, RANKS, public_tokenizers.PATTERN, keep=("doc_id", "source"))
     return coded.select(
         "doc_id", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
