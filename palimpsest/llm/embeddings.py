@@ -79,7 +79,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
 
     Rows of equal, non-null label link at cosine >= ``threshold`` in double precision. Vectors that
     are null, empty, zero, or hold a null or non-finite component link with nothing, nor do vectors
-    of different length, nor rows without an id. Repeated rows link like other equal vectors. An empty table gives an empty
+    of different length, nor rows without an id. Ids are whole numbers; others raise. Repeated rows link like other equal vectors. An empty table gives an empty
     table; other columns are ignored.
 
     The least projection on a fixed direction orders a label's vectors; unit vectors within the

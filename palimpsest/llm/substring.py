@@ -208,15 +208,16 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Each word is removed that some window of ``window`` words covers whose words also start in a
     row of smaller id, judged on the input. Kept words are joined by one space. Null and empty texts
     have no words; texts shorter than a window lose nothing. Rows of one id do not remove each
-    other's words; a null id counts as larger than any. Windows of one long prefix are compared by
+    other's words; a null id counts as larger than any. Ids are whole numbers; others raise. Windows of one long prefix are compared by
     128-bit digests, all others word by word. Other columns are ignored.
     """
     most_id = (1 << 63) - 1
     rows = docs.select(F.col(id_col).cast("long").alias("own"), F.col(text_col).alias("text"))
     rows = rows.select("own", F.coalesce("own", F.lit(most_id)).alias("id"), F.xxhash64("text").alias("h"), "text")
     runs = repeats(rows.select("id", "h", "text"), window, prefix, most)
-    runs = runs.groupBy("id", "h").agg(F.collect_list("start").alias("start"), F.collect_list("end").alias("end"))
-    joined = rows.join(runs, ["id", "h"], "left").select("own", "text", "start", "end")
+    # a set, as rows that share id and text find the same runs, however many they are
+    runs = runs.groupBy("id", "h").agg(F.collect_set(F.struct("start", "end")).alias("runs"))
+    joined = rows.join(runs, ["id", "h"], "left").select("own", "text", F.col("runs.start").alias("start"), F.col("runs.end").alias("end"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

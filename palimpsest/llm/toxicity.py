@@ -146,7 +146,8 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], id_
     ``categories`` maps names, in chain order, to 0/1 columns over ``labels`` joined with ``docs``;
     null counts as 0. The sample is the labels of least hashed id, so it is the same in every run;
     only it is broadcast, and only features of ``max_labelled`` rows reach the driver. Labels without
-    a document, and null ids, are ignored; of documents that share an id each counts, up to the bound.
+    a document, and null ids, are ignored; of documents that share an id each counts, up to the bound. Ids are
+    whole numbers; others raise.
     """
     sample = labels.where(F.col(id_col).isNotNull()).orderBy(F.xxhash64(id_col), id_col).limit(max_labelled)
     joined = docs.join(F.broadcast(sample.dropDuplicates([id_col])), id_col)
