@@ -33,6 +33,11 @@ def split_number(key: Column, parts: int) -> Column:
     return F.pmod(F.hash(key), F.lit(parts))
 
 
+def sorted_report(rows: DataFrame, *order: str, part: str = "file") -> DataFrame:
+    """A report in order, by ``part`` first: Spark deals the rows by range, so no task holds them all."""
+    return rows.orderBy(part, *order)
+
+
 def write_xml(nested: DataFrame, path: str, single: bool = False) -> None:
     """A nested report; with ``single`` one document, for results of a size that one task can write."""
     (nested.coalesce(1) if single else nested).write.mode("overwrite").option("rootTag", "BlastOutput_iterations").option("rowTag", "Iteration").xml(path)

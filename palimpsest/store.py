@@ -196,18 +196,27 @@ class Store:
         store only what changed.
         """
         files = manifest.from_folder(self.spark, path, version)
-        fields = F.create_map(F.lit("ID"), F.col("path"), F.lit("PATH"), F.col("path"), F.lit("HASH"), F.col("hash"), F.lit("SIZE"), F.col("size").cast("string"), F.lit("SUFFIX"), path_suffix(F.col("path")))
+        fields = F.create_map(F.lit("ID"), F.col("path"), F.lit("PATH"), F.col("path"), F.lit("HASH"), F.col("hash"), F.lit("SIZE"), F.col("size").cast("string"), F.lit("SUFFIX"), path_suffix(F.col("path")),
+                              F.lit("BELOW"), F.substring_index("path", path.rstrip("/") + "/", -1))
         return self.put(files.select(F.col("path").alias("entry_key"), fields.alias("fields")), collection, version, "fullfile")["n_entries"]
 
     def files(self, collection: str, stop: int | None = None) -> DataFrame:
-        """Manifest of a file collection as of a version: (path, size, hash, version, is_deleted)."""
+        """Manifest of a file collection as of a version: (path, size, hash, version, is_deleted, below)."""
         cells, seen = (self.table(t).where((F.col("collection") == collection) & F.col("entry_key").isNotNull()) for t in ("cells", "presence"))
         known = [v for v in self.versions(collection) if stop is None or v <= stop]
         at = known[-1] if known else -1
         of = lambda name: F.element_at("fields", F.lit(name))
         here = asof.present_at(seen, at).withColumn("here", F.lit(True))
         rows = asof.state(cells, at).join(here, "entry_key", "left")
-        return rows.select(of("PATH").alias("path"), of("SIZE").cast("long").alias("size"), of("HASH").alias("hash"), F.element_at("versions", F.lit("HASH")).alias("version"), F.col("here").isNull().alias("is_deleted"))
+        return rows.select(of("PATH").alias("path"), of("SIZE").cast("long").alias("size"), of("HASH").alias("hash"), F.element_at("versions", F.lit("HASH")).alias("version"), F.col("here").isNull().alias("is_deleted"), of("BELOW").alias("below"))
+
+    def get_file(self, path: str, stop: int | None = None) -> DataFrame:
+        """The live file at ``path``, as :meth:`files` has it: of the collection named by the nearest
+        folder above it (or by the path itself), the file that lies there. No row if there is none."""
+        asked = self.spark.createDataFrame([(path,)], "path string")
+        folder = manifest.super_paths(asked, self.table("collections").select(F.col("collection").alias("path"))).first().super_path
+        rows = manifest.live(self.files(folder if folder is not None else path, stop))
+        return rows.where(F.col("below") == path[len(folder or "") :].lstrip("/"))
 
     # get
 

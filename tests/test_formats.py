@@ -118,6 +118,8 @@ def test_xml_and_text(spark, tmp_path):
     assert "<Iteration_hits>" in text and "<Hit_id>s</Hit_id>" in text and text.count("<Hsp>") == 1
     rows = spark.createDataFrame([("b", "x"), ("a", "y"), ("c", "")], "entry_key string, text string")
     assert [r.value for r in sinks.key_value_lines(rows, "entry_key", "text").collect()] == ["b\nx", "a\ny", "c"]
+    report = spark.createDataFrame([("g", 1, "x"), ("f", 2, "y"), ("f", 1, "z")], "file string, n int, v string")
+    assert [r.v for r in sinks.sorted_report(report, "n").collect()] == ["z", "y", "x"]
     parts = sinks.split_sorted(rows, 2).withColumn("p", F.spark_partition_id()).withColumn("n", sinks.split_number(F.col("entry_key"), 2)).collect()
     assert all(r.p == r.n for r in parts)
     assert sinks.result_digest(rows) == sinks.result_digest(rows.orderBy(F.desc("text")))

@@ -141,3 +141,10 @@ def test_raw_files(spark, tmp_path):
     now = {r.path.rsplit("/", 1)[1]: (r.size, r.version, r.is_deleted) for r in store.files("raw").collect()}
     assert now == {"a.txt": (7, 2, False), "b.txt": (3, 1, True)}
     assert store.files("raw", 1).where("is_deleted").count() == 0
+    (folder / "sub").mkdir()
+    (folder / "sub/a.txt").write_text("inner")
+    store.put_raw(str(folder), "work/set", 1)
+    store.put_raw(str(folder / "sub"), "work/set/sub", 1)
+    found = lambda path: [(r.path.split("/raw/")[1], r.size) for r in store.get_file(path).collect()]
+    assert found("work/set/a.txt") == [("a.txt", 7)] and found("work/set/sub/a.txt") == [("sub/a.txt", 5)]
+    assert found("work/set/b.txt") == found("work/else/a.txt") == found("none") == []
