@@ -22,12 +22,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import text_slices, tidy
+from .common import text_bytes, text_slices, tidy
 
 #: Bytes of text encoded at once.
 ENCODE_BYTES = 4 << 20
-#: Bytes of remembered pieces and ids, in each of two generations; the older one is dropped when the newer is full.
-REMEMBERED_BYTES = 24 << 20
+#: Bytes of remembered pieces and ids; when there are more, all are forgotten but the vocabulary's own.
+REMEMBERED_BYTES = 32 << 20
 #: Rows that one recursive query starts from (a longer unit is taken alone), and all rows of its rounds.
 QUERY_ROWS, ROUND_ROWS = 300_000, 4_800_000
 #: DuckDB's memory in a task, in MB; a single very long unit or text gets more, by its length. Nothing is spilled.
@@ -40,10 +40,9 @@ WITH RECURSIVE s(w, step, pos, tok, before, after, after_tok, rank) AS (
         SELECT *, lag(pos) OVER word AS before, lead(pos) OVER word AS after, lead(tok) OVER word AS after_tok FROM start WINDOW word AS (PARTITION BY w ORDER BY pos)
     ) LEFT JOIN merges m ON m.a = tok AND m.b = after_tok
   UNION ALL (
-    WITH least AS (SELECT w, min((rank::BIGINT << 42) | pos) AS hit FROM s WHERE rank IS NOT NULL AND step < {rounds} GROUP BY w),
-    pair AS (
-        SELECT s.w, (hit >> 42)::INT AS made, s.before AS head, s.pos AS gone, s.after, s.after_tok
-        FROM least l JOIN s ON s.w = l.w AND s.before = hit & ((1::BIGINT << 42) - 1)),
+    WITH hits AS (SELECT w, min((rank::BIGINT << 32) | pos) AS hit FROM s WHERE rank IS NOT NULL AND step < {rounds} GROUP BY w),
+    least AS (SELECT w, (hit >> 32)::INT AS made, (hit & 4294967295)::INT AS head FROM hits),
+    pair AS (SELECT s.w, made, head, s.pos AS gone, s.after, s.after_tok FROM least l JOIN s ON s.w = l.w AND s.before = l.head),
     n AS (
         SELECT s.w, step, s.pos, s.pos = head AS is_head, s.pos = head OR s.after = head AS changed, rank,
             CASE WHEN is_head THEN made ELSE tok END AS tok, CASE WHEN s.before = gone THEN head ELSE s.before END AS before,
@@ -73,7 +72,7 @@ SELECT w, step, pos, tok FROM s
 """
 
 _DECODE = """
-SELECT doc, string_agg(v.latin, '' ORDER BY pos) AS bytes FROM tokens JOIN vocabulary v USING (id) GROUP BY doc
+SELECT doc, array_to_string(list(v.latin ORDER BY pos), '') AS bytes FROM tokens JOIN vocabulary v USING (id) GROUP BY doc
 """
 
 
@@ -104,18 +103,20 @@ def neighbours(ranks: dict[bytes, int]) -> np.ndarray:
 
 
 class Codec:
-    """The DuckDB tables of one vocabulary, and what a task has encoded."""
+    """The DuckDB tables of one vocabulary, and what a task has encoded: pieces, in Arrow, and their
+    ids, the sizes and starts of which are numpy arrays."""
 
     def __init__(self, ranks: dict[bytes, int], merges: dict[str, np.ndarray], pattern: str):
-        self.ranks, self.pattern = ranks, regex.compile(pattern)
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.held = 0
+        self.pattern = regex.compile(pattern)
         self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": f"{MEMORY_MB}MB", "temp_directory": "", "preserve_insertion_order": False})
         self._table("merges", **merges)
         self._table("vocabulary", id=np.array([*ranks.values()], np.int32), latin=[t.decode("latin-1") for t in ranks])
         self.beside = neighbours(ranks)
         self.byte_ids = np.array([ranks.get(bytes([i]), -1) for i in range(256)], np.int32)
+        whole = {t.decode(errors="replace"): r for t, r in ranks.items()}  # a replaced one stands for no piece that is valid
+        whole = {t: r for t, r in whole.items() if "\ufffd" not in t}
+        self.own = pa.array([*whole], pa.large_string()), np.array([*whole.values()], "<u4"), np.ones(len(whole), np.int64)
+        self.pieces, self.ids, self.sizes = self.own
 
     def _table(self, name: str, **columns) -> None:
         rows = pa.table({k: pa.array(v) for k, v in columns.items()})
@@ -137,11 +138,10 @@ class Codec:
             if needed > MEMORY_MB:
                 self.con.execute(f"SET memory_limit = '{MEMORY_MB}MB'")
 
-    def contract(self, words: list[bytes]) -> list[bytes]:
-        """Ids of each word as little-endian unsigned 32-bit integers."""
-        lengths = np.array([len(w) for w in words], np.int64)
-        starts = np.cumsum(lengths) - lengths
-        raw = np.frombuffer(b"".join(words), np.uint8)
+    def contract(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words in a row, and how many each word has."""
+        raw, offsets = text_bytes(words)
+        starts, lengths = offsets[:-1], np.diff(offsets)
         new = np.ones(len(raw), bool)
         new[1:] = ~self.beside[raw[:-1], raw[1:]]
         new[starts[lengths > 0]] = True
@@ -172,35 +172,22 @@ class Codec:
             state = [np.concatenate(c) for c in zip(*left)]
             query = _CONTRACT_ALL
         alive = token >= 0
-        ids = token[alive].astype("<u4").tobytes()
-        ends = np.append(0, np.cumsum(alive))[np.append(starts, len(raw))] * 4
-        return [ids[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
-
-    def _ids(self, pieces: list[str]) -> list[bytes]:
-        """Ids of distinct pieces; a piece that is a token is that token, others are remembered."""
-        if self.held > REMEMBERED_BYTES:
-            self.known, self.older, self.held = {}, self.known, 0
-        out, unmet = [], []
-        for k, piece in enumerate(pieces):
-            found = self.known.get(piece)
-            if found is None:
-                rank = self.ranks.get(piece.encode())
-                if rank is not None:
-                    found = rank.to_bytes(4, "little")
-                elif (found := self.older.get(piece)) is not None:
-                    self._keep(piece, found)
-                else:
-                    unmet.append(k)
-            out.append(found)
-        if unmet:
-            for k, ids in zip(unmet, self.contract([pieces[k].encode() for k in unmet])):
-                out[k] = ids
-                self._keep(pieces[k], ids)
-        return out
-
-    def _keep(self, piece: str, ids: bytes) -> None:
-        self.known[piece] = ids
-        self.held += 2 * len(piece) + len(ids) + 180  # two objects and a slot
+        return token[alive].astype("<u4"), np.diff(np.append(0, np.cumsum(alive))[offsets])
+
+    def _known(self, pieces: pa.Array) -> np.ndarray:
+        """Where distinct pieces are among the remembered ones, those not met yet being encoded first."""
+        if self.pieces.nbytes + self.ids.nbytes + self.sizes.nbytes > REMEMBERED_BYTES:
+            self.pieces, self.ids, self.sizes = self.own
+        at = pa.compute.index_in(pieces, value_set=self.pieces)
+        if at.null_count:
+            unmet = pieces.filter(at.is_null())
+            ids, sizes = self.contract(unmet)
+            new = np.flatnonzero(at.is_null())
+            at = np.array(pa.compute.fill_null(at, 0))
+            at[new] = len(self.pieces) + np.arange(len(new))
+            self.pieces = pa.concat_arrays([self.pieces, unmet])
+            self.ids, self.sizes = np.concatenate([self.ids, ids]), np.concatenate([self.sizes, sizes])
+        return np.asarray(at)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
@@ -212,13 +199,10 @@ class Codec:
             counts.append(len(found))
         coded = pa.array(pieces, pa.large_string()).dictionary_encode()
         del pieces
-        ids = self._ids(coded.dictionary.to_pylist())
-        size = np.array([len(i) // 4 for i in ids], np.int64)
-        flat, start = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(size) - size
-        codes = coded.indices.to_numpy()
-        times = size[codes]
+        at = self._known(coded.dictionary)[coded.indices.to_numpy()]
+        times, start = self.sizes[at], (np.cumsum(self.sizes) - self.sizes)[at]
         ends = np.append(0, np.cumsum(times))
-        tokens = flat[np.repeat(start[codes] - ends[:-1], times) + np.arange(ends[-1])].tobytes()
+        tokens = self.ids[np.repeat(start - ends[:-1], times) + np.arange(ends[-1])].tobytes()
         cuts = (ends[np.append(0, np.cumsum(counts, dtype=np.int64))] * 4).tolist()
         return [tokens[a:b] for a, b in zip(cuts, cuts[1:])]
 
