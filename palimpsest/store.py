@@ -252,7 +252,9 @@ class Store:
             entries = entries.join(window, [*KEYS], "left_semi")
         elif patterns:
             entries = entries.where(filters.matches(patterns, F.col("fields")))
-        existing = sinks.first_per_key(fmt.rendered(entries, kind, addendum))
+        rendered = fmt.rendered(entries, kind, addendum)
+        once = shared and self.table("versions").where((F.col("collection") == collection) & (F.col("run_id") != "")).isEmpty()
+        existing = rendered if once else sinks.first_per_key(rendered)  # without run-scoped puts a key is there once
         deleted = asof.deleted_in_window(seen, start, at, KEYS).select("entry_key").distinct()
         metadata = counts.get_metadata(existing, seen, start, at, collection, kind or fmt.default_type, addendum)
         return GetResult(status, start, stop, existing, deleted, metadata)
