@@ -100,6 +100,30 @@ def test_mixing_is_near_its_targets(spark):
             assert abs(r.taken - r.target) <= (r.longest if r.n >= 10 else r.target), r
 
 
+def brute_lines(coder, text):
+    return brute_sections(coder, text, re.findall(r"[^\n]*\n|[^\n]+\Z", text) or [""])
+
+
+def brute_sections(coder, text, parts):
+    """(section, start, end, tokens, crossing) of each part of a text, token by token."""
+    lines, at = [], 0
+    for k, line in enumerate(parts):
+        lines.append([k, at, at + len(line), 0, 0])
+        at += len(line)
+    raw, byte = text.encode(), 0
+    line_of = [k for k, a, b, _, _ in lines for _ in range(a, b)]
+    char_of = [i for i, c in enumerate(text) for _ in c.encode()]
+    for token in coder.encode_ordinary(text):
+        size = len(coder.decode_single_token_bytes(token))
+        first, last = char_of[byte], char_of[byte + size - 1]
+        own = line_of[first]
+        lines[own][3] += 1
+        lines[own][4] += line_of[last] != own
+        byte += size
+    assert byte == len(raw)
+    return [tuple(x) for x in lines]
+
+
 def test_token_counts(spark, docs, texts):
     coder = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(queries.RANKS), special_tokens={})
     got = tokens.count_sections(docs, queries.RANKS, public_tokenizers.PATTERN).collect()
@@ -109,12 +133,15 @@ def test_token_counts(spark, docs, texts):
         text = texts[r.id]
         assert text[r.start : r.end].rstrip("\n").count("\n") == 0
     assert total == {i: len(coder.encode_ordinary(t)) for i, t in texts.items()}
-    some = {i: t for i, t in texts.items() if i < 20}
-    for i, t in some.items():
-        starts = coder.decode_with_offsets(coder.encode_ordinary(t))[1]
-        own = {r.section: r for r in got if r.id == i}
-        for r in own.values():
-            assert r.n_tokens == sum(r.start <= s < r.end for s in starts)
+    expected = {(i, *row) for i, t in texts.items() for row in brute_lines(coder, t)}
+    assert {(r.id, r.section, r.start, r.end, r.n_tokens, r.n_crossing) for r in got} == expected and len(got) == len(expected)
+    cuts = docs.where("doc_id < 60").withColumn("cuts", F.transform(F.sequence(F.lit(1), F.lit(40)), lambda k: k * 7))
+    got = tokens.count_sections(cuts, queries.RANKS, public_tokenizers.PATTERN, bounds_col="cuts").collect()
+    expected = {(i, *row) for i, t in texts.items() if i < 60 for row in brute_sections(coder, t, [t[a : a + 7] for a in range(0, min(len(t), 280), 7)] + [t[280:]] * (len(t) > 280))}
+    assert {(r.id, r.section, r.start, r.end, r.n_tokens, r.n_crossing) for r in got} == expected and sum(r.n_crossing for r in got) > 100
+    word = "ab" * 40_000 + "\n" + "q" * 90_000
+    long = tokens.count_sections(spark.createDataFrame([(1, word)], "doc_id long, text string"), queries.RANKS, public_tokenizers.PATTERN).collect()
+    assert sum(r.n_tokens for r in long) == len(coder.encode_ordinary(word)) and len(long) == 2
     starts, ends, bounds = np.array([0, 2, 5]), np.array([2, 5, 9]), np.array([0, 3, 6, 9])
     assert [tokens.attribute(starts, ends, bounds, rule).tolist() for rule in tokens.RULES] == [[0, 0, 1], [0, 1, 2], [0, 1, 2]]
 
