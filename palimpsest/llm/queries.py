@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embeddings, html_text, mixing, pii, quality, simhash, substring, tokens, toxicity
+from . import bpe, embeddings, html_text, mixing, pii, quality, simhash, substring, tokens, toxicity, urls
 
 #: The folder of public tokenizers is a package; its files are read where they lie.
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -91,8 +91,20 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: The rules of the query (host, path, verdict).
+URL_RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block"))
+
+
+def op11_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's address."""
+    rules = spark.createDataFrame([*URL_RULES], "host string, path string, verdict string")
+    words = spark.createDataFrame([(w,) for w in urls.BLOCKED_WORDS], "word string")
+    judged = urls.judge(_table(spark, sf_dir, "pages").select("page_id", "url"), urls.build(rules, words))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "word")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_substring": op1_substring, "op2_mixing": op2_mixing, "op3_token_counts": op3_token_counts, "op4_embeddings": op4_embeddings, "op5_quality": op5_quality, "op6_bpe": op6_bpe, "op7_html": op7_html, "op8_pii": op8_pii, "op9_toxicity": op9_toxicity, "op10_simhash": op10_simhash}
+    return {"op1_substring": op1_substring, "op2_mixing": op2_mixing, "op3_token_counts": op3_token_counts, "op4_embeddings": op4_embeddings, "op5_quality": op5_quality, "op6_bpe": op6_bpe, "op7_html": op7_html, "op8_pii": op8_pii, "op9_toxicity": op9_toxicity, "op10_simhash": op10_simhash, "op11_urls": op11_urls}
 
 
 _WORDS = r"regexp_extract_all(coalesce({}, ''), '[^\x20\x09-\x0D]+')"
@@ -158,6 +170,18 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT base_failed AND lost <= CAST(0.3 AS DOUBLE) AND (n_dup_lines <= 2 OR n_dup_lines <= CAST(0.3 AS DOUBLE) * n_lines) AS kept FROM b"""
 
 
+_RULES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
+_BAD = ", ".join(f"'{w}'" for w in urls.BLOCKED_WORDS)
+_OP11 = rf"""
+WITH a AS (SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), '{urls.UPPER}', '{urls.LOWER}') AS host,
+  coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+r AS (SELECT * FROM (VALUES {_RULES}) AS t(rule_host, rule_path, said)),
+f AS (SELECT page_id, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule, arg_max(said, length(rule_host || rule_path)) AS said
+  FROM a JOIN r ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY page_id),
+w AS (SELECT a.page_id, host, path, rule, said, CASE WHEN rule IS NULL THEN list_filter(regexp_extract_all(host, '[a-z0-9]+'), lambda x: x IN ({_BAD}))[1] END AS word FROM a LEFT JOIN f ON f.page_id = a.page_id)
+SELECT page_id, host, path, rule, coalesce(said, CASE WHEN word IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict, word FROM w"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL for the operators that it can express; tests hold the others against brute force."""
-    return {"op1_substring": _OP1, "op2_mixing": _OP2, "op4_embeddings": _OP4, "op5_quality": _OP5}
+    return {"op1_substring": _OP1, "op2_mixing": _OP2, "op4_embeddings": _OP4, "op5_quality": _OP5, "op11_urls": _OP11}
