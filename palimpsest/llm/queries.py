@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embeddings, html_text, mixing, pii, quality, simhash, substring, tokens, toxicity, urls
+from . import bpe, embeddings, html_text, mixing, pii, quality, simhash, spelling, substring, tokens, toxicity, urls
 
 #: The folder of public tokenizers is a package; its files are read where they lie.
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -103,8 +103,13 @@ def op11_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "word")
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form and root of every word of the documents that occurs three times."""
+    return spelling.variants(spelling.vocabulary(_table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_substring": op1_substring, "op2_mixing": op2_mixing, "op3_token_counts": op3_token_counts, "op4_embeddings": op4_embeddings, "op5_quality": op5_quality, "op6_bpe": op6_bpe, "op7_html": op7_html, "op8_pii": op8_pii, "op9_toxicity": op9_toxicity, "op10_simhash": op10_simhash, "op11_urls": op11_urls}
+    return {"op1_substring": op1_substring, "op2_mixing": op2_mixing, "op3_token_counts": op3_token_counts, "op4_embeddings": op4_embeddings, "op5_quality": op5_quality, "op6_bpe": op6_bpe, "op7_html": op7_html, "op8_pii": op8_pii, "op9_toxicity": op9_toxicity, "op10_simhash": op10_simhash, "op11_urls": op11_urls, "op12_spelling": op12_spelling}
 
 
 _WORDS = r"regexp_extract_all(coalesce({}, ''), '[^\x20\x09-\x0D]+')"
@@ -182,6 +187,24 @@ w AS (SELECT a.page_id, host, path, rule, said, CASE WHEN rule IS NULL THEN list
 SELECT page_id, host, path, rule, coalesce(said, CASE WHEN word IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict, word FROM w"""
 
 
+_OP12 = rf"""
+WITH RECURSIVE tab AS (SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t FROM range(256) AS r(i)),
+runs AS (SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '{spelling.LETTERS}')), '{urls.UPPER}', '{urls.LOWER}') AS run FROM documents),
+c AS (SELECT doc_id, run, count(*) AS k FROM runs WHERE length(run) >= 5 GROUP BY ALL),
+b AS (SELECT run, k, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS x FROM c),
+h AS (SELECT run, k, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length(x) // 2 + 1), lambda j: CAST('0x' || substr(x, 2 * j - 1, 2) AS BIGINT))), lambda s, v: xor(s >> 8, t[(xor(s, v) & 255) + 1])), 4294967295) AS h FROM b, tab),
+w AS (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, k FROM h),
+v AS (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM w WHERE length(word) >= 5 GROUP BY word HAVING sum(k) >= 3),
+i AS (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM v), d AS (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS less FROM i),
+p AS (SELECT x.word AS a, y.word AS b FROM d x JOIN d y ON x.i = y.i AND x.less = y.less AND x.word <> y.word
+  UNION SELECT d.word, v.word FROM d JOIN v ON d.less = v.word UNION SELECT v.word, d.word FROM d JOIN v ON d.less = v.word),
+g AS (SELECT a AS word, count(*) AS n_near, min({{'n': -n, 'word': b}}) AS best FROM p JOIN v ON v.word = b GROUP BY a),
+f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN -best.n >= 2 * v.n THEN best.word END AS form, CASE WHEN -best.n >= 2 * v.n THEN -best.n END AS form_n FROM v LEFT JOIN g ON g.word = v.word),
+s(word, here, k) AS (SELECT word, word, 0 FROM f UNION ALL SELECT s.word, f.form, k + 1 FROM s JOIN f ON f.word = s.here WHERE f.form IS NOT NULL),
+r AS (SELECT word, arg_max(here, k) AS root FROM s GROUP BY word)
+SELECT f.word, form, root, n, n_near, form_n FROM f JOIN r ON r.word = f.word"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL for the operators that it can express; tests hold the others against brute force."""
-    return {"op1_substring": _OP1, "op2_mixing": _OP2, "op4_embeddings": _OP4, "op5_quality": _OP5, "op11_urls": _OP11}
+    return {"op1_substring": _OP1, "op2_mixing": _OP2, "op4_embeddings": _OP4, "op5_quality": _OP5, "op11_urls": _OP11, "op12_spelling": _OP12}
