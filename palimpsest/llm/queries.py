@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embeddings, html_text, mixing, pii, quality, simhash, spelling, substring, tokens, toxicity, urls
+from . import alignment, bpe, embeddings, html_text, mixing, pii, quality, simhash, spelling, substring, tokens, toxicity, urls
 
 #: The folder of public tokenizers is a package; its files are read where they lie.
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+BYTE_BPE, PIECE_BPE = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -108,8 +110,14 @@ def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spelling.vocabulary(_table(spark, sf_dir, "documents")))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between the tokens of two tokenizers, of every document."""
+    found = alignment.align(_table(spark, sf_dir, "documents"), Path(BYTE_BPE).read_text("utf-8"), Path(PIECE_BPE).read_bytes())
+    return found.select(F.col("id").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_substring": op1_substring, "op2_mixing": op2_mixing, "op3_token_counts": op3_token_counts, "op4_embeddings": op4_embeddings, "op5_quality": op5_quality, "op6_bpe": op6_bpe, "op7_html": op7_html, "op8_pii": op8_pii, "op9_toxicity": op9_toxicity, "op10_simhash": op10_simhash, "op11_urls": op11_urls, "op12_spelling": op12_spelling}
+    return {"op1_substring": op1_substring, "op2_mixing": op2_mixing, "op3_token_counts": op3_token_counts, "op4_embeddings": op4_embeddings, "op5_quality": op5_quality, "op6_bpe": op6_bpe, "op7_html": op7_html, "op8_pii": op8_pii, "op9_toxicity": op9_toxicity, "op10_simhash": op10_simhash, "op11_urls": op11_urls, "op12_spelling": op12_spelling, "op13_alignment": op13_alignment}
 
 
 _WORDS = r"regexp_extract_all(coalesce({}, ''), '[^\x20\x09-\x0D]+')"
