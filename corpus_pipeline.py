@@ -41,9 +41,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.xxhash64("text").alias("h"))
     rows = docs.select(*COLUMNS, key.alias("key"))
     classes = simhash.near_duplicates(rows, "key").where("kept").select(F.col("id").alias("key")).distinct()
-    return rows.withColumn("d", F.coalesce("doc_id", F.lit(-1))).withColumn("h", F.xxhash64("text")).join(
-        classes.select(F.coalesce("key.doc_id", F.lit(-1)).alias("d"), "key.h"), ["d", "h"], "left_semi"
-    ).dropDuplicates(["doc_id", "h"]).select(*COLUMNS)
+    same = lambda k: F.struct(F.col(f"{k}.none"), F.coalesce(f"{k}.doc_id", F.lit(0)), F.col(f"{k}.h"))
+    return rows.withColumn("same", same("key")).join(classes.select(same("key").alias("same")), "same", "left_semi").dropDuplicates(["same"]).select(*COLUMNS)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

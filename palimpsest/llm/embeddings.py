@@ -83,15 +83,18 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     table; other columns are ignored.
 
     The least projection on a fixed direction orders a label's vectors; unit vectors within the
-    threshold lie within sqrt(2 - 2 * threshold) there, so tiles further apart are not paired.
+    threshold lie within sqrt(2 - 2 * threshold) there, so tiles further apart are not paired. Vectors
+    whose squares doubles cannot hold are divided by their largest component first.
     """
     x = F.col("v")
+    largest = F.array_max(F.transform(x, F.abs))
     rows = cut(
         vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).alias("label"), F.col(vector_col).cast("array<double>").alias("v"))
         .withColumn("usable", F.coalesce(
             F.col("id").isNotNull() & F.col("label").isNotNull() & (F.size(x) > 0) & F.exists(x, lambda c: c != 0)
             & F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf")))), F.lit(False)))
         .withColumn("key", F.when(F.col("usable"), F.sha2(F.concat_ws(",", F.col("label").cast("string"), F.transform(x, lambda c: c.cast("string"))), 256)))
+        .withColumn("v", F.when(F.col("usable") & ((largest < 1e-100) | (largest > 1e100)), F.transform(x, lambda c: c / largest)).otherwise(x))
     )
     nodes = rows.where("usable").groupBy("key").agg(
         F.min("id").alias("node"), F.count("*").alias("copies"), F.first("label").alias("label"), F.first("v").alias("v")

@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +20,20 @@ from .common import text_bytes, text_slices, tidy
 
 RULES = ("first", "last", "most")
 
+#: Blanks in a row from which on a text is cut into the pattern's pieces here, as the tokenizer's own matching gives up on such runs.
+LONG_RUN = 10_000
+_LONG_RUN = regex.compile(rf"\s{{{LONG_RUN}}}")
+
+
+def encode_whole(coder: tiktoken.Encoding, pattern: regex.Pattern, text: str) -> list[int]:
+    """Ids of a text of any content: each match of ``pattern`` is encoded by itself, as the tokenizer does it."""
+    if not _LONG_RUN.search(text):
+        return coder.encode_ordinary(text)
+    ids: list[int] = []
+    for piece in pattern.finditer(text):
+        ids += coder._encode_single_piece(piece.group())
+    return ids
+
 
 def line_bounds(text: str) -> list[int]:
     """Starts of the lines of ``text`` and its length: a line holds its newline."""
@@ -68,6 +83,7 @@ def count_sections(docs: DataFrame, ranks_path: str, pattern: str, id_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks.value, special_tokens={})
+        pieces = regex.compile(pattern)
         lengths = np.zeros(max(ranks.value.values(), default=0) + 1, np.int64)
         lengths[[*ranks.value.values()]] = [len(t) for t in ranks.value]
         for batch in batches:
@@ -78,7 +94,7 @@ def count_sections(docs: DataFrame, ranks_path: str, pattern: str, id_col: str =
                 given = part.column("bounds").to_pylist() if bounds_col else None
                 row, section, start, end, n, crossing = ([] for _ in range(6))
                 for i, text in enumerate(texts):
-                    ids = np.array(coder.encode_ordinary(text), np.int64)
+                    ids = np.array(encode_whole(coder, pieces, text), np.int64)
                     stop = offsets[i] + np.cumsum(lengths[ids])
                     begin = stop - lengths[ids]
                     first = chars[begin + 1] - 1 - chars[offsets[i]] if len(ids) else begin

@@ -146,11 +146,13 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], id_
     ``categories`` maps names, in chain order, to 0/1 columns over ``labels`` joined with ``docs``;
     null counts as 0. The sample is the labels of least hashed id, so it is the same in every run;
     only it is broadcast, and only features of ``max_labelled`` rows reach the driver. Labels without
-    a document, and null ids, are ignored; of documents that share an id each counts, up to the bound. Ids are
-    whole numbers; others raise.
+    a document, and null ids, are ignored; of documents that share an id each counts, up to the bound. Of
+    several labels of an id the greatest value of each column counts. Copies of a text are in one fold, so
+    that no model is judged on what it was fitted to. Ids are whole numbers; others raise.
     """
-    sample = labels.where(F.col(id_col).isNotNull()).orderBy(F.xxhash64(id_col), id_col).limit(max_labelled)
-    joined = docs.join(F.broadcast(sample.dropDuplicates([id_col])), id_col)
+    others = [F.max(F.col(f"`{c}`")).alias(c) for c in labels.columns if c != id_col]
+    sample = labels.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(*others).orderBy(F.xxhash64(id_col), id_col).limit(max_labelled)
+    joined = docs.join(F.broadcast(sample), id_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -166,7 +168,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], id_
     table = table.take(order)
     rows = [np.asarray(r.values) for r in table.column("x")]
     y = np.array(table.column("y").to_pylist(), np.int64).reshape(len(rows), len(categories))
-    fold = np.array([crc32(str(i).encode()) for i in table.column("id").to_pylist()], np.int64)
+    fold = np.array([crc32(r.tobytes()) for r in rows], np.int64)
     return fit_chain(rows, {name: y[:, k] for k, name in enumerate(categories)}, fold)
 
 

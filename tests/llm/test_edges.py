@@ -91,3 +91,40 @@ def test_stages(spark, tmp_path):
                 kept = docs.collect()
                 assert sum(r.text == "a b c d" for r in kept) == 1 and {"another text", "only text"} <= {r.text for r in kept}
         assert (docs.count() > 0) == bool(rows)
+
+
+def test_long_runs_of_blanks(spark):
+    """Texts that tiktoken alone gives up on; the pattern and ranks of the query."""
+    import public_tokenizers
+    import tiktoken
+
+    ranks = bpe.read_ranks(RANKS)
+    coder = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    short = "a" + " " * 12_000 + "\n\t b  c\n" + "\n" * 11_000 + "don't" + " " * 10_001
+    assert tokens.encode_whole(coder, tokens.regex.compile(public_tokenizers.PATTERN), short) == coder.encode_ordinary(short)
+    texts = ["a" + " " * 1_000_000, " " * 1_000_000, "\n" * 1_000_000 + "x y", "a" * 1_000_000]
+    got = tokens.count_sections(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string"), RANKS, public_tokenizers.PATTERN)
+    rows = {r.id: (r.n, r.last) for r in got.groupBy("id").agg(F.sum("n_tokens").alias("n"), F.max("end").alias("last")).collect()}
+    assert all(rows[i][1] == len(t) for i, t in enumerate(texts)) and rows[0][0] == 1_000_001 and rows[3][0] < 500_000
+
+
+def test_tiny_and_huge_vectors(spark):
+    rows = [(1, [1e-200, 0.0], 1), (2, [1e200, 0.0], 1), (3, [2.0, 0.0], 1), (4, [3e-320, 0.0], 1), (5, [1e200, 1e200], 1), (6, [1e-200, 1e-200], 1), (7, [-1e-200, 0.0], 1), (8, [1.7e308, 0.0], 1)]
+    got = embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert {(r.id, r.n_links, r.component_id) for r in got} == {(i, 4, 1) for i in (1, 2, 3, 4, 8)} | {(5, 1, 5), (6, 1, 5), (7, 0, 7)}
+
+
+def test_contradicting_labels(spark):
+    docs = spark.createDataFrame([(i, ("kind words of praise " if i % 2 else "vile abuse and threats ") * (1 + i % 3) + f"w{i}", "en") for i in range(60)], "doc_id long, text string, lang string")
+    marks = [(i, 1, int(i % 2 == 0)) for i in range(60)] + [(i, 1, 0) for i in range(0, 60, 4)] + [(i, None, None) for i in range(60)]
+    seen = set()
+    for parts, given in ((1, marks), (7, marks), (3, marks[:60])):  # the greatest label of an id counts
+        found = toxicity.classify(docs.repartition(parts), spark.createDataFrame(given, "doc_id long, quality int, toxic int").repartition(parts)).collect()
+        seen.add(tuple(sorted((r.doc_id, r.is_toxic, r.p_toxic) for r in found)))
+    assert len(seen) == 1
+
+
+def test_near_duplicates_without_an_id(spark):
+    rows = [(None, "one two three", "en", "s", 1), (-1, "one two three", "en", "s", 1), (0, "four five six seven", "en", "s", 1), (None, "four five six seven", "en", "s", 1), (None, "eight nine ten", "en", "s", 1)]
+    kept = corpus_pipeline.drop_near_duplicates(spark, documents(spark, rows), "").collect()
+    assert sorted((str(r.doc_id), r.text) for r in kept) == [("-1", "one two three"), ("0", "four five six seven"), ("None", "eight nine ten")]
