@@ -1,6 +1,7 @@
 """Alignment of two tokenizers against whole encodings compared byte by byte."""
 
 import hashlib
+import json
 import random
 from collections import Counter
 from pathlib import Path
@@ -63,7 +64,7 @@ def aligned(df, **options):
 @pytest.mark.parametrize("size", [8 << 20, 2_000])
 def test_documents(spark, coders, monkeypatch, size):
     monkeypatch.setattr(alignment, "SLICE_TEXT", size)
-    monkeypatch.setattr(alignment, "MOST_REMEMBERED", 20 * size)
+    monkeypatch.setattr(alignment, "MOST_WINDOWS", size // 20)
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     got = aligned(docs.repartition(3).withColumns({c: F.lit("x") for c in ("id", "slice", "kind", "window", "key", "n", "links", "pair", "b")}))
@@ -81,6 +82,23 @@ def test_odd_texts(spark, coders):
     assert aligned(empty) == [(1, *[0] * 6, ""), (2, *[0] * 6, "")] and aligned(empty.limit(0)) == []
 
 
+def test_merges_by_rank(coders):
+    ranks = alignment.merges_by_rank(A_JSON)
+    assert len(ranks) == 50_256 and ranks[b"a"] == coders[0].token_to_id("a")
+    model = json.loads(A_JSON)
+    merges = model["model"]["merges"]
+    merges[:2] = merges[1::-1]
+    assert alignment.merges_by_rank(json.dumps(model)) is None
+
+
+def test_both_ways_of_encoding(spark, coders):
+    slow, fast = (alignment.Coder(A_JSON, B_MODEL, r) for r in (None, alignment.merges_by_rank(A_JSON)))
+    rng = random.Random(5)
+    texts = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").limit(60).collect()]
+    texts += ["".join(rng.choice("aeiouérstnlTHE 'x.,-\n") for _ in range(rng.randrange(60))) for _ in range(3000)]
+    assert all(slow.encode_a(t) == fast.encode_a(t) for t in texts)
+
+
 def test_groups_are_kept(spark):
     df = spark.createDataFrame([(1, "Hello wörld"), (2, "")], "doc_id long, text string")
     got = {r.id: (r.groups, r.groups_sha256) for r in alignment.align(df, A_JSON, B_MODEL, keep_groups=True).collect()}
