@@ -383,7 +383,7 @@ def result_parts(spark, sf_dir):
 
 def _store(spark: SparkSession, sf_dir: str, *order: int) -> Store:
     """A store in a new shared folder with the releases of documents put under versions 1 to 3, in any order."""
-    store = Store(spark, shared_folder(spark))
+    store = Store(spark, shared_folder(spark), {"documents": DOCUMENTS})
     for version in order:
         fields = F.map_concat("fields", F.create_map(F.lit("ID"), F.concat(F.lit(">"), "entry_key")))
         store.put(fx.release(spark, sf_dir, version).select("entry_key", fields.alias("fields")), "documents", version, "documents")
@@ -391,7 +391,7 @@ def _store(spark: SparkSession, sf_dir: str, *order: int) -> Store:
 
 
 #: Documents as a format of the store: text and source make a change count.
-formats.FORMATS["documents"] = formats.Format(
+DOCUMENTS = formats.Format(
     "documents", "\n", lambda r: F.create_map(F.lit("ID"), r), {"LINE": lambda f, a: F.concat_ws("|", F.element_at(f, F.lit("ID")), F.element_at(f, F.lit("source")), F.element_at(f, F.lit("lang")))},
     {"LINE": ("text", "source")}, default_type="LINE")
 

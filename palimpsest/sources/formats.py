@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import squeeze_sequence, trim_control
 from ..operators.hits import HIT_COLUMNS
-from .records import read_records
+from .records import read_records, read_records_by_pattern
 
 
 @dataclass(frozen=True)
@@ -32,26 +32,43 @@ class Format:
     incremental: bool = True
     #: What begins each record, where the separator ends with it: lines before a file's first one are skipped.
     start: str | None = None
+    #: Patterns of the whole lines that begin a record, and that end one (or None): where given, records are cut by them, not by the separator.
+    bounds: tuple[str, str | None] | None = None
     #: Applied to the rendered entries of every get.
     post: Callable[[DataFrame], DataFrame] | None = None
 
-    def records(self, spark: SparkSession, path: str) -> DataFrame:
-        """(file, record) of the files at ``path``."""
+    def records(self, spark: SparkSession, path: str | list[str]) -> DataFrame:
+        """(file, block, record) of the files at or below ``path``."""
+        if self.bounds is not None:
+            return read_records_by_pattern(spark, path, *self.bounds).select("file", "block", "record")
         return read_records(spark, path, self.separator, self.start)
 
     def read(self, spark: SparkSession, path: str) -> DataFrame:
         return self.entries(self.records(spark, path))
 
+    def judged(self, records: DataFrame) -> DataFrame:
+        """(file, block, record, entry_key, fields, reason) of records that are not blank.
+
+        A record that does not parse, or has no key, has a reason and keeps its text; of the others the
+        text is not kept. file and block are null where ``records`` has none.
+        """
+        place = [F.col(c) if c in records.columns else F.lit(None).cast(kind).alias(c) for c, kind in (("file", "string"), ("block", "long"))]
+        parsed = records.where(F.col("record").rlike(r"\S")).select(*place, "record", self.parse(F.col("record")).alias("fields"))
+        keyed = parsed.withColumn("entry_key", self.key(F.col("fields")))
+        reason = F.when(F.col("fields").isNull(), "not a record of the format").when(F.col("entry_key").isNull(), "no key")
+        return keyed.select("file", "block", F.when(reason.isNotNull(), F.col("record")).alias("record"), "entry_key", "fields", reason.alias("reason"))
+
+    def chosen(self, judged: DataFrame) -> DataFrame:
+        """(entry_key, fields) of good records; of several with one key the first by content is kept."""
+        return judged.groupBy("entry_key").agg(F.min_by("fields", F.to_json("fields")).alias("fields"))
+
     def entries(self, records: DataFrame) -> DataFrame:
-        """(entry_key, fields) of records; of several with one key the first by content is kept."""
-        parsed = records.where(F.col("record").rlike(r"\S")).select(self.parse(F.col("record")).alias("fields")).where(F.col("fields").isNotNull())
-        keyed = parsed.select(self.key(F.col("fields")).alias("entry_key"), "fields").where(F.col("entry_key").isNotNull())
-        text = F.to_json("fields")
-        return keyed.groupBy("entry_key").agg(F.min_by("fields", text).alias("fields"))
+        """(entry_key, fields) of records; see :meth:`judged` and :meth:`chosen`."""
+        return self.chosen(self.judged(records).where("reason IS NULL"))
 
     def rejected(self, records: DataFrame) -> DataFrame:
-        """The records that :meth:`entries` leaves out."""
-        return records.where(F.col("record").rlike(r"\S") & self.parse(F.col("record")).isNull())
+        """(file, block, record, reason) of the records that :meth:`entries` leaves out."""
+        return self.judged(records).where("reason IS NOT NULL").select("file", "block", "record", "reason")
 
     def rendered(self, entries: DataFrame, kind: str | None = None, addendum: str = "") -> DataFrame:
         """``entries`` (with fields) with the column text."""

@@ -43,11 +43,19 @@ def write_xml(nested: DataFrame, path: str, single: bool = False) -> None:
     (nested.coalesce(1) if single else nested).write.mode("overwrite").option("rootTag", "BlastOutput_iterations").option("rowTag", "Iteration").xml(path)
 
 
+def digest_columns(*columns: str) -> dict[str, Column]:
+    """Aggregates that, of rows in any order, make up :func:`digest_text`."""
+    h = F.xxhash64(*(columns or ("text",)))
+    return {"n": F.count(F.lit(1)), "s": F.sum(h.cast("decimal(20,0)")), "x": F.bit_xor(h)}
+
+
+def digest_text(got: dict) -> str:
+    return f"{got['n']}-{got['s'] or 0}-{got['x'] or 0}"
+
+
 def result_digest(rows: DataFrame, columns: tuple[str, ...] = ("text",)) -> str:
     """A checksum of the rows in any order, from one aggregation."""
-    h = F.xxhash64(*columns)
-    got = rows.agg(F.count("*").alias("n"), F.sum(h.cast("decimal(20,0)")).alias("s"), F.bit_xor(h).alias("x")).first()
-    return f"{got.n}-{got.s or 0}-{got.x or 0}"
+    return digest_text(rows.agg(*[c.alias(n) for n, c in digest_columns(*columns).items()]).first().asDict())
 
 
 def concatenate(kinds: dict[str, DataFrame]) -> DataFrame:

@@ -1,41 +1,53 @@
 """The versioned store: releases are put, changes are kept, versions and increments are got.
 
-Tables are Parquet under one root, partitioned by (collection, scope, version); a scope is ``_`` for
-shared collections and ``run_task`` for run-scoped ones. A put works its changes out once, beside the
-tables, and then overwrites its partitions; a version is registered last. So a put of a new version
-that fails is not seen. One that dies while it replaces a version must be put again: its cells may be
-new and its presence old.
+Entries lie in Parquet folders, one per commit, table and slice (collection, scope, version); a scope is
+``_`` for shared collections and ``run_task`` for run-scoped ones. A put writes new folders and then makes
+one commit, which names the slices that count from then on and registers the version. So a put that dies
+before its commit changes nothing, and of two that change one collection at once the later fails. A read
+holds the files of the commit it began with: puts and compactions made since do not disturb it, until
+:meth:`Store.vacuum` removes what no kept commit names.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
+from .commits import CommitConflict, Files, Log, Snapshot
 from .functions.text import cache_key, path_suffix
 from .operators import asof, counts, diff, filters, lineage, manifest
 from .sources import sinks
 from .sources.formats import FORMATS, Format
 
 KEYS = ("run_id", "task_id", "entry_key")
-SCHEMAS = {
+#: Tables of slices, and registers, which are rows of the log.
+SLICED = {
     "cells": "run_id string, task_id string, entry_key string, field string, value string, is_tombstone boolean, collection string, scope string, version long",
     "presence": "run_id string, task_id string, entry_key string, collection string, scope string, version long",
+    "rejects": "file string, block long, reason string, record string, collection string, scope string, version long",
+}
+REGISTERS = {
     "versions": "collection string, run_id string, task_id string, version long, ingested_at timestamp, entries long",
     "collections": "collection string, format string, is_database boolean",
     "runs": "run_id string, collection string, direction string, version long, path string, regex string, recorded_at timestamp",
-    "materializations": "collection string, cache_key string, path string, digest string, created_at timestamp",
+    "materializations": "collection string, cache_key string, path string, digest string, created_at timestamp, rows long, parts array<struct<name:string,length:long>>",
 }
+SCHEMAS = SLICED | REGISTERS
+_KINDS = {"versions": "version", "collections": "collection", "runs": "run", "materializations": "materialization"}
+
+
+class BelowFloor(ValueError):
+    """What was asked for lies in history that a compaction folded."""
 
 
 @dataclass
 class GetResult:
-    """``existing`` (keys, fields, text), ``deleted`` keys and a ``metadata`` row, all lazy."""
+    """``existing`` (keys, fields, text), ``deleted`` keys and a ``metadata`` row, all lazy, as of ``commit``."""
 
     status: str
     start: int
@@ -43,69 +55,81 @@ class GetResult:
     existing: DataFrame
     deleted: DataFrame
     metadata: DataFrame
+    commit: int
+    #: The metadata row for a known number of existing entries, without working them out again.
+    counted: Callable[[int], DataFrame]
+
+
+def _now() -> int:
+    """Microseconds since 1970, in UTC."""
+    return int(datetime.now(timezone.utc).timestamp() * 1_000_000)
 
 
 class Store:
-    def __init__(self, spark: SparkSession, root: str, **tables: str):
-        """``tables`` renames tables, by keyword."""
+    def __init__(self, spark: SparkSession, root: str, formats: Mapping[str, Format] | None = None, **tables: str):
+        """``formats`` are further formats by name; ``tables`` renames tables of slices, by keyword."""
         self.spark, self.root = spark, root.rstrip("/")
+        self.formats = {**FORMATS, **(formats or {})}
+        self.names = {name: tables.get(name, name) for name in SLICED}
+        self.files_at, self.log = Files(spark), Log(spark, f"{self.root}/log")
         self._staged: list[str] = []
-        self.names = {name: tables.get(name, name) for name in SCHEMAS}
 
     # tables
 
     def _path(self, table: str) -> str:
         return f"{self.root}/{self.names[table]}"
 
-    def table(self, name: str) -> DataFrame:
-        """A table of the store; empty before its first row."""
-        reader = self.spark.read.schema(SCHEMAS[name])
-        try:
-            return reader.parquet(self._path(name))
-        except AnalysisException as missing:
-            if "PATH_NOT_FOUND" not in str(missing):
-                raise
+    def snapshot(self, commit: int | None = None) -> Snapshot:
+        """The store as of a commit; by default the last."""
+        return self.log.snapshot(commit)
+
+    def table(self, name: str, at: Snapshot | None = None, collection: str | None = None, versions: Callable[[int], bool] = lambda v: True) -> DataFrame:
+        """A table of the store as of a commit, of one collection if given; its files are fixed by the call."""
+        at = at or self.snapshot()
+        columns = [c.split()[0] for c in SCHEMAS[name].split(", ")]
+        if name in REGISTERS:
+            times = {"ingested_at", "recorded_at", "created_at"}
+            rows = self.log.frame(at.number).where(F.col("action") == _KINDS[name])
+            rows = rows.select(*[F.timestamp_micros("at").alias(c) if c in times else F.col(c) for c in columns])
+            return rows if collection is None else rows.where(F.col("collection") == collection)
+        folders = [f for (t, c, _, v), f in at.slices.items() if t == name and f and (collection is None or c == collection) and versions(v)]
+        if not folders:
             return self.spark.createDataFrame([], SCHEMAS[name])
+        return self.spark.read.schema(SCHEMAS[name]).option("basePath", self._path(name)).parquet(*folders).select(*columns)
 
-    def _append(self, name: str, *rows: tuple) -> None:
-        self.spark.createDataFrame([*rows], SCHEMAS[name]).coalesce(1).write.mode("append").parquet(self._path(name))
-
-    def _aside(self, rows: DataFrame) -> DataFrame:
-        """``rows`` written beside the tables and read again: once worked out, and free of what is overwritten later."""
+    def _aside(self, rows: DataFrame, **measures: Column) -> DataFrame:
+        """``rows`` written beside the tables and read again: once worked out. ``measures`` are aggregated on the way, into ``measured``."""
         folder = f"{self.root}/_staged/{uuid.uuid4()}"
-        rows.write.parquet(folder)
+        seen = Observation()
+        (rows.observe(seen, *[c.alias(n) for n, c in measures.items()]) if measures else rows).write.parquet(folder)
+        self.measured = {n: v or 0 for n, v in seen.get.items()} if measures else {}
         self._staged.append(folder)
         return self.spark.read.schema(rows.schema).parquet(folder)
 
     def _tidy(self) -> None:
         while self._staged:
-            self._delete(self._staged.pop())
-
-    def _delete(self, folder: str) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            self.files_at.delete(self._staged.pop())
 
-    def _overwrite(self, name: str, rows: DataFrame) -> None:
-        """Put ``rows`` in the place of just the partitions they are of. They must not read the table."""
-        rows.select(*[f.split()[0] for f in SCHEMAS[name].split(", ")]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            "collection", "scope", "version"
-        ).parquet(self._path(name))
+    def _written(self, name: str, rows: DataFrame, slices: list[tuple[str, str, int]]) -> list[dict]:
+        """Write rows of ``slices`` (collection, scope, version) to a new folder; the actions that make them count."""
+        folder = f"{self._path(name)}/commit=c-{uuid.uuid4()}"
+        rows.select(*[f.split()[0] for f in SLICED[name].split(", ")]).write.partitionBy("collection", "scope", "version").parquet(folder)
+        found = {(c, s, int(v)): at for (c, s, v), at in self.files_at.leaves(folder, 3).items()}
+        return [{"action": "slice", "table": name, "collection": c, "scope": s, "version": v, "folder": found.get((c, s, v))} for c, s, v in slices]
 
     # registry
 
     def collection(self, name: str) -> tuple[Format, bool]:
         """Format of a collection, and whether it is shared by all runs."""
-        row = self.table("collections").where(F.col("collection") == name).first()
-        if row is None:
+        known = self.snapshot().collections
+        if name not in known:
             raise KeyError(f"no collection {name!r}")
-        return FORMATS[row.format], row.is_database
+        return self.formats[known[name][0]], known[name][1]
 
-    def versions(self, collection: str, run_id: str | None = None, task_id: str | None = None) -> list[int]:
+    def versions(self, collection: str, run_id: str | None = None, task_id: str | None = None, at: Snapshot | None = None) -> list[int]:
         """Registered versions, of a run and task if given, in order."""
-        rows = self.table("versions").where(F.col("collection") == collection)
-        if run_id is not None:
-            rows = rows.where((F.col("run_id") == run_id) & F.col("task_id").eqNullSafe(F.lit(task_id)))
-        return sorted(r.version for r in rows.select("version").distinct().collect())
+        rows = (at or self.snapshot()).versions
+        return sorted({v for c, r, t, v, _ in rows if c == collection and (run_id is None or (r == run_id and t == task_id))})
 
     def latest_version(self, collection: str, run_id: str | None = None, task_id: str | None = None) -> int | None:
         request = self.spark.createDataFrame([(collection, run_id, task_id)], "collection string, run_id string, task_id string")
@@ -113,22 +137,41 @@ class Store:
 
     # put
 
-    def put(self, release: DataFrame | str, collection: str, version: int, format: str = "fasta", run_id: str | None = None, task_id: int | None = None,
-            mode: str = "replace") -> dict[str, int]:
+    def put(self, release: DataFrame | str, collection: str, version: int, format: str | Format = "fasta", run_id: str | None = None, task_id: int | None = None,
+            mode: str = "replace", ledger: str | None = None) -> dict[str, int]:
         """Store a release under a version, and return its counters.
 
-        ``release`` is (entry_key, fields), or a path read by the format. Any order of versions
+        ``release`` is (entry_key, fields), or a path read by the format; records of a path that the
+        format rejects go to the table ``rejects`` with their file, split and reason. Any order of versions
         gives the same reads: the next version's slice is compared again, as its changes were
         relative to what this put replaces. ``mode="union"`` keeps entries that only an earlier
-        put of this version had.
+        put of this version had. A ``ledger`` key makes the put happen once: a later one with the same
+        key gives no counters and changes nothing.
         """
-        kind, (run, task, scope) = FORMATS[format], self._scope(run_id, task_id)
+        if isinstance(format, Format):
+            self.formats[format.name] = format
+            format = format.name
+        base = self.snapshot()
+        if ledger is not None and ledger in base.ledger:
+            return {}
+        kind, (run, task, scope) = self.formats[format], self._scope(run_id, task_id)
+        slice_ = (collection, scope, version)
+        own = self._slice(self.table("cells", base, collection), scope)
+        seen = self._slice(self.table("presence", base, collection), scope)
+        rejected: dict[str, int] = {"n_rejected": 0}
+        actions: list[dict] = []
         if isinstance(release, str):
-            release = kind.read(self.spark, release)
-        own = self._slice(self.table("cells"), collection, scope)
-        seen = self._slice(self.table("presence"), collection, scope)
+            judged = self._aside(kind.judged(kind.records(self.spark, release)), n_rejected=F.count_if(F.col("reason").isNotNull()))
+            rejected = self.measured
+            bad = judged.where("reason IS NOT NULL").select("file", "block", "reason", "record", *self._place(*slice_))
+            if mode == "union":
+                bad = bad.unionByName(self.table("rejects", base, collection, lambda v: v == version).where(F.col("scope") == scope))
+            actions += self._written("rejects", bad, [slice_])
+            release = kind.chosen(judged.where("reason IS NULL"))
+        elif mode != "union":
+            actions.append({"action": "slice", "table": "rejects", "collection": collection, "scope": scope, "version": version, "folder": None})
         release = release.select("entry_key", "fields")
-        known = self.versions(collection, run, task)
+        known = self.versions(collection, run, task, base)
         after = min((v for v in known if v > version), default=None)
         if mode == "union" or after is not None:  # read more than once
             release = self._aside(release)
@@ -137,25 +180,38 @@ class Store:
             release = release.unionByName(asof.state(own.join(earlier, "entry_key", "left_semi"), version).select("entry_key", "fields"))
         before = asof.state(own, version - 1).select("entry_key", "fields")
         here = asof.present_at(seen, max((v for v in known if v < version), default=-1))
-        changes = self._aside(diff.changes(before, release, here))
-        slices = [self._cells(diff.exploded(changes), collection, scope, run, task, version)]
+        changes = self._aside(diff.changes(before, release, here), **counts.change_counters())
+        found = self.measured
+        actions += self._written("cells", self._cells(diff.exploded(changes), run, task, *slice_), [slice_])
         if after is not None:
-            touched = release.select("entry_key").union(own.where((F.col("version") == version) & F.col("entry_key").isNotNull()).select("entry_key")).distinct()
+            touched = release.select("entry_key").union(own.where(F.col("version") == version).select("entry_key")).distinct()
             then = asof.state(own, after).select("entry_key", "fields").join(touched, "entry_key", "left_semi")
-            base = release.unionByName(before.join(touched, "entry_key", "left_semi").join(release, "entry_key", "left_anti"))
-            again = diff.changed_fields(base, then).select("entry_key", "field", "value", "is_tombstone").unionByName(self._only_tombstones(base, then))
-            rest = own.where((F.col("version") == after) & F.col("entry_key").isNotNull()).join(touched, "entry_key", "left_anti")
-            again = self._aside(again.unionByName(rest.select("entry_key", "field", "value", "is_tombstone")))
-            slices.append(self._cells(again, collection, scope, run, task, after))
-        present = changes.where("change <> 'removed'").select(F.lit(run).alias("run_id"), F.lit(task).alias("task_id"), "entry_key", *self._place(collection, scope, version))
-        marker = self.spark.createDataFrame([(run, task, None, collection, scope, version)], SCHEMAS["presence"])
-        found = counts.ingest_counters(changes).first().asDict()
-        for rows in slices:
-            self._overwrite("cells", rows)
-        self._overwrite("presence", present.unionByName(marker))
-        self._tidy()
-        self._register(collection, format, run, task, version, found["n_entries"])
-        return found
+            base_rows = release.unionByName(before.join(touched, "entry_key", "left_semi").join(release, "entry_key", "left_anti"))
+            again = diff.changed_fields(base_rows, then).select("entry_key", "field", "value", "is_tombstone").unionByName(self._only_tombstones(base_rows, then))
+            rest = own.where(F.col("version") == after).join(touched, "entry_key", "left_anti")
+            again = again.unionByName(rest.select("entry_key", "field", "value", "is_tombstone"))
+            actions += self._written("cells", self._cells(again, run, task, collection, scope, after), [(collection, scope, after)])
+        present = changes.where("change <> 'removed'").select(F.lit(run).alias("run_id"), F.lit(task).alias("task_id"), "entry_key", *self._place(*slice_))
+        actions += self._written("presence", present, [slice_])
+        if collection not in base.collections:
+            actions.append({"action": "collection", "collection": collection, "format": format, "is_database": run == ""})
+        actions.append({"action": "version", "collection": collection, "run_id": run, "task_id": task, "version": version, "at": _now(), "entries": found["n_entries"]})
+        actions.append({"action": "run", "run_id": run, "collection": collection, "direction": "put", "version": version, "at": _now()})
+        if ledger is not None:
+            actions.append({"action": "ledger", "path": ledger})
+        self._commit(base, actions)
+        return found | rejected
+
+    def _commit(self, base: Snapshot, actions: list[dict]) -> Snapshot:
+        """One commit; what was staged goes, and so do the new folders where it fails."""
+        try:
+            return self.log.commit(base, actions)
+        except CommitConflict:
+            for folder in {a["folder"].split("/collection=")[0] for a in actions if a["action"] == "slice" and a["folder"]}:
+                self.files_at.delete(folder)
+            raise
+        finally:
+            self._tidy()
 
     @staticmethod
     def _scope(run_id: str | None, task_id: int | None) -> tuple[str, str, str]:
@@ -170,24 +226,15 @@ class Store:
         return gone.select("entry_key", F.explode(F.map_keys("fields")).alias("field"), F.lit(None).cast("string").alias("value"), F.lit(True).alias("is_tombstone"))
 
     @staticmethod
-    def _slice(rows: DataFrame, collection: str, scope: str) -> DataFrame:
-        return rows.where((F.col("collection") == collection) & (F.col("scope") == scope) & F.col("entry_key").isNotNull())
+    def _slice(rows: DataFrame, scope: str) -> DataFrame:
+        return rows.where(F.col("scope") == scope)
 
     @staticmethod
     def _place(collection: str, scope: str, version: int) -> list:
         return [F.lit(collection).alias("collection"), F.lit(scope).alias("scope"), F.lit(version).cast("long").alias("version")]
 
-    def _cells(self, rows: DataFrame, collection: str, scope: str, run: str, task: str, version: int) -> DataFrame:
-        """A slice with its marker row, without which an empty slice would not replace an old one."""
-        cells = rows.select(F.lit(run).alias("run_id"), F.lit(task).alias("task_id"), "entry_key", "field", "value", "is_tombstone", *self._place(collection, scope, version))
-        return cells.unionByName(self.spark.createDataFrame([(run, task, None, None, None, True, collection, scope, version)], SCHEMAS["cells"]))
-
-    def _register(self, collection: str, format: str, run: str, task: str, version: int, entries: int) -> None:
-        now = datetime.now(timezone.utc).replace(tzinfo=None)
-        if self.table("collections").where(F.col("collection") == collection).isEmpty():
-            self._append("collections", (collection, format, run == ""))
-        self._append("runs", (run, collection, "put", version, None, None, now))
-        self._append("versions", (collection, run, task, version, now, entries))
+    def _cells(self, rows: DataFrame, run: str, task: str, collection: str, scope: str, version: int) -> DataFrame:
+        return rows.select(F.lit(run).alias("run_id"), F.lit(task).alias("task_id"), "entry_key", "field", "value", "is_tombstone", *self._place(collection, scope, version))
 
     def put_raw(self, path: str, collection: str, version: int) -> int:
         """Keep the files below ``path`` unparsed under a version, and return how many there are.
@@ -202,8 +249,9 @@ class Store:
 
     def files(self, collection: str, stop: int | None = None) -> DataFrame:
         """Manifest of a file collection as of a version: (path, size, hash, version, is_deleted, below)."""
-        cells, seen = (self.table(t).where((F.col("collection") == collection) & F.col("entry_key").isNotNull()) for t in ("cells", "presence"))
-        known = [v for v in self.versions(collection) if stop is None or v <= stop]
+        now = self.snapshot()
+        cells, seen = (self.table(t, now, collection) for t in ("cells", "presence"))
+        known = [v for v in self.versions(collection, at=now) if stop is None or v <= stop]
         at = known[-1] if known else -1
         of = lambda name: F.element_at("fields", F.lit(name))
         here = asof.present_at(seen, at).withColumn("here", F.lit(True))
@@ -221,28 +269,34 @@ class Store:
     # get
 
     def get(self, collection: str, start: int | None = None, stop: int | None = None, run_id: str | None = None, task_id: int | None = None,
-            regex: str | dict | None = None, kind: str | None = None, addendum: str = "", full_run: bool = False, predicate_scope: str = "state") -> GetResult:
+            regex: str | dict | None = None, kind: str | None = None, addendum: str = "", full_run: bool = False, predicate_scope: str = "state", commit: int | None = None) -> GetResult:
         """A collection as of ``stop`` with what changed since ``start``.
 
         ``stop`` is taken down to a registered version (default: the latest). Without ``start`` it
         is the version after the last that the run got, or 1; ``full_run`` begins at 1 whatever the
         run got. The filter sees entries as of ``stop``, or with ``predicate_scope="window"`` only
-        fields that changed in the window.
+        fields that changed in the window. The result is of the store as of ``commit`` (default: the
+        last one now) whenever it is read. A version below the floor that a compaction left, or a
+        window that begins below it after some version, raises :class:`BelowFloor`.
         """
         fmt, shared = self.collection(collection)
+        now = self.snapshot(commit)
         task = None if task_id is None else f"{task_id:04d}"
         mine = (None, None) if shared else (run_id, task)
-        known = [v for v in self.versions(collection, *([None, None] if shared or run_id is None else [run_id, task or ""])) if stop is None or v <= stop]
+        known = [v for v in self.versions(collection, *([None, None] if shared or run_id is None else [run_id, task or ""]), at=now) if stop is None or v <= stop]
         stop = known[-1] if known else None
         if start is None:
             start = 1
             if run_id is not None and not full_run:
-                last = self.table("runs").where((F.col("run_id") == run_id) & (F.col("collection") == collection) & (F.col("direction") == "get"))
+                last = self.table("runs", now).where((F.col("run_id") == run_id) & (F.col("collection") == collection) & (F.col("direction") == "get"))
                 start = (last.agg(F.max_by("version", "recorded_at").alias("v")).first().v or 0) + 1
-        cells, seen = self.table("cells").where(F.col("collection") == collection), self.table("presence").where(F.col("collection") == collection)
-        cells, seen = (filters.in_scope(x.where(F.col("entry_key").isNotNull()), mine[0], task_id if mine[1] else None) for x in (cells, seen))
         status = "unchanged" if stop is None or start > stop else "new"
         at = stop if status == "new" else -1
+        if status == "new":
+            self._above_floor(now, collection, None if shared or run_id is None else self._scope(run_id, task_id)[2], start, stop, known)
+        in_time = lambda v: v <= at
+        cells, seen = self.table("cells", now, collection, in_time), self.table("presence", now, collection, in_time)
+        cells, seen = (filters.in_scope(x, mine[0], task_id if mine[1] else None) for x in (cells, seen))
         required = fmt.required.get(kind or fmt.default_type, ())
         whole = not fmt.incremental or not required
         entries = asof.incremental(cells, seen, start, at, required, complete=whole, keys=KEYS)
@@ -253,59 +307,73 @@ class Store:
         elif patterns:
             entries = entries.where(filters.matches(patterns, F.col("fields")))
         rendered = fmt.rendered(entries, kind, addendum)
-        once = shared and self.table("versions").where((F.col("collection") == collection) & (F.col("run_id") != "")).isEmpty()
+        once = shared and not any(c == collection and r for c, r, *_ in now.versions)
         existing = rendered if once else sinks.first_per_key(rendered)  # without run-scoped puts a key is there once
         deleted = asof.deleted_in_window(seen, start, at, KEYS).select("entry_key").distinct()
-        metadata = counts.get_metadata(existing, seen, start, at, collection, kind or fmt.default_type, addendum)
-        return GetResult(status, start, stop, existing, deleted, metadata)
+        about = (seen, start, at, collection, kind or fmt.default_type, addendum)
+        return GetResult(status, start, stop, existing, deleted, counts.get_metadata(existing, *about), now.number, lambda n: counts.get_metadata(n, *about, spark=self.spark))
+
+    @staticmethod
+    def _above_floor(now: Snapshot, collection: str, scope: str | None, start: int, stop: int, known: list[int]) -> None:
+        floor = max((v for (c, s), v in now.floors.items() if c == collection and scope in (None, s)), default=None)
+        if floor is None:
+            return
+        if stop < floor:
+            raise BelowFloor(f"versions of {collection!r} before {floor} were folded; {stop} cannot be told apart")
+        if start <= floor and any(v < start for v in known):
+            raise BelowFloor(f"what changed in {collection!r} from {start} to {floor} was folded; get it whole with full_run=True, or from {floor + 1}")
 
     def export(self, collection: str, path: str | None = None, split: int = 1, copy: bool = True, **options) -> tuple[GetResult, str]:
         """Get, keep the rendered result for reuse, record the run, and write it to ``path``.
 
-        An equal request is answered from the kept files, unless a version up to ``stop`` was put
-        since or files are gone; a copy is not written again where the last one recorded for the
-        path has its digest and is there. ``copy=False`` writes nothing outside the store.
+        The result is worked out once: its rows are counted and digested while they are written. An equal
+        request is answered from the kept files, unless a version up to ``stop`` was put since, or the
+        folder's listing differs from the names and lengths noted at writing; no data file is opened for
+        that. A copy is not written again where the last one recorded for the path has its digest and its
+        parts. ``copy=False`` writes nothing outside the store.
         """
         result = self.get(collection, **options)
-        run = options.get("run_id")
-        _, shared = self.collection(collection)
-        addendum = "_".join([f"{options.get('kind') or ''}{options.get('addendum') or ''}", options.get("predicate_scope") or "state", self._stamp(collection, result.stop)])
+        now, run = self.snapshot(result.commit), options.get("run_id")
+        shared = now.collections[collection][1]
+        addendum = "_".join([f"{options.get('kind') or ''}{options.get('addendum') or ''}", options.get("predicate_scope") or "state", self._stamp(now, collection, result.stop)])
         asked = self.spark.range(1).select(cache_key(
             *[F.lit(x) for x in (collection, result.start, result.stop, str(options.get("regex") or ""), addendum, split, run or "", str(options.get("task_id") or ""), shared)]).alias("k")).first().k
-        kept = self.table("materializations").where(F.col("cache_key") == asked).orderBy(F.desc("created_at")).first()
-        if kept is None or not self._whole(kept.path, kept.digest):
-            folder = f"{self.root}/results/{uuid.uuid4()}"
-            sinks.split_sorted(result.existing.select("entry_key", "text"), split).write.parquet(folder)
-            rows = self.spark.read.parquet(folder)
-            now = datetime.now(timezone.utc).replace(tzinfo=None)
-            self._append("materializations", (collection, asked, folder, sinks.result_digest(rows), now))
-            kept = self.table("materializations").where((F.col("cache_key") == asked) & (F.col("path") == folder)).first()
-        rows = self.spark.read.parquet(kept.path)
-        now = datetime.now(timezone.utc).replace(tzinfo=None)
+        done = self.table("materializations", now).where((F.col("cache_key") == asked) | (F.col("path") == F.lit(path)))
+        done = sorted((r.asDict(recursive=True) for r in done.collect()), key=lambda r: r["created_at"])
+        kept = next((r for r in reversed(done) if r["cache_key"] == asked), None)
+        actions = []
+        if kept is None or not self._whole(kept):
+            folder, seen = f"{self.root}/results/{uuid.uuid4()}", Observation()
+            rows = sinks.split_sorted(result.existing.select("entry_key", "text"), split).observe(seen, *[c.alias(n) for n, c in sinks.digest_columns().items()])
+            rows.write.parquet(folder)
+            kept = self._kept(collection, asked, folder, sinks.digest_text(seen.get), seen.get["n"])
+            actions.append(kept)
         if copy and path is not None:
-            done = self.table("materializations").where(F.col("path") == path).orderBy(F.desc("created_at")).first()
-            if done is None or done.digest != kept.digest or not self._exists(path):
-                sinks.write_text(rows, path)
-                self._append("materializations", (collection, f"{asked}:{path}", path, kept.digest, now))
-        self._append("runs", (run, collection, "get", result.stop, path or kept.path, str(options.get("regex") or ""), now))
-        return result, kept.path
-
-    def _stamp(self, collection: str, stop: int | None) -> str:
+            there = next((r for r in reversed(done) if r["path"] == path), None)
+            if there is None or there["digest"] != kept["digest"] or not self._whole(there):
+                sinks.write_text(self.spark.read.parquet(kept["path"]), path)
+                actions.append(self._kept(collection, f"{asked}:{path}", path, kept["digest"], kept["rows"]))
+        actions.append({"action": "run", "run_id": run, "collection": collection, "direction": "get", "version": result.stop, "path": path or kept["path"], "regex": str(options.get("regex") or ""), "at": _now()})
+        self._commit(now, actions)
+        result.metadata = result.counted(kept["rows"])
+        return result, kept["path"]
+
+    def _kept(self, collection: str, key: str, folder: str, digest: str, rows: int) -> dict:
+        parts = [{"name": n, "length": size} for n, size in self.files_at.parts(folder)]
+        return {"action": "materialization", "collection": collection, "cache_key": key, "path": folder, "digest": digest, "rows": rows, "parts": parts, "at": _now()}
+
+    @staticmethod
+    def _stamp(now: Snapshot, collection: str, stop: int | None) -> str:
         """What registrations the state as of ``stop`` rests on: their number and the newest one's time.
 
         A put of any version up to ``stop``, again or as a back-fill, changes it.
         """
-        known = self.table("versions").where((F.col("collection") == collection) & (F.col("version") <= F.lit(stop)))
-        row = known.agg(F.count("*").alias("n"), F.max(F.unix_micros("ingested_at")).alias("newest")).first()
-        return f"{row.n}_{row.newest or 0}"
+        times = [t for c, _, _, v, t in now.versions if c == collection and stop is not None and v <= stop]
+        return f"{len(times)}_{max(times, default=0)}"
 
-    def _exists(self, path: str) -> bool:
-        at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return at.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(at)
-
-    def _whole(self, folder: str, digest: str) -> bool:
-        """Whether a kept result still has all its rows."""
-        return self._exists(folder) and sinks.result_digest(self.spark.read.schema("entry_key string, text string").parquet(folder)) == digest
+    def _whole(self, kept: dict) -> bool:
+        """Whether a kept result's folder lists the parts noted when it was written."""
+        return self.files_at.parts(kept["path"]) == [(p["name"], p["length"]) for p in kept["parts"]]
 
     # upkeep
 
@@ -314,18 +382,40 @@ class Store:
 
     def compact(self, collection: str, version: int, run_id: str | None = None, task_id: int | None = None) -> None:
         """Turn the slices up to ``version`` into one snapshot at it: later reads scan less history,
-        earlier versions can no longer be told apart."""
+        earlier versions can no longer be told apart, and asking for them raises :class:`BelowFloor`."""
         run, task, scope = self._scope(run_id, task_id)
-        own = self._slice(self.table("cells"), collection, scope)
-        newest = self._aside(asof.newest_cells(own, None, version).where(~F.col("is_tombstone")).select("entry_key", "field", "value", "is_tombstone"))
-        self._overwrite("cells", self._cells(newest, collection, scope, run, task, version))
-        for v in [v for v in self.versions(collection, run, task) if v < version]:
-            self._overwrite("cells", self._cells(newest.limit(0), collection, scope, run, task, v))
-        self._tidy()
+        base = self.snapshot()
+        if version not in self.versions(collection, run, task, base):
+            raise ValueError(f"no version {version} of {collection!r}")
+        own = self._slice(self.table("cells", base, collection, lambda v: v <= version), scope)
+        newest = asof.newest_cells(own, None, version).where(~F.col("is_tombstone")).select("entry_key", "field", "value", "is_tombstone")
+        actions = self._written("cells", self._cells(newest, run, task, collection, scope, version), [(collection, scope, version)])
+        earlier = [v for (t, c, s, v) in base.slices if (t, c, s) == ("cells", collection, scope) and v < version]
+        actions += [{"action": "slice", "table": "cells", "collection": collection, "scope": scope, "version": v, "folder": None} for v in earlier]
+        actions.append({"action": "floor", "collection": collection, "scope": scope, "version": version})
+        self._commit(base, actions)
+
+    def vacuum(self, keep: int = 1, older_than_hours: float = 24 * 7) -> int:
+        """Delete folders that none of the last ``keep`` commits names and that are older; return how many.
+
+        Readers and writers that may still be at work must have begun later than that.
+        """
+        last = self.snapshot().number
+        first = self.snapshot(max(0, last - keep + 1))
+        named = {f for f in first.slices.values() if f} | {a["folder"] for n in range(first.number + 1, last + 1) for a in self.log.actions(n) if a.get("folder")}
+        named |= {r.path for r in self.table("materializations").select("path").distinct().collect()}
+        before, gone = _now() / 1000 - older_than_hours * 3_600_000, 0
+        for folder in [*map(self._path, SLICED), f"{self.root}/_staged", f"{self.root}/results"]:
+            for name, _, time, inner in self.files_at.listed(folder):
+                if inner and time < before and not any(f == f"{folder}/{name}" or f.startswith(f"{folder}/{name}/") for f in named):
+                    self.files_at.delete(f"{folder}/{name}")
+                    gone += 1
+        return gone
 
     def drop(self, confirm: bool = False) -> None:
         """Delete all tables of the store; refuses without ``confirm``."""
         if not confirm:
             raise ValueError("drop(confirm=True) deletes the store")
-        for name in SCHEMAS:
-            self._delete(self._path(name))
+        for folder in [f"{self.root}/log", *map(self._path, SLICED), f"{self.root}/_staged", f"{self.root}/results"]:
+            self.files_at.delete(folder)
+        self.log = Log(self.spark, f"{self.root}/log")

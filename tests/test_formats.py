@@ -2,7 +2,9 @@
 
 import dataclasses
 import gzip
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from palimpsest.functions.checkpoints import numbered
@@ -168,3 +170,30 @@ def test_plain_files(spark, tmp_path):
     for _ in range(2):
         assert [(r.path, r.size) for r in files.copy_files(chosen, str(tmp_path / "seq"), str(tmp_path / "copy")).collect()] == [("sub/b.fna", 5)]
     assert [p.name for p in (tmp_path / "copy").rglob("*") if p.is_file()] == ["b.fna"] and (tmp_path / "copy/sub/b.fna").read_text() == ">z\nA\n"
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_pattern_bounds_over_any_splits(spark, tmp_path, seed):
+    rng = random.Random(seed)
+    lines = lambda n: [rng.choice(["start", "start x", "end", "", "a" * rng.randrange(40), "startle"]) for _ in range(n)]
+    files = {f"f{k}.txt": lines(rng.randrange(120)) for k in range(3)} | {"long.txt": ["start", *["b" * 30] * 200, "start"], "none.txt": ["x"] * 50}
+    expected = {}
+    for name, text in files.items():
+        (tmp_path / name).write_text("\n".join(text) + "\n")
+        found = []
+        for line in text:
+            if line in ("start", "start x"):
+                found.append([])
+            if found:
+                found[-1].append(line)
+        expected[name] = ["\n".join(r[: r.index("end")] if "end" in r else r) for r in found]
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for split in (37, 150, 4_000_000):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+            got = {}
+            for r in records.read_records_by_pattern(spark, str(tmp_path), "start( x)?", "end").orderBy("file", "block", "ordinal").collect():
+                got.setdefault(r.file.rsplit("/", 1)[1], []).append(r.record)
+            assert got == {k: v for k, v in expected.items() if v}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)

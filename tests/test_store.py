@@ -116,16 +116,39 @@ def test_scopes_are_apart(spark, tmp_path):
     assert store.latest_version("own", "1", "0002") == 1 and store.latest_version("own", "7", "0000") == 1
 
 
-def test_dropped_releases_are_put_once(spark, tmp_path):
-    for v, text in ((1, ">a one\nAC\nGT\n>b\nTT"), (2, ">a one\nACGT\n>c\nG")):
+def test_dropped_releases_are_puts(spark, tmp_path, monkeypatch):
+    texts = {1: ["; a comment\r\n>a one\r\nAC\r\nGT\r\n>b\r\nTT", ">d\nA"], 2: [">a one\nACGT\n>c\nG\n>no"], 3: [">z\nA"]}
+    for v, parts in texts.items():
         (tmp_path / f"in/version={v}").mkdir(parents=True)
-        (tmp_path / f"in/version={v}/r.fa").write_text(text)
-    store = Store(spark, str(tmp_path / "store"))
+        for k, text in enumerate(parts):
+            (tmp_path / f"in/version={v}/r{k}.fa").write_text(text, newline="")
+        (tmp_path / f"in/version={v}/{len(parts) + (v == 3)}.done").write_text("closed")
+    store, other = Store(spark, str(tmp_path / "store")), Store(spark, str(tmp_path / "other"))
+    run = lambda: ingest(store, str(tmp_path / "in"), "drop", "fasta", str(tmp_path / "ckpt")).awaitTermination()
+    real = Store.put
+
+    def killed(self, release, collection, version, *rest, **options):
+        out = real(self, release, collection, version, *rest, **options)
+        if version == 1:
+            raise RuntimeError("killed after its commit")
+        return out
+
+    monkeypatch.setattr(Store, "put", killed)
+    with pytest.raises(Exception, match="killed"):
+        run()
+    monkeypatch.setattr(Store, "put", real)
     for _ in range(2):
-        ingest(store, str(tmp_path / "in"), "drop", "fasta", str(tmp_path / "ckpt")).awaitTermination()
-    assert store.versions("drop") == [1, 2]
-    assert state(store, "drop", 2) == {">a one": {"ID": ">a one", "SEQ": "ACGT"}, ">c": {"ID": ">c", "SEQ": "G"}}
-    assert {r.entry_key for r in store.get("drop", start=1, stop=2).deleted.collect()} == {">b"}
+        run()
+    for v in (1, 2):
+        other.put(str(tmp_path / f"in/version={v}"), "drop", v)
+        assert state(store, "drop", v) == state(other, "drop", v)
+    assert state(store, "drop", 1) == {">a one": {"ID": ">a one", "SEQ": "ACGT"}, ">b": {"ID": ">b", "SEQ": "TT"}, ">d": {"ID": ">d", "SEQ": "A"}}
+    registered = [(r.version, r.entries) for r in store.table("versions").orderBy("version").collect()]
+    assert registered == [(1, 3), (2, 3)]  # one row a release; the third waits for its second part
+    assert {r.entry_key for r in store.get("drop", start=1, stop=2).deleted.collect()} == {">b", ">d"}
+    (tmp_path / "in/version=3/r1.fa").write_text(">y\nC")
+    run()
+    assert store.versions("drop") == [1, 2, 3] and set(state(store, "drop", 3)) == {">z", ">y"}
 
 
 def test_raw_files(spark, tmp_path):
