@@ -1 +1,10 @@
-"""A versioned entry store on Spark: releases in, changes stored, any version or difference out."""
+"""A versioned entry store on Spark: releases in, changes stored, any version or difference out.
+
+Functions that run in tasks travel by value, so executors need no copy of this package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -6,12 +6,17 @@ place of the line within its query (or file: pass ``part``).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from ..functions.checkpoints import numbered
+from ..functions.checkpoints import cut, numbered
 from ..functions.text import rescaled
 
 # The column names of the tabular format.
@@ -40,30 +45,125 @@ def correct(hits: DataFrame, deleted: DataFrame, full: Column, incremental: Colu
     return derived(kept.withColumn("e_value", rescaled(F.col("e_value"), full, incremental)))
 
 
+@dataclass(frozen=True)
+class _Open:
+    """Where reading stands: the part and island that are open, the island's number and first HSP, and how many rows and repeats of that HSP it has had."""
+
+    part: str | None = None
+    key: str | None = None
+    island: int = 0
+    first: str | None = None
+    kept: int = 0
+    rows: int = 0
+
+
+def _changes(column: pa.Array, before: str | None) -> np.ndarray:
+    """Whether each value differs from the one before it."""
+    differs = np.ones(len(column), bool)
+    differs[1:] = np.asarray(pc.not_equal(column[1:], column[:-1]))
+    differs[0] = column[0].as_py() != before
+    return differs
+
+
+def _read(batch: pa.RecordBatch, at: _Open) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, _Open]:
+    """(island, whether the row repeats its island's first HSP, repeats before it, rows before it) of rows in order, and where reading then stands."""
+    part, key, hsp = (batch.column(c) for c in ("_in", "_key", "_hsp"))
+    opens = _changes(part, at.part)
+    begins = opens | _changes(key, at.key)
+    index, count = np.arange(batch.num_rows), np.cumsum(begins)
+    opened, begun = (np.maximum.accumulate(np.where(x, index, -1)) for x in (opens, begins))
+    island = count - np.where(opened >= 0, count[opened] - 1, -at.island)
+    same = np.asarray(pc.equal(hsp, hsp.take(pa.array(np.maximum(begun, 0)))))
+    if begun[0] < 0:
+        same = np.where(begun < 0, np.asarray(pc.equal(hsp, at.first)), same)
+    repeats = np.cumsum(same)
+    before = repeats - np.where(begun >= 0, repeats[begun] - 1, -at.kept)
+    rows = np.where(begun >= 0, index - begun, at.rows + index)
+    first = hsp[int(begun[-1])].as_py() if begun[-1] >= 0 else at.first
+    return island, same, before - 1, rows, _Open(part[-1].as_py(), key[-1].as_py(), int(island[-1]), first, int(before[-1]), int(rows[-1]) + 1)
+
+
+def _ends(marked: DataFrame) -> dict[int, Row]:
+    """Of each range of rows, read by itself: its first part and island, whether a part or an island begins after its first row, and where reading ends."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, first, parts, islands = _Open(), None, False, False
+        for batch in (b for b in batches if b.num_rows):
+            opens, begins = _changes(batch.column("_in"), at.part), _changes(batch.column("_key"), at.key)
+            parts, islands = parts or bool(opens[first is None :].any()), islands or bool((opens | begins)[first is None :].any())
+            first = first or (batch.column("_range")[0].as_py(), batch.column("_in")[0].as_py(), batch.column("_key")[0].as_py())
+            at = _read(batch, at)[-1]
+        if first is not None:
+            values = (*first, parts, islands, at.part, at.key, at.island, at.first, at.kept, at.rows)
+            yield pa.RecordBatch.from_arrays([pa.array([v]) for v in values], ["range", "part_0", "key_0", "parts", "islands", "part", "key", "island", "first", "kept", "rows"])
+
+    schema = "range long, part_0 string, key_0 string, parts boolean, islands boolean, part string, key string, island long, first string, kept long, rows long"
+    return {r.range: r for r in marked.select("_range", "_in", "_key", "_hsp").mapInArrow(run, schema).collect()}
+
+
+def _carried(ends: dict[int, Row], repeats: dict[int, int]) -> dict[int, _Open]:
+    """Where reading stands before each range, from the ends of ranges read by themselves. ``repeats`` has, for ranges
+    inside one island, how often they repeat its first HSP."""
+    at, before = _Open(), {}
+    for k in sorted(ends):
+        e, before[k] = ends[k], at
+        end = _Open(e.part, e.key, e.island, e.first, e.kept, e.rows)
+        if not e.parts and at.part == e.part_0:  # a part goes on through the whole range
+            goes_on = at.key == e.key_0
+            end = replace(end, island=at.island + e.island - goes_on)
+            if goes_on and not e.islands:
+                end = replace(end, first=at.first, rows=at.rows + e.rows, kept=at.kept + repeats.get(k, 0))
+        at = end
+    return before
+
+
 def islands(hits: DataFrame, part: Sequence[str] = ("query_id",), keep: str = "first") -> DataFrame:
     """Rows in reading order with iteration_hit and hsp numbers.
 
     An island is a run of rows with one query, query length, subject and subject length. Of its
     rows the first and its exact repeats stay (``keep="first"``), or all (``keep="all_hsps"``).
+
+    Rows are dealt by ranges of (part, line_no), so one query's rows may fall into any number of tasks. A
+    first pass reads each range by itself and gives one row a range, from which the driver works out where
+    reading stands at each range's begin; a second pass reads on from there.
     """
     rows = derived(hits)
-    order = Window.partitionBy(*part).orderBy("line_no")
-    same = [F.col(c).eqNullSafe(F.lag(c).over(order)) for c in ("query_id", "query_len", "subject_id", "subject_len")]
-    new = F.when(F.row_number().over(order) == 1, 1).when(same[0] & same[1] & same[2] & same[3], 0).otherwise(1)
-    rows = rows.withColumn("island", F.sum(new).over(order))
-    inside = Window.partitionBy(*part, "island").orderBy("line_no")
-    hsp = F.struct("identity", "align_length", "mismatches", "gaps", "query_start", "q_stop", "s_start", "s_stop", "e_value", "hit")
-    rows = rows.withColumn("_same", hsp.eqNullSafe(F.first(hsp).over(inside)))
-    if keep == "first":
-        rows = rows.where("_same")
-    hits_so_far = F.dense_rank().over(Window.partitionBy(*part, "query_id").orderBy("island"))
-    return rows.withColumn("hit_no", hits_so_far).withColumn("hsp_no", F.row_number().over(inside) - 1).drop("_same")
-
-
-def iterations(rows: DataFrame, order: Sequence[str] = ("line_no",)) -> DataFrame:
+    spark = rows.sparkSession
+    ranges = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    dealt = cut(rows.repartitionByRange(ranges, *part, "line_no").sortWithinPartitions(*part, "line_no").withColumn("_range", F.spark_partition_id()))
+    text = lambda *names: F.to_json(F.struct(*names))
+    hsp = ("identity", "align_length", "mismatches", "gaps", "query_start", "q_stop", "s_start", "s_stop", "e_value", "hit")
+    marked = dealt.withColumns({"_in": text(*part), "_key": text("query_id", "query_len", "subject_id", "subject_len"), "_hsp": text(*hsp)})
+    ends = _ends(marked)
+    before = _carried(ends, {})
+    inside = [(k, before[k].first) for k, e in ends.items() if not e.islands and (before[k].part, before[k].key) == (e.part_0, e.key_0)]
+    if inside:  # ranges that one island fills count its first HSP, which is of an earlier range
+        wanted = F.broadcast(spark.createDataFrame(inside, "_range int, _first string"))
+        found = marked.join(wanted, "_range").where(F.col("_hsp") == F.col("_first")).groupBy("_range").agg(F.count("*").alias("n")).collect()
+        before = _carried(ends, {r["_range"]: r.n for r in found})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = None
+        for batch in (b for b in batches if b.num_rows):
+            island, same, repeats, rows_before, at = _read(batch, before[batch.column("_range")[0].as_py()] if at is None else at)
+            out = pa.RecordBatch.from_arrays([*batch.columns[:-4], pa.array(island), pa.array(repeats if keep == "first" else rows_before)], [*batch.schema.names[:-4], "island", "hsp_no"])
+            yield out.filter(pa.array(same)) if keep == "first" else out
+
+    schema = StructType([*rows.schema.fields, StructField("island", LongType()), StructField("hsp_no", LongType())])
+    numbered_rows = marked.select(*rows.columns, "_range", "_in", "_key", "_hsp").mapInArrow(run, schema)
+    # an island's first row always stays, so in a query's own part islands are numbered as hits are
+    hit_no = F.col("island") if tuple(part) == ("query_id",) else F.dense_rank().over(Window.partitionBy(*part, "query_id").orderBy("island"))
+    return numbered_rows.withColumns({"hsp_no": F.col("hsp_no").cast("int"), "hit_no": hit_no.cast("int")})
+
+
+def iterations(rows: DataFrame, order: Sequence[str] = ("line_no",), hits: DataFrame | None = None) -> DataFrame:
     """``rows`` with iteration_no, by the first appearance of the query in ``order``, which tells all
-    rows apart; the queries are numbered by ranges, so no task holds them all."""
-    firsts = rows.groupBy("query_id").agg(F.min(F.struct(*order)).alias("_first"))
+    rows apart; the queries are numbered by ranges, so no task holds them all.
+
+    First appearances are taken from ``hits`` where given: as a query's first row always stays, those that
+    :func:`islands` began with will do, and are not worked out for it again.
+    """
+    firsts = (rows if hits is None else hits).groupBy("query_id").agg(F.min(F.struct(*order)).alias("_first"))
     return rows.join(numbered(firsts, "iteration_no", F.col("_first")).drop("_first"), "query_id")
 
 

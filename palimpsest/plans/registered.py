@@ -295,7 +295,8 @@ SELECT query_id, line_no, subject_id, iteration_no, dense_rank() OVER (PARTITION
 FROM kept JOIN q USING (query_id)""")
 def blast_islands(spark, sf_dir):
     """Hits in reading order with iteration, hit and HSP numbers."""
-    rows = hits.iterations(hits.islands(fx.line_hits(spark, sf_dir)), ("l_orderkey", "line_no"))
+    lines = fx.line_hits(spark, sf_dir)
+    rows = hits.iterations(hits.islands(lines), ("l_orderkey", "line_no"), lines)
     as_long = [F.col(c).cast("long").alias(c) for c in ("iteration_no", "hit_no", "hsp_no")]
     return rows.select("query_id", "line_no", "subject_id", *as_long)
 
@@ -307,7 +308,8 @@ SELECT iteration_no, query_id, island AS hit_no, subject_id, s_stop - s_start AS
   hit AS bit_score, e_value, q_stop - query_start - mismatches AS identical, q_stop - query_start - mismatches - gaps AS positive, align_length FROM numbered JOIN q USING (query_id)""")
 def blast_nested_xml(spark, sf_dir):
     """The report of the hits nested as its XML is, one row per innermost element."""
-    nested = hits.nested(hits.iterations(hits.islands(fx.line_hits(spark, sf_dir), keep="all_hsps"), ("l_orderkey", "line_no")))
+    lines = fx.line_hits(spark, sf_dir)
+    nested = hits.nested(hits.iterations(hits.islands(lines, keep="all_hsps"), ("l_orderkey", "line_no"), lines))
     found = nested.select(F.col("`Iteration_iter-num`").alias("iteration_no"), F.col("`Iteration_query-def`").alias("query_id"), F.explode("Iteration_hits.Hit").alias("h"))
     each = found.select("iteration_no", "query_id", "h", F.explode("h.Hit_hsps.Hsp").alias("p"))
     return each.select(

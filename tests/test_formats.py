@@ -197,3 +197,42 @@ def test_pattern_bounds_over_any_splits(spark, tmp_path, seed):
             assert got == {k: v for k, v in expected.items() if v}
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
+def plain_islands(rows, keep):
+    """rows of (query, subject, score) in order, of one query after the other."""
+    out, island, hsp, first, last = [], 0, 0, None, None
+    for line, (query, subject, score) in enumerate(rows):
+        if last is None or last[0] != query:
+            island = 0
+        if last != (query, subject):
+            island, hsp, first = island + 1, 0, score
+        last = (query, subject)
+        if keep == "all_hsps" or score == first:
+            out.append((line, island, hsp))
+            hsp += 1
+    return out
+
+
+@pytest.mark.parametrize("keep", ["first", "all_hsps"])
+def test_islands_over_many_ranges(spark, keep):
+    rng = random.Random(7)
+    rows = []
+    for query, n in [("a", 3), ("b", 700), ("c", 1), ("d", 0), ("e", 40)]:  # one query has nearly all rows, and one island hundreds
+        while n > 0:
+            run = min(n, rng.choice([1, 2, 3, 5, 300]))
+            subject = rng.choice("xyz")
+            rows += [(query, subject, rng.choice([1.0, 1.0, 2.0, None])) for _ in range(run)]
+            n -= run
+    table = spark.createDataFrame([(q, s, 1.0, 5, 0, 0, 1, 9, 1, 9, 0.1, x, i) for i, (q, s, x) in enumerate(rows)], hits.HIT_SCHEMA + ", line_no long")
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in (4, 60):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            got = hits.islands(table.repartition(3), keep=keep)
+            assert sorted((r.line_no, r.hit_no, r.hsp_no) for r in got.collect()) == plain_islands(rows, keep)
+        sizes = [r.n for r in hits.islands(table, keep="all_hsps").groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        assert max(sizes) < 60  # the hot query is spread
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    assert hits.islands(table.limit(0), keep=keep).collect() == []
