@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.checkpoints import shared_folder
+from ..functions import text
 from ..functions.text import cache_key, task_key
 from ..operators import asof, counts, diff, filters, hits, lineage, manifest
 from ..sources import files, formats, records, sinks
 from ..store import Store
+from ..streaming.ingest import ingest
 from . import fixtures as fx
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -318,17 +320,28 @@ def blast_nested_xml(spark, sf_dir):
         F.col("p.Hsp_identity").alias("identical"), F.col("p.Hsp_positive").alias("positive"), F.col("p")["Hsp_align-len"].alias("align_length"))
 
 
-@query(f"""WITH {fx.FILES_SQL} SELECT path, size, substr(path, length('blog.tionsh.example.net/en/') + 1) AS suffix FROM files WHERE NOT is_deleted AND starts_with(path, 'blog.tionsh.example.net/en/')
-  AND NOT contains(substr(path, length('blog.tionsh.example.net/en/') + 1), '/')""")
+def _fullest(files: DataFrame, folder: Column) -> str:
+    """The folder of ``files`` that holds most live ones; of equal ones the first by name."""
+    return manifest.live(files).groupBy(folder.alias("folder")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "folder").first().folder
+
+
+_FOLDER = "(SELECT regexp_replace(path, '/?[^/]*$', '') AS f FROM files WHERE NOT is_deleted GROUP BY f ORDER BY count(*) DESC, f LIMIT 1)"
+_HOST = "(SELECT split_part(path, '/', 1) AS f FROM files WHERE NOT is_deleted GROUP BY f ORDER BY count(*) DESC, f LIMIT 1)"
+
+
+@query(f"""WITH {fx.FILES_SQL}, o AS (SELECT *, f || '/' AS base FROM files, {_FOLDER}) SELECT path, size, substr(path, length(base) + 1) AS suffix FROM o
+  WHERE NOT is_deleted AND starts_with(path, base) AND NOT contains(substr(path, length(base) + 1), '/')""")
 def ls(spark, sf_dir):
-    """Files directly in a folder."""
-    return manifest.ls(fx.page_files(spark, sf_dir), "blog.tionsh.example.net/en").select("path", "size", "suffix")
+    """Files directly in the folder that has most."""
+    found = fx.page_files(spark, sf_dir)
+    return manifest.ls(found, _fullest(found, text.path_parent(F.col("path")))).select("path", "size", "suffix")
 
 
-@query(f"""WITH {fx.FILES_SQL} SELECT path, size, substr(path, length('blog.tionsh.example.net/') + 1) AS suffix FROM files WHERE NOT is_deleted AND starts_with(path, 'blog.tionsh.example.net/')""")
+@query(f"""WITH {fx.FILES_SQL}, o AS (SELECT *, f || '/' AS base FROM files, {_HOST}) SELECT path, size, substr(path, length(base) + 1) AS suffix FROM o WHERE NOT is_deleted AND starts_with(path, base)""")
 def ls_rec(spark, sf_dir):
-    """All files below a folder."""
-    return manifest.ls_rec(fx.page_files(spark, sf_dir), "blog.tionsh.example.net").select("path", "size", "suffix")
+    """All files below the host that has most."""
+    found = fx.page_files(spark, sf_dir)
+    return manifest.ls_rec(found, _fullest(found, F.substring_index("path", "/", 1))).select("path", "size", "suffix")
 
 
 @query(f"""WITH {fx.FILES_SQL} SELECT max(size) AS size FROM files WHERE NOT is_deleted AND path = (SELECT min(path) FROM files WHERE NOT is_deleted)""")
@@ -365,11 +378,15 @@ def hash_dedup(spark, sf_dir):
     return manifest.put_files(fx.page_files(spark, sf_dir), fx.page_files(spark, sf_dir, 2)).select("path", "size", "state", "old_version")
 
 
-@query(f"""WITH {fx.FILES_SQL} SELECT path, CASE WHEN starts_with(path, 'blog.tionsh.example.net/') THEN 7 ELSE version END AS version,
-  is_deleted OR starts_with(path, 'blog.tionsh.example.net/') AS is_deleted FROM files""")
+@query(f"""WITH {fx.FILES_SQL}, h AS {_HOST}, one AS (SELECT min(path) AS p FROM files WHERE NOT is_deleted AND NOT starts_with(path, (SELECT f || '/' FROM h))),
+marked AS (SELECT path, version, is_deleted, starts_with(path, f || '/') OR path IS NOT DISTINCT FROM p AS hit FROM files, h, one)
+SELECT path, CASE WHEN hit THEN 7 ELSE version END AS version, is_deleted OR hit AS is_deleted FROM marked""")
 def soft_delete(spark, sf_dir):
-    """A folder's files marked deleted at a version."""
-    gone = manifest.soft_delete(fx.page_files(spark, sf_dir), "blog.tionsh.example.net", 7, tree=True)
+    """The files of a host, and one other, marked deleted at a version."""
+    found = fx.page_files(spark, sf_dir)
+    host = _fullest(found, F.substring_index("path", "/", 1))
+    one = manifest.live(found).where(~F.col("path").startswith(host + "/")).agg(F.min("path").alias("path")).first().path
+    gone = manifest.soft_delete(manifest.soft_delete(found, host, 7, tree=True), one or "", 7)
     return gone.select("path", F.col("version").cast("long").alias("version"), "is_deleted")
 
 
@@ -504,6 +521,194 @@ def copied_files(spark, sf_dir):
     return back.select(F.regexp_extract("path", r"(\d+)\.html$", 1).cast("long").alias("page_id"), "size", "hash")
 
 
+@query(f"""WITH {fx.RELEASES_SQL} SELECT entry_key, {_LINE} AS text FROM r2 c""")
+def store_snapshot(spark, sf_dir):
+    """A get made before its version is put again and folded, and read afterwards."""
+    store = _store(spark, sf_dir, 1, 2)
+    got = store.get("documents", start=1)
+    fields = F.map_concat("fields", F.create_map(F.lit("ID"), F.concat(F.lit(">"), "entry_key")))
+    store.put(fx.release(spark, sf_dir, 3).select("entry_key", fields.alias("fields")), "documents", 2, "documents")
+    store.compact("documents", 2)
+    return got.existing.select("entry_key", "text")
+
+
+@query(f"""WITH {fx.RELEASES_SQL} SELECT text, NULL AS rows FROM (SELECT {_LINE} AS text FROM r2 c) UNION ALL SELECT 'noted', count(*) FROM r2""")
+def store_export_path(spark, sf_dir):
+    """A result written to a path of the caller's, its lines, and the rows noted for it."""
+    store, path = _store(spark, sf_dir, 1, 2), shared_folder(spark)
+    for _ in range(2):  # the second is answered from the listing
+        store.export("documents", path, start=1, split=3)
+    noted = store.table("materializations").where(F.col("path") == path).select(F.lit("noted").alias("text"), "rows")
+    return spark.read.text(path).select(F.col("value").alias("text"), F.lit(None).cast("long").alias("rows")).unionByName(noted)
+
+
+def _written(spark: SparkSession, lines: DataFrame, compression: str = "none") -> str:
+    """A new folder with the column value of ``lines`` as text files."""
+    folder = shared_folder(spark)
+    lines.select("value").write.option("compression", compression).text(folder)
+    return folder
+
+
+def _entries(spark: SparkSession, lines: DataFrame, name: str, kind: str | None = None) -> DataFrame:
+    """(entry_key, fields, text) of lines written as files, read by a format and rendered by it."""
+    fmt = formats.FORMATS[name]
+    return fmt.rendered(fmt.read(spark, _written(spark, lines, "gzip")), kind)
+
+
+_PLAIN = "regexp_replace(replace(replace(text, '>', ''), chr(13), ''), '\\n+$', '')"
+_ONE_LINE = "trim(regexp_replace(text, '[\\x00-\\x20]+', ' ', 'g'), ' ')"
+
+
+@query(f"""SELECT '>' || doc_id AS entry_key, md5('>' || doc_id || chr(10) || {_PLAIN}) AS text_md5 FROM documents""")
+def glimmer_files(spark, sf_dir):
+    """Documents as records whose lines are kept, through compressed files."""
+    plain = F.regexp_replace(F.translate("text", ">\r", ""), "\n+$", "")
+    docs = fx.table(spark, sf_dir, "documents").select(F.concat(F.lit(">"), "doc_id", F.lit("\n"), plain).alias("value"))
+    return _entries(spark, docs, "glimmer").select("entry_key", F.md5("text").alias("text_md5"))
+
+
+def _turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(conv_id, turn, role, text) with texts of one line."""
+    return fx.table(spark, sf_dir, "conversations").withColumn("text", F.trim(F.regexp_replace("text", r"[\x00-\x20]+", " ")))
+
+
+def _gathered(turns: DataFrame, line: Column) -> DataFrame:
+    """(conv_id, lines): a line of each turn, in order."""
+    return turns.groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", line.alias("line")))), lambda x: x["line"]).alias("lines"))
+
+
+@query(f"""SELECT 'c' || conv_id AS entry_key, md5('HMMER3/f' || chr(10) || 'NAME  c' || conv_id || chr(10) || string_agg('ACC   ' || role || ' ' || {_ONE_LINE}, chr(10) ORDER BY turn) || chr(10) || '//') AS text_md5
+FROM conversations GROUP BY conv_id""")
+def profile_files(spark, sf_dir):
+    """Conversations as profiles, whose lines keep their order."""
+    lines = _gathered(_turns(spark, sf_dir), F.concat(F.lit("ACC   "), "role", F.lit(" "), "text"))
+    value = F.array_join(F.concat(F.array(F.lit("HMMER3/f"), F.concat(F.lit("NAME  c"), "conv_id")), "lines", F.array(F.lit("//"))), "\n")
+    return _entries(spark, lines.select(value.alias("value")), "hmm").select("entry_key", F.md5("text").alias("text_md5"))
+
+
+@query(f"""SELECT 'c' || conv_id AS entry_key, md5('# STOCKHOLM 1.0' || chr(10) || '#=GF ID   c' || conv_id || chr(10) || string_agg('#=GF CC   ' || role || ' ' || {_ONE_LINE}, chr(10) ORDER BY turn) || chr(10) || '//') AS text_md5
+FROM conversations GROUP BY conv_id""")
+def stockholm_files(spark, sf_dir):
+    """Conversations as alignments."""
+    lines = _gathered(_turns(spark, sf_dir), F.concat(F.lit("#=GF CC   "), "role", F.lit(" "), "text"))
+    value = F.array_join(F.concat(F.array(F.lit("# STOCKHOLM 1.0"), F.concat(F.lit("#=GF ID   c"), "conv_id")), "lines", F.array(F.lit("//"))), "\n")
+    return _entries(spark, lines.select(value.alias("value")), "pfam").select("entry_key", F.md5("text").alias("text_md5"))
+
+
+@query(f"""WITH l AS (SELECT conv_id, turn, CASE role WHEN 'system' THEN 'AC' WHEN 'user' THEN 'DE' ELSE 'SE' END AS code, {_ONE_LINE} AS text FROM conversations),
+c AS (SELECT conv_id, code, min(turn) AS first, string_agg(CASE code WHEN 'SE' THEN '  ' ELSE code END || '   ' || text, chr(10) ORDER BY turn) AS block, string_agg(replace(text, ' ', ''), '' ORDER BY turn) AS body FROM l GROUP BY conv_id, code)
+SELECT 'E' || conv_id AS entry_key, md5('ID   E' || conv_id || chr(10) || string_agg(block, chr(10) ORDER BY first) || chr(10) || '//') AS dat_md5,
+  md5('>E' || conv_id || coalesce(chr(10) || max(CASE WHEN code = 'SE' THEN body END), '')) AS fasta_md5 FROM c GROUP BY conv_id""")
+def uniprot_rendered(spark, sf_dir):
+    """Conversations as flat files, rendered as flat file and as FASTA."""
+    code = F.when(F.col("role") == "system", "AC").when(F.col("role") == "user", "DE").otherwise("  ")
+    lines = _gathered(_turns(spark, sf_dir), F.concat(code, F.lit("   "), "text"))
+    value = F.array_join(F.concat(F.array(F.concat(F.lit("ID   E"), "conv_id")), "lines", F.array(F.lit("//"))), "\n")
+    dat = _entries(spark, lines.select(value.alias("value")), "uniprot", "DAT")
+    fasta = formats.FORMATS["uniprot"].rendered(dat.select("entry_key", "fields"), "FASTA")
+    return dat.select("entry_key", F.md5("text").alias("dat_md5")).join(fasta.select("entry_key", F.md5("text").alias("fasta_md5")), "entry_key")
+
+
+_HIT_LINE = "concat_ws(chr(9), query_id, subject_id, CAST(round(identity) AS INT), align_length, mismatches, gaps, query_start, q_stop, s_start, s_stop, CAST(round(100 * e_value) AS INT), CAST(round(hit) AS INT))"
+
+
+@query(f"""WITH {fx.HITS_SQL} SELECT DISTINCT {_HIT_LINE} AS entry_key, {_HIT_LINE} AS text, NULL AS n FROM hits
+UNION ALL SELECT 'rejected', 'not a record of the format', count(*) FROM hits WHERE line_no = 1""")
+def hit_lines(spark, sf_dir):
+    """Hits as tab-separated lines put from files, and how many lines were rejected."""
+    whole = lambda c, n=1: F.round(n * F.col(c)).cast("int")
+    cells = [whole("identity"), *hits.HIT_COLUMNS[3:10], whole("e_value", 100), whole("hit")]
+    rows = fx.line_hits(spark, sf_dir).select("line_no", F.concat_ws("\t", "query_id", "subject_id", *cells).alias("value"))
+    store = Store(spark, shared_folder(spark))
+    broken = rows.where("line_no = 1").select(F.substring_index("value", "\t", 4).alias("value"))
+    store.put(_written(spark, rows.select("value").unionByName(broken)), "hits", 1, "blastoutput")
+    bad = store.table("rejects").groupBy(F.lit("rejected").alias("entry_key"), F.col("reason").alias("text")).agg(F.count("*").alias("n"))
+    return store.get("hits").existing.select("entry_key", "text", F.lit(None).cast("long").alias("n")).unionByName(bad)
+
+
+_DOMAIN = ["'t' || conv_id || '_' || turn", "'-'", "turn", "role", "'-'", *["'1'"] * 17]
+
+
+@query(f"""SELECT md5(concat_ws(' ', {', '.join(_DOMAIN)}, {_ONE_LINE})) AS line_md5, md5(concat_ws(chr(9), {', '.join(_DOMAIN)}, {_ONE_LINE})) AS text_md5 FROM conversations WHERE {_ONE_LINE} <> ''""")
+def domain_table(spark, sf_dir):
+    """Turns as lines of a domain table under comments, whose last column holds blanks."""
+    ones = [F.lit("1")] * 17
+    rows = _turns(spark, sf_dir).where("text <> ''").select(F.concat_ws(" ", F.concat(F.lit("t"), "conv_id", F.lit("_"), "turn"), F.lit("-"), "turn", "role", F.lit("-"), *ones, "text").alias("value"))
+    comments = spark.range(2).select(F.lit("# target name  accession").alias("value"))
+    return _entries(spark, rows.unionByName(comments), "hmmeroutput").select(F.md5("entry_key").alias("line_md5"), F.md5("text").alias("text_md5"))
+
+
+@query(f"""WITH {fx.FILES_SQL} SELECT 'fullfile' AS format, '/store/' || path AS entry_key, 'base/' || path || chr(9) || path || chr(9) || '/store/' || path AS text FROM files
+UNION ALL SELECT 'priam', '/store/' || path, '/store/' || path || chr(9) || path FROM files""")
+def listing_files(spark, sf_dir):
+    """A file listing as lines, read and rendered by both formats that take it."""
+    value = F.concat_ws("\t", F.concat(F.lit("base/"), "path"), "hash", "version", F.lit("/store"), F.lit("base"), "path")
+    lines = fx.page_files(spark, sf_dir).select(value.alias("value"))
+    both = [_entries(spark, lines, f).select(F.lit(f).alias("format"), "entry_key", "text") for f in ("fullfile", "priam")]
+    return both[0].unionByName(both[1])
+
+
+@query(f"""WITH {fx.RELEASES_SQL}, gone AS (SELECT entry_key FROM r1 WHERE entry_key NOT IN (SELECT entry_key FROM r2))
+SELECT 'deleted' AS kind, entry_key AS key, NULL AS value FROM gone UNION ALL SELECT 'metadata', 'TABLE_NAME', 'documents' UNION ALL SELECT 'metadata', 'INC_ENTRIES', CAST((SELECT count(*) FROM r2) AS VARCHAR)
+UNION ALL SELECT 'metadata', 'FULL_ENTRIES', CAST((SELECT count(*) FROM r2) AS VARCHAR) UNION ALL SELECT 'metadata', 'TYPE', 'LINE' UNION ALL SELECT 'metadata', 'TAXON', 'x'""")
+def deleted_and_metadata_files(spark, sf_dir):
+    """The deleted keys of a get as a list, with blanks and repeats, and its metadata as key and value lines, read again."""
+    store = _store(spark, sf_dir, 1, 2)
+    got = store.get("documents", start=1, addendum="x")
+    listed = got.deleted.select(F.explode(F.array("entry_key", F.concat(F.lit(" "), "entry_key"), F.lit(""))).alias("text"))
+    deleted = files.read_deleted(spark, _written(spark, sinks.key_value_lines(listed)))
+    folder = shared_folder(spark)
+    files.write_metadata(got.metadata, folder)
+    rows = deleted.select(F.lit("deleted").alias("kind"), F.col("entry_key").alias("key"), F.lit(None).cast("string").alias("value"))
+    return rows.unionByName(files.read_metadata(spark, folder).select(F.lit("metadata").alias("kind"), "key", "value"))
+
+
+@query("""WITH d AS (SELECT doc_id % 16 AS n, '>' || doc_id AS head, replace(replace(replace(text, '>', ''), chr(10), ''), chr(13), '') AS body FROM documents)
+SELECT n || '.fna' AS file, CAST(sum(length(trim(body, ' '))) AS BIGINT) AS base_pairs, count(*) AS contigs, NULL AS lines FROM d GROUP BY n
+UNION ALL SELECT 'all', NULL, NULL, CAST(2 * count(*) AS BIGINT) FROM d""")
+def sequence_scan(spark, sf_dir):
+    """Sequence files found by their ending in a tree with others, measured, and joined into one folder."""
+    body = F.translate("text", ">\n\r", "")
+    docs = fx.table(spark, sf_dir, "documents").select((F.col("doc_id") % 16).alias("n"), F.concat_ws("\n", F.concat(F.lit(">"), "doc_id"), body).alias("record"))
+    parts = docs.groupBy("n").agg(F.encode(F.array_join(F.collect_list("record"), "\n"), "UTF-8").alias("content"))
+    named = [parts.select(F.concat(F.lit(f), "n", F.lit(e)).alias("path"), "content") for f, e in (("s/", ".fna"), ("s/other/", ".txt"))]
+    folder, target = shared_folder(spark), shared_folder(spark)
+    files.write_files(named[0].unionByName(named[1]), folder).count()
+    found = counts.base_pairs(files.read_sequence_lines(spark, folder)).where("file IS NOT NULL")
+    files.concatenate_sequences(spark, folder, target)
+    every = spark.read.text(target).agg(F.count("*").alias("lines"))
+    each = found.select(text.base_name(F.col("file")).alias("file"), "base_pairs", "contigs", F.lit(None).cast("long").alias("lines"))
+    return each.unionByName(every.select(F.lit("all").alias("file"), F.lit(None).cast("long").alias("base_pairs"), F.lit(None).cast("long").alias("contigs"), "lines"))
+
+
+@query(r"""WITH l AS (SELECT conv_id, turn, CASE WHEN regexp_full_match(text, 'conversation \d+') THEN '-' ELSE replace(text, chr(13), '') END AS text FROM conversations)
+SELECT conv_id, md5('conversation ' || conv_id || chr(10) || string_agg(text, chr(10) ORDER BY turn)) AS record_md5 FROM l GROUP BY conv_id""")
+def pattern_records(spark, sf_dir):
+    """Conversations as records that a line of a pattern begins and another ends, cut out of files in splits."""
+    body = F.when(F.col("text").rlike(r"\A(conversation \d+)\z"), "-").otherwise(F.translate("text", "\r", ""))
+    lines = _gathered(fx.table(spark, sf_dir, "conversations"), body)
+    value = F.concat(F.lit("skipped? no: the last record's end\nconversation "), "conv_id", F.lit("\n"), F.array_join("lines", "\n"), F.lit("\nend of it"))
+    found = records.read_records_by_pattern(spark, _written(spark, lines.select(value.alias("value"))), r"conversation \d+", "end of it")
+    number = F.regexp_extract("record", r"\Aconversation (\d+)", 1).cast("long")
+    return found.select(number.alias("conv_id"), F.md5("record").alias("record_md5"))
+
+
+@query("""SELECT '>' || doc_id AS entry_key, md5(replace(replace(replace(replace(text, '>', ''), chr(13), ''), chr(10), ''), ' ', '')) AS seq_md5, 2 AS n_versions FROM documents WHERE doc_id % 10 <> 3""")
+def streamed_release(spark, sf_dir):
+    """Two releases of documents dropped as FASTA files into a folder, put by the stream, and the second got."""
+    folder, checkpoint = shared_folder(spark), shared_folder(spark)
+    body = F.regexp_replace(F.translate("text", ">\r", ""), r"[\x00-\x20]", "")
+    docs = fx.table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit(">"), "doc_id", F.lit("\n"), body).alias("value"))
+    for version, rows in ((1, docs), (2, docs.where("doc_id % 10 <> 3"))):
+        rows.select("value").coalesce(1).write.text(f"{folder}/version={version}")
+        spark.range(1).select(F.lit("closed").alias("content"), F.lit(f"version={version}/1.done").alias("path")).transform(
+            lambda m: files.write_files(m.select("path", F.encode("content", "UTF-8").alias("content")), folder)).count()
+    store = Store(spark, shared_folder(spark))
+    ingest(store, folder, "dropped", "fasta", checkpoint).awaitTermination()
+    got = store.get("dropped", start=1).existing
+    return got.select("entry_key", F.md5(F.element_at("fields", F.lit("SEQ"))).alias("seq_md5"), F.lit(len(store.versions("dropped"))).cast("long").alias("n_versions"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
