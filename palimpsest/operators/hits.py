@@ -167,19 +167,64 @@ def iterations(rows: DataFrame, order: Sequence[str] = ("line_no",), hits: DataF
     return rows.join(numbered(firsts, "iteration_no", F.col("_first")).drop("_first"), "query_id")
 
 
-def nested(rows: DataFrame) -> DataFrame:
-    """One row per iteration with its hits, and their HSPs, nested as the XML report has them."""
+def nested(rows: DataFrame, taxon: str = "") -> DataFrame:
+    """One row per iteration with its hits, and their HSPs, nested as the XML report has them.
+
+    A query's hits make one row, so this is for results whose queries have few; :func:`report_lines` has no such row.
+    """
     hsp = F.struct(
-        F.col("hsp_no").alias("Hsp_num"), F.col("hit").alias("Hsp_bit-score"), F.col("e_value").alias("Hsp_evalue"), F.col("query_start").alias("Hsp_query-from"),
-        F.col("q_stop").alias("Hsp_query-to"), F.col("s_start").alias("Hsp_hit-from"), F.col("s_stop").alias("Hsp_hit-to"), F.col("identical").alias("Hsp_identity"),
-        F.col("positive").alias("Hsp_positive"), F.col("gaps").alias("Hsp_gaps"), F.col("align_length").alias("Hsp_align-len"),
+        F.col("hsp_no").alias("Hsp_num"), F.col("align_length").alias("Hsp_align-len"), F.col("e_value").alias("Hsp_evalue"), F.col("identical").alias("Hsp_identity"),
+        F.col("positive").alias("Hsp_positive"), F.col("hit").alias("Hsp_score"), F.col("query_start").alias("Hsp_query-from"), F.col("q_stop").alias("Hsp_query-to"),
+        F.col("s_start").alias("Hsp_hit-from"), F.col("s_stop").alias("Hsp_hit-to"),
     )
     hits = rows.groupBy("iteration_no", "query_id", "query_len", "hit_no", "subject_id", "subject_len").agg(F.array_sort(F.collect_list(hsp)).alias("hsps"))
     hit = F.struct(
-        F.col("hit_no").alias("Hit_num"), F.col("subject_id").alias("Hit_id"), F.col("subject_len").alias("Hit_len"), F.struct(F.col("hsps").alias("Hsp")).alias("Hit_hsps")
+        F.col("hit_no").alias("Hit_num"), F.concat_ws(" ", "subject_id", F.nullif(F.lit(taxon), F.lit(""))).alias("Hit_def"), F.col("subject_len").alias("Hit_len"), F.struct(F.col("hsps").alias("Hsp")).alias("Hit_hsps")
     )
     out = hits.groupBy("iteration_no", "query_id").agg(F.max("query_len").alias("query_len"), F.array_sort(F.collect_list(hit), lambda a, b: a["Hit_num"] - b["Hit_num"]).alias("hits"))
     return out.select(
-        F.col("iteration_no").alias("Iteration_iter-num"), F.col("query_id").alias("Iteration_query-def"), F.col("query_len").alias("Iteration_query-len"),
-        F.struct(F.col("hits").alias("Hit")).alias("Iteration_hits"),
+        F.col("iteration_no").alias("Iteration_iter-num"), F.col("query_id").alias("Iteration_query-def"), F.col("query_len").alias("Iteration_query-len"), F.struct(F.col("hits").alias("Hit")).alias("Iteration_hits")
     )
+
+
+# What stands around the iterations of a report, and the elements of an HSP.
+REPORT_HEAD = """<?xml version="1.0"?>
+<!DOCTYPE BlastOutput PUBLIC "-//NCBI//NCBI BlastOutput/EN" "http://www.ncbi.nlm.nih.gov/dtd/NCBI_BlastOutput.dtd">
+<BlastOutput>
+  <BlastOutput_program>{program}</BlastOutput_program>
+  <BlastOutput_iterations>
+"""
+REPORT_END = "  </BlastOutput_iterations>\n</BlastOutput>\n"
+HIT_END = "          </Hit_hsps>\n        </Hit>\n"
+ITERATION_END = HIT_END + "      </Iteration_hits>\n    </Iteration>\n"
+HSP_ELEMENTS = (
+    ("Hsp_num", "hsp_no"), ("Hsp_align-len", "align_length"), ("Hsp_evalue", "e_value"), ("Hsp_identity", "identical"), ("Hsp_positive", "positive"), ("Hsp_score", "hit"),
+    ("Hsp_query-from", "query_start"), ("Hsp_query-to", "q_stop"), ("Hsp_hit-from", "s_start"), ("Hsp_hit-to", "s_stop"),
+)
+
+
+def _escaped(value: Column) -> Column:
+    out = F.regexp_replace(value.cast("string"), "[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F]", "")
+    for mark, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        out = F.replace(out, F.lit(mark), F.lit(name))
+    return F.coalesce(out, F.lit(""))
+
+
+def report_lines(rows: DataFrame, taxon: str = "") -> DataFrame:
+    """(iteration_no, hit_no, hsp_no, value): the report's text, a row for an HSP.
+
+    In order, each row closes what ends before it and opens what begins with it, as its own numbers tell;
+    so any number of tasks write the report, however many hits one query has. Characters that XML does
+    not allow are left out.
+    """
+    element = lambda indent, name, value: F.concat(F.lit(f"{' ' * indent}<{name}>"), value, F.lit(f"</{name}>\n"))
+    starts_hit = F.col("hsp_no") == 0
+    starts_iteration = starts_hit & (F.col("hit_no") == 1)
+    closes = F.when(starts_iteration, F.when(F.col("iteration_no") > 1, ITERATION_END)).when(starts_hit, HIT_END)
+    query = F.concat(F.lit("    <Iteration>\n"), element(6, "Iteration_iter-num", F.col("iteration_no")), element(6, "Iteration_query-def", _escaped(F.col("query_id"))),
+                     element(6, "Iteration_query-len", _escaped(F.col("query_len"))), F.lit("      <Iteration_hits>\n"))
+    subject = F.concat_ws(" ", _escaped(F.col("subject_id")), F.nullif(_escaped(F.lit(taxon)), F.lit("")))
+    hit = F.concat(F.lit("        <Hit>\n"), element(10, "Hit_num", F.col("hit_no")), element(10, "Hit_def", subject), element(10, "Hit_len", _escaped(F.col("subject_len"))), F.lit("          <Hit_hsps>\n"))
+    hsp = F.concat(F.lit("            <Hsp>\n"), *[element(14, name, _escaped(F.col(c))) for name, c in HSP_ELEMENTS], F.lit("            </Hsp>"))
+    value = F.concat_ws("", closes, F.when(starts_iteration, query), F.when(starts_hit, hit), hsp)
+    return rows.select("iteration_no", "hit_no", "hsp_no", value.alias("value"))

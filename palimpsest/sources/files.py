@@ -6,10 +6,12 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyarrow.fs import FileSystem, LocalFileSystem
+from pyarrow.fs import FileSystem, FileType, LocalFileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..commits import Files
+from ..functions.checkpoints import shared_folder
 from ..operators.hits import HIT_SCHEMA
 
 
@@ -20,9 +22,69 @@ def read_sequence_lines(spark: SparkSession, folder: str, ending: str = "fna") -
 
 
 def concatenate_sequences(spark: SparkSession, folder: str, target: str, ending: str = "fna", single: bool = False) -> None:
-    """All sequence files as one folder of text; as one file only if asked for."""
-    lines = read_sequence_lines(spark, folder, ending).select("value")
-    (lines.coalesce(1) if single else lines).write.mode("overwrite").text(target)
+    """All sequence files as one folder of text; if asked for as one file, which is joined from the parts."""
+    parts = shared_folder(spark) if single else target
+    read_sequence_lines(spark, folder, ending).select("value").write.mode("overwrite").text(parts)
+    if single:
+        at = Files(spark)
+        join_parts(spark, [f"{parts}/{name}" for name, size in at.parts(parts) if size], target)
+        at.delete(parts)
+
+
+def _system(path: str) -> tuple[FileSystem, str]:
+    """The file system of an address, and the path on it."""
+    return FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (LocalFileSystem(), path)
+
+
+def _joined_on_hdfs(spark: SparkSession, parts: list[str], target: str, draft: str, head: str, end: str) -> bool:
+    """Join by HDFS's own concatenation; False on other file systems, or where it refuses."""
+    files, path = Files(spark), spark._jvm.org.apache.hadoop.fs.Path
+    system, at = files.of(target)
+    if system.getUri().getScheme() != "hdfs" or not head:
+        return False
+    files.create(draft, head)
+    every = [*parts, f"{draft}.end"]
+    files.create(every[-1], end)
+    names = spark.sparkContext._gateway.new_array(path, len(every))
+    for k, part in enumerate(every):
+        names[k] = path(part)
+    try:
+        system.concat(path(draft), names)
+    except Exception:  # parts on another volume, or encrypted: they are copied instead
+        files.delete(draft), files.delete(every[-1])
+        return False
+    system.delete(at, True)
+    return system.rename(path(draft), at)
+
+
+def join_parts(spark: SparkSession, parts: list[str], target: str, head: str = "", end: str = "") -> None:
+    """One file of ``head``, the files ``parts`` in order, and ``end``. It appears whole, at the end.
+
+    HDFS joins files without moving their data. Elsewhere one task copies them, a few megabytes at a time.
+    """
+    draft = f"{target}.{uuid.uuid4().hex}.part"
+    if _joined_on_hdfs(spark, parts, target, draft, head, end):
+        return
+
+    def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (b for b in batches if b.num_rows):
+            to, place = _system(draft)
+            to.create_dir(place.rsplit("/", 1)[0], recursive=True)
+            with to.open_output_stream(place) as out:
+                out.write(head.encode())
+                for part in parts:
+                    source, name = _system(part)
+                    with source.open_input_stream(name) as stream:
+                        while block := stream.read(4 << 20):
+                            out.write(block)
+                out.write(end.encode())
+            final = _system(target)[1]
+            if to.get_file_info(final).type != FileType.NotFound:
+                to.delete_file(final)
+            to.move(place, final)
+            yield batch
+
+    spark.range(0, 1, 1, 1).mapInArrow(copy, "id long").collect()
 
 
 def read_hits(spark: SparkSession, path: str) -> DataFrame:

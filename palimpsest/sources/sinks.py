@@ -1,10 +1,15 @@
-"""Text, tabular and XML sinks. Each writes a folder of part files."""
+"""Text, tabular and XML sinks. Each writes a folder of part files, but for the report, which is one document."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..commits import Files
+from ..functions.checkpoints import shared_folder
+from ..operators.hits import ITERATION_END, REPORT_END, REPORT_HEAD, report_lines
+from .files import join_parts
+
 
 def first_per_key(rendered: DataFrame, key: str = "entry_key", order: tuple[str, ...] = ("run_id", "task_id")) -> DataFrame:
     """One row per rendered key: that of the least run and task."""
@@ -38,9 +43,28 @@ def sorted_report(rows: DataFrame, *order: str, part: str = "file") -> DataFrame
     return rows.orderBy(part, *order)
 
 
-def write_xml(nested: DataFrame, path: str, single: bool = False) -> None:
-    """A nested report; with ``single`` one document, for results of a size that one task can write."""
-    (nested.coalesce(1) if single else nested).write.mode("overwrite").option("rootTag", "BlastOutput_iterations").option("rowTag", "Iteration").xml(path)
+def write_xml(nested: DataFrame, path: str) -> None:
+    """A nested report as a folder of parts; see :func:`write_report` for one document."""
+    nested.write.mode("overwrite").option("rootTag", "BlastOutput_iterations").option("rowTag", "Iteration").xml(path)
+
+
+def write_report(rows: DataFrame, path: str, program: str, taxon: str = "", parts: int | None = None) -> None:
+    """Numbered hits as one XML document at ``path``.
+
+    Tasks write ranges of it in order, and the ranges are joined between its head and its end. A report
+    without rows has no iterations.
+    """
+    spark = rows.sparkSession
+    order = ("iteration_no", "hit_no", "hsp_no")
+    lines = report_lines(rows, taxon)
+    parts = parts or max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    folder = shared_folder(spark)
+    lines.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("value").write.text(folder)
+    at = Files(spark)
+    names = [f"{folder}/{name}" for name, size in at.parts(folder) if size]
+    escaped = program.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
+    join_parts(spark, names, path, REPORT_HEAD.format(program=escaped), (ITERATION_END if names else "") + REPORT_END)
+    at.delete(folder)
 
 
 def digest_columns(*columns: str) -> dict[str, Column]:

@@ -3,6 +3,7 @@
 import dataclasses
 import gzip
 import random
+from xml.etree import ElementTree
 
 import pytest
 from pyspark.sql import functions as F
@@ -115,9 +116,9 @@ def test_islands(spark):
 def test_xml_and_text(spark, tmp_path):
     row = ("q", "s", 90.0, 10, 1, 0, 1, 11, 1, 11, 0.1, 5.0, 0)
     df = spark.createDataFrame([row], hits.HIT_SCHEMA + ", line_no long")
-    sinks.write_xml(hits.nested(hits.iterations(hits.islands(df))), str(tmp_path / "x"), single=True)
+    sinks.write_xml(hits.nested(hits.iterations(hits.islands(df)), "taxon"), str(tmp_path / "x"))
     text = "".join(p.read_text() for p in (tmp_path / "x").glob("part-*"))
-    assert "<Iteration_hits>" in text and "<Hit_id>s</Hit_id>" in text and text.count("<Hsp>") == 1
+    assert "<Iteration_hits>" in text and "<Hit_def>s taxon</Hit_def>" in text and text.count("<Hsp>") == 1
     rows = spark.createDataFrame([("b", "x"), ("a", "y"), ("c", "")], "entry_key string, text string")
     assert [r.value for r in sinks.key_value_lines(rows, "entry_key", "text").collect()] == ["b\nx", "a\ny", "c"]
     report = spark.createDataFrame([("g", 1, "x"), ("f", 2, "y"), ("f", 1, "z")], "file string, n int, v string")
@@ -155,7 +156,7 @@ def test_plain_files(spark, tmp_path):
     got = {r.file and r.file.rsplit("/", 1)[1]: (r.base_pairs, r.contigs, r.files, r.mean_length) for r in base_pairs(lines).collect()}
     assert got == {"a.fna": (6, 2, 1, 3), "b.fna": (1, 1, 1, 1), None: (7, 3, 2, 2)}
     files.concatenate_sequences(spark, str(tmp_path / "seq"), str(tmp_path / "all"), single=True)
-    assert sum(p.read_text().count(">") for p in (tmp_path / "all").glob("part-*")) == 3
+    assert (tmp_path / "all").read_text().count(">") == 3
     row = "q\ts\t90\t10\t1\t0\t1\t11\t1\t11\t0.1\t5"
     (tmp_path / "hits.tsv").write_text(f"{row}\nbad\trow\n{row}\n")
     hit_rows = files.read_hits(spark, str(tmp_path / "hits.tsv"))
@@ -236,3 +237,19 @@ def test_islands_over_many_ranges(spark, keep):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", parts)
     assert hits.islands(table.limit(0), keep=keep).collect() == []
+
+
+def test_one_document_by_many_tasks(spark, tmp_path):
+    rows = [(f"q<{q}>", f"s&{s}\x01", 90.0 + h, 10, 1, 0, 1, 11, 1, 11, 1e-30, float(h)) for q in range(6) for s in range(1 + q * 3 % 5) for h in range(1 + (q + s) % 3)]
+    df = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], hits.HIT_SCHEMA + ", line_no long")
+    numbered_rows = hits.iterations(hits.islands(df, keep="all_hsps"), hits=df)
+    texts = []
+    for parts in (1, 7):
+        sinks.write_report(numbered_rows, str(tmp_path / f"{parts}.xml"), "blastp", "A & B", parts)
+        texts.append((tmp_path / f"{parts}.xml").read_text())
+    root = ElementTree.fromstring(texts[0])
+    assert texts[0] == texts[1] and root.tag == "BlastOutput" and root.findtext("BlastOutput_program") == "blastp"
+    got = [(i.findtext("Iteration_query-def"), h.findtext("Hit_def"), int(p.findtext("Hsp_num")), float(p.findtext("Hsp_score"))) for i in root.iter("Iteration") for h in i.iter("Hit") for p in h.iter("Hsp")]
+    assert got == [(r[0], f"{r[1][:-1]} A & B", int(r[-1]), r[-1]) for r in rows]
+    sinks.write_report(numbered_rows.limit(0), str(tmp_path / "7.xml"), "blastp")
+    assert [*ElementTree.parse(tmp_path / "7.xml").getroot().iter("Iteration")] == [] and {p.name for p in tmp_path.iterdir() if p.name[0] != "."} == {"1.xml", "7.xml"}
