@@ -5,9 +5,11 @@ Trees are read by prefix filters, which Parquet scans push down, and path joins
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.files import listed, measured
+
 
 def live(files: DataFrame) -> DataFrame:
     return files.where(~F.col("is_deleted"))
@@ -84,7 +86,7 @@ def newest_state(log: DataFrame) -> DataFrame:
     return log.groupBy("path").agg(F.max_by(F.struct(*others), order).alias("_row")).select("path", "_row.*").select(*log.columns)
 
 
-def from_folder(spark, folder: str, version: int) -> DataFrame:
-    """Manifest rows of the files below a folder; contents are hashed where they are read."""
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-    return found.select("path", F.col("length").alias("size"), F.sha2("content", 256).alias("hash"), F.lit(version).cast("long").alias("version"), F.lit(False).alias("is_deleted"))
+def from_folder(spark: SparkSession, folder: str, version: int) -> DataFrame:
+    """Manifest rows of the files below a folder, of any size; contents are hashed where they are read."""
+    found = measured(listed(spark, folder))
+    return found.select("path", "size", "hash", F.lit(version).cast("long").alias("version"), F.lit(False).alias("is_deleted"))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyarrow.fs import FileSystem, FileType, LocalFileSystem
@@ -33,7 +35,9 @@ def concatenate_sequences(spark: SparkSession, folder: str, target: str, ending:
 
 def _system(path: str) -> tuple[FileSystem, str]:
     """The file system of an address, and the path on it."""
-    return FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (LocalFileSystem(), path)
+    if path.startswith("file:"):
+        return LocalFileSystem(), "/" + path[5:].lstrip("/")
+    return FileSystem.from_uri(path) if "://" in path else (LocalFileSystem(), path)
 
 
 def _joined_on_hdfs(spark: SparkSession, parts: list[str], target: str, draft: str, head: str, end: str) -> bool:
@@ -127,28 +131,80 @@ def write_files(contents: DataFrame, target: str) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, base = FileSystem.from_uri(target) if "://" in target or target.startswith("file:") else (LocalFileSystem(), target)
         for batch in batches:
             sizes = []
             for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
-                place = f"{base}/{path}"
-                part = f"{place}.{uuid.uuid4().hex}.part"
-                system.create_dir(place.rsplit("/", 1)[0], recursive=True)
-                with system.open_output_stream(part) as out:
-                    out.write(content.as_buffer())
-                system.move(part, place)
-                sizes.append(len(content.as_buffer()))
+                sizes.append(_streamed([content.as_buffer()], f"{target}/{path}")[0])
             yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(sizes, pa.int64())], ["path", "size"])
 
     return contents.select("path", F.coalesce("content", F.lit(b"")).alias("content")).mapInArrow(run, "path string, size long")
 
 
+#: Bytes of a file that a task holds at once.
+BLOCK = 4 << 20
+
+
+def _blocks(path: str) -> Iterator[bytes]:
+    system, place = _system(path)
+    with system.open_input_stream(place) as stream:
+        while block := stream.read(BLOCK):
+            yield block
+
+
+def _streamed(blocks: Iterable, target: str | None) -> tuple[int, str]:
+    """(size, SHA-256) of blocks, which are written to ``target`` on the way if one is given: aside, and moved there at the end."""
+    digest, size = hashlib.sha256(), 0
+    if target is None:
+        for block in blocks:
+            digest.update(block)
+            size += len(block)
+        return size, digest.hexdigest()
+    system, place = _system(target)
+    part = f"{place}.{uuid.uuid4().hex}.part"
+    system.create_dir(place.rsplit("/", 1)[0], recursive=True)
+    with system.open_output_stream(part) as out:
+        for block in blocks:
+            digest.update(block)
+            size += len(block)
+            out.write(block)
+    system.move(part, place)
+    return size, digest.hexdigest()
+
+
+def listed(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, below, size) of the files at any depth below ``folder``; no content is read. Below is the path from the folder on.
+
+    Spark scans no empty files; they are those of its listing, which the driver has for every scan, that the scan lacks.
+    """
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    names = [(unquote(name).replace("file:///", "file:/", 1),) for name in found.inputFiles()]
+    rows = found.select("path", F.col("length").alias("size"))
+    empty = spark.createDataFrame(names, "path string").join(rows, "path", "left_anti").withColumn("size", F.lit(0).cast("long"))
+    base = folder.rstrip("/") + "/"
+    return rows.unionByName(empty).select("path", F.substring_index("path", base, -1).alias("below"), "size")
+
+
+def measured(files: DataFrame, target: str | None = None) -> DataFrame:
+    """``files`` (path, below, size) with ``hash``, the SHA-256 of each, and copied to ``target``/below if one is given.
+
+    Files may be of any size: a task holds a block of one at a time, and works the hash out as it reads. Size
+    is that of what was read. A task that runs again writes the same files.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths, names = batch.column("path").to_pylist(), batch.column("below").to_pylist()
+            for path, name in zip(paths, names):  # a row each, as large files take long
+                size, digest = _streamed(_blocks(path), None if target is None else f"{target}/{name}")
+                yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (path, name, size, digest)], ["path", "below", "size", "hash"])
+
+    return files.select("path", "below", "size").mapInArrow(run, "path string, below string, size long, hash string")
+
+
 def copy_files(files: DataFrame, source: str, target: str) -> DataFrame:
-    """Copy the files of a manifest (path below ``source``) to ``target``, and return (path, size) as written.
+    """Copy the files of a manifest (path below ``source``) to ``target``, and return (path, size, hash) as written.
 
-    Contents never reach the driver. The source is read as binary files, so each must fit in a task.
+    Contents never reach the driver, and are not held whole anywhere.
     """
-    base = source.rstrip("/") + "/"
-    found = files.sparkSession.read.format("binaryFile").option("recursiveFileLookup", True).load(source)
-    below = F.substring_index(F.col("path"), base, -1)
-    return write_files(found.select(below.alias("path"), "content").join(files.select("path").distinct(), "path", "left_semi"), target)
+    wanted = listed(files.sparkSession, source).join(files.select(F.col("path").alias("below")).distinct(), "below", "left_semi")
+    return measured(wanted, target).select(F.col("below").alias("path"), "size", "hash")

@@ -22,6 +22,7 @@ from .commits import CommitConflict, Files, Log, Snapshot
 from .functions.text import cache_key, path_suffix
 from .operators import asof, counts, diff, filters, lineage, manifest
 from .sources import sinks
+from .sources.files import listed, measured
 from .sources.formats import FORMATS, Format
 
 KEYS = ("run_id", "task_id", "entry_key")
@@ -110,8 +111,10 @@ class Store:
         while self._staged:
             self.files_at.delete(self._staged.pop())
 
-    def _written(self, name: str, rows: DataFrame, slices: list[tuple[str, str, int]]) -> list[dict]:
-        """Write rows of ``slices`` (collection, scope, version) to a new folder; the actions that make them count."""
+    def _written(self, name: str, rows: DataFrame, slices: list[tuple[str, str, int]], cluster: bool = False) -> list[dict]:
+        """Write rows of ``slices`` (collection, scope, version) to a new folder, if asked for in ranges of keys; the actions that make them count."""
+        if cluster:
+            rows = rows.repartitionByRange("entry_key").sortWithinPartitions("entry_key")
         folder = f"{self._path(name)}/commit=c-{uuid.uuid4()}"
         rows.select(*[f.split()[0] for f in SLICED[name].split(", ")]).write.partitionBy("collection", "scope", "version").parquet(folder)
         found = {(c, s, int(v)): at for (c, s, v), at in self.files_at.leaves(folder, 3).items()}
@@ -138,7 +141,7 @@ class Store:
     # put
 
     def put(self, release: DataFrame | str, collection: str, version: int, format: str | Format = "fasta", run_id: str | None = None, task_id: int | None = None,
-            mode: str = "replace", ledger: str | None = None) -> dict[str, int]:
+            mode: str = "replace", ledger: str | None = None, cluster: bool = False) -> dict[str, int]:
         """Store a release under a version, and return its counters.
 
         ``release`` is (entry_key, fields), or a path read by the format; records of a path that the
@@ -146,7 +149,8 @@ class Store:
         gives the same reads: the next version's slice is compared again, as its changes were
         relative to what this put replaces. ``mode="union"`` keeps entries that only an earlier
         put of this version had. A ``ledger`` key makes the put happen once: a later one with the same
-        key gives no counters and changes nothing.
+        key gives no counters and changes nothing. ``cluster`` deals the slices to files by ranges of keys,
+        for one more shuffle of what changed; :meth:`compact` always does.
         """
         if isinstance(format, Format):
             self.formats[format.name] = format
@@ -182,7 +186,7 @@ class Store:
         here = asof.present_at(seen, max((v for v in known if v < version), default=-1))
         changes = self._aside(diff.changes(before, release, here), **counts.change_counters())
         found = self.measured
-        actions += self._written("cells", self._cells(diff.exploded(changes), run, task, *slice_), [slice_])
+        actions += self._written("cells", self._cells(diff.exploded(changes), run, task, *slice_), [slice_], cluster)
         if after is not None:
             touched = release.select("entry_key").union(own.where(F.col("version") == version).select("entry_key")).distinct()
             then = asof.state(own, after).select("entry_key", "fields").join(touched, "entry_key", "left_semi")
@@ -190,9 +194,9 @@ class Store:
             again = diff.changed_fields(base_rows, then).select("entry_key", "field", "value", "is_tombstone").unionByName(self._only_tombstones(base_rows, then))
             rest = own.where(F.col("version") == after).join(touched, "entry_key", "left_anti")
             again = again.unionByName(rest.select("entry_key", "field", "value", "is_tombstone"))
-            actions += self._written("cells", self._cells(again, run, task, collection, scope, after), [(collection, scope, after)])
+            actions += self._written("cells", self._cells(again, run, task, collection, scope, after), [(collection, scope, after)], cluster)
         present = changes.where("change <> 'removed'").select(F.lit(run).alias("run_id"), F.lit(task).alias("task_id"), "entry_key", *self._place(*slice_))
-        actions += self._written("presence", present, [slice_])
+        actions += self._written("presence", present, [slice_], cluster)
         if collection not in base.collections:
             actions.append({"action": "collection", "collection": collection, "format": format, "is_database": run == ""})
         actions.append({"action": "version", "collection": collection, "run_id": run, "task_id": task, "version": version, "at": _now(), "entries": found["n_entries"]})
@@ -239,20 +243,26 @@ class Store:
     def put_raw(self, path: str, collection: str, version: int) -> int:
         """Keep the files below ``path`` unparsed under a version, and return how many there are.
 
-        They are entries of a file collection: path, size and hash are its fields, so later versions
-        store only what changed.
+        They are entries of a file collection under their path from ``path`` on; path, size and hash are
+        their fields, so later versions store only what changed.
         """
-        files = manifest.from_folder(self.spark, path, version)
+        found = measured(listed(self.spark, path))
         fields = F.create_map(F.lit("ID"), F.col("path"), F.lit("PATH"), F.col("path"), F.lit("HASH"), F.col("hash"), F.lit("SIZE"), F.col("size").cast("string"), F.lit("SUFFIX"), path_suffix(F.col("path")),
-                              F.lit("BELOW"), F.substring_index("path", path.rstrip("/") + "/", -1))
-        return self.put(files.select(F.col("path").alias("entry_key"), fields.alias("fields")), collection, version, "fullfile")["n_entries"]
+                              F.lit("BELOW"), F.col("below"))
+        return self.put(found.select(F.col("below").alias("entry_key"), fields.alias("fields")), collection, version, "fullfile", cluster=True)["n_entries"]
 
-    def files(self, collection: str, stop: int | None = None) -> DataFrame:
-        """Manifest of a file collection as of a version: (path, size, hash, version, is_deleted, below)."""
+    def files(self, collection: str, stop: int | None = None, below: str | None = None) -> DataFrame:
+        """Manifest of a file collection as of a version: (path, size, hash, version, is_deleted, below).
+
+        With ``below`` of the file of that path alone: the key goes to the scans, and as slices lie in
+        ranges of keys, to the one file of each that may hold it.
+        """
         now = self.snapshot()
-        cells, seen = (self.table(t, now, collection) for t in ("cells", "presence"))
         known = [v for v in self.versions(collection, at=now) if stop is None or v <= stop]
         at = known[-1] if known else -1
+        cells, seen = (self.table(t, now, collection, lambda v: v <= at) for t in ("cells", "presence"))
+        if below is not None:
+            cells, seen = (x.where(F.col("entry_key") == below) for x in (cells, seen))
         of = lambda name: F.element_at("fields", F.lit(name))
         here = asof.present_at(seen, at).withColumn("here", F.lit(True))
         rows = asof.state(cells, at).join(here, "entry_key", "left")
@@ -263,8 +273,7 @@ class Store:
         folder above it (or by the path itself), the file that lies there. No row if there is none."""
         asked = self.spark.createDataFrame([(path,)], "path string")
         folder = manifest.super_paths(asked, self.table("collections").select(F.col("collection").alias("path"))).first().super_path
-        rows = manifest.live(self.files(folder if folder is not None else path, stop))
-        return rows.where(F.col("below") == path[len(folder or "") :].lstrip("/"))
+        return manifest.live(self.files(folder if folder is not None else path, stop, path[len(folder or "") :].lstrip("/")))
 
     # get
 
@@ -389,7 +398,7 @@ class Store:
             raise ValueError(f"no version {version} of {collection!r}")
         own = self._slice(self.table("cells", base, collection, lambda v: v <= version), scope)
         newest = asof.newest_cells(own, None, version).where(~F.col("is_tombstone")).select("entry_key", "field", "value", "is_tombstone")
-        actions = self._written("cells", self._cells(newest, run, task, collection, scope, version), [(collection, scope, version)])
+        actions = self._written("cells", self._cells(newest, run, task, collection, scope, version), [(collection, scope, version)], cluster=True)
         earlier = [v for (t, c, s, v) in base.slices if (t, c, s) == ("cells", collection, scope) and v < version]
         actions += [{"action": "slice", "table": "cells", "collection": collection, "scope": scope, "version": v, "folder": None} for v in earlier]
         actions.append({"action": "floor", "collection": collection, "scope": scope, "version": version})

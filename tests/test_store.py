@@ -1,13 +1,16 @@
 """Puts and gets: property tests over release sequences, and the tutorial's scenario."""
 
+import hashlib
 import random
 import shutil
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from palimpsest.operators import asof
+from palimpsest.operators import asof, manifest
+from palimpsest.sources import files
 from palimpsest.store import Store
 from palimpsest.streaming.ingest import ingest
 
@@ -171,3 +174,42 @@ def test_raw_files(spark, tmp_path):
     found = lambda path: [(r.path.split("/raw/")[1], r.size) for r in store.get_file(path).collect()]
     assert found("work/set/a.txt") == [("a.txt", 7)] and found("work/set/sub/a.txt") == [("sub/a.txt", 5)]
     assert found("work/set/b.txt") == found("work/else/a.txt") == found("none") == []
+
+
+def test_a_path_is_asked_of_the_scans(spark, tmp_path):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    for k in range(40):
+        (folder / f"f{k:02d} é.txt").write_text(str(k))
+    (folder / "empty.txt").write_text("")
+    store = Store(spark, str(tmp_path / "store"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)  # else so few rows are one file
+    try:
+        assert store.put_raw(str(folder), "tree", 1) == 41
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert [r.size for r in store.get_file("tree/empty.txt").collect()] == [0]
+    one = store.get_file("tree/f17 é.txt")
+    assert [(r.size, r.below) for r in one.collect()] == [(2, "f17 é.txt")]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("EqualTo(entry_key,f17 é.txt)") >= 2
+    bounds = [pq.read_metadata(p).row_group(0).column(2).statistics for p in (tmp_path / "store/cells").rglob("*.parquet")]
+    assert len(bounds) > 1 and sum(b.min <= "f17 é.txt" <= b.max for b in bounds) == 1  # the key lies in one file
+
+
+def test_files_of_any_size(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    with open(tmp_path / "in/large.bin", "wb") as out:
+        out.truncate((1 << 31) + 5)  # more than a row can hold
+        out.seek(1 << 30)
+        out.write(b"middle")
+    (tmp_path / "in/small.bin").write_bytes(b"x")
+    digest = hashlib.sha256()
+    with open(tmp_path / "in/large.bin", "rb") as stream:
+        while block := stream.read(1 << 24):
+            digest.update(block)
+    found = manifest.from_folder(spark, str(tmp_path / "in"), 1)
+    wanted = found.select(F.element_at(F.split("path", "/"), -1).alias("path"))
+    copied = {r.path: (r.size, r.hash) for r in files.copy_files(wanted, str(tmp_path / "in"), str(tmp_path / "out")).collect()}
+    (tmp_path / "out/large.bin").unlink()
+    assert copied == {"large.bin": ((1 << 31) + 5, digest.hexdigest()), "small.bin": (1, hashlib.sha256(b"x").hexdigest())}
