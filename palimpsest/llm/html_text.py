@@ -11,6 +11,7 @@ import re
 from bisect import bisect_left
 from collections.abc import Generator, Iterable, Iterator
 from html import unescape
+from unicodedata import category, east_asian_width
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -21,10 +22,15 @@ from .common import text_slices, tidy
 # Fixed values of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp noembed noframes iframe".split())
-HIDDEN = frozenset("script style head title template noscript datalist iframe object svg audio video canvas noembed noframes meta link annotation annotation-xml".split())
+HIDDEN = frozenset("script style head title template noscript datalist iframe object audio video canvas noembed noframes meta link annotation annotation-xml".split())
 BLOCK = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer
 form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td
 tfoot th thead tr ul""".split())
+#: Inside SVG only text elements show text, each on a line of its own, and foreign content; these hide what they hold.
+SVG_TEXT, SVG_HIDDEN = "svg text", frozenset("title desc metadata defs symbol clippath mask pattern marker lineargradient radialgradient filter".split())
+#: Types of inputs whose value a reader sees.
+SHOWN_INPUTS = frozenset(["", *"submit reset button text search email url tel number date month week time datetime-local".split()])
+BLOCK |= {SVG_TEXT}
 #: Blocks that a blank line sets apart.
 SPACED = frozenset("blockquote dl figure h1 h2 h3 h4 h5 h6 ol p pre table ul".split())
 #: Parts of a table that hold others, and all that make the elements around them part of its frame.
@@ -47,8 +53,11 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|</([A-Za-z][^\s/>]*)[^>]*>?|<([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"?|'[^']*'?)*)>?", re.S
 )
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>]+)))?")
-_GONE = re.compile(r"display\s*:\s*none", re.I)
-_VISIBILITY = re.compile(r"visibility\s*:\s*(visible|hidden|collapse)", re.I)
+_SHEET = re.compile(r"<style(?:\s[^>]*)?>(.*?)(?:</style\s*/?>|\Z)", re.S | re.I)
+_NOISE = re.compile(r"/\*.*?(?:\*/|\Z)|<!--|-->|@[\w-]+[^{};]*(?:;|\{(?:[^{}]*\{[^{}]*\})*[^{}]*\}?)", re.S)
+_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
+_SIMPLE = re.compile(r"(\*|[a-z][\w-]*)?((?:[.#][\w-]+)*)", re.I)
+_SHOWN = re.compile(r"(?:^|[\s;])(display|visibility)\s*:\s*([\w-]+)\s*(!\s*important)?", re.I)
 _WHOLE = re.compile(r"\s*(-?\d{1,9})")
 _BLANKS = re.compile(r"[ \t\n\r\f]+")
 
@@ -74,14 +83,57 @@ def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(text)} if text.strip(" \t\n\r\f/") else {}
 
 
-def _unseen(tag: str, attributes: dict[str, str]) -> bool:
-    return (tag in HIDDEN or "hidden" in attributes or bool(_GONE.search(attributes.get("style", "")))
+class Styles:
+    """What a page's style sheets say of display and visibility, for selectors of a tag, ids and classes.
+
+    Rules that depend on the medium, and other selectors, are left out. As in CSS the more specific rule
+    wins, then the later, and what a style attribute says wins over both unless they are important.
+    """
+
+    def __init__(self, html: str):
+        self.rules: dict[str, list[tuple[tuple, str, set[str], str, str]]] = {}  # by an id, class or tag that they ask for
+        for number, (names, body) in enumerate(r.groups() for sheet in _SHEET.finditer(html) for r in _RULE.finditer(_NOISE.sub(" ", sheet[1]))):
+            said = [(m[1].lower(), m[2].lower(), bool(m[3])) for m in _SHOWN.finditer(body)]
+            for name in names.split(",") if said else ():
+                m = _SIMPLE.fullmatch(name.strip())
+                if not m or not name.strip():
+                    continue
+                tag, marks = (m[1] or "*").lower(), set(re.findall(r"[.#][\w-]+", m[2]))
+                rank = (sum(x[0] == "#" for x in marks), sum(x[0] == "." for x in marks), tag != "*", number)
+                for what, value, important in said:
+                    self.rules.setdefault(max(marks, default=tag), []).append(((important, *rank), tag, marks, what, value))
+
+    def of(self, tag: str, attributes: dict[str, str]) -> dict[str, str]:
+        """display and visibility of an element, where something is said of them."""
+        best: dict[str, tuple[tuple, str]] = {}
+        if self.rules:
+            marks = {f".{c}" for c in attributes.get("class", "").split()} | ({"#" + attributes["id"]} if "id" in attributes else set())
+            for rank, of, needs, what, value in (r for key in (*marks, tag, "*") for r in self.rules.get(key, ())):
+                if of in ("*", tag) and needs <= marks and rank >= best.get(what, ((False,), ""))[0]:
+                    best[what] = (rank, value)
+        for m in _SHOWN.finditer(attributes.get("style", "")):
+            what, rank = m[1].lower(), (bool(m[3]), 1 << 30)
+            if rank >= best.get(what, ((False,), ""))[0]:
+                best[what] = (rank, m[2].lower())
+        return {what: value for what, (_, value) in best.items()}
+
+
+def _unseen(tag: str, attributes: dict[str, str], said: dict[str, str]) -> bool:
+    return (tag in HIDDEN or said.get("display", "none" if "hidden" in attributes else "") == "none"
             or tag == "input" and attributes.get("type", "").lower() == "hidden" or tag == "dialog" and "open" not in attributes)
 
 
+def _label(tag: str, attributes: dict[str, str]) -> str:
+    """Text that an element without content shows."""
+    kind = attributes.get("type", "").lower() if tag == "input" else ""
+    if tag == "img" or kind == "image":
+        return attributes.get("alt", "")
+    return attributes.get("value", "") if tag == "input" and kind in SHOWN_INPUTS else ""
+
+
 def parse(html: str) -> Element:
     """The tree of a page. Unclosed elements end with their parents; a stray end tag is ignored."""
-    root = Element("html")
+    root, styles = Element("html"), Styles(html)
     stack, at = [root], 0
     where: dict[str, list[int]] = {}  # places of the open elements by tag, so that no search walks a deep stack
 
@@ -110,6 +162,8 @@ def parse(html: str) -> Element:
                 continue
             if tag == "br":
                 stack[-1].children.append(Element("br"))
+            if tag == "text" and nearest((SVG_TEXT,)) > nearest(("foreignobject",)):
+                tag = SVG_TEXT
             place = nearest((tag,))
             if place and (tag in ("table", "tr", "tbody", "thead", "tfoot") or place >= nearest(("td", "th", "table"))):
                 cut(place)
@@ -121,11 +175,20 @@ def parse(html: str) -> Element:
                 close({"p"}, {"td", "th", "table", "button", "li", "div"})
             if tag == "html":
                 continue
-            visibility = _VISIBILITY.findall(attributes.get("style", ""))
-            unseen = visibility[-1].lower() != "visible" if visibility else stack[-1].unseen
-            node = Element(tag, _unseen(tag, attributes), unseen, attributes)
-            if tag == "img" and attributes.get("alt") and not unseen:
-                node.children.append(attributes["alt"])
+            drawing = nearest(("svg",)) > nearest(("foreignobject",))
+            said = styles.of(tag, attributes)
+            hidden = _unseen(tag, attributes, said) or drawing and tag in SVG_HIDDEN
+            visibility = said.get("visibility", "")
+            unseen = visibility != "visible" if visibility in ("visible", "hidden", "collapse") else stack[-1].unseen
+            if drawing and tag in ("text", "foreignobject") and not visibility:
+                unseen = stack[nearest(("svg",))].attributes.get("unseen") is not None
+            if drawing and tag == "text":
+                tag = SVG_TEXT
+            if tag == "svg":  # shapes hold no text of their own; what they stand in decides for the text inside
+                attributes, unseen = {**({"unseen": ""} if unseen else {})}, True
+            node = Element(tag, hidden, unseen, attributes)
+            if (label := _label(tag, attributes)) and not unseen:
+                node.children += [label]
             stack[-1].children.append(node)
             if tag in RAW:
                 end = re.compile(rf"</{tag}\s*/?>|\Z", re.I).search(html, at)
@@ -134,7 +197,7 @@ def parse(html: str) -> Element:
                 at = end.end()
             elif tag == "form" and stack[-1].tag in ("table", *SECTIONS):
                 continue  # by the HTML standard such a form holds nothing, so it hides nothing either
-            elif tag not in VOID and not (m[3].endswith("/") and nearest(("math",))):
+            elif tag not in VOID and not (m[3].endswith("/") and nearest(("math", "svg"))):
                 where.setdefault(tag, []).append(len(stack))
                 stack.append(node)
     return root
@@ -282,6 +345,13 @@ def _table(table: Element, out: Layout, indent: int) -> Step:
     out.space()
 
 
+def _width(text: str) -> int:
+    """Columns that a text takes: two for a wide character, none for a mark on the one before."""
+    if text.isascii():
+        return len(text)
+    return sum(2 if east_asian_width(c) in "WF" else category(c) not in ("Mn", "Me", "Cf") for c in text)
+
+
 def _aligned(rows: list[list[tuple[str, int, int]]]) -> list[str]:
     """Lines of rows of cells (text, columns, rows): each cell begins where its column does, and a
     column is as wide as its widest cell. Rows without any text are left out."""
@@ -305,7 +375,7 @@ def _aligned(rows: list[list[tuple[str, int, int]]]) -> list[str]:
     for row in sorted((c for r in grid for c in r), key=lambda c: c[1]):
         column, across, text = row
         columns = inside(column, across) if across > 1 else [column]
-        lack = len(text) - sum(width[k] + 2 for k in columns) + 2
+        lack = _width(text) - sum(width[k] + 2 for k in columns) + 2
         if lack > 0:
             width[columns[-1]] += lack
     place, at = {}, 0
@@ -316,7 +386,7 @@ def _aligned(rows: list[list[tuple[str, int, int]]]) -> list[str]:
     for row in grid:
         line = ""
         for column, _, text in row:
-            line = line.ljust(place[column]) + text
+            line += " " * (place[column] - _width(line)) + text
         if line:
             lines.append(line)
     return lines
