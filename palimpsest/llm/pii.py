@@ -6,8 +6,10 @@ and distant nodes with the same digits or mailbox share skip potentials. Loopy m
 carries what the rules are sure of to repeated and similar tokens that no rule matches. All nodes
 of a key are linked to one that a rule labels, so distance and number of repeats do not matter.
 Secrets (access tokens, keys) have no rule of their own: the field alone labels them. Its potentials
-for them are learned from long mixed strings that the text assigns to a name, and it finds such
-strings, and their repeats, wherever they stand.
+for them are learned from long mixed strings that the text assigns to a name in quotes, against a prior
+of such strings that are none; they weigh how a string is assigned, the words before it, and whether it is
+made of words. A string that says nothing for itself is labelled where it repeats one that does, or its
+beginning; hashes, paths, slugs and identifiers are left alone.
 """
 
 from __future__ import annotations
@@ -42,8 +44,11 @@ _CARD = re.compile(r"[0-9]([ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _ANY, _DIGIT = re.compile(r"[0-9@+]"), re.compile(r"[0-9]")
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
-#: A string that may be a secret: long, of letters and digits.
+#: A string that may be a secret: long, of letters and digits; after a name and a sign of its own token, if there is one.
 _MIXED = re.compile(r"(?=[^0-9]*[0-9])(?=[^A-Za-z]*[A-Za-z])[A-Za-z0-9+/_=-]{20,}")
+_NAMED = re.compile(r"[A-Za-z_][A-Za-z0-9_.-]*[=:][\"']?")
+#: Parts of a slug, path or name: words, and numbers that stand apart from them.
+_PART = re.compile(r"[A-Za-z]+|[0-9]+")
 _MARKS = ".,;:!?()[]\"'<>`#*"
 #: A group of digits, without closing marks, as part of a number written in several tokens.
 _GROUP = re.compile(r"[(\[<\"']*(\+?)[(]?[0-9][0-9().-]*\Z")
@@ -85,28 +90,59 @@ def base_spans(text: str | None) -> list[tuple[int, int, int]]:
     return sorted(found, key=lambda s: (s[0], s[2]))
 
 
-def node_features(token: str, lead: str = "") -> list[int]:
-    """Indicators of a token's form, and of the character before it, blanks left out."""
-    mixed = len(token) >= 20 and _MIXED.fullmatch(token.strip(_MARKS)) is not None
+def mixed_string(token: str) -> tuple[int, int] | None:
+    """Place of a string that may be a secret in a token, without marks and the name that it is assigned to."""
+    if len(token) < 20:
+        return None
+    start = len(token) - len(token.lstrip(_MARKS))
+    if m := _NAMED.match(token, start):
+        start = m.end()
+    end = len(token.rstrip(_MARKS))
+    return (start, end) if start < end and _MIXED.fullmatch(token, start, end) else None
+
+
+def wordy(core: str) -> bool:
+    """Whether a string is made of words and numbers side by side, as slugs, paths and names are: with marks between,
+    few changes between letters and digits for its length, and words of one case."""
+    if not any(c in core for c in "-_/"):
+        return False
+    parts = _PART.findall(core)
+    words = [w for w in parts if len(w) >= 3 and w.isalpha() and (w[1:].islower() or w.isupper())]
+    return len(parts) <= len(core) / 4 and 2 * sum(map(len, words)) > sum(map(len, parts))
+
+
+#: Words before a string, or in the name that it is assigned to, that speak for a secret, and against one.
+_SAYS = re.compile(r"(?:^|[^a-z])(?:\w*_)?(?:key|token|secret|password|passwd|passphrase|pwd|auth|credentials?|bearer)s?\W*\Z", re.I)
+_DENIES = re.compile(r"(?:^|[^a-z])(?:commit|sha\d*|md5|hash|rev|revision|checksum|digest|etag|uuid|guid|doi|isbn|urn|url|https?|file|path|version|branch|title|slug|name|id)\W*\Z", re.I)
+
+
+def node_features(token: str, before: str = "") -> list[int]:
+    """Indicators of a token's form, and of the text before it on its line."""
+    lead = before.rstrip(" \t")[-1:]
+    at = mixed_string(token)
+    mixed, quoted = at is not None, at is not None and token[at[0] - 1 : at[0]] in ("'", '"')
+    named = mixed and (lead in ("=", ":") or token[: at[0]].rstrip("'\"")[-1:] in ("=", ":"))
     digits = sum(c.isdigit() for c in token)
     core = token.strip(".,;:!?()[]\"'")
     return [
         1, "@" in core, "." in core.partition("@")[2], core.count(".") == 3 and "@" not in core, core.startswith("+"), "-" in core,
         digits == 0, 1 <= digits <= 2, digits == 3, 4 <= digits <= 6, digits == 7, 8 <= digits <= 13, 14 <= digits <= 19, digits > 19,
         digits > 0 and core.isdigit(), token.startswith("("), 14 <= digits <= 19 and core.isdigit() and core.isascii() and luhn(core),
-        any(c.isalpha() for c in core), mixed, mixed and lead in ("=", ":"),
+        any(c.isalpha() for c in core), mixed, named and quoted, named and not quoted, mixed and not named, mixed and wordy(token[slice(*at)]),
+        mixed and _SAYS.search(before + token[: at[0]]) is not None, mixed and _DENIES.search(before + token[: at[0]]) is not None,
     ]
 
 
-def assigned_secret(token: str, lead: str) -> bool:
+def assigned_secret(token: str, before: str) -> bool:
     """Whether a token is taken as a secret when potentials are learned: a mixed string in quotes, assigned to a name."""
-    return lead in ("=", ":") and token[:1] in ("'", '"') and len(token) >= 20 and _MIXED.fullmatch(token.strip(_MARKS)) is not None
+    f = node_features(token, before) if len(token) >= 20 else None
+    return f is not None and bool(f[QUOTED]) and not f[WORDY] and not f[DENIES]
 
 
 def skip_key(token: str) -> str | None:
-    """What makes distant tokens alike: the last seven of five digits or more, the mailbox, or a mixed string."""
-    if len(token) >= 20 and _MIXED.fullmatch(core := token.strip(_MARKS)):
-        return core
+    """What makes distant tokens alike: the last seven of five digits or more, the mailbox, or the first 16 letters of a mixed string."""
+    if (at := mixed_string(token)) is not None:
+        return token[at[0] : at[0] + 16]
     mailbox, at, _ = token.strip(".,;:!?()[]\"'<>").partition("@")
     if at and mailbox:
         return mailbox.lower()
@@ -219,9 +255,9 @@ def build_graph(texts: list[str | None], spans: list[list[tuple[int, int, int]]]
                 k += 1
             over = [s[2] + 1 for s in known[k : k + 4] if s[0] < b and s[1] > a]
             node = len(doc)
-            lead = text[max(a - 2, 0) : a].strip(" \t")[-1:] if len(token) >= 20 else ""
-            doc.append(d), start.append(a), end.append(b), label.append(over[0] if over else 0), features.append(node_features(token, lead))
-            learned.append(label[-1] or (N_LABELS - 1 if assigned_secret(token, lead) else 0))
+            context = text[max(a - 40, 0) : a].rpartition("\n")[2] if len(token) >= 20 else ""
+            doc.append(d), start.append(a), end.append(b), label.append(over[0] if over else 0), features.append(node_features(token, context))
+            learned.append(label[-1] or (N_LABELS - 1 if assigned_secret(token, context) else 0))
             if before == i - 1:
                 chain.append((node - 1, node))
             before = i
@@ -245,9 +281,11 @@ class Field:
 
 
 N_LABELS = len(LABELS) + 1
-#: The feature of mixed strings.
-MIXED = len(node_features("")) - 2
 N_FEATURES = len(node_features(""))
+#: Features of strings that may be secrets: all; assigned in quotes; assigned without; not assigned; of words; under a word that speaks for or against.
+MIXED, QUOTED, UNQUOTED, LOOSE, WORDY, SAYS, DENIES = range(N_FEATURES - 7, N_FEATURES)
+#: Such strings (that are none, that are secrets) which learning begins from, as a corpus may show secrets alone, or none.
+PRIOR = {MIXED: (2_000.0, 200.0), QUOTED: (4.0, 100.0), UNQUOTED: (40.0, 40.0), LOOSE: (2_000.0, 0.0), WORDY: (20_000.0, 0.0), SAYS: (2.0, 200.0), DENIES: (20_000.0, 0.0)}
 
 
 def statistics(graph: Graph) -> np.ndarray:
@@ -266,9 +304,13 @@ def estimate(counts: np.ndarray) -> Field:
     """
     n = N_FEATURES * N_LABELS
     unary = counts[:n].reshape(N_FEATURES, N_LABELS) + 0.5
+    for feature, (none, some) in PRIOR.items():
+        unary[feature, 0] += none
+        unary[feature, -1] += some
     prior = unary[0] / unary[0].sum()
     weight = np.log(unary / unary.sum(1, keepdims=True)) - np.log(prior)
     weight[0] = np.log(prior)
+    weight[1:MIXED, -1] = weight[1:MIXED, 0]  # the form of a number says nothing of secrets, whose own features would only count it again
 
     def edge(c: np.ndarray) -> np.ndarray:
         c = c.reshape(N_LABELS, N_LABELS) + 0.5
@@ -332,10 +374,12 @@ def added_spans(texts: list[str | None], spans: list[list[tuple[int, int, int]]]
     for i in np.flatnonzero((graph.label == 0) & (best > 0) & (p.max(1) > 0.5)).tolist():
         text, kind = texts[graph.doc[i]], int(best[i]) - 1
         a, b = int(graph.start[i]), int(graph.end[i])
-        closing, opening = (_MARKS, _MARKS) if kind >= len(KINDS) else (".,;:!?)]>\"'", "[<\"'")
-        while b > a and text[b - 1] in closing:
+        if kind >= len(KINDS):
+            start, end = mixed_string(text[a:b])
+            a, b = a + start, a + end
+        while b > a and text[b - 1] in ".,;:!?)]>\"'":
             b -= 1
-        while a < b and text[a] in opening:
+        while a < b and text[a] in "[<\"'":
             a += 1
         if a == b:
             continue
