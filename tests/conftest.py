@@ -11,7 +11,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 def spark():
     session = (
         SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
-        .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "4g").config("spark.ui.showConsoleProgress", "false").getOrCreate()
+        .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "4g").config("spark.driver.extraJavaOptions", "-XX:TieredStopAtLevel=1").config("spark.ui.showConsoleProgress", "false").getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
