@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palimpsest.llm import bpe, mixing, pii, simhash, toxicity
-from palimpsest.llm.common import shared_folder
+from palimpsest.llm.common import remove, shared_folder
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -91,11 +91,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of ``sf_dir``; what lies between them is in the shared folder."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over the documents of ``sf_dir``; what lies between them is in the shared folder, and
+    goes when the next stage is written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     folder = shared_folder(spark)
     for k, (name, stage) in enumerate(STAGES[:-1]):
         path = f"{folder}/{k}_{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before is not None:
+            remove(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)

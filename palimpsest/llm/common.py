@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import ctypes
 import gc
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -13,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.checkpoints import cut, shared_folder  # noqa: F401  (operators take them from here)
+
 #: Words are maximal runs of anything but space and \t \n \v \f \r, as in every contract here.
 SPACE_CLASS = r"[\x20\x09-\x0D]+"
 
@@ -20,27 +20,10 @@ SPACE_CLASS = r"[\x20\x09-\x0D]+"
 SLICE_BYTES = 2 << 20
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's spark.checkpoint.dir. Only a local session, whose one process sees one disk,
-    gets a folder of its own where that is unset; on a cluster it must be set."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = context.getConf().get("spark.checkpoint.dir")
-        if not folder and not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-"))
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder beside the checkpoints, where every executor can read what others wrote."""
-    ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4()}"
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and cut its lineage there."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that nothing reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def dealt_anew(rows: DataFrame, key: str) -> DataFrame:
