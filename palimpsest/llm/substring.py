@@ -3,7 +3,7 @@
 A window of ``WINDOW`` words is anchored at its least-hashed run of ``PREFIX`` words, which depends
 on the window's words alone. Suffixes are taken at anchors, and partitioned by that run, their
 prefix. A prefix found in one document only cannot begin a repeat. The other suffixes, with the
-words before and after that their windows reach, go to memory-sized groups of whole prefixes. Each
+words before and after that their windows reach, go to groups of whole prefixes, packed by their counts. Each
 group's suffix tree is read off its sorted suffixes and their common prefixes, and so is the tree of
 what stands before them; nodes of both that are a window deep together are the repeats.
 A prefix with too many suffixes for a group is lengthened, for each of its windows, to the whole
@@ -18,14 +18,14 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, dealt_anew, span_hashes, text_bytes, text_slices, tidy, word_hashes, word_spans
 
 WINDOW = 50
 PREFIX = 10
-#: Suffixes in a group on average; each group is one subtree task of some tens of MB.
+#: Suffixes after which a group is full; each group is one subtree task of some tens of MB.
 GROUP_SUFFIXES = 4_000
 #: A prefix with more suffixes is lengthened to whole windows.
 MOST_SUFFIXES = 20_000
@@ -74,7 +74,7 @@ def _anchors(docs: DataFrame, window: int, prefix: int) -> DataFrame:
 
 
 def _suffixes(marked: DataFrame, window: int, prefix: int, column: str, whole: bool) -> DataFrame:
-    """Suffixes whose prefix is in the array ``column``: words low to high + window with how many of
+    """Suffixes whose prefix is in the array ``column`` of (prefix, part): words low to high + window with how many of
     them stand before the anchor; or, with ``whole``, a digest of each window of theirs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,10 +83,12 @@ def _suffixes(marked: DataFrame, window: int, prefix: int, column: str, whole: b
                 found = Anchors(part.column("text"), window, prefix)
                 wanted = part.column(column)
                 size = np.asarray(pa.compute.fill_null(pa.compute.list_value_length(wanted), 0))
-                keys = np.stack([np.repeat(np.arange(len(size)), size), np.asarray(wanted.flatten())]) if size.sum() else np.zeros((2, 0), np.int64)
-                pairs = set(zip(*keys.tolist()))
-                keep = np.array([p in pairs for p in zip(found.row.tolist(), found.prefix.tolist())], bool)
-                low, high, anchor, row, key = (x[keep] for x in (found.low, found.high, found.anchor, found.row, found.prefix))
+                prefixes, groups = wanted.flatten().flatten()
+                group = dict(zip(zip(np.repeat(np.arange(len(size)), size).tolist(), prefixes.to_pylist()), groups.to_pylist()))
+                to_group = [group.get(p, -1) for p in zip(found.row.tolist(), found.prefix.tolist())]
+                key = np.array(to_group, np.int64)
+                keep = key >= 0
+                low, high, anchor, row, key = (x[keep] for x in (found.low, found.high, found.anchor, found.row, key))
                 if whole:
                     times = high - low + 1
                     start = np.repeat(low, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
@@ -100,9 +102,9 @@ def _suffixes(marked: DataFrame, window: int, prefix: int, column: str, whole: b
                     yield pa.RecordBatch.from_arrays([*ids, digests], ["id", "h", "start", "digest"])
                 else:
                     yield pa.RecordBatch.from_arrays(
-                        [*ids, pa.array(key), pa.array(anchor - low), pa.array(text, pa.binary())], ["id", "h", "start", "prefix", "before", "words"])
+                        [*ids, pa.array(key), pa.array(anchor - low), pa.array(text, pa.binary())], ["id", "h", "start", "part", "before", "words"])
 
-    return marked.mapInArrow(tidy(run), "id long, h long, start long, " + ("digest binary" if whole else "prefix long, before long, words binary"))
+    return marked.mapInArrow(tidy(run), "id long, h long, start long, " + ("digest binary" if whole else "part long, before long, words binary"))
 
 
 def _nodes(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -168,6 +170,21 @@ def _runs(suffix: np.ndarray, start: np.ndarray, window: int) -> tuple[np.ndarra
     return suffix[new], start[new], start[last] + window
 
 
+def _packed(shared: DataFrame, group: int = GROUP_SUFFIXES) -> DataFrame:
+    """``shared`` (prefix, long, n) with ``part``, the group of whole prefixes that each goes to.
+
+    Prefixes in order are packed by their counted suffixes: a group begins every ``group`` suffixes, so it holds
+    at most so many and those of its last prefix. Running sums go by ranges with offsets, not through one task.
+    """
+    parts = max(1, shared.sparkSession.sparkContext.defaultParallelism)
+    dealt = cut(shared.repartitionByRange(parts, "prefix").withColumn("range", F.spark_partition_id()))
+    before = dealt.groupBy("range").agg(F.sum("n").alias("sum")).withColumn(
+        "before", F.coalesce(F.sum("sum").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    own = F.sum("n").over(Window.partitionBy("range").orderBy("prefix").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n")
+    return dealt.withColumn("own", own).join(F.broadcast(before.select("range", "before")), "range").select(
+        "prefix", "long", F.floor((F.col("own") + F.col("before")) / group).cast("long").alias("part"))
+
+
 def repeats(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX, most: int = MOST_SUFFIXES) -> DataFrame:
     """(id, h, start, end): runs of words of the row (id, h) that windows with an equal one in a row
     of smaller id cover. ``docs`` has id, h (a hash of the text) and text. Runs may overlap.
@@ -175,12 +192,11 @@ def repeats(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX, most: i
     anchors = _anchors(docs, window, prefix)
     shared = cut(anchors.groupBy("prefix").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("n"))
                  .where("low < high").select("prefix", (F.col("n") > most).alias("long"), "n"))
-    sums = shared.agg(F.sum(F.when(~F.col("long"), F.col("n"))).alias("n"), F.count_if("long").alias("long")).first()
-    marks = anchors.join(shared.select("prefix", "long"), "prefix").groupBy("id", "h").agg(
-        F.collect_set(F.when(~F.col("long"), F.col("prefix"))).alias("short"), F.collect_set(F.when(F.col("long"), F.col("prefix"))).alias("long")
-    )
+    some_long = not shared.where("long").isEmpty()
+    packed = _packed(shared.where("NOT long")).unionByName(shared.where("long").select("prefix", "long", F.lit(0).cast("long").alias("part")))
+    place = F.struct("prefix", "part")
+    marks = anchors.join(packed, "prefix").groupBy("id", "h").agg(F.collect_set(F.when(~F.col("long"), place)).alias("short"), F.collect_set(F.when(F.col("long"), place)).alias("long"))
     marked = docs.join(marks, ["id", "h"])
-    groups = -(-(sums.n or 0) // GROUP_SUFFIXES) or 1
     suffixes = _suffixes(marked.select("id", "h", "text", "short"), window, prefix, "short", False)
 
     def subtree(table: pa.Table) -> pa.Table:
@@ -190,10 +206,8 @@ def repeats(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX, most: i
         base = table.column("start").to_numpy()[suffix]
         return pa.table({"id": ids[suffix], "h": table.column("h").to_numpy()[suffix], "start": base + start, "end": base + end})
 
-    found = suffixes.withColumn("part", F.pmod(F.xxhash64("prefix"), F.lit(groups))).groupBy("part").applyInArrow(
-        subtree, "id long, h long, start long, end long"
-    )
-    if sums.long:
+    found = suffixes.groupBy("part").applyInArrow(subtree, "id long, h long, start long, end long")
+    if some_long:
         windows = _suffixes(marked.select("id", "h", "text", "long"), window, prefix, "long", True)
         least = dealt_anew(windows.groupBy("digest").agg(F.min("id").alias("low")), "digest").drop("digest")
         hits = dealt_anew(windows, "digest").join(least, "dealt").where(F.col("id") > F.col("low"))

@@ -61,6 +61,17 @@ def test_substring(spark, texts, most):
     assert got == expected and sum(x[1] for x in got.values()) > 700
 
 
+def test_prefixes_are_packed_by_counts(spark):
+    rng = random.Random(9)
+    sizes = {i: rng.choice([2, 3, 5, 40, 90]) for i in range(-300, 300)}
+    df = spark.createDataFrame([(i, False, n) for i, n in sizes.items()], "prefix long, long boolean, n long")
+    groups = {}
+    for r in substring._packed(df, 100).collect():
+        groups.setdefault(r.part, []).append(r.prefix)
+    assert sorted(i for g in groups.values() for i in g) == sorted(sizes) and max(sum(sizes[i] for i in g) for g in groups.values()) < 100 + 90
+    assert len(groups) <= sum(sizes.values()) // 100 + 1 and all(max(g) < min(h) for (_, g), (_, h) in zip(sorted(groups.items()), sorted(groups.items())[1:]))
+
+
 def brute_targets(sizes, weights=(5, 2, 1), share=1.5, most=2.0):
     names = sorted(sizes, key=lambda s: (s is None, s))
     weight = {s: weights[k % len(weights)] for k, s in enumerate(names)}
