@@ -733,6 +733,44 @@ def streamed_release(spark, sf_dir):
     return got.select("entry_key", F.md5(F.element_at("fields", F.lit("SEQ"))).alias("seq_md5"), F.lit(len(store.versions("dropped"))).cast("long").alias("n_versions"))
 
 
+@query("""WITH p AS (SELECT page_id, html, CASE WHEN page_id % 5 = 0 THEN html || '<!-- 2 -->' ELSE html END AS later, page_id % 7 = 3 AS gone FROM pages)
+SELECT 'listed' AS kind, page_id, CAST(octet_length(encode(CASE WHEN gone THEN html ELSE later END)) AS BIGINT) AS size, CASE WHEN NOT gone AND page_id % 5 = 0 THEN 2 ELSE 1 END AS version, gone AS is_deleted FROM p
+UNION ALL SELECT 'asked', page_id, CAST(octet_length(encode(later)) AS BIGINT), CASE WHEN page_id % 5 = 0 THEN 2 ELSE 1 END, false FROM p WHERE page_id = (SELECT min(page_id) FROM p WHERE NOT gone)""")
+def raw_files(spark, sf_dir):
+    """Pages as files put unparsed in two versions, some changed and some gone in the second, listed, and one asked for by its path."""
+    pages = fx.table(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("p/"), F.col("page_id"), F.lit(".html")).alias("path"), "html")
+    later = pages.where("page_id % 7 <> 3").withColumn("html", F.when(F.col("page_id") % 5 == 0, F.concat("html", F.lit("<!-- 2 -->"))).otherwise(F.col("html")))
+    store = Store(spark, shared_folder(spark))
+    for version, rows in ((1, pages), (2, later)):
+        folder = shared_folder(spark)
+        files.write_files(rows.select("path", F.encode("html", "UTF-8").alias("content")), folder).count()
+        store.put_raw(folder, "tree/pages", version)
+    first = later.agg(F.min("page_id").alias("n")).first().n
+    parts = {"listed": store.files("tree/pages"), "asked": store.get_file(f"tree/pages/p/{first}.html")}
+    number = F.regexp_extract("below", r"(\d+)\.html$", 1).cast("long").alias("page_id")
+    each = [rows.select(F.lit(kind).alias("kind"), number, "size", "version", "is_deleted") for kind, rows in parts.items()]
+    return each[0].unionByName(each[1])
+
+
+@query(f"""WITH {fx.RELEASES_SQL} SELECT entry_key, {_LINE} || '|checked' AS text FROM r2 c WHERE source LIKE '%1'""")
+def store_post_hook(spark, sf_dir):
+    """A format of the caller's own with a step after each get."""
+    checked = lambda rows: rows.where(F.col("text").rlike(r"1(\|[^|]*)?$")).withColumn("text", F.concat("text", F.lit("|checked")))
+    line = lambda f, a: F.concat_ws("|", *[F.element_at(f, F.lit(c)) for c in ("ID", "source", "lang")])
+    own = formats.Format("own", "\n", lambda r: F.create_map(F.lit("ID"), r), {"LINE": line}, {"LINE": ("text",)}, default_type="LINE", post=checked)
+    store = Store(spark, shared_folder(spark))
+    fields = F.map_concat("fields", F.create_map(F.lit("ID"), F.concat(F.lit(">"), "entry_key")))
+    store.put(fx.release(spark, sf_dir, 2).select("entry_key", fields.alias("fields")), "documents", 1, own)
+    return store.get("documents").existing.where(F.element_at("fields", F.lit("source")).endswith("1")).select("entry_key", "text")
+
+
+@query(f"""WITH {fx.FILES_SQL} SELECT path, regexp_extract(path, '(\\.[^./]*)$', 1) AS suffix, regexp_replace(path, '/?[^/]*$', '') AS parent, regexp_extract(path, '([^/]*)$', 1) AS name FROM files""")
+def path_parts(spark, sf_dir):
+    """Suffix, folder and name of each path."""
+    path = F.col("path")
+    return fx.page_files(spark, sf_dir).select("path", text.path_suffix(path).alias("suffix"), text.path_parent(path).alias("parent"), text.base_name(path).alias("name"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
