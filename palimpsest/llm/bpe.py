@@ -25,11 +25,11 @@ from pyspark.sql import DataFrame
 from .common import text_bytes, text_slices, tidy
 
 #: Bytes of text encoded at once.
-ENCODE_BYTES = 4 << 20
+ENCODE_BYTES = 2 << 20
 #: Bytes of remembered pieces and ids; when there are more, all are forgotten but the vocabulary's own.
 REMEMBERED_BYTES = 32 << 20
 #: Rows that one recursive query starts from (a longer unit is taken alone), and all rows of its rounds.
-QUERY_ROWS, ROUND_ROWS = 300_000, 4_800_000
+QUERY_ROWS, ROUND_ROWS = 200_000, 3_200_000
 #: DuckDB's memory in a task, in MB; a single very long unit or text gets more, by its length. Nothing is spilled.
 MEMORY_MB = 160
 
