@@ -139,3 +139,15 @@ def test_a_format_of_ones_own_with_patterns(spark, tmp_path):
     store = Store(spark, str(tmp_path / "store"), {"steps": own})
     store.put(str(tmp_path / "s.txt"), "s", 1, "steps")
     assert texts(Store(spark, str(tmp_path / "store"), {"steps": own}).get("s").existing) == ["step 1\nfirst", "step 22\nsecond", "step 3"]
+
+
+def test_empty_releases(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/x.fa").write_text("; only a comment\n")
+    for version, entries in ((1, {}), (2, {"a": "A"}), (3, {})):
+        store.put(release(spark, entries), "c", version)
+    assert store.put(str(tmp_path / "in"), "c", 4)["n_entries"] == 0
+    assert texts(store.get("c", start=1, stop=2).existing) == [">a\nA"] and texts(store.get("c", start=1).existing) == []
+    result, kept = store.export("c", f"{tmp_path}/out", start=1)
+    assert result.metadata.first().inc_entries == 0 and store.export("c", start=1)[1] == kept and spark.read.text(f"{tmp_path}/out").count() == 0
