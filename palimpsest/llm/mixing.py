@@ -3,7 +3,8 @@
 Words are summed per source, a target per source gives its rate (target / size), and each document
 is emitted floor(rate) times plus once more when its hash-seeded coin falls under the fraction. Each
 source tries a fixed number of seeds, and its coins are those of the seed whose taken words come
-nearest to its target.
+nearest to its target. So each seed's draw is Bernoulli, but the chosen one is not a plain draw: it
+is the best of a fixed number, which keeps sources of few documents near their targets.
 """
 
 from __future__ import annotations
