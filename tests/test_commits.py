@@ -47,10 +47,10 @@ def test_a_put_that_dies_changes_nothing(spark, tmp_path, monkeypatch):
     store.put(release(spark, {"a": "A"}), "c", 1)
     seen, real = store.snapshot(), Store._written
 
-    def dies(self, name, rows, slices):
+    def dies(self, name, *rest, **options):
         if name == "presence":
             raise RuntimeError("killed between tables")
-        return real(self, name, rows, slices)
+        return real(self, name, *rest, **options)
 
     monkeypatch.setattr(Store, "_written", dies)
     for version in (1, 2):
