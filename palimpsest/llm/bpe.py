@@ -14,6 +14,9 @@ words not done after some single contractions go on by rounds that take them all
 from __future__ import annotations
 
 import base64
+import hashlib
+import sys
+import types
 from collections.abc import Iterator
 
 import duckdb
@@ -102,11 +105,18 @@ def neighbours(ranks: dict[bytes, int]) -> np.ndarray:
     return beside
 
 
+def _process_memory() -> dict[str, tuple]:
+    """What this Python process keeps from task to task, by vocabulary; a new process begins without it."""
+    return vars(sys.modules.setdefault("_palimpsest_pieces", types.ModuleType("_palimpsest_pieces"))).setdefault("known", {})
+
+
 class Codec:
-    """The DuckDB tables of one vocabulary, and what a task has encoded: pieces, in Arrow, and their
-    ids, the sizes and starts of which are numpy arrays."""
+    """The DuckDB tables of one vocabulary, and what has been encoded: pieces, in Arrow, and their
+    ids, the sizes and starts of which are numpy arrays. With a ``name`` for the vocabulary, tasks of one
+    process hand what they remember on to each other."""
 
-    def __init__(self, ranks: dict[bytes, int], merges: dict[str, np.ndarray], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], merges: dict[str, np.ndarray], pattern: str, name: str | None = None):
+        self.name = name
         self.pattern = regex.compile(pattern)
         self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": f"{MEMORY_MB}MB", "temp_directory": "", "preserve_insertion_order": False})
         self._table("merges", **merges)
@@ -116,7 +126,7 @@ class Codec:
         whole = {t.decode(errors="replace"): r for t, r in ranks.items()}  # a replaced one stands for no piece that is valid
         whole = {t: r for t, r in whole.items() if "\ufffd" not in t}
         self.own = pa.array([*whole], pa.large_string()), np.array([*whole.values()], "<u4"), np.ones(len(whole), np.int64)
-        self.pieces, self.ids, self.sizes = self.own
+        self.pieces, self.ids, self.sizes = _process_memory().get(name, self.own)
 
     def _table(self, name: str, **columns) -> None:
         rows = pa.table({k: pa.array(v) for k, v in columns.items()})
@@ -126,6 +136,9 @@ class Codec:
 
     def close(self) -> None:
         self.con.close()
+        if self.name is not None:
+            _process_memory().clear()
+            _process_memory()[self.name] = self.pieces, self.ids, self.sizes
 
     def _ask(self, query: str, size: int) -> dict[str, np.ndarray]:
         """The query's columns; DuckDB may use more memory for it where ``size`` rows of one unit or text need it."""
@@ -223,7 +236,8 @@ class Codec:
 
 def _broadcast(rows: DataFrame, ranks_path: str):
     ranks = read_ranks(ranks_path)
-    return rows.sparkSession.sparkContext.broadcast((ranks, merge_table(ranks)))
+    name = hashlib.sha256(b"".join(t + r.to_bytes(4, "little") for t, r in ranks.items())).hexdigest()
+    return rows.sparkSession.sparkContext.broadcast((ranks, merge_table(ranks), name))
 
 
 def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",),
@@ -240,7 +254,8 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema) + ", ids binary" + ", decoded binary" * decoded
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(*tables.value, pattern)
+        ranks, merges, name = tables.value
+        codec = Codec(ranks, merges, pattern, name)
         try:
             for batch in batches:
                 for part in text_slices(batch, "_text", ENCODE_BYTES):
@@ -261,7 +276,7 @@ def decode(rows: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFrame:
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "decoded") + ", decoded binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(*tables.value, "")
+        codec = Codec(*tables.value[:2], "")
         try:
             for batch in batches:
                 for part in text_slices(batch, ids_col, ENCODE_BYTES):
