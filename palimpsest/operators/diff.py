@@ -6,6 +6,8 @@ value in the map counts as a missing field.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,22 +30,25 @@ def entry_changes(old: DataFrame, new: DataFrame) -> DataFrame:
     return paired(old, new).select("entry_key", change.alias("change"))
 
 
-def _differing(old: Column, new: Column) -> Column:
-    """(key, value, same) entries of the fields that turn ``old`` into ``new``; a null value for a field that vanished."""
-    pairs = F.map_entries(F.map_zip_with(old, new, lambda _, a, b: F.struct(b.alias("value"), a.eqNullSafe(b).alias("same"))))
+def differing(old: Column, new: Column, sign: Callable[[Column], Column] = lambda value: value) -> Column:
+    """(field, value) of the fields that turn ``old`` into ``new``; a null value for a field that vanished. ``old`` may hold signatures of values."""
+    pairs = F.map_entries(F.map_zip_with(old, new, lambda _, a, b: F.struct(b.alias("value"), a.eqNullSafe(sign(b)).alias("same"))))
     return F.transform(F.filter(pairs, lambda e: ~e["value"]["same"]), lambda e: F.struct(e["key"].alias("field"), e["value"]["value"].alias("value")))
 
 
-def changes(old: DataFrame, new: DataFrame, here: DataFrame) -> DataFrame:
+def changes(old: DataFrame, new: DataFrame, here: DataFrame, sign: Callable[[Column], Column] = lambda value: value) -> DataFrame:
     """(entry_key, change, cells) of a release against the state before it, from one pass over both.
 
     ``old`` holds every entry ever seen, ``here`` the keys of the release before: of it are added,
     removed, modified and kept told, while ``cells`` (field, value) are relative to ``old``, so an
-    entry that comes back has only what changed since.
+    entry that comes back has only what changed since. ``old`` may hold ``sign`` of its values; as it meets
+    ``here`` first, the values of ``new`` are dealt by key once.
     """
     empty = F.create_map().cast("map<string,string>")
-    both = paired(old, new).join(here.select("entry_key", F.lit(True).alias("was")), "entry_key", "left")
-    cells = _differing(F.coalesce("old", empty), F.col("new"))
+    known = old.select("entry_key", F.col("fields").alias("old")).join(here.select("entry_key", F.lit(True).alias("was")), "entry_key", "full")
+    both = known.join(new.select("entry_key", F.col("fields").alias("new")), "entry_key", "full").where("old IS NOT NULL OR new IS NOT NULL")
+    first = F.filter(F.transform(F.map_entries("new"), lambda e: F.struct(e["key"].alias("field"), e["value"].alias("value"))), lambda c: c["value"].isNotNull())
+    cells = F.when(F.col("old").isNull(), first).otherwise(differing(F.coalesce("old", empty), F.col("new"), sign))
     change = F.when(F.col("new").isNull(), "removed").when(F.col("was").isNull(), "added").when(F.size("cells") > 0, "modified").otherwise("kept")
     return both.where(F.col("new").isNotNull() | F.col("was")).withColumn("cells", cells).select("entry_key", change.alias("change"), "cells")
 
@@ -60,7 +65,8 @@ def changed_fields(old: DataFrame, new: DataFrame) -> DataFrame:
     New and changed fields carry their value; fields that vanished are tombstones; entries missing
     from ``new`` have none, as their absence shows in the presence table alone.
     """
-    return exploded(changes(old, new, old.select("entry_key")).where("change <> 'removed'"))
+    both = new.select("entry_key", F.col("fields").alias("new")).join(old.select("entry_key", F.col("fields").alias("old")), "entry_key", "left")
+    return exploded(both.select("entry_key", differing(F.coalesce("old", F.create_map().cast("map<string,string>")), F.col("new")).alias("cells")))
 
 
 def equal_fields(old: DataFrame, new: DataFrame) -> DataFrame:

@@ -60,7 +60,8 @@ class Format:
 
     def chosen(self, judged: DataFrame) -> DataFrame:
         """(entry_key, fields) of good records; of several with one key the first by content is kept."""
-        return judged.groupBy("entry_key").agg(F.min_by("fields", F.to_json("fields")).alias("fields"))
+        dealt = judged.select("entry_key", "fields").repartition("entry_key")  # so that fields travel once, and their JSON not at all
+        return dealt.groupBy("entry_key").agg(F.min_by("fields", F.to_json("fields")).alias("fields"))
 
     def entries(self, records: DataFrame) -> DataFrame:
         """(entry_key, fields) of records; see :meth:`judged` and :meth:`chosen`."""

@@ -28,7 +28,7 @@ from .sources.formats import FORMATS, Format
 KEYS = ("run_id", "task_id", "entry_key")
 #: Tables of slices, and registers, which are rows of the log.
 SLICED = {
-    "cells": "run_id string, task_id string, entry_key string, field string, value string, is_tombstone boolean, collection string, scope string, version long",
+    "cells": "run_id string, task_id string, entry_key string, cells array<struct<field:string,value:string>>, present boolean, collection string, scope string, version long",
     "presence": "run_id string, task_id string, entry_key string, collection string, scope string, version long",
     "rejects": "file string, block long, reason string, record string, collection string, scope string, version long",
 }
@@ -39,6 +39,8 @@ REGISTERS = {
     "materializations": "collection string, cache_key string, path string, digest string, created_at timestamp, rows long, parts array<struct<name:string,length:long>>",
 }
 SCHEMAS = SLICED | REGISTERS
+#: Cells as :meth:`Store.table` gives them, a row each; they are stored by entry, with whether its release had it.
+CELLS = "run_id string, task_id string, entry_key string, field string, value string, is_tombstone boolean, collection string, scope string, version long"
 _KINDS = {"versions": "version", "collections": "collection", "runs": "run", "materializations": "materialization"}
 
 
@@ -93,17 +95,28 @@ class Store:
             rows = self.log.frame(at.number).where(F.col("action") == _KINDS[name])
             rows = rows.select(*[F.timestamp_micros("at").alias(c) if c in times else F.col(c) for c in columns])
             return rows if collection is None else rows.where(F.col("collection") == collection)
-        folders = [f for (t, c, _, v), f in at.slices.items() if t == name and f and (collection is None or c == collection) and versions(v)]
+        rows = self._stored(name, at, collection, versions)
+        if name != "cells":
+            return rows
+        rows = rows.select("*", F.explode("cells").alias("c")).select("*", "c.field", "c.value", F.col("c.value").isNull().alias("is_tombstone"))
+        return rows.select(*[c.split()[0] for c in CELLS.split(", ")])
+
+    def _folders(self, name: str, at: Snapshot, collection: str | None, versions: Callable[[int], bool], scope: str | None = None) -> list[str]:
+        return [f for (t, c, s, v), f in at.slices.items() if t == name and f and collection in (None, c) and scope in (None, s) and versions(v)]
+
+    def _stored(self, name: str, at: Snapshot, collection: str | None = None, versions: Callable[[int], bool] = lambda v: True, scope: str | None = None) -> DataFrame:
+        """Slices as they are stored; where there are none, rows that the optimizer knows to be none."""
+        return self._read(name, self._folders(name, at, collection, versions, scope))
+
+    def _read(self, name: str, folders: list[str]) -> DataFrame:
         if not folders:
-            return self.spark.createDataFrame([], SCHEMAS[name])
-        return self.spark.read.schema(SCHEMAS[name]).option("basePath", self._path(name)).parquet(*folders).select(*columns)
+            return self.spark.createDataFrame([], SLICED[name]).limit(0)
+        return self.spark.read.schema(SLICED[name]).option("basePath", self._path(name)).parquet(*folders).select(*[c.split()[0] for c in SLICED[name].split(", ")])
 
-    def _aside(self, rows: DataFrame, **measures: Column) -> DataFrame:
-        """``rows`` written beside the tables and read again: once worked out. ``measures`` are aggregated on the way, into ``measured``."""
+    def _aside(self, rows: DataFrame) -> DataFrame:
+        """``rows`` written beside the tables and read again: once worked out."""
         folder = f"{self.root}/_staged/{uuid.uuid4()}"
-        seen = Observation()
-        (rows.observe(seen, *[c.alias(n) for n, c in measures.items()]) if measures else rows).write.parquet(folder)
-        self.measured = {n: v or 0 for n, v in seen.get.items()} if measures else {}
+        rows.write.option("compression", "zstd").parquet(folder)
         self._staged.append(folder)
         return self.spark.read.schema(rows.schema).parquet(folder)
 
@@ -111,12 +124,18 @@ class Store:
         while self._staged:
             self.files_at.delete(self._staged.pop())
 
-    def _written(self, name: str, rows: DataFrame, slices: list[tuple[str, str, int]], cluster: bool = False) -> list[dict]:
-        """Write rows of ``slices`` (collection, scope, version) to a new folder, if asked for in ranges of keys; the actions that make them count."""
+    def _written(self, name: str, rows: DataFrame, slices: list[tuple[str, str, int]], cluster: bool = False, keep: str | None = None, **measures: Column) -> list[dict]:
+        """Write rows of ``slices`` (collection, scope, version) to a new folder, if asked for in ranges of keys; the actions that make them count.
+
+        ``measures`` are aggregated on the way, into ``measured``; rows that are not to ``keep`` are measured, and not written."""
         if cluster:
             rows = rows.repartitionByRange("entry_key").sortWithinPartitions("entry_key")
-        folder = f"{self._path(name)}/commit=c-{uuid.uuid4()}"
-        rows.select(*[f.split()[0] for f in SLICED[name].split(", ")]).write.partitionBy("collection", "scope", "version").parquet(folder)
+        folder, seen = f"{self._path(name)}/commit=c-{uuid.uuid4()}", Observation()
+        if measures:
+            rows = rows.observe(seen, *[c.alias(n) for n, c in measures.items()])
+        rows = rows if keep is None else rows.where(keep)
+        rows.select(*[f.split()[0] for f in SLICED[name].split(", ")]).write.option("compression", "zstd").partitionBy("collection", "scope", "version").parquet(folder)
+        self.measured = {n: v or 0 for n, v in seen.get.items()} if measures else {}
         found = {(c, s, int(v)): at for (c, s, v), at in self.files_at.leaves(folder, 3).items()}
         return [{"action": "slice", "table": name, "collection": c, "scope": s, "version": v, "folder": found.get((c, s, v))} for c, s, v in slices]
 
@@ -160,43 +179,44 @@ class Store:
             return {}
         kind, (run, task, scope) = self.formats[format], self._scope(run_id, task_id)
         slice_ = (collection, scope, version)
-        own = self._slice(self.table("cells", base, collection), scope)
-        seen = self._slice(self.table("presence", base, collection), scope)
+        own = lambda versions: self._stored("cells", base, collection, versions, scope)
+        seen = lambda versions: self._stored("presence", base, collection, versions, scope)
+        one = lambda versions: len(self._folders("cells", base, collection, versions, scope)) < 2
         rejected: dict[str, int] = {"n_rejected": 0}
         actions: list[dict] = []
         if isinstance(release, str):
-            judged = self._aside(kind.judged(kind.records(self.spark, release)), n_rejected=F.count_if(F.col("reason").isNotNull()))
-            rejected = self.measured
-            bad = judged.where("reason IS NOT NULL").select("file", "block", "reason", "record", *self._place(*slice_))
+            judged = kind.judged(kind.records(self.spark, release))
+            bad = judged.where("reason IS NOT NULL").select("file", "block", "reason", "record", *self._place(*slice_), F.lit(True).alias("fresh"))
             if mode == "union":
-                bad = bad.unionByName(self.table("rejects", base, collection, lambda v: v == version).where(F.col("scope") == scope))
-            actions += self._written("rejects", bad, [slice_])
+                bad = bad.unionByName(self._stored("rejects", base, collection, lambda v: v == version, scope).withColumn("fresh", F.lit(False)))
+            actions += self._written("rejects", bad, [slice_], n_rejected=F.count_if("fresh"))
+            rejected = self.measured
             release = kind.chosen(judged.where("reason IS NULL"))
         elif mode != "union":
             actions.append({"action": "slice", "table": "rejects", "collection": collection, "scope": scope, "version": version, "folder": None})
         release = release.select("entry_key", "fields")
         known = self.versions(collection, run, task, base)
         after = min((v for v in known if v > version), default=None)
-        if mode == "union" or after is not None:  # read more than once
-            release = self._aside(release)
+        until, below = lambda v: v <= version, lambda v: v < version
         if mode == "union":
-            earlier = seen.where(F.col("version") == version).select("entry_key").join(release, "entry_key", "left_anti")
-            release = release.unionByName(asof.state(own.join(earlier, "entry_key", "left_semi"), version).select("entry_key", "fields"))
-        before = asof.state(own, version - 1).select("entry_key", "fields")
-        here = asof.present_at(seen, max((v for v in known if v < version), default=-1))
-        changes = self._aside(diff.changes(before, release, here), **counts.change_counters())
+            release = self._aside(release)  # read more than once
+            earlier = seen(lambda v: v == version).select("entry_key").join(release, "entry_key", "left_anti")
+            release = release.unionByName(asof.merged(own(until).join(earlier, "entry_key", "left_semi"), once=one(until)).select("entry_key", "fields"))
+        before = asof.merged(asof.signed(own(below)), once=one(below))
+        last = max((v for v in known if v < version), default=-1)
+        here = asof.present_at(seen(lambda v: v == last), last)
+        keyed = [F.lit(run).alias("run_id"), F.lit(task).alias("task_id"), "entry_key"]
+        changes = diff.changes(before, release, here, asof.signature)
+        rows = changes.select(*keyed, "cells", "change", (F.col("change") != "removed").alias("present"), *self._place(*slice_))
+        written = self._written("cells", rows, [slice_], cluster, "present", **counts.change_counters())
         found = self.measured
-        actions += self._written("cells", self._cells(diff.exploded(changes), run, task, *slice_), [slice_], cluster)
+        actions += written
+        fresh = self._read("cells", [a["folder"] for a in written if a["folder"]])
         if after is not None:
-            touched = release.select("entry_key").union(own.where(F.col("version") == version).select("entry_key")).distinct()
-            then = asof.state(own, after).select("entry_key", "fields").join(touched, "entry_key", "left_semi")
-            base_rows = release.unionByName(before.join(touched, "entry_key", "left_semi").join(release, "entry_key", "left_anti"))
-            again = diff.changed_fields(base_rows, then).select("entry_key", "field", "value", "is_tombstone").unionByName(self._only_tombstones(base_rows, then))
-            rest = own.where(F.col("version") == after).join(touched, "entry_key", "left_anti")
-            again = again.unionByName(rest.select("entry_key", "field", "value", "is_tombstone"))
-            actions += self._written("cells", self._cells(again, run, task, collection, scope, after), [(collection, scope, after)], cluster)
-        present = changes.where("change <> 'removed'").select(F.lit(run).alias("run_id"), F.lit(task).alias("task_id"), "entry_key", *self._place(*slice_))
-        actions += self._written("presence", present, [slice_], cluster)
+            history = own(lambda v: v <= after).withColumn("fresh", F.lit(False)).unionByName(asof.signed(fresh).withColumn("fresh", F.lit(True)))
+            again = asof.compared_again(history, version, after).select(*keyed, "cells", "present", *self._place(collection, scope, after))
+            actions += self._written("cells", again, [(collection, scope, after)], cluster)
+        actions += self._written("presence", fresh.select(*keyed, *self._place(*slice_)), [slice_], cluster)
         if collection not in base.collections:
             actions.append({"action": "collection", "collection": collection, "format": format, "is_database": run == ""})
         actions.append({"action": "version", "collection": collection, "run_id": run, "task_id": task, "version": version, "at": _now(), "entries": found["n_entries"]})
@@ -223,30 +243,17 @@ class Store:
         run, task = run_id or "", "" if task_id is None else f"{task_id:04d}"
         return run, task, f"{run}_{task}" if run else "_"
 
-    @staticmethod
-    def _only_tombstones(base: DataFrame, then: DataFrame) -> DataFrame:
-        """Tombstones for entries of ``base`` that have no state at all in ``then``."""
-        gone = base.join(then.select("entry_key"), "entry_key", "left_anti")
-        return gone.select("entry_key", F.explode(F.map_keys("fields")).alias("field"), F.lit(None).cast("string").alias("value"), F.lit(True).alias("is_tombstone"))
-
-    @staticmethod
-    def _slice(rows: DataFrame, scope: str) -> DataFrame:
-        return rows.where(F.col("scope") == scope)
-
     @staticmethod
     def _place(collection: str, scope: str, version: int) -> list:
         return [F.lit(collection).alias("collection"), F.lit(scope).alias("scope"), F.lit(version).cast("long").alias("version")]
 
-    def _cells(self, rows: DataFrame, run: str, task: str, collection: str, scope: str, version: int) -> DataFrame:
-        return rows.select(F.lit(run).alias("run_id"), F.lit(task).alias("task_id"), "entry_key", "field", "value", "is_tombstone", *self._place(collection, scope, version))
-
     def put_raw(self, path: str, collection: str, version: int) -> int:
         """Keep the files below ``path`` unparsed under a version, and return how many there are.
 
         They are entries of a file collection under their path from ``path`` on; path, size and hash are
         their fields, so later versions store only what changed.
         """
-        found = measured(listed(self.spark, path))
+        found = self._aside(measured(listed(self.spark, path)))  # ranges of keys are sampled: files are read once
         fields = F.create_map(F.lit("ID"), F.col("path"), F.lit("PATH"), F.col("path"), F.lit("HASH"), F.col("hash"), F.lit("SIZE"), F.col("size").cast("string"), F.lit("SUFFIX"), path_suffix(F.col("path")),
                               F.lit("BELOW"), F.col("below"))
         return self.put(found.select(F.col("below").alias("entry_key"), fields.alias("fields")), collection, version, "fullfile", cluster=True)["n_entries"]
@@ -260,12 +267,12 @@ class Store:
         now = self.snapshot()
         known = [v for v in self.versions(collection, at=now) if stop is None or v <= stop]
         at = known[-1] if known else -1
-        cells, seen = (self.table(t, now, collection, lambda v: v <= at) for t in ("cells", "presence"))
+        cells, seen = (self._stored(t, now, collection, lambda v: v <= at) for t in ("cells", "presence"))
         if below is not None:
             cells, seen = (x.where(F.col("entry_key") == below) for x in (cells, seen))
         of = lambda name: F.element_at("fields", F.lit(name))
         here = asof.present_at(seen, at).withColumn("here", F.lit(True))
-        rows = asof.state(cells, at).join(here, "entry_key", "left")
+        rows = asof.merged(cells).join(here, "entry_key", "left")
         return rows.select(of("PATH").alias("path"), of("SIZE").cast("long").alias("size"), of("HASH").alias("hash"), F.element_at("versions", F.lit("HASH")).alias("version"), F.col("here").isNull().alias("is_deleted"), of("BELOW").alias("below"))
 
     def get_file(self, path: str, stop: int | None = None) -> DataFrame:
@@ -304,14 +311,15 @@ class Store:
         if status == "new":
             self._above_floor(now, collection, None if shared or run_id is None else self._scope(run_id, task_id)[2], start, stop, known)
         in_time = lambda v: v <= at
-        cells, seen = self.table("cells", now, collection, in_time), self.table("presence", now, collection, in_time)
+        cells, seen = self._stored("cells", now, collection, in_time), self._stored("presence", now, collection, in_time)
         cells, seen = (filters.in_scope(x, mine[0], task_id if mine[1] else None) for x in (cells, seen))
         required = fmt.required.get(kind or fmt.default_type, ())
         whole = not fmt.incremental or not required
-        entries = asof.incremental(cells, seen, start, at, required, complete=whole, keys=KEYS)
+        once = [(c, v) for (t, c, _, v), f in now.slices.items() if t == "cells" and f and c == collection and v <= at] == [(collection, at)]
+        entries = asof.incremental_merged(cells, seen, start, at, required, whole, KEYS, once)
         patterns = filters.parse_filter(regex)
         if patterns and predicate_scope == "window":
-            window = asof.state(asof.in_window(cells, start, at), at, keys=KEYS).where(filters.matches(patterns, F.col("fields"))).select(*KEYS)
+            window = asof.merged(asof.in_window(cells, start, at), KEYS).where(filters.matches(patterns, F.col("fields"))).select(*KEYS)
             entries = entries.join(window, [*KEYS], "left_semi")
         elif patterns:
             entries = entries.where(filters.matches(patterns, F.col("fields")))
@@ -396,9 +404,10 @@ class Store:
         base = self.snapshot()
         if version not in self.versions(collection, run, task, base):
             raise ValueError(f"no version {version} of {collection!r}")
-        own = self._slice(self.table("cells", base, collection, lambda v: v <= version), scope)
-        newest = asof.newest_cells(own, None, version).where(~F.col("is_tombstone")).select("entry_key", "field", "value", "is_tombstone")
-        actions = self._written("cells", self._cells(newest, run, task, collection, scope, version), [(collection, scope, version)], cluster=True)
+        # dealt by ranges once: the ranges of keys that the slice is written in are those it is merged in
+        own = self._stored("cells", base, collection, lambda v: v <= version, scope).repartitionByRange("entry_key")
+        newest = asof.merged(own, stop=version).select(F.lit(run).alias("run_id"), F.lit(task).alias("task_id"), "entry_key", asof.as_cells(F.col("fields")).alias("cells"), "present", *self._place(collection, scope, version))
+        actions = self._written("cells", newest.sortWithinPartitions("entry_key"), [(collection, scope, version)])
         earlier = [v for (t, c, s, v) in base.slices if (t, c, s) == ("cells", collection, scope) and v < version]
         actions += [{"action": "slice", "table": "cells", "collection": collection, "scope": scope, "version": v, "folder": None} for v in earlier]
         actions.append({"action": "floor", "collection": collection, "scope": scope, "version": version})
