@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..commits import Files
 from ..functions.checkpoints import shared_folder
 from ..functions import text
 from ..functions.text import cache_key, task_key
@@ -724,8 +725,9 @@ def streamed_release(spark, sf_dir):
     body = F.regexp_replace(F.translate("text", ">\r", ""), r"[\x00-\x20]", "")
     docs = fx.table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit(">"), "doc_id", F.lit("\n"), body).alias("value"))
     for version, rows in ((1, docs), (2, docs.where("doc_id % 10 <> 3"))):
-        rows.select("value").coalesce(1).write.text(f"{folder}/version={version}")
-        spark.range(1).select(F.lit("closed").alias("content"), F.lit(f"version={version}/1.done").alias("path")).transform(
+        rows.select("value").write.text(f"{folder}/version={version}")
+        parts = sum(size > 0 for _, size in Files(spark).parts(f"{folder}/version={version}"))
+        spark.range(1).select(F.lit("closed").alias("content"), F.lit(f"version={version}/{parts}.done").alias("path")).transform(
             lambda m: files.write_files(m.select("path", F.encode("content", "UTF-8").alias("content")), folder)).count()
     store = Store(spark, shared_folder(spark))
     ingest(store, folder, "dropped", "fasta", checkpoint).awaitTermination()
