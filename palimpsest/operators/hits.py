@@ -127,10 +127,10 @@ def islands(hits: DataFrame, part: Sequence[str] = ("query_id",), keep: str = "f
     first pass reads each range by itself and gives one row a range, from which the driver works out where
     reading stands at each range's begin; a second pass reads on from there.
     """
-    rows = derived(hits)
-    spark = rows.sparkSession
+    spark = hits.sparkSession
     ranges = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    dealt = cut(rows.repartitionByRange(ranges, *part, "line_no").sortWithinPartitions(*part, "line_no").withColumn("_range", F.spark_partition_id()))
+    dealt = derived(cut(hits.repartitionByRange(ranges, *part, "line_no").sortWithinPartitions(*part, "line_no").withColumn("_range", F.spark_partition_id())))
+    rows = dealt.drop("_range")  # lengths and counts are worked out after, so that they are not written
     text = lambda *names: F.to_json(F.struct(*names))
     hsp = ("identity", "align_length", "mismatches", "gaps", "query_start", "q_stop", "s_start", "s_stop", "e_value", "hit")
     marked = dealt.withColumns({"_in": text(*part), "_key": text("query_id", "query_len", "subject_id", "subject_len"), "_hsp": text(*hsp)})

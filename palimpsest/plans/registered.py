@@ -289,6 +289,11 @@ def blast_correct(spark, sf_dir):
     return found.select("query_id", "line_no", "subject_id", F.round("e_value", 8).alias("e_value"), "query_len", "subject_len", "identical", "positive")
 
 
+def _plain(lines: DataFrame) -> DataFrame:
+    """Hits without the columns that only their numbering needs, so that these are not written."""
+    return lines.drop("l_orderkey", "l_partkey", "l_suppkey")
+
+
 @query(f"""WITH {fx.HITS_SQL}, marked AS (SELECT *, CASE WHEN row_number() OVER w = 1 THEN 1 WHEN q_stop - query_start = lag(q_stop - query_start) OVER w AND subject_id = lag(subject_id) OVER w
   AND s_stop - s_start = lag(s_stop - s_start) OVER w THEN 0 ELSE 1 END AS new FROM hits WINDOW w AS (PARTITION BY query_id ORDER BY line_no)),
 numbered AS (SELECT *, sum(new) OVER (PARTITION BY query_id ORDER BY line_no) AS island FROM marked),
@@ -299,7 +304,7 @@ FROM kept JOIN q USING (query_id)""")
 def blast_islands(spark, sf_dir):
     """Hits in reading order with iteration, hit and HSP numbers."""
     lines = fx.line_hits(spark, sf_dir)
-    rows = hits.iterations(hits.islands(lines), ("l_orderkey", "line_no"), lines)
+    rows = hits.iterations(hits.islands(_plain(lines)), ("l_orderkey", "line_no"), lines)
     as_long = [F.col(c).cast("long").alias(c) for c in ("iteration_no", "hit_no", "hsp_no")]
     return rows.select("query_id", "line_no", "subject_id", *as_long)
 
@@ -312,7 +317,7 @@ SELECT iteration_no, query_id, island AS hit_no, subject_id, s_stop - s_start AS
 def blast_nested_xml(spark, sf_dir):
     """The report of the hits nested as its XML is, one row per innermost element."""
     lines = fx.line_hits(spark, sf_dir)
-    nested = hits.nested(hits.iterations(hits.islands(lines, keep="all_hsps"), ("l_orderkey", "line_no"), lines))
+    nested = hits.nested(hits.iterations(hits.islands(_plain(lines), keep="all_hsps"), ("l_orderkey", "line_no"), lines))
     found = nested.select(F.col("`Iteration_iter-num`").alias("iteration_no"), F.col("`Iteration_query-def`").alias("query_id"), F.explode("Iteration_hits.Hit").alias("h"))
     each = found.select("iteration_no", "query_id", "h", F.explode("h.Hit_hsps.Hsp").alias("p"))
     return each.select(
@@ -536,7 +541,7 @@ SELECT iteration_no, query_id, island AS hit_no, subject_id || ' taxon & <1>' AS
 def report_document(spark, sf_dir):
     """The report as one XML document, written by many tasks and read again."""
     lines, path = fx.line_hits(spark, sf_dir), f"{shared_folder(spark)}/report.xml"
-    sinks.write_report(hits.iterations(hits.islands(lines), ("l_orderkey", "line_no"), lines), path, "blastp", "taxon & <1>")
+    sinks.write_report(hits.iterations(hits.islands(_plain(lines)), ("l_orderkey", "line_no"), lines), path, "blastp", "taxon & <1>")
     found = spark.read.format("xml").option("rowTag", "Iteration").schema(_ITERATION).load(path)
     program = spark.read.text(path).where(F.col("value").contains("<BlastOutput_program>")).select(F.regexp_extract("value", ">([^<]*)<", 1).alias("program"))
     each = found.select("Iteration_iter-num", "Iteration_query-def", F.explode("Iteration_hits.Hit").alias("h")).select("*", F.explode("h.Hit_hsps.Hsp").alias("p"))

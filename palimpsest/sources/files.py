@@ -64,7 +64,8 @@ def _joined_on_hdfs(spark: SparkSession, parts: list[str], target: str, draft: s
 def join_parts(spark: SparkSession, parts: list[str], target: str, head: str = "", end: str = "") -> None:
     """One file of ``head``, the files ``parts`` in order, and ``end``. It appears whole, at the end.
 
-    HDFS joins files without moving their data. Elsewhere one task copies them, a few megabytes at a time.
+    HDFS joins files without moving their data. Elsewhere one task copies them, a few megabytes at a time, and
+    unpacks those whose name ends with ``.gz``.
     """
     draft = f"{target}.{uuid.uuid4().hex}.part"
     if _joined_on_hdfs(spark, parts, target, draft, head, end):
@@ -78,7 +79,7 @@ def join_parts(spark: SparkSession, parts: list[str], target: str, head: str = "
                 out.write(head.encode())
                 for part in parts:
                     source, name = _system(part)
-                    with source.open_input_stream(name) as stream:
+                    with source.open_input_stream(name, compression="gzip" if name.endswith(".gz") else None) as stream:
                         while block := stream.read(4 << 20):
                             out.write(block)
                 out.write(end.encode())

@@ -56,11 +56,13 @@ def write_report(rows: DataFrame, path: str, program: str, taxon: str = "", part
     """
     spark = rows.sparkSession
     order = ("iteration_no", "hit_no", "hsp_no")
-    lines = report_lines(rows, taxon)
     parts = parts or max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     folder = shared_folder(spark)
-    lines.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("value").write.text(folder)
     at = Files(spark)
+    # rows are dealt before they are made text, which is several times as long; parts that must be copied are compressed
+    dealt = report_lines(rows.repartitionByRange(parts, *order).sortWithinPartitions(*order), taxon)
+    packed = at.of(path)[0].getUri().getScheme() != "hdfs"
+    dealt.select("value").write.option("compression", "gzip" if packed else "none").text(folder)
     names = [f"{folder}/{name}" for name, size in at.parts(folder) if size]
     escaped = program.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
     join_parts(spark, names, path, REPORT_HEAD.format(program=escaped), (ITERATION_END if names else "") + REPORT_END)
