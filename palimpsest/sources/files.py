@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import hashlib
 import uuid
-from collections.abc import Iterable, Iterator
-from urllib.parse import unquote
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager, nullcontext
 
 import pyarrow as pa
-from pyarrow.fs import FileSystem, FileType, LocalFileSystem
+import pyarrow.compute as pc
+from pyarrow.fs import FileSelector, FileSystem, FileType, LocalFileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -132,11 +133,10 @@ def write_files(contents: DataFrame, target: str) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes = []
-            for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
-                sizes.append(_streamed([content.as_buffer()], f"{target}/{path}")[0])
-            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(sizes, pa.int64())], ["path", "size"])
+        with _drafts(target) as write:
+            for batch in batches:
+                sizes = [write([content.as_buffer()], path)[0] for path, content in zip(batch.column("path").to_pylist(), batch.column("content"))]
+                yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(sizes, pa.int64())], ["path", "size"])
 
     return contents.select("path", F.coalesce("content", F.lit(b"")).alias("content")).mapInArrow(run, "path string, size long")
 
@@ -152,37 +152,91 @@ def _blocks(path: str) -> Iterator[bytes]:
             yield block
 
 
-def _streamed(blocks: Iterable, target: str | None) -> tuple[int, str]:
-    """(size, SHA-256) of blocks, which are written to ``target`` on the way if one is given: aside, and moved there at the end."""
+def _streamed(blocks: Iterable, out: pa.NativeFile | None = None) -> tuple[int, str]:
+    """(size, SHA-256) of blocks, which are written to ``out`` on the way if it is given."""
     digest, size = hashlib.sha256(), 0
-    if target is None:
-        for block in blocks:
-            digest.update(block)
-            size += len(block)
-        return size, digest.hexdigest()
-    system, place = _system(target)
-    part = f"{place}.{uuid.uuid4().hex}.part"
-    system.create_dir(place.rsplit("/", 1)[0], recursive=True)
-    with system.open_output_stream(part) as out:
-        for block in blocks:
-            digest.update(block)
-            size += len(block)
+    for block in blocks:
+        digest.update(block)
+        size += len(block)
+        if out is not None:
             out.write(block)
-    system.move(part, place)
     return size, digest.hexdigest()
 
 
+@contextmanager
+def _drafts(target: str) -> Iterator[Callable[[Iterable, str], tuple[int, str]]]:
+    """A function of (blocks, name) that writes a file below ``target`` and gives its size and SHA-256.
+
+    Files are made in a hidden folder of the caller's own, as tasks that make files in one folder wait for each
+    other, and are moved to their names when they are whole. The folder goes at the end.
+    """
+    system, base = _system(target)
+    own, folder = f"{base}/.{uuid.uuid4().hex}.part", None
+
+    def write(blocks: Iterable, name: str) -> tuple[int, str]:
+        nonlocal folder
+        place = f"{base}/{name}"
+        if folder is None:
+            system.create_dir(own, recursive=True)
+        if folder != (folder := place.rsplit("/", 1)[0]):
+            system.create_dir(folder, recursive=True)
+        with system.open_output_stream(f"{own}/file") as out:
+            found = _streamed(blocks, out)
+        system.move(f"{own}/file", place)
+        return found
+
+    try:
+        yield write
+    finally:
+        if folder is not None:
+            system.delete_dir(own)
+
+
+def _hidden(name: str) -> bool:
+    """Whether Spark's own scans pass over a file or folder of this name."""
+    return (name[0] == "." or name[0] == "_" and "=" not in name or name.endswith("._COPYING_")) and not name.startswith(("_metadata", "_common_metadata"))
+
+
 def listed(spark: SparkSession, folder: str) -> DataFrame:
     """(path, below, size) of the files at any depth below ``folder``; no content is read. Below is the path from the folder on.
 
-    Spark scans no empty files; they are those of its listing, which the driver has for every scan, that the scan lacks.
+    Tasks list: one the folder, then each its share of what lies there, twice, and the last time all that is below. A task
+    holds what one folder has; the driver has the folder alone. Hidden files are left out, empty ones are not.
     """
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-    names = [(unquote(name).replace("file:///", "file:/", 1),) for name in found.inputFiles()]
-    rows = found.select("path", F.col("length").alias("size"))
-    empty = spark.createDataFrame(names, "path string").join(rows, "path", "left_anti").withColumn("size", F.lit(0).cast("long"))
+    system, at = Files(spark).of(folder)
+    roots = [(s.getPath().toString(), None if s.isDirectory() else s.getLen()) for s in system.globStatus(at) or ()]
+    if not roots:
+        raise FileNotFoundError(folder)
+
+    def rows(found: list[tuple[str, int | None]]) -> Iterator[pa.RecordBatch]:
+        for k in range(0, len(found), 10_000):
+            paths, sizes = zip(*found[k : k + 10_000])
+            yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(sizes, pa.int64())], ["path", "size"])
+
+    def inner(path: str) -> list[tuple[str, int | None]]:
+        system, place = _system(path)
+        found = [x for x in system.get_file_info(FileSelector(place)) if not _hidden(x.base_name)]
+        return [(f"{path.rstrip('/')}/{x.base_name}", x.size) for x in found if x.type in (FileType.File, FileType.Directory)]
+
+    def opened(deep: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.filter(pc.is_valid(batch["size"]))  # files; folders have no size
+                folders = batch.filter(pc.is_null(batch["size"]))["path"].to_pylist()
+                while folders:
+                    found = inner(folders.pop())
+                    if deep:
+                        folders += [path for path, size in found if size is None]
+                        found = [x for x in found if x[1] is not None]
+                    yield from rows(found)
+
+        return run
+
+    found, schema = spark.createDataFrame(roots, "path string, size long"), "path string, size long"
+    for deep in (False, False, True):
+        found = found.repartition(spark.sparkContext.defaultParallelism, "path").mapInArrow(opened(deep), schema)
     base = folder.rstrip("/") + "/"
-    return rows.unionByName(empty).select("path", F.substring_index("path", base, -1).alias("below"), "size")
+    return found.select("path", F.substring_index("path", base, -1).alias("below"), "size")
 
 
 def measured(files: DataFrame, target: str | None = None) -> DataFrame:
@@ -193,13 +247,16 @@ def measured(files: DataFrame, target: str | None = None) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            paths, names = batch.column("path").to_pylist(), batch.column("below").to_pylist()
-            for path, name in zip(paths, names):  # a row each, as large files take long
-                size, digest = _streamed(_blocks(path), None if target is None else f"{target}/{name}")
-                yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (path, name, size, digest)], ["path", "below", "size", "hash"])
-
-    return files.select("path", "below", "size").mapInArrow(run, "path string, below string, size long, hash string")
+        with _drafts(target) if target is not None else nullcontext(lambda blocks, name: _streamed(blocks)) as write:
+            for batch in batches:
+                paths, names = batch.column("path"), batch.column("below")
+                found = [write(_blocks(path), name) for path, name in zip(paths.to_pylist(), names.to_pylist())]
+                sizes, digests = zip(*found) if found else ((), ())
+                yield pa.RecordBatch.from_arrays([paths, names, pa.array(sizes, pa.int64()), pa.array(digests, pa.string())], ["path", "below", "size", "hash"])
+
+    # dealt by number, as the rows' bytes say nothing about the work
+    dealt = files.select("path", "below", "size").repartition(4 * files.sparkSession.sparkContext.defaultParallelism, "path")
+    return dealt.mapInArrow(run, "path string, below string, size long, hash string")
 
 
 def copy_files(files: DataFrame, source: str, target: str) -> DataFrame:
