@@ -43,3 +43,15 @@ def test_a_write_that_dies_leaves_nothing_to_list(spark, tmp_path):
         files.write_files(blocked, f"{tmp_path}/out").collect()
     assert {r.below for r in files.listed(spark, f"{tmp_path}/out").collect()} <= {"a", "c"}
     assert not [n for n in os.listdir(tmp_path / "out") if n.endswith(".part")]
+
+
+def test_a_copy_is_dealt_to_as_many_tasks_whatever_the_manifest(spark, tmp_path):
+    rows = spark.range(700).select(F.concat(F.lit("p/"), "id").alias("path"), F.encode(F.col("id").cast("string"), "UTF-8").alias("content"))
+    files.write_files(rows, f"{tmp_path}/in").count()
+    counts = []
+    for n in (1, 700):
+        copied = files.copy_files(rows.select("path").where(F.col("path").isin(*[f"p/{k}" for k in range(n)])), f"{tmp_path}/in", f"{tmp_path}/out{n}")
+        assert {(r.path, r.size) for r in copied.collect()} == {(f"p/{k}", len(str(k))) for k in range(n)}
+        assert sorted(os.listdir(tmp_path / f"out{n}")) == ["p"] and len(os.listdir(tmp_path / f"out{n}/p")) == n
+        counts.append(copied.rdd.getNumPartitions())
+    assert counts == [4 * spark.sparkContext.defaultParallelism] * 2
