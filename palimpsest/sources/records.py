@@ -28,10 +28,12 @@ def read_records(spark: SparkSession, path: str | list[str], separator: str, sta
     rows = lines.select(meta["file_path"].alias("file"), F.col("value").alias("record"), meta["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("at"))
     if start is None:
         return rows.select("file", "block", "record")
-    # a file's first record is the first row of its first split; only rows of such splits can be it, and of them just places are compared
-    first = rows.where("block = 0").groupBy("file").agg(F.min("at").alias("first"))
-    heads = rows.where("block = 0").join(first, "file", "left").where((F.col("at") != F.col("first")) | F.ltrim("record").startswith(start))
-    return rows.where("block <> 0").select("file", "block", "record").unionByName(heads.select("file", "block", "record"))
+    # a file's first record is the first row of its first split; just the places of those that are none of the format are sent
+    # out, and as only longs are aggregated, no text is sorted or dealt for them
+    head = F.when(F.col("block") == 0, F.col("at"))
+    heads = rows.select("file", head.alias("at"), F.when(~F.ltrim("record").startswith(start), head).alias("other"))
+    firsts = heads.groupBy("file").agg(F.min("at").alias("at"), F.min("other").alias("other"))
+    return rows.join(F.broadcast(firsts.where("at = other").select("at")), "at", "left_anti").select("file", "block", "record")
 
 
 def read_records_by_pattern(spark: SparkSession, path: str | list[str], start: str, stop: str | None = None) -> DataFrame:
