@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def trim_control(col: Column) -> Column:
     """Strip characters up to and including the space, control characters too, from both ends."""
-    return F.regexp_replace(F.regexp_replace(col, r"^[\x00-\x20]+", ""), r"[\x00-\x20]+$", "")
+    return F.trim(col, F.lit("".join(map(chr, range(0x21)))))
 
 
 def squeeze_sequence(col: Column) -> Column:

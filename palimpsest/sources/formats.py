@@ -53,7 +53,8 @@ class Format:
         text is not kept. file and block are null where ``records`` has none.
         """
         place = [F.col(c) if c in records.columns else F.lit(None).cast(kind).alias(c) for c, kind in (("file", "string"), ("block", "long"))]
-        parsed = records.where(F.col("record").rlike(r"\S")).select(*place, "record", self.parse(F.col("record")).alias("fields"))
+        # exploded, of one: so that what is asked of the fields is asked after parsing, not by parsing again
+        parsed = records.where(F.col("record").rlike(r"\S")).select(*place, "record", F.explode(F.array(self.parse(F.col("record")))).alias("fields"))
         keyed = parsed.withColumn("entry_key", self.key(F.col("fields")))
         reason = F.when(F.col("fields").isNull(), "not a record of the format").when(F.col("entry_key").isNull(), "no key")
         return keyed.select("file", "block", F.when(reason.isNotNull(), F.col("record")).alias("record"), "entry_key", "fields", reason.alias("reason"))
@@ -89,13 +90,13 @@ def _lines(record: Column) -> Column:
 def _headed(body: str, join: str, clean: bool) -> Callable[[Column], Column]:
     """Header line to ID; the other lines, trimmed if they are to be, joined to ``body``."""
 
-    def parse(record: Column) -> Column:
-        lines = _lines(F.regexp_replace(record, r"\A\s*>", ""))
+    def fields(lines: Column) -> Column:
         rest = F.slice(lines, 2, F.greatest(F.size(lines), F.lit(1)))
         text = F.array_join(F.transform(rest, trim_control) if clean else rest, join)
         return F.create_map(F.lit("ID"), F.concat(F.lit(">"), trim_control(lines[0])), F.lit(body), text)
 
-    return parse
+    # lines are bound, as an expression that is used thrice is worked out thrice
+    return lambda record: F.get(F.transform(F.array(_lines(F.regexp_replace(record, r"\A\s*>", ""))), fields), F.lit(0))
 
 
 def coded_fields(lines: Column, code: Callable[[Column], Column], body: Callable[[Column], Column]) -> Column:
