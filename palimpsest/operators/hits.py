@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, NumericType, StructField, StructType
 
 from ..functions.checkpoints import cut, numbered
 from ..functions.text import rescaled
@@ -218,13 +218,15 @@ def report_lines(rows: DataFrame, taxon: str = "") -> DataFrame:
     not allow are left out.
     """
     element = lambda indent, name, value: F.concat(F.lit(f"{' ' * indent}<{name}>"), value, F.lit(f"</{name}>\n"))
+    numbers = {f.name for f in rows.schema.fields if isinstance(f.dataType, NumericType)}  # these have nothing to escape
+    written = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")) if c in numbers else _escaped(F.col(c))
     starts_hit = F.col("hsp_no") == 0
     starts_iteration = starts_hit & (F.col("hit_no") == 1)
     closes = F.when(starts_iteration, F.when(F.col("iteration_no") > 1, ITERATION_END)).when(starts_hit, HIT_END)
     query = F.concat(F.lit("    <Iteration>\n"), element(6, "Iteration_iter-num", F.col("iteration_no")), element(6, "Iteration_query-def", _escaped(F.col("query_id"))),
-                     element(6, "Iteration_query-len", _escaped(F.col("query_len"))), F.lit("      <Iteration_hits>\n"))
+                     element(6, "Iteration_query-len", written("query_len")), F.lit("      <Iteration_hits>\n"))
     subject = F.concat_ws(" ", _escaped(F.col("subject_id")), F.nullif(_escaped(F.lit(taxon)), F.lit("")))
-    hit = F.concat(F.lit("        <Hit>\n"), element(10, "Hit_num", F.col("hit_no")), element(10, "Hit_def", subject), element(10, "Hit_len", _escaped(F.col("subject_len"))), F.lit("          <Hit_hsps>\n"))
-    hsp = F.concat(F.lit("            <Hsp>\n"), *[element(14, name, _escaped(F.col(c))) for name, c in HSP_ELEMENTS], F.lit("            </Hsp>"))
+    hit = F.concat(F.lit("        <Hit>\n"), element(10, "Hit_num", F.col("hit_no")), element(10, "Hit_def", subject), element(10, "Hit_len", written("subject_len")), F.lit("          <Hit_hsps>\n"))
+    hsp = F.concat(F.lit("            <Hsp>\n"), *[element(14, name, written(c)) for name, c in HSP_ELEMENTS], F.lit("            </Hsp>"))
     value = F.concat_ws("", closes, F.when(starts_iteration, query), F.when(starts_hit, hit), hsp)
     return rows.select("iteration_no", "hit_no", "hsp_no", value.alias("value"))

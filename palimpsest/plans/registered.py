@@ -527,10 +527,6 @@ def copied_files(spark, sf_dir):
     return back.select(F.regexp_extract("path", r"(\d+)\.html$", 1).cast("long").alias("page_id"), "size", "hash")
 
 
-_HSP = "STRUCT<`Hsp_num`: BIGINT, `Hsp_align-len`: BIGINT, `Hsp_evalue`: DOUBLE, `Hsp_identity`: BIGINT, `Hsp_score`: DOUBLE, `Hsp_query-to`: BIGINT>"
-_ITERATION = f"`Iteration_iter-num` BIGINT, `Iteration_query-def` STRING, `Iteration_query-len` BIGINT, `Iteration_hits` STRUCT<Hit: ARRAY<STRUCT<Hit_num: BIGINT, Hit_def: STRING, Hit_len: BIGINT, Hit_hsps: STRUCT<Hsp: ARRAY<{_HSP}>>>>>"
-
-
 @query(f"""WITH {fx.HITS_SQL}, marked AS (SELECT *, CASE WHEN row_number() OVER w = 1 THEN 1 WHEN q_stop - query_start = lag(q_stop - query_start) OVER w AND subject_id = lag(subject_id) OVER w
   AND s_stop - s_start = lag(s_stop - s_start) OVER w THEN 0 ELSE 1 END AS new FROM hits WINDOW w AS (PARTITION BY query_id ORDER BY line_no)),
 numbered AS (SELECT *, sum(new) OVER (PARTITION BY query_id ORDER BY line_no) AS island FROM marked),
@@ -541,14 +537,10 @@ SELECT iteration_no, query_id, island AS hit_no, subject_id || ' taxon & <1>' AS
 def report_document(spark, sf_dir):
     """The report as one XML document, written by many tasks and read again."""
     lines, path = fx.line_hits(spark, sf_dir), f"{shared_folder(spark)}/report.xml"
-    sinks.write_report(hits.iterations(hits.islands(_plain(lines)), ("l_orderkey", "line_no"), lines), path, "blastp", "taxon & <1>")
-    found = spark.read.format("xml").option("rowTag", "Iteration").schema(_ITERATION).load(path)
-    program = spark.read.text(path).where(F.col("value").contains("<BlastOutput_program>")).select(F.regexp_extract("value", ">([^<]*)<", 1).alias("program"))
-    each = found.select("Iteration_iter-num", "Iteration_query-def", F.explode("Iteration_hits.Hit").alias("h")).select("*", F.explode("h.Hit_hsps.Hsp").alias("p"))
-    return each.select(
-        F.col("`Iteration_iter-num`").alias("iteration_no"), F.col("`Iteration_query-def`").alias("query_id"), F.col("h.Hit_num").alias("hit_no"), F.col("h.Hit_def").alias("hit_def"), F.col("h.Hit_len").alias("hit_len"),
-        F.col("p.Hsp_num").alias("hsp_no"), F.col("p")["Hsp_align-len"].alias("align_length"), F.col("p.Hsp_evalue").alias("e_value"), F.col("p.Hsp_identity").alias("identical"), F.col("p.Hsp_score").alias("score"),
-        F.col("p")["Hsp_query-to"].alias("query_to")).crossJoin(F.broadcast(program))
+    # an order key is of one query, so that the least ones number the queries
+    sinks.write_report(hits.iterations(hits.islands(_plain(lines)), ("l_orderkey",), lines), path, "blastp", "taxon & <1>")
+    kept = ("iteration_no", "query_id", "hit_no", "hit_def", "hit_len", "hsp_no", "align_length", "e_value", "identical")
+    return files.read_report(spark, path).select(*kept, F.col("hit").alias("score"), F.col("q_stop").alias("query_to"), "program")
 
 
 @query(f"""WITH {fx.RELEASES_SQL} SELECT entry_key, {_LINE} AS text FROM r2 c""")

@@ -6,7 +6,9 @@ import hashlib
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager, nullcontext
+from html import unescape
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyarrow.fs import FileSelector, FileSystem, FileType, LocalFileSystem
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..commits import Files
 from ..functions.checkpoints import shared_folder
-from ..operators.hits import HIT_SCHEMA
+from ..operators.hits import HIT_SCHEMA, HSP_ELEMENTS
 
 
 def read_sequence_lines(spark: SparkSession, folder: str, ending: str = "fna") -> DataFrame:
@@ -106,6 +108,141 @@ def read_hits(spark: SparkSession, path: str) -> DataFrame:
     return lines.where(F.size(parts) == len(fields)).select(*cells, "file", "line_no")
 
 
+#: Bytes of a file that a task holds at once.
+BLOCK = 4 << 20
+
+#: Bytes of a report that a task reads on its own.
+RANGE = 32 << 20
+
+# The elements that a report's iterations, hits and HSPs have, their columns and types.
+_ITERATION = {"iteration_no": ("Iteration_iter-num", "long"), "query_id": ("Iteration_query-def", "string"), "query_len": ("Iteration_query-len", "long")}
+_HIT = {"hit_no": ("Hit_num", "long"), "hit_def": ("Hit_def", "string"), "hit_len": ("Hit_len", "long")}
+_HSP = {column: (name, "double" if column in ("e_value", "hit") else "long") for name, column in HSP_ELEMENTS}
+_TAGS = ["Iteration", "Hit", "Hsp", *[name for fields in (_ITERATION, _HIT, _HSP) for name, _ in fields.values()]]
+_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&"))
+
+
+def _report_texts(path: str, begin: int, end: int) -> Iterator[bytes]:
+    """What a report has from the first HSP at or after ``begin`` (0: from its head) to the first at or after ``end``, in texts of some megabytes that begin with an HSP."""
+    system, place = _system(path)
+    with system.open_input_file(place) as file:
+        at, text, started = begin, b"", begin == 0
+        while block := file.read_at(BLOCK, at):
+            text, at = text + block, at + len(block)
+            if not started:
+                first = text.find(b"<Hsp>")
+                text, started = (text[first:], True) if first >= 0 else (text[-4:], False)
+                if at - len(text) >= end:
+                    return
+            if started:
+                stop = text.find(b"<Hsp>", max(0, end - at + len(text)))
+                if stop >= 0:
+                    yield text[:stop]
+                    return
+                last = text.rfind(b"<Hsp>", 1)
+                if last > 0:
+                    yield text[:last]
+                    text = text[last:]
+        if started and text:
+            yield text
+
+
+def _opened(text: bytes, before: tuple[bytes, bytes]) -> tuple[bytes, bytes]:
+    """The heads of the last iteration and the last hit of a text; those before where none begins in it."""
+    iteration, hit = text.rfind(b"<Iteration>"), text.rfind(b"<Hit>")
+    return (text[iteration:].split(b"<Hit>", 1)[0].split(b"<Hsp>", 1)[0] if iteration >= 0 else before[0],
+            text[hit:].split(b"<Hsp>", 1)[0] if hit >= 0 else before[1])
+
+
+def _parsed(values: pa.Array, kind: str) -> pa.Array:
+    """Texts of elements as strings, their characters as they are, or as numbers, null where they are none."""
+    if kind == "string":
+        if pc.any(pc.match_substring(values, "&#")).as_py():
+            return pa.array([v and unescape(v) for v in values.to_pylist()], pa.string())
+        if pc.any(pc.match_substring(values, "&")).as_py():
+            for entity, mark in _ENTITIES:
+                values = pc.replace_substring(values, entity, mark)
+        return values
+    typed, read = (pa.int64(), int) if kind == "long" else (pa.float64(), float)
+    try:
+        return pc.if_else(pc.equal(values, ""), None, values).cast(typed)
+    except pa.ArrowInvalid:
+
+        def number(value: str | None) -> float | int | None:
+            try:
+                return None if value is None else read(value)
+            except ValueError:
+                return None
+
+        return pa.array([number(v) for v in values.to_pylist()], typed)
+
+
+def _hsps(text: bytes) -> pa.RecordBatch:
+    """A row for each HSP in a text that has the heads of its hit and iteration before it."""
+    if b"<![CDATA[" in text or b"<!--" in text:
+        raise ValueError("a report with comments or CDATA sections is not read by ranges")
+    opened = pc.split_pattern(pa.array([text], pa.binary()).cast(pa.string()), "<").flatten()
+    opened = opened.filter(pc.invert(pc.starts_with(opened, "/")))
+    halves = pc.split_pattern(opened, ">", max_splits=1)  # a tag, and the text after it
+    ends, texts = np.asarray(halves.offsets), halves.values
+    tags = np.asarray(pc.fill_null(pc.index_in(texts, pa.array(_TAGS)), -1))[ends[:-1]].astype(np.int8)
+    at = {tag: np.flatnonzero(tags == k) for k, tag in enumerate(_TAGS)}
+    hsp, columns = at["Hsp"], {}
+    for tag, fields in (("Iteration", _ITERATION), ("Hit", _HIT), ("Hsp", _HSP)):
+        begins = at[tag]
+        until, own = np.append(begins[1:], len(tags)), np.searchsorted(begins, hsp, "right") - 1
+        for column, (name, kind) in fields.items():
+            last = np.searchsorted(at[name], until) - 1  # the last of this name before the next of the tag
+            found = at[name][last] if len(at[name]) else np.full(len(begins), -1)
+            missing = (last < 0) | (found < begins)
+            values = _parsed(texts.take(pa.array(ends[found + 1] - 1, mask=missing)), kind)
+            columns[column] = values if tag == "Hsp" else values.take(pa.array(own, mask=own < 0))
+    return pa.RecordBatch.from_pydict(columns)
+
+
+def _numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[int]:
+    return (k for batch in batches for k in batch.column("id").to_pylist())
+
+
+def read_report(spark: SparkSession, path: str) -> DataFrame:
+    """The HSPs of one XML report of any size, each with its hit, its iteration and the program.
+
+    Tasks read ranges of the document that begin with an HSP, a few megabytes at a time, so none holds what one query
+    has. A first pass gives one row a range, the heads of the last iteration and hit in it, from which the driver works
+    out what is open where each range begins; a second pass reads on from there. Elements are found by their plain
+    tags, as the format has them, without prefixes or attributes.
+    """
+    system, at = Files(spark).of(path)
+    size = system.getFileStatus(at).getLen()
+    n = max(1, -(-size // RANGE))
+    ranges = spark.range(0, n, 1, n)
+
+    def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for k in _numbers(batches):
+            found, program = (b"", b""), None
+            for text in _report_texts(path, k * RANGE, (k + 1) * RANGE):
+                found = _opened(text, found)
+                if k == 0 and program is None:
+                    program = text.partition(b"<BlastOutput_program>")[2].partition(b"</BlastOutput_program>")[0].decode()
+            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (k, *found)] + [pa.array([program], pa.string())], ["k", "iteration", "hit", "program"])
+
+    before, now, program = {}, (b"", b""), None
+    for row in sorted(ranges.mapInArrow(heads, "k long, iteration binary, hit binary, program string").collect(), key=lambda r: r.k):
+        before[row.k], program = now, row.program or program
+        now = tuple(bytes(own) or last for own, last in zip((row.iteration, row.hit), now))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for k in _numbers(batches):
+            opened = before[k]
+            for text in _report_texts(path, k * RANGE, (k + 1) * RANGE):
+                text = b"".join((*opened, text))
+                opened = _opened(text, opened)
+                yield _hsps(text)
+
+    schema = ", ".join(f"{column} {kind}" for fields in (_ITERATION, _HIT, _HSP) for column, (_, kind) in fields.items())
+    return ranges.mapInArrow(run, schema).withColumn("program", F.lit(program and unescape(program)).cast("string"))
+
+
 def read_deleted(spark: SparkSession, path: str) -> DataFrame:
     """(entry_key) of a list of deleted entries."""
     return spark.read.text(path).select(F.trim("value").alias("entry_key")).where("entry_key <> ''").distinct()
@@ -141,10 +278,6 @@ def write_files(contents: DataFrame, target: str) -> DataFrame:
     return contents.select("path", F.coalesce("content", F.lit(b"")).alias("content")).mapInArrow(run, "path string, size long")
 
 
-#: Bytes of a file that a task holds at once.
-BLOCK = 4 << 20
-
-
 def _blocks(path: str) -> Iterator[bytes]:
     system, place = _system(path)
     with system.open_input_stream(place) as stream:

@@ -63,7 +63,8 @@ def write_report(rows: DataFrame, path: str, program: str, taxon: str = "", part
     dealt = report_lines(rows.repartitionByRange(parts, *order).sortWithinPartitions(*order), taxon)
     packed = at.of(path)[0].getUri().getScheme() != "hdfs"
     dealt.select("value").write.option("compression", "gzip" if packed else "none").text(folder)
-    names = [f"{folder}/{name}" for name, size in at.parts(folder) if size]
+    # a packed part has bytes even if it has no rows
+    names = [f"{folder}/{name}" for name, size in at.parts(folder) if size] if not spark.read.text(folder).isEmpty() else []
     escaped = program.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
     join_parts(spark, names, path, REPORT_HEAD.format(program=escaped), (ITERATION_END if names else "") + REPORT_END)
     at.delete(folder)
